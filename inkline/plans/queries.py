@@ -261,3 +261,312 @@ def clean_text(spark, sf):
 def json_field(spark, sf):
     """A JSON field (events.props)."""
     return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+
+
+# --------------------------------------------------------------- links ---
+
+def _links_sql(scope: str = "html", http_only: bool = True) -> str:
+    """Distinct absolute http(s) links per page (set semantics)."""
+    hrefs = f"regexp_extract_all({scope}, {S.lit(LK.ANCHOR_HREF_RE)}, 1)"
+    inner = (f"SELECT page_id, page_id AS crawl_seq, url AS src_url, "
+             f"{S.decode_entities(S.resolve('url', 'h'))} AS dst_url "
+             f"FROM (SELECT page_id, url, unnest({hrefs}) AS h FROM pages)")
+    where = f"WHERE {S.is_http('dst_url')}" if http_only else ""
+    return f"SELECT DISTINCT page_id, crawl_seq, src_url, dst_url FROM ({inner}) {where}"
+
+
+NAV_SCOPE_SQL = f"array_to_string({S.all_blocks('html', *NAV)}, ' ')"
+
+
+def nav_links(spark, sf) -> DataFrame:
+    return LK.extract_links(table(spark, sf, "pages"), region=NAV)
+
+
+@register("link_extract", f"SELECT page_id, dst_url FROM ({_links_sql()})")
+def link_extract(spark, sf):
+    """L1: distinct absolute links of every page."""
+    return LK.extract_links(table(spark, sf, "pages")).select("page_id", "dst_url")
+
+
+@register("link_absolute",
+          f"SELECT page_id, h AS href, {S.resolve('url', 'h')} AS abs_url "
+          f"FROM (SELECT page_id, url, unnest(regexp_extract_all(html, {S.lit(LK.ANCHOR_HREF_RE)}, 1)) AS h FROM pages)")
+def link_absolute(spark, sf):
+    """Every raw href next to its absolute form."""
+    pages = table(spark, sf, "pages")
+    return (pages.select("page_id", "url", F.explode(LK.hrefs(F.col("html"))).alias("href"))
+            .select("page_id", "href", U.resolve(F.col("url"), F.col("href")).alias("abs_url")))
+
+
+@register("link_region", f"SELECT page_id, dst_url FROM ({_links_sql(NAV_SCOPE_SQL)})")
+def link_region(spark, sf):
+    """L2: links inside the <nav> region only."""
+    return nav_links(spark, sf).select("page_id", "dst_url")
+
+
+def _any_sql(col: str, pats) -> str:
+    return "(" + " OR ".join(S.rlike(col, p) for p in pats) + ")"
+
+
+@register("link_allow_deny",
+          f"SELECT page_id, dst_url FROM ({_links_sql(NAV_SCOPE_SQL)}) "
+          f"WHERE {_any_sql('dst_url', ALLOW)} AND NOT {_any_sql('dst_url', DENY)}")
+def link_allow_deny(spark, sf):
+    """L3 + L4: allow patterns (search), deny wins."""
+    return nav_links(spark, sf).filter(LK.allow_deny(F.col("dst_url"), ALLOW, DENY)).select("page_id", "dst_url")
+
+
+def _route_sql() -> str:
+    cases = []
+    for i, r in enumerate(RULES):
+        cond = _any_sql("dst_url", r.allow) if r.allow else "true"
+        if r.deny:
+            cond += f" AND NOT {_any_sql('dst_url', r.deny)}"
+        cases.append(f"WHEN {cond} THEN {i}")
+    rid = "CASE " + " ".join(cases) + " END"
+    item = "CASE " + " ".join(f"WHEN rule_id = {i} THEN {int(r.is_item)}" for i, r in enumerate(RULES)) + " END"
+    fol = "CASE " + " ".join(f"WHEN rule_id = {i} THEN {int(r.follow)}" for i, r in enumerate(RULES)) + " END"
+    return (f"SELECT page_id, dst_url, rule_id, {item} AS is_item, {fol} AS follow FROM "
+            f"(SELECT page_id, dst_url, {rid} AS rule_id FROM ({_links_sql(NAV_SCOPE_SQL)})) "
+            f"WHERE rule_id IS NOT NULL")
+
+
+@register("link_route", _route_sql())
+def link_route(spark, sf):
+    """First matching rule claims a link; item / follow flags (as 0/1)."""
+    r = LK.route(nav_links(spark, sf), RULES)
+    return r.select("page_id", "dst_url", "rule_id", F.col("is_item").cast("int").alias("is_item"),
+                    F.col("follow").cast("int").alias("follow"))
+
+
+@register("link_offsite",
+          f"SELECT page_id, dst_url FROM ({_links_sql()}) WHERE {S.on_domains(S.host('dst_url'), DOMAINS)}")
+def link_offsite(spark, sf):
+    """Links on example.com or its sub-domains."""
+    links = LK.extract_links(table(spark, sf, "pages"))
+    return LK.offsite_filter(links, DOMAINS).select("page_id", "dst_url")
+
+
+@register("url_dedup",
+          f"SELECT canon_url, min(crawl_seq) AS first_seq, arg_min(page_id, crawl_seq) AS first_page_id, "
+          f"arg_min(dst_url, [crawl_seq, page_id]) AS first_url, count(*) AS n_seen "
+          f"FROM (SELECT *, {S.canonical('dst_url')} AS canon_url FROM ({_links_sql()})) GROUP BY canon_url")
+def url_dedup(spark, sf):
+    """One row per canonical URL, first seen in crawl order."""
+    return LK.dedup_urls(LK.extract_links(table(spark, sf, "pages")))
+
+
+@register("frontier_anti_join",
+          f"SELECT page_id, dst_url, canon_url FROM (SELECT *, {S.canonical('dst_url')} AS canon_url "
+          f"FROM ({_links_sql()})) WHERE canon_url NOT IN (SELECT {S.canonical('url')} FROM pages)")
+def frontier_anti_join(spark, sf):
+    """Extracted links not yet visited (anti join on the canonical URL)."""
+    pages = table(spark, sf, "pages")
+    return LK.frontier(LK.extract_links(pages), pages).select("page_id", "dst_url", "canon_url")
+
+
+@register("link_closure")
+def link_closure(spark, sf):
+    """Breadth-first closure from every English page over the page table (depth <= 3)."""
+    pages = table(spark, sf, "pages")
+    seeds = pages.filter(F.col("url").contains("/en/")).select("url")
+    return LK.crawl_closure(pages, seeds, max_depth=3)
+
+
+@register("route_by_host",
+          "SELECT page_id, h.media FROM (SELECT page_id, "
+          f"{S.rx(S.host('url'), '([^.]+[.][^.]+)$', 1)} AS domain FROM pages) p JOIN (VALUES "
+          + ", ".join(f"({S.lit(d)}, {S.lit(m)})" for d, m in HOSTS) + ") h(domain, media) USING (domain)")
+def route_by_host(spark, sf):
+    """Host -> media through a small host table (one row per known source)."""
+    hosts = spark.createDataFrame(list(HOSTS), "domain string, media string")
+    dom = F.regexp_extract(U.host(F.col("url")), r"([^.]+[.][^.]+)$", 1)
+    return (table(spark, sf, "pages").select("page_id", dom.alias("domain"))
+            .join(F.broadcast(hosts), "domain").select("page_id", "media"))
+
+
+# ------------------------------------------------------------- filters ---
+
+@register("url_filters",
+          "SELECT page_id, url FROM pages WHERE contains(url, '/en/') AND NOT contains(url, '#top')")
+def url_filters(spark, sf):
+    """P1 + P2: URL must contain '/en/' and must not contain '#top'."""
+    return (table(spark, sf, "pages").filter(F.col("url").contains("/en/") & ~F.col("url").contains("#top"))
+            .select("page_id", "url"))
+
+
+@register("page_guards",
+          f"SELECT page_id FROM pages WHERE {S.h1_title('html')} <> '' AND {container_sql()} IS NOT NULL")
+def page_guards(spark, sf):
+    """P3 + P4: non-empty title and a container."""
+    return (table(spark, sf, "pages")
+            .filter((H.h1_title(F.col("html")) != "") & container_col().isNotNull()).select("page_id"))
+
+
+REJECT_PROFILE = DRIVER_PAGES.with_(url_not_contains="#top", date=P.DateField("meta", "article:published_time"))
+
+
+@register("rejects_by_reason",
+          "SELECT page_id, media, url, status, reason FROM (SELECT page_id, " + MEDIA_SQL + " AS media, url, "
+          "CASE WHEN contains(url, '#top') THEN 'filtered' ELSE 'rejected' END AS status, "
+          "CASE WHEN contains(url, '#top') THEN 'url_excluded' ELSE 'no_date' END AS reason FROM pages)")
+def rejects_by_reason(spark, sf):
+    """Rows lost to a missing node, with their reason (no page has a published_time meta)."""
+    _, bad = P.split_rejects(P.extract(table(spark, sf, "pages"), REJECT_PROFILE))
+    return bad
+
+
+@register("source_counts",
+          "SELECT " + MEDIA_SQL + " AS media, count(*) AS n_rows, "
+          "CAST(0 AS BIGINT) AS n_parsed, CAST(sum(CASE WHEN contains(url, '#top') THEN 1 ELSE 0 END) AS BIGINT) AS n_filtered, "
+          "CAST(sum(CASE WHEN contains(url, '#top') THEN 0 ELSE 1 END) AS BIGINT) AS n_rejected FROM pages GROUP BY 1")
+def source_counts(spark, sf):
+    """Rows, parsed, filtered, rejected per source."""
+    return L.source_counts(P.extract(table(spark, sf, "pages"), REJECT_PROFILE))
+
+
+@register("recency", f"SELECT event_id, ts FROM events WHERE {S.is_fresh('ts', AS_OF_EVENTS)}")
+def recency(spark, sf):
+    """P5: kept iff younger than 48 h at as_of (future kept); pushed to the scan."""
+    return table(spark, sf, "events").filter(D.is_fresh(F.col("ts"), AS_OF_EVENTS)).select("event_id", "ts")
+
+
+@register("keyphrase_flag", f"SELECT doc_id, {S.keyphrase_flag('text', FREQUENT_PHRASES)} AS flag FROM documents")
+def keyphrase_flag(spark, sf):
+    """Any-of phrase test on lower-cased text (frequent words as phrases)."""
+    return table(spark, sf, "documents").select("doc_id", T.keyphrase_flag(F.col("text"), FREQUENT_PHRASES).alias("flag"))
+
+
+# --------------------------------------------------------- dates (events) ---
+
+def ev_ts_z() -> Column:
+    return F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(F.col("value") < 5, F.lit("")).otherwise(
+                        F.concat(F.lit("."), F.date_format("ts", "SSS"), F.lit("Z"))))
+EV_TS_Z_SQL = ("(strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN value < 5 THEN '' ELSE "
+               "'.' || strftime(ts, '%g') || 'Z' END)")
+
+
+@register("parse_ts_z", f"SELECT event_id, {EV_TS_Z_SQL} AS raw, {S.parse_ts_z(EV_TS_Z_SQL)} AS parsed FROM events")
+def parse_ts_z(spark, sf):
+    """ISO with fraction and Z; the fraction-less texts are rejected (NULL)."""
+    return table(spark, sf, "events").select("event_id", ev_ts_z().alias("raw"), D.parse_ts_z(ev_ts_z()).alias("parsed"))
+
+
+def ev_off() -> Column:
+    return F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(F.col("value") < 2, F.lit("")).when(F.col("value") < 40, F.lit("-03:00"))
+                    .otherwise(F.lit("+0530")))
+EV_OFF_SQL = ("(strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN value < 2 THEN '' WHEN value < 40 THEN '-03:00' "
+              "ELSE '+0530' END)")
+
+
+@register("parse_ts_offset", f"SELECT event_id, {EV_OFF_SQL} AS raw, {S.parse_ts_offset(EV_OFF_SQL)} AS parsed FROM events")
+def parse_ts_offset(spark, sf):
+    """ISO with an offset, wall clock kept; no offset -> rejected."""
+    return table(spark, sf, "events").select("event_id", ev_off().alias("raw"), D.parse_ts_offset(ev_off()).alias("parsed"))
+
+
+def ev_iso() -> Column:
+    return F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+EV_ISO_SQL = "strftime(ts, '%Y-%m-%dT%H:%M:%S')"
+
+
+@register("parse_date10", f"SELECT event_id, {S.parse_date10(EV_ISO_SQL)} AS parsed FROM events")
+def parse_date10(spark, sf):
+    """D3: first ten characters as a date."""
+    return table(spark, sf, "events").select("event_id", D.parse_date10(ev_iso()).alias("parsed"))
+
+
+def ev_fb() -> Column:
+    dmy = F.concat_ws("-", F.dayofmonth("ts").cast("string"), F.month("ts").cast("string"),
+                      F.year("ts").cast("string"))
+    return (F.when(F.col("value") >= 30, dmy).when(F.col("value") < 1, F.lit("garbage"))
+            .otherwise(F.date_format("ts", "yyyy-MM-dd")))
+EV_FB_SQL = ("(CASE WHEN value >= 30 THEN CAST(day(ts) AS VARCHAR) || '-' || CAST(month(ts) AS VARCHAR) || '-' || "
+             "CAST(year(ts) AS VARCHAR) WHEN value < 1 THEN 'garbage' ELSE strftime(ts, '%Y-%m-%d') END)")
+
+
+@register("parse_date_fallback",
+          f"SELECT event_id, {EV_FB_SQL} AS raw, {S.parse_date_fallback(EV_FB_SQL)} AS parsed FROM events")
+def parse_date_fallback(spark, sf):
+    """ISO date, else D-M-Y (one-digit day/month accepted), garbage rejected."""
+    return table(spark, sf, "events").select("event_id", ev_fb().alias("raw"), D.parse_date_fallback(ev_fb()).alias("parsed"))
+
+
+@register("parse_date_parts",
+          "SELECT event_id, " + S.parse_date_parts("CAST(year(ts) AS VARCHAR)", "CAST(month(ts) AS VARCHAR)",
+                                                   "CAST(day(ts) AS VARCHAR)") + " AS parsed FROM events")
+def parse_date_parts(spark, sf):
+    """Year, month, day attributes assembled with '-'."""
+    y, m, d = (F.year("ts").cast("string"), F.month("ts").cast("string"), F.dayofmonth("ts").cast("string"))
+    return table(spark, sf, "events").select("event_id", D.parse_date_parts(y, m, d).alias("parsed"))
+
+
+@register("format_ts", f"SELECT event_id, {S.format_ts('ts')} AS date FROM events")
+def format_ts(spark, sf):
+    """D6: '%Y-%m-%d %H:%M:%S'."""
+    return table(spark, sf, "events").select("event_id", D.format_ts(F.col("ts")).alias("date"))
+
+
+@register("age_days", f"SELECT event_id, {S.age_days('ts', AS_OF_EVENTS)} AS age FROM events")
+def age_days(spark, sf):
+    """Whole days of age, floored (future -> negative)."""
+    return table(spark, sf, "events").select("event_id", D.age_days(F.col("ts"), AS_OF_EVENTS).alias("age"))
+
+
+# ------------------------------------------------------- windows (events) ---
+
+def listing(spark, sf) -> DataFrame:
+    """Events as a crawl: media = event_type, newest first (crawl_seq = -event_id)."""
+    ev = table(spark, sf, "events")
+    return ev.select("event_id", F.col("event_type").alias("media"), (-F.col("event_id")).alias("crawl_seq"),
+                     F.col("ts").alias("published_at"), "value", "user_id")
+
+
+LISTING_SQL = ("(SELECT event_id, event_type AS media, -event_id AS crawl_seq, ts AS published_at, value, user_id "
+               "FROM events)")
+CAPS_SQL = "CASE " + " ".join(f"WHEN media = {S.lit(m)} THEN {c}" for m, c in EVENT_CAPS.items()) + " END"
+
+
+@register("source_cap",
+          f"SELECT event_id, media, rn FROM (SELECT *, row_number() OVER (PARTITION BY media ORDER BY crawl_seq) AS rn "
+          f"FROM {LISTING_SQL}) WHERE rn <= {CAPS_SQL}")
+def source_cap(spark, sf):
+    """First N rows per source in crawl order (N per source)."""
+    return L.source_cap(listing(spark, sf), EVENT_CAPS).select("event_id", "media", "rn")
+
+
+@register("cap_then_recency",
+          f"SELECT event_id, media FROM (SELECT *, row_number() OVER (PARTITION BY media ORDER BY crawl_seq) AS rn "
+          f"FROM {LISTING_SQL}) WHERE rn <= {CAPS_SQL} AND {S.is_fresh('published_at', AS_OF_EVENTS_LATE)}")
+def cap_then_recency(spark, sf):
+    """The cap counts stale rows; recency filters afterwards."""
+    fresh = D.is_fresh(F.col("published_at"), AS_OF_EVENTS_LATE)
+    return L.cap_then_recency(listing(spark, sf), EVENT_CAPS, fresh).select("event_id", "media")
+
+
+PREFIX_SEQ_SQL = "(user_id * 100000000 + event_id)"
+
+
+@register("prefix_stop",
+          f"WITH l AS (SELECT event_id, event_type AS media, {PREFIX_SEQ_SQL} AS crawl_seq, ts FROM events), "
+          f"f AS (SELECT media, min(crawl_seq) AS fs FROM l WHERE NOT {S.is_fresh('ts', AS_OF_PREFIX)} GROUP BY media) "
+          f"SELECT event_id, l.media FROM l LEFT JOIN f USING (media) WHERE fs IS NULL OR crawl_seq < fs")
+def prefix_stop(spark, sf):
+    """Per source, rows before the first stale one (crawl order = user, then id)."""
+    ev = table(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("media"),
+        (F.col("user_id") * 100000000 + F.col("event_id")).alias("crawl_seq"), "ts")
+    return L.prefix_stop(ev, ~D.is_fresh(F.col("ts"), AS_OF_PREFIX)).select("event_id", "media")
+
+
+@register("twin_cap",
+          f"SELECT event_id, media, response_no, item_no FROM (SELECT *, row_number() OVER "
+          f"(PARTITION BY media ORDER BY crawl_seq) AS item_no FROM (SELECT *, row_number() OVER "
+          f"(PARTITION BY media ORDER BY crawl_seq) AS response_no FROM {LISTING_SQL}) "
+          f"WHERE response_no <= 50 AND value >= 20) WHERE item_no <= 30")
+def twin_cap(spark, sf):
+    """At most 50 rows received and 30 items (value >= 20) per source."""
+    out = L.twin_cap(listing(spark, sf), 50, 30, F.col("value") >= 20)
+    return out.select("event_id", "media", "response_no", "item_no")
