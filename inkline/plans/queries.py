@@ -570,3 +570,166 @@ def twin_cap(spark, sf):
     """At most 50 rows received and 30 items (value >= 20) per source."""
     out = L.twin_cap(listing(spark, sf), 50, 30, F.col("value") >= 20)
     return out.select("event_id", "media", "response_no", "item_no")
+
+
+# ---------------------------------------------------------- text (documents) ---
+
+@register("normalize_text", f"SELECT doc_id, {S.normalize_text('text')} AS clean_text FROM documents")
+def normalize_text(spark, sf):
+    """Lower, tokenise, alphabetic tokens, stopwords out, space-joined."""
+    return table(spark, sf, "documents").select("doc_id", T.normalize_text(F.col("text")).alias("clean_text"))
+
+
+@register("alpha_tokens",
+          f"SELECT doc_id, array_to_string({S.alpha_tokens('text')}, ' ') AS tokens, "
+          f"CAST(len({S.alpha_tokens('text')}) AS INTEGER) AS n_tokens FROM documents")
+def alpha_tokens(spark, sf):
+    """Purely alphabetic tokens (``covid-19``, ``gob.cl`` vanish whole)."""
+    toks = T.alpha_tokens(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(toks, " ").alias("tokens"),
+                                                F.size(toks).alias("n_tokens"))
+
+
+@register("stopword_removal",
+          f"SELECT doc_id, array_to_string({S.remove_stopwords(S.tokens('text'))}, ' ') AS words FROM documents")
+def stopword_removal(spark, sf):
+    """Stopwords removed from the token list, duplicates and order kept."""
+    words = T.remove_stopwords(T.tokens(F.col("text")))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(words, " ").alias("words"))
+
+
+@register("build_prompt", f"SELECT doc_id, {S.build_prompt('text')} AS prompt FROM documents")
+def build_prompt(spark, sf):
+    """T4 + T5: instruction + base + the first 7,500 characters."""
+    return table(spark, sf, "documents").select("doc_id", T.build_prompt(F.col("text")).alias("prompt"))
+
+
+ANSWER_SQL = ("(CASE WHEN source IN ('src1', 'src2') THEN 'Salud;Salud' "
+              "WHEN source IN ('src3', 'src4') THEN 'Foo;Bar' "
+              "WHEN lang = 'en' THEN 'Salud' WHEN lang = 'fr' THEN 'Movilidad; Salud' "
+              "WHEN lang = 'de' THEN 'Foo;Deportes;Economía' WHEN source = 'src5' THEN NULL "
+              "ELSE ' Política ' END)")
+
+
+def answer_col() -> Column:
+    """Classifier answers synthesised from lang and source, covering the T6 truth table."""
+    return F.expr(ANSWER_SQL)
+
+
+_C1, _C2 = S.parse_labels("answer")
+
+
+@register("parse_labels",
+          f"SELECT doc_id, answer, {_C1} AS category_1, {_C2} AS category_2 "
+          f"FROM (SELECT doc_id, {ANSWER_SQL} AS answer FROM documents)")
+def parse_labels(spark, sf):
+    """First two labels, unknown -> Otro, repeated -> (A, NULL)."""
+    docs = table(spark, sf, "documents").select("doc_id", answer_col().alias("answer"))
+    lab = T.parse_labels(F.col("answer"))
+    return docs.select("doc_id", "answer", lab["category_1"].alias("category_1"),
+                       lab["category_2"].alias("category_2"))
+
+
+@register("sentiment_default",
+          "SELECT doc_id, CASE WHEN text IS NOT NULL THEN 'NEU' END AS sentiment, "
+          "CASE WHEN text IS NOT NULL THEN CAST(0.5 AS DOUBLE) END AS pos, "
+          "CASE WHEN text IS NOT NULL THEN CAST(0.5 AS DOUBLE) END AS neu, "
+          "CASE WHEN text IS NOT NULL THEN CAST(0.5 AS DOUBLE) END AS neg FROM documents")
+def sentiment_default(spark, sf):
+    """The reference's stub scorer."""
+    s = T.sentiment_default(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", s["sentiment"].alias("sentiment"), s["pos"].alias("pos"),
+                                                s["neu"].alias("neu"), s["neg"].alias("neg"))
+
+
+@register("classify_default")
+def classify_default(spark, sf):
+    """Pluggable batch classifier via mapInPandas (deterministic keyword stand-in)."""
+    from inkline.operators.enrich import classify
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return classify(docs, "text").select("doc_id", "answer", "category_1", "category_2")
+
+
+# ------------------------------------------------------------ dictionary ---
+
+DICT_MATCH_SQL = ("SELECT d.doc_id, coalesce(m.matches, '') AS matches FROM documents d LEFT JOIN "
+                  "(SELECT d.doc_id, string_agg(b.text, ', ' ORDER BY b.item_id) AS matches "
+                  "FROM documents d JOIN benchmark b ON b.text <> '' AND instr(d.text, b.text) > 0 "
+                  "GROUP BY d.doc_id) m USING (doc_id)")
+
+
+def benchmark_terms(spark, sf) -> DataFrame:
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("ord"), F.col("text").alias("term"))
+
+
+@register("dictionary_match", DICT_MATCH_SQL)
+def dictionary_match(spark, sf):
+    """T1 + T1b (inline strategy): benchmark passages found in each document, in item order."""
+    terms = fetch_terms(benchmark_terms(spark, sf))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return docs.select("doc_id", join_matches(match_inline(F.col("text"), terms)).alias("matches"))
+
+
+@register("dictionary_match_join", DICT_MATCH_SQL)
+def dictionary_match_join(spark, sf):
+    """T1 on the n-gram join strategy (any dictionary size), same result."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return match_by_join(docs, benchmark_terms(spark, sf), out="matches")
+
+
+@register("dictionary_pairs",
+          "SELECT d.doc_id, b.item_id AS ord FROM documents d JOIN benchmark b "
+          "ON b.text <> '' AND instr(d.text, b.text) > 0")
+def dictionary_pairs(spark, sf):
+    """(document, term) pairs, exact substring, via the aligned q-gram equi-join."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return match_pairs(docs, benchmark_terms(spark, sf)).select("doc_id", "ord")
+
+
+# ---------------------------------------------------------- sinks, union ---
+
+@register("idempotent_append",
+          "SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN "
+          "(SELECT doc_id FROM documents WHERE lang = 'en')")
+def idempotent_append(spark, sf):
+    """K2 idempotent: incoming rows minus those already in the target (English docs), by key."""
+    from inkline.sources.sinks import new_rows
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    return new_rows(docs, docs.filter(F.col("lang") == "en"), key="doc_id")
+
+
+@register("require_complete",
+          f"SELECT page_id FROM ({FLAGSHIP_SQL}) WHERE " + " AND ".join(
+              f"coalesce(CAST({c} AS VARCHAR), '') <> ''" for c in ("title", "subtitle", "body", "published_at",
+                                                                     "media", "url")))
+def require_complete(spark, sf):
+    """E19 (strict mode): articles whose required fields are all present and non-empty."""
+    from inkline.plans.articles import require_complete as rc
+    return rc(flagship(spark, sf)).select("page_id")
+
+
+UNION_PROFILES = {
+    "en": DRIVER_PAGES.with_(paragraphs=STRONG),
+    "de": DRIVER_PAGES.with_(paragraphs=STRONG, join="glued"),
+    "fr": DRIVER_PAGES.with_(paragraphs=B),
+    "es": DRIVER_PAGES.with_(paragraphs=B, join="glued"),
+}
+
+
+def _union_sql() -> str:
+    parts = []
+    for lang, prof in UNION_PROFILES.items():
+        body = S.body_text(container_sql(), prof.paragraphs, prof.join)
+        parts.append(f"SELECT page_id, {S.lit(lang)} AS media, {body} AS body FROM pages "
+                     f"WHERE {MEDIA_SQL} = {S.lit(lang)}")
+    return " UNION ALL ".join(parts)
+
+
+@register("union_sources", _union_sql())
+def union_sources(spark, sf):
+    """Per-source profiles (keep-set, join) compiled separately, then unionByName."""
+    pages = dated_pages(spark, sf)
+    media = F.expr(PAGES_MEDIA_EXPR)
+    frames = [P.extract(pages.filter(media == lang), prof.with_(media_expr=None, media=lang))
+              .select("page_id", "media", "body") for lang, prof in UNION_PROFILES.items()]
+    return A.union_sources(frames)
