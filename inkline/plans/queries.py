@@ -39,8 +39,15 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+TEXT_KEYS = {"pages": "page_id", "documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_KEYS:
+        from inkline.sources.tables import spread
+        df = spread(df, TEXT_KEYS[name])
+    return df
 
 
 # --- parameters of the driver checks ---------------------------------------

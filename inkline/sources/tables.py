@@ -101,3 +101,19 @@ def conform_articles(df: DataFrame, key: str | None = None) -> DataFrame:
         cols.append(c.alias(f.name))
     out = df.select(*([F.col(key)] if key else []), *cols)
     return out
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a text table on ``key`` when its scan is narrower than the cluster.
+
+    Text extraction is CPU-bound per row; a table stored as one row group
+    scans as one task.  Only then is it spread over ``defaultParallelism``
+    partitions, by a hash of the key (deterministic on retry, and reusable by
+    a later join on the key).  A large input already has more scan splits
+    than cores and is left alone, so no shuffle is added at scale.
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, F.col(key))
