@@ -740,3 +740,26 @@ def union_sources(spark, sf):
     frames = [P.extract(pages.filter(media == lang), prof.with_(media_expr=None, media=lang))
               .select("page_id", "media", "body") for lang, prof in UNION_PROFILES.items()]
     return A.union_sources(frames)
+
+
+# ------------------------------------------------------------- streaming ---
+
+STREAM_SQL = _enrich_sql(f"(SELECT * FROM ({_extract_sql()}) WHERE status = 'parsed')")
+
+
+@register("stream_articles", STREAM_SQL)
+def stream_articles(spark, sf):
+    """The page table read as a stream (availableNow), same Columns as batch.
+
+    The stream writes Parquet into the shared checkpoint folder; the result is
+    read back in batch (nothing passes through the driver).
+    """
+    from inkline.streaming.articles import article_stream, run_available
+    path = f"{sf.rstrip('/')}/pages.parquet"
+    schema = spark.read.parquet(path).schema
+    pages = (spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet")
+             .parquet(sf.rstrip("/")).withColumn("published_at", published_at()))
+    out = article_stream(pages, DRIVER_PAGES, places=FLAGSHIP_PLACES)
+    cols = ["page_id"] + list(A.ARTICLE_COLUMNS)
+    result = run_available(out.select(*cols))
+    return spark.read.parquet(result)
