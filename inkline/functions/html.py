@@ -48,11 +48,16 @@ ENTITIES = (
 )
 # --- end of fixed values ----------------------------------------------------
 
-# Inline / embedded elements that can sit inside a paragraph.  Those outside a
-# keep-set are removed with their content.
+# Inline elements that can sit inside a paragraph; those outside a keep-set
+# are removed with their content, one pattern per tag so that an element ends
+# at its own close tag.
 CONTENT_TAGS = (
     "a", "b", "strong", "em", "i", "span", "u", "s", "small", "sub", "sup",
     "mark", "code", "time", "font", "q", "cite", "abbr", "del", "ins", "label",
+)
+# Embedded elements never kept: removed together by one pattern (they do not
+# nest text that would survive anyway), which keeps the expression small.
+EMBEDDED_TAGS = (
     "button", "script", "style", "iframe", "svg", "noscript", "figure",
     "figcaption", "video", "audio", "picture", "object", "select", "textarea",
 )
@@ -69,6 +74,11 @@ OUTSIDE_RE = f"{PEND}[^{PSEP}]*"
 LEADING_RE = f"^[^{PSEP}]*"
 
 
+def rx_escape(s: str) -> str:
+    """Escape regex metacharacters only (spaces stay literal, valid in Java and RE2)."""
+    return re.sub(r"([.^$*+?{}\[\]\\|()])", r"\\\1", s)
+
+
 def open_tag_re(tag: str) -> str:
     """Opening tag of ``tag`` with any attributes (``<p>`` does not match ``<pre>``)."""
     return f"<{tag}(?:[\\s/][^>]*)?>"
@@ -80,11 +90,11 @@ def close_tag_re(tag: str) -> str:
 
 def class_open_re(tag: str, cls: str) -> str:
     """Opening tag whose class attribute is exactly ``cls`` (bs4 rule for multi-token classes)."""
-    return f'<{tag}\\s[^>]*class="{re.escape(cls)}"[^>]*>'
+    return f'<{tag}\\s[^>]*class="{rx_escape(cls)}"[^>]*>'
 
 
 def id_open_re(tag: str, ident: str) -> str:
-    return f'<{tag}\\s[^>]*id="{re.escape(ident)}"[^>]*>'
+    return f'<{tag}\\s[^>]*id="{rx_escape(ident)}"[^>]*>'
 
 
 def drop_element_re(tag: str) -> str:
@@ -92,18 +102,25 @@ def drop_element_re(tag: str) -> str:
     return f"(?s){open_tag_re(tag)}[^{PSEP}{PEND}]*?(?:{close_tag_re(tag)}|\\z|([{PSEP}{PEND}]))"
 
 
-def kept_tags_re(keep: Sequence[str]) -> str:
-    alt = "|".join(keep)
-    return f"<(?:{alt})(?:[\\s/][^>]*)?>|</(?:{alt})\\s*>"
+VOID_RE = "<(?:" + "|".join(VOID_TAGS) + r")(?:[\s/][^>]*)?>"
 
 
-VOID_RE = "<(?:" + "|".join(VOID_TAGS) + r")(?:[\s/][^>]*)?>"
+def kept_tags_re(keep: Sequence[str]) -> str:
+    """Open/close tags of kept children plus void tags: all become part boundaries."""
+    alt = "|".join(keep)
+    return f"<(?:{alt})(?:[\\s/][^>]*)?>|</(?:{alt})\\s*>|{VOID_RE}"
 
 
 def dropped_tags(keep: Sequence[str]) -> tuple[str, ...]:
     return tuple(t for t in CONTENT_TAGS if t not in keep)
 
 
+def drop_patterns(keep: Sequence[str]) -> list[str]:
+    """Patterns removing non-kept children with their content."""
+    group = "(?:" + "|".join(EMBEDDED_TAGS) + ")"
+    return [drop_element_re(t) for t in dropped_tags(keep)] + [drop_element_re(group)]
+
+
 def decode_entities(c: Column) -> Column:
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
@@ -170,7 +187,7 @@ def tag_attr(html: Column, tag: str, attr: str, where: str | None = None) -> Col
 
 def meta_content(html: Column, prop: str, key: str = "property") -> Column:
     """E5: ``content`` of ``<meta {key}="{prop}">``."""
-    return tag_attr(html, "meta", "content", where=f'{key}="{re.escape(prop)}"')
+    return tag_attr(html, "meta", "content", where=f'{key}="{rx_escape(prop)}"')
 
 
 def jsonld_field(html: Column, path: str) -> Column:
@@ -198,11 +215,9 @@ def _prepare(c: Column) -> Column:
 
 def _parts(x: Column, keep: Sequence[str]) -> Column:
     """Turn markup into MARK-separated text parts (direct-child semantics)."""
-    for t in dropped_tags(keep):
-        x = F.regexp_replace(x, drop_element_re(t), MARK + "$1")
-    if keep:
-        x = F.regexp_replace(x, kept_tags_re(keep), MARK)
-    x = F.regexp_replace(x, VOID_RE, MARK)
+    for pat in drop_patterns(keep):
+        x = F.regexp_replace(x, pat, MARK + "$1")
+    x = F.regexp_replace(x, kept_tags_re(keep) if keep else VOID_RE, MARK)
     x = F.regexp_replace(x, ANY_TAG_RE, "")
     return decode_entities(x)
 

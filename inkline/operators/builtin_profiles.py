@@ -73,8 +73,8 @@ ELMOSTRADOR = Profile(
     media="elmostrador",
     title=TextField("h1"),
     require_title=True,
-    subtitle=TextField("region_p", region=Region(H.class_open_re("p", "d-the-single__excerpt | u-fw-600"),
-                                                 H.close_tag_re("p"))),
+    subtitle=TextField("region_own", region=Region(H.class_open_re("p", "d-the-single__excerpt | u-fw-600"),
+                                                   H.close_tag_re("p"))),
     container=Region(H.open_tag_re("main"), H.close_tag_re("main")),
     on_missing_container="reject",
     paragraphs=H.ParagraphSpec("p", None, ("a", "strong")),
@@ -87,7 +87,9 @@ EMOL = Profile(
     title=TextField("meta", "og:title", on_missing="reject"),
     url_from_meta="og:url",
     subtitle=TextField("meta", "og:description", on_missing="reject"),
-    container=Region(H.id_open_re("div", "texto_noticia"), P_DIV_END),
+    # paragraphs are nested divs: the container ends where the last inner
+    # div and the container close together (no depth counter, a known limit)
+    container=Region(H.id_open_re("div", "texto_noticia"), r"</div\s*>\s*</div\s*>"),
     paragraphs=H.ParagraphSpec("div", None, ("a", "b")),
     join="glued",
     date=DateField("meta", "article:published_time", "date10"),
@@ -110,7 +112,7 @@ LATERCERA = Profile(
 PUBLIMETRO = Profile(
     media="publimetro",
     title=TextField("h1"),
-    subtitle=TextField("region_p", region=_div("col-sm-xl-12 layout-section wrap-bottom promo1")),
+    subtitle=TextField("region_p", "h2", region=_div("col-sm-xl-12 layout-section wrap-bottom promo1")),
     container=Region(H.class_open_re("article", "default__ArticleBody-xb1qmn-2 dwgCRL article-body-wrapper"),
                      H.close_tag_re("article")),
     on_missing_container="reject",

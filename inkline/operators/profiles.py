@@ -29,7 +29,7 @@ from inkline.functions.text import clean_text, strip_ws
 
 def class_token_re(tag: str, token: str) -> str:
     """Opening tag whose class list contains ``token`` (CSS ``tag.token``)."""
-    t = re.escape(token)
+    t = H.rx_escape(token)
     return f'<{tag}\\s[^>]*class="(?:[^"]*\\s)?{t}(?:\\s[^"]*)?"[^>]*>'
 
 
@@ -57,7 +57,8 @@ class TextField:
 
     kinds: ``h1`` (all ``//h1/text()``), ``h1_first`` (first text node),
     ``meta`` (``<meta property=arg content>``), ``region_p`` (own text of the
-    ``p`` children of a region), ``region_first`` (first text node of the
+    ``arg`` children of a region, ``p`` by default), ``region_own`` (own text of the region
+    element itself), ``region_first`` (first text node of the
     first element matching ``region``), ``first_p_all`` (string value of the
     first paragraph of ``region``).
     ``on_missing``: ``reject`` (the reference raises) or ``empty``.
@@ -82,8 +83,12 @@ class TextField:
             val = H.meta_content(html, self.arg)
         elif self.kind == "region_p":
             reg = self.region.column(html)
-            inner = F.array_join(H.all_blocks(reg, H.open_tag_re("p"), H.close_tag_re("p")), H.MARK)
+            child = self.arg or "p"
+            inner = F.array_join(H.all_blocks(reg, H.open_tag_re(child), H.close_tag_re(child)), H.MARK)
             val = F.when(reg.isNotNull(), H.own_text(inner))
+        elif self.kind == "region_own":
+            reg = self.region.column(html)
+            val = F.when(reg.isNotNull(), H.own_text(reg))
         elif self.kind == "region_first":
             reg = self.region.column(html)
             val = H.first_own_text(reg)
@@ -117,10 +122,10 @@ class DateField:
         if self.source == "jsonld":
             return H.jsonld_field(html, self.arg)
         if self.source == "time":
-            where = f'class="{re.escape(self.arg)}"' if self.arg else None
+            where = f'class="{H.rx_escape(self.arg)}"' if self.arg else None
             return H.tag_attr(html, "time", "datetime", where=where)
         if self.source == "post_parts":
-            where = f'class="{re.escape(self.arg)}"'
+            where = f'class="{H.rx_escape(self.arg)}"'
             y = H.tag_attr(html, "div", "data-post-year", where=where)
             m = H.tag_attr(html, "div", "data-post-month", where=where)
             d = H.tag_attr(html, "div", "data-post-day", where=where)

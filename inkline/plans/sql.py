@@ -137,11 +137,9 @@ def _prepare(x: str) -> str:
 
 
 def _parts(x: str, keep: Sequence[str]) -> str:
-    for t in H.dropped_tags(keep):
-        x = rr(x, H.drop_element_re(t), H.MARK + "$1")
-    if keep:
-        x = rr(x, H.kept_tags_re(keep), H.MARK)
-    x = rr(x, H.VOID_RE, H.MARK)
+    for pat in H.drop_patterns(keep):
+        x = rr(x, pat, H.MARK + "$1")
+    x = rr(x, H.kept_tags_re(keep) if keep else H.VOID_RE, H.MARK)
     x = rr(x, H.ANY_TAG_RE)
     return decode_entities(x)
 
