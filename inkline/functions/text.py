@@ -143,7 +143,7 @@ def contains_any(c: Column, phrases: Sequence[str]) -> Column:
     """OR of plain substring tests: codegen-friendly, no higher-order function."""
     if not phrases:
         return F.lit(False)
-    return reduce(lambda a, b: a | b, [F.instr(c, p) > 0 for p in phrases])
+    return reduce(lambda a, b: a | b, [c.contains(p) for p in phrases])
 
 
 def keyphrase_flag(c: Column, phrases: Sequence[str] = GORE_PHRASES) -> Column:

@@ -47,7 +47,8 @@ def match_inline(text: Column, terms: list[str]) -> Column:
     terms = [t for t in terms if t]
     if not terms:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(F.instr(text, t) > 0, F.lit(t)) for t in terms]))
+    # ``contains`` (first-byte scan) rather than ``instr`` (character-position scan)
+    return F.array_compact(F.array(*[F.when(text.contains(t), F.lit(t)) for t in terms]))
 
 
 def join_matches(matched: Column) -> Column:
