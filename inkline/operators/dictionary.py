@@ -80,7 +80,10 @@ def match_pairs(docs: DataFrame, dictionary: DataFrame, doc_id: str = "doc_id",
     cands = (grams.join(anchors, "gram")
              .select("_doc", "ord", "term", "m", (F.col("slot") * q - F.col("off")).alias("s"))
              .filter(F.col("s") >= 0))
-    verified = (cands.join(docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")), "_doc")
+    # The text side is never broadcast (it grows with the data): a sort-merge
+    # join on the key, which reuses a key partitioning the texts already have.
+    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).hint("merge")
+    verified = (cands.join(texts, "_doc")
                 .filter(F.substring(F.col("_text"), F.col("s") + 1, F.col("m")) == F.col("term"))
                 .select(F.col("_doc").alias(doc_id), "ord", "term")
                 .dropDuplicates([doc_id, "ord"]))
