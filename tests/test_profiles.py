@@ -24,7 +24,7 @@ PAGES = {
     "elmostrador": ("https://www.elmostrador.cl/n", '<h1>Título EM</h1><p class="d-the-single__excerpt | u-fw-600">'
                     f'Bajada</p><main>{P}</main><time datetime="04-05-2023">4 mayo</time>'),
     "emol": ("https://www.emol.com/x", '<meta property="og:title" content="Título Emol">'
-             '<meta property="og:url" content="https://www.emol.com/noticias/Nacional/2023/05/04/1/a.html">'
+             '<meta property="og:url" content="https://www.emol.com/nacional/2023/05/04/1/a.html">'
              '<meta property="og:description" content="Bajada">'
              '<div id="texto_noticia"><div>Uno <b>dos</b> <i>no</i></div><div>Tres</div></div>'
              '<meta property="article:published_time" content="2023-05-04T10:00:00Z">'),
