@@ -26,3 +26,19 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkline.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of documents encoded by the 50k ranks and decoded again."""
+    from inkline.llm.bpe import bpe_digests
+
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@register
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 ids."""
+    from inkline.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024, end_id=0)
