@@ -42,3 +42,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkline.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024, end_id=0)
+
+
+@register
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and compression bands of every text of documents."""
+    from inkline.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
