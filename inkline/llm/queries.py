@@ -50,3 +50,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkline.llm.quality_rules import quality_rules
 
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal texts of documents, and which row of them stays."""
+    from inkline.llm.exact_dedup import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op7_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
