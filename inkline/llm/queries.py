@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +66,28 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+def remainder(n: int) -> Column:
+    """crc32 of doc_id as text, mod n; null where doc_id is."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@register
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text of documents, learned from labels outside the held-out fifth."""
+    from inkline.llm import quality_classifier as Q
+
+    docs = table(spark, sf_dir, "documents")
+    model = Q.train(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
+    return Q.score(docs, model).withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False)))
+
+
+@register
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text of documents, learned outside the held-out third."""
+    from inkline.llm import language_id as L
+
+    docs = table(spark, sf_dir, "documents")
+    model = L.train(docs, remainder(3) != 1)
+    return L.identify(docs, model).withColumn("held_out", F.coalesce(remainder(3) == 1, F.lit(False)))
