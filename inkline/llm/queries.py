@@ -102,3 +102,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], turns.schema)
     return read_back(format_chat(turns.unionByName(extra)))
+
+
+@register
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose word 5-gram sets have a Jaccard similarity of 0.8 or more."""
+    from inkline.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
