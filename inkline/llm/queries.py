@@ -110,3 +110,16 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkline.llm.ngram_join import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: The key of the surrogates; a real run takes a secret one.
+PII_KEY = "corpus"
+
+
+@register
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of documents with its personal data replaced by surrogates."""
+    from inkline.llm.pii import anonymise
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return anonymise(docs, PII_KEY, count_col="n_entities")
