@@ -126,7 +126,7 @@ def pack(docs: DataFrame, vocab_file: str, window: int = 1024, end_id: int = 0,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, packer = from_json(vocab_file), Packer(window, max_open)
         sequence = TaskContext.get().partitionId() << 33
-        kinds = [id_type, *[pa.int64()] * 6]
+        kinds = [pa.int64()] * 7  # the first is the id's own
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal sequence
@@ -145,9 +145,8 @@ def pack(docs: DataFrame, vocab_file: str, window: int = 1024, end_id: int = 0,
                 columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*columns, *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else [])], [*COLUMNS, *["ids"] * with_ids])
 
-        id_type = pa.int64()
         for b in batches:
-            kinds[0] = id_type = b.column(0).type
+            kinds[0] = b.column(0).type
             for s in codec.slices(b.column(1)):
                 for doc, lo, hi in zip(b.column(0).slice(s.lo, s.hi - s.lo).to_pylist(), s.rows[:-1], s.rows[1:], strict=True):
                     packer.add(doc, np.append(s.ids[lo:hi], np.int32(end_id)))
