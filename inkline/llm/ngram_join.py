@@ -5,19 +5,23 @@
    so a prefix is a right shift.
 2. Texts with equal sets form a class, found by an aggregation with map-side
    combining; copies go no further than this.
-3. In each trie, classes meet that share a prefix.  The prefix starts at
-   ``LONG`` steps and is shortened as long as the target recall asks for it:
-   a pair of similarity s shares d steps of one of T tries with probability
-   1 - (1 - s^d)^T, and ``depth_for`` takes the deepest d that reaches the
-   target.  Where the shorter prefix holds few classes it is shortened on, to
-   ``SHORT`` steps; that only adds recall, and crowded places (a passage that
-   very many texts share) keep the long prefix.
-4. A crowd is dealt into blocks of ``BLOCK`` classes and each two blocks meet
-   in a join key of their own, so no key holds more than two blocks and no
-   class or pair is dropped.
-5. Distinct candidate pairs are verified exactly.  Pairs are gathered around
-   the smallest partner they see, so a class's set travels to one such cell
-   instead of once per pair; cells are split at ``BLOCK`` classes as well.
+3. In each trie, classes meet in a bucket that share a prefix.  The prefix
+   starts at ``LONG`` steps and is shortened as long as the target recall
+   asks for it: a pair of similarity s shares d steps of one of T tries with
+   probability 1 - (1 - s^d)^T, and ``depth_for`` takes the deepest d that
+   reaches the target.  Where the shorter prefix holds few classes it is
+   shortened on, to ``SHORT`` steps; that only adds recall, and crowded places
+   (a passage that very many texts share) keep the long prefix.
+4. Classes that buckets connect form a neighbourhood, found over one edge for
+   each class and bucket (to the bucket's smallest class), never over pairs.
+   A neighbourhood is dealt into blocks of ``BLOCK`` classes, and each two
+   blocks meet in a cell: a class's shingles travel to its cells only, a cell
+   holds two blocks at most, and no class is dropped.
+5. A cell compares the pairs that share a bucket, exactly, and returns a count
+   of links for each class and a spanning forest of its links, so rows grow
+   with the classes and not with the pairs of a crowd.  Each pair belongs to
+   one cell, so counts add up.  ``links`` lists the pairs where a caller wants
+   them.
 
 Recall at similarity 0.8 with 40 tries is 0.99992 for 7 steps and above
 0.9999999 for 5; above 0.8 it is higher.  What is returned is exact: every
@@ -47,8 +51,12 @@ from inkline.llm.shingles import LONG, SHORT, STEP_BITS, TREES, shingle_sets, tr
 
 SIMILARITY = 0.8
 RECALL = 0.9999
-#: A prefix with at most so many classes is short enough; also the size of a block of a crowd.
-BLOCK = 64
+#: A prefix with at most so many classes is short enough.
+FEW = 64
+#: Classes of a block; a cell holds two of them.
+BLOCK = 128
+#: Entries of a cell's incidence matrix; beyond, its pairs are compared one by one.
+MATRIX = 8 << 20
 #: Bytes of text whose shingles are held at once.
 SLICE = 2 << 20
 
@@ -99,109 +107,170 @@ def classes(rows: DataFrame) -> DataFrame:
     return written(sets.select(F.monotonically_increasing_id().alias("c"), "set_key", "n_shingles", "paths", "n_texts", F.col("first.id").alias("id"), F.col("first.doc_key").alias("doc_key")), "classes")
 
 
-def candidates(found: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """Distinct pairs a < b of classes that share a prefix and whose set sizes allow the similarity."""
+def buckets(found: DataFrame, similarity: float, recall: float) -> DataFrame:
+    """c, bucket, leader (the bucket's smallest class) of every bucket with two classes or more."""
     shift = lambda steps: F.shiftrightunsigned("path", STEP_BITS * (LONG - steps))
     deep = depth_for(similarity, recall)
-    entry = found.select("c", "n_shingles", F.posexplode("paths").alias("tree", "path"))
     prefixes = [f"p{d}" for d in range(SHORT, deep + 1)]
-    entry = entry.select("c", "n_shingles", "tree", *(shift(d).alias(f"p{d}") for d in range(SHORT, deep + 1)))
-    crowd = lambda k: Window.partitionBy("tree", *prefixes[:k + 1])  # noqa: E731  all are dealt by (tree, shortest prefix)
-    for k, p in enumerate(prefixes):
-        entry = entry.withColumn(f"n_{p}", F.count(F.lit(1)).over(crowd(k)))
+    entry = found.select("c", F.posexplode("paths").alias("tree", "path"))
+    entry = entry.select("c", "tree", *(shift(d).alias(f"p{d}") for d in range(SHORT, deep + 1)))
+    for k, p in enumerate(prefixes):  # windows on longer prefixes reuse the exchange on (tree, shortest prefix)
+        entry = entry.withColumn(f"n_{p}", F.count(F.lit(1)).over(Window.partitionBy("tree", *prefixes[:k + 1])))
         if k == 0:
             entry = entry.filter(f"n_{p} > 1")
     level, size = F.lit(len(prefixes) - 1), F.col(f"n_{prefixes[-1]}")
     for k in reversed(range(len(prefixes) - 1)):
-        fits = F.col(f"n_{prefixes[k]}") <= BLOCK
+        fits = F.col(f"n_{prefixes[k]}") <= FEW
         level, size = F.when(fits, F.lit(k)).otherwise(level), F.when(fits, F.col(f"n_{prefixes[k]}")).otherwise(size)
-    prefix = F.element_at(F.array(*prefixes), level + 1)
-    met = entry.select("c", "n_shingles", "tree", level.alias("level"), prefix.alias("prefix"), size.alias("size")).filter("size > 1")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    met = met.withColumn("blocks", blocks).withColumn("block", F.pmod(F.hash("c"), F.col("blocks")))
-    cell = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    key = ["tree", "level", "prefix", "low", "high"]
-    cell = cell.select("c", "n_shingles", "block", "tree", "level", "prefix", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    left = cell.filter("block = low").select(*key, F.col("c").alias("a"), F.col("n_shingles").alias("na"))
-    right = cell.filter("block = high").select(*key, F.col("c").alias("b"), F.col("n_shingles").alias("nb"))
-    apart = (F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))
-    close = F.least("na", "nb") >= F.greatest("na", "nb") * similarity - 1e-9
-    pairs = left.join(right, key).filter(apart & close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return written(pairs.distinct(), "candidates")
-
-
-def verify(docs: DataFrame, found: DataFrame, pairs: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """Links a < b with their exact Jaccard similarity."""
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lead = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("c"), F.least("a", "m").alias("m"))
-    side = lambda x: lead.select(F.col("c").alias(x), F.col("m").alias(f"lead_{x}"))
-    celled = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.least("lead_a", "lead_b").alias("cell"))
-    each = lambda x, *more: x.select(*more, F.explode(F.array("a", "b")).alias("c")).distinct()
-    parts = each(celled, "cell").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    part = lambda x: F.pmod(F.hash(x), F.col("parts"))
-    celled = written(celled.join(parts, "cell").select("a", "b", "cell", part("a").alias("i"), part("b").alias("j")), "cells")
-    needs = each(celled, "cell", "i", "j")
+    met = entry.withColumn("level", level).withColumn("size", size).filter("size > 1")
+    met = met.withColumn("prefix", F.element_at(F.array(*prefixes), F.col("level") + 1))
+    leader = F.min("c").over(Window.partitionBy("tree", prefixes[0], "level", "prefix"))
+    return written(met.select("c", F.xxhash64("tree", "level", "prefix").alias("bucket"), leader.alias("leader")), "buckets")
+
+
+def neighbourhoods(met: DataFrame) -> DataFrame:
+    """Per class: its buckets, its neighbourhood, block and number of blocks."""
+    near = components(met.filter("c <> leader").select(F.col("c").alias("u"), F.col("leader").alias("v")).distinct())
+    parts = near.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.hash("c"), F.col("blocks"))
+    return met.groupBy("c").agg(F.collect_list("bucket").alias("buckets")).join(near.withColumnRenamed("node", "c"), "c").join(parts, "root").withColumn("block", block)
+
+
+def linked_pairs(own: list[np.ndarray], shared: list[np.ndarray], block: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs i, j of a cell's classes that share a bucket and are similar, and their similarity.
+
+    If the classes are of two blocks, pairs are of one class of each; a block's own pairs have a cell of their own.
+    """
+    n = np.array([len(x) for x in own])
+    owner = np.repeat(np.arange(len(own)), [len(x) for x in shared])
+    order = np.argsort(np.concatenate(shared), kind="stable")
+    values, owner = np.concatenate(shared)[order], owner[order]
+    ask = np.zeros((len(own), len(own)), bool)
+    cuts = np.append(np.flatnonzero(np.append(True, values[1:] != values[:-1])), len(values))
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        if hi - lo > 1:
+            ask[np.ix_(owner[lo:hi], owner[lo:hi])] = True
+    ask &= np.minimum.outer(n, n) >= np.maximum.outer(n, n) * similarity - 1e-9
+    ask &= (block[:, None] < block[None]) if block.min() < block.max() else np.triu(np.ones_like(ask), 1)
+    i, j = np.nonzero(ask)
+    if not len(i):
+        return i, j, np.zeros(0)
+    names, place = np.unique(np.concatenate(own), return_inverse=True)
+    if len(names) * len(own) <= MATRIX and len(i) > len(own):
+        has = np.zeros((len(own), len(names)), np.float32)
+        has[np.repeat(np.arange(len(own)), n), place] = 1
+        both = (has @ has.T)[i, j].astype(np.int64)
+    else:
+        both = np.array([len(np.intersect1d(own[a], own[b], assume_unique=True)) for a, b in zip(i, j, strict=True)])
+    jaccard = both / (n[i] + n[j] - both)
+    good = jaccard >= similarity - 1e-12
+    return i[good], j[good], jaccard[good]
+
+
+def forest(i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what all of them connect."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        x, y = top(a), top(b)
+        if x != y:
+            root[x] = y
+            out.append((a, b))
+    return out
+
+
+def cells(docs: DataFrame, found: DataFrame, around: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row for each class and cell: the class's shingles and buckets, sorted by cell within partitions."""
+    wanted = found.select("c", "doc_key", "n_texts").join(around, "c")
+    texts = docs.select(document_keys(id_col, text_col)[0].alias("doc_key"), F.col(text_col).alias("text"))
+    rows = texts.join(wanted, "doc_key").select("root", "block", "blocks", "c", "n_texts", "buckets", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi in slices(b.column(1), SLICE):
-                s = shingle_sets(b.column(1).slice(lo, hi - lo))
+            for lo, hi in slices(b.column(6), SLICE):
+                s = shingle_sets(b.column(6).slice(lo, hi - lo))
                 own = [np.unique(s.hashes[x:z]).view(np.int64) for x, z in zip(s.rows[:-1], s.rows[1:], strict=True)]
                 ends = np.append(0, np.cumsum([len(x) for x in own])).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own)))], ["c", "own"])
+                yield pa.RecordBatch.from_arrays([*(b.column(k).slice(lo, hi - lo) for k in range(6)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own)))], ["root", "block", "blocks", "c", "n_texts", "buckets", "own"])
+
+    shipped = rows.mapInArrow(sets, "root long, block int, blocks int, c long, n_texts long, buckets array<long>, own array<long>")
+    shipped = shipped.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    shipped = shipped.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "c", "n_texts", "buckets", "own")
+    return shipped.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "c")
+
+
+def compared(dealt: DataFrame, similarity: float, pairs: bool) -> DataFrame:
+    """Of each cell: its links (a, b, jaccard), or per class the number of texts linked (a, NULL, number) and a spanning forest (a, b, NULL)."""
+
+    def result(held: list) -> list[tuple]:
+        if len(held) < 2:
+            return []
+        c = np.array([x[0] for x in held])
+        first = np.flatnonzero(np.append(True, c[1:] != c[:-1]))  # rows of one id and text come more than once
+        held, c = [held[k] for k in first], c[first]
+        i, j, jaccard = linked_pairs([x[4] for x in held], [x[3] for x in held], np.array([x[1] for x in held]), similarity)
+        if pairs:
+            return list(zip(np.minimum(c[i], c[j]).tolist(), np.maximum(c[i], c[j]).tolist(), jaccard.tolist(), strict=True))
+        texts = np.array([x[2] for x in held])
+        n = np.bincount(i, texts[j], len(held)) + np.bincount(j, texts[i], len(held))
+        return [(int(c[k]), None, n[k]) for k in np.flatnonzero(n)] + [(int(c[a]), int(c[b]), None) for a, b in forest(i, j)]
 
-    wanted = found.join(needs.select("c").distinct(), "c", "left_semi").select("c", "doc_key")
-    texts = docs.select(document_keys(id_col, text_col)[0].alias("doc_key"), F.col(text_col).alias("text"))
-    shipped = texts.join(wanted, "doc_key").select("c", "text").mapInArrow(sets, "c long, own array<long>").join(needs, "c")
-    rows = shipped.select("cell", "i", "j", F.lit(0).alias("kind"), F.col("c").alias("a"), F.lit(None).cast("long").alias("b"), "own")
-    rows = rows.unionByName(celled.select("cell", "i", "j", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("array<long>").alias("own")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["a", "b", "value"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, {}
         for b in batches:
-            cells = list(zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
-            kind, first, second, own = b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist(), b.column(6)
+            keys = list(zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
+            block, c, texts = (b.column(k).to_pylist() for k in range(3, 6))
             out = []
-            for k, cell in enumerate(cells):
-                if cell != at:
-                    at, held = cell, {}
-                if kind[k] == 0:
-                    held[first[k]] = own[k].values.to_numpy()
-                    continue
-                x, y = held[first[k]], held[second[k]]
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                jaccard = shared / (len(x) + len(y) - shared)
-                if jaccard >= similarity - 1e-12:
-                    out.append((first[k], second[k], jaccard))
-            columns = list(zip(*out, strict=True)) if out else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["a", "b", "jaccard"])
-
-    dealt = rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "kind")
-    return written(dealt.mapInArrow(compare, "a long, b long, jaccard double"), "links")
+            for k, key in enumerate(keys):
+                if key != at:
+                    out += result(held)
+                    at, held = key, []
+                # copies: the batch's own memory needn't stay
+                held.append((c[k], block[k], texts[k], b.column(6)[k].values.to_numpy().copy(), b.column(7)[k].values.to_numpy().copy()))
+            yield batch(out)
+        yield batch(result(held))
+
+    return dealt.mapInArrow(run, "a long, b long, value double")
 
 
 class Join(NamedTuple):
-    """``rows``: id, doc_key, set_key of each document; ``classes``: c, set_key, id (of its first document), n_texts, ...; ``links``: a < b, jaccard between classes."""
+    """``rows``: doc id, doc_key, set_key of each document; ``classes``: c, set_key, id (of its first document), n_texts, ...; ``cells``: what ``compared`` reads."""
 
     rows: DataFrame
     classes: DataFrame
-    links: DataFrame
+    cells: DataFrame
+    similarity: float
 
 
 def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> Join:
     rows = sketch(docs, id_col, text_col)
     found = classes(rows)
-    pairs = candidates(found.filter("n_shingles > 0"), similarity, recall)
-    return Join(rows, found, verify(docs, found, pairs, similarity, id_col, text_col))
+    around = neighbourhoods(buckets(found.filter("n_shingles > 0"), similarity, recall))
+    return Join(rows, found, cells(docs, found, around, id_col, text_col), similarity)
+
+
+def links(join: Join) -> DataFrame:
+    """Every link a < b between classes, with its Jaccard similarity.  Their number may grow with the square of a crowd."""
+    return compared(join.cells, join.similarity, True).withColumnRenamed("value", "jaccard")
 
 
 def groups(join: Join) -> DataFrame:
     """Per class: set_key, copy_id, class_id (smallest id of all that links connect), keep (document key of that one), n_links."""
-    links = join.links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    size = join.classes.select(F.col("c").alias("v"), "n_texts")
-    n = both.join(size, "v").groupBy(F.col("u").alias("c")).agg(F.sum("n_texts").alias("linked"))
-    every = join.classes.join(components(links).withColumnRenamed("node", "c"), "c", "left").join(n, "c", "left")
+    out = written(compared(join.cells, join.similarity, False), "links")
+    n = out.filter("b IS NULL").groupBy(F.col("a").alias("c")).agg(F.sum("value").cast("long").alias("linked"))
+    near = components(out.filter("b IS NOT NULL").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    every = join.classes.join(near.withColumnRenamed("node", "c"), "c", "left").join(n, "c", "left")
     every = every.select("set_key", "id", "n_texts", "doc_key", F.coalesce("root", "c").alias("root"), F.coalesce("linked", F.lit(0)).alias("linked"))
     first = every.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "doc_key")).alias("first"))
     return every.join(first, "root").select("set_key", F.col("id").alias("copy_id"), F.col("first.id").alias("class_id"), F.col("first.doc_key").alias("keep"), (F.col("linked") + F.col("n_texts") - 1).alias("n_links"))

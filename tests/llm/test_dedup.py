@@ -84,7 +84,9 @@ def copies():
     return docs
 
 
-def test_join_equals_brute_force(spark, copies):
+@pytest.mark.parametrize("size", [128, 16])
+def test_join_equals_brute_force(spark, copies, monkeypatch, size):
+    monkeypatch.setattr(ngram_join, "BLOCK", size)
     df = spark.createDataFrame(copies, "doc_id long, text string").repartition(3)
     n, root = brute(copies)
     text = dict(copies)
@@ -111,13 +113,28 @@ def test_links_are_exact(spark, copies):
     df = spark.createDataFrame(copies, "doc_id long, text string")
     join = ngram_join.jaccard_join(df)
     text, first = dict(copies), {r.c: r.id for r in join.classes.collect()}
-    links = join.links.collect()
+    links = ngram_join.links(join).collect()
     for r in links:
         a, b = shingles(text[first[r.a]]), shingles(text[first[r.b]])
         assert r.a < r.b and r.jaccard == pytest.approx(len(a & b) / len(a | b)) and r.jaccard >= 0.8
     assert len({(r.a, r.b) for r in links}) == len(links)
 
 
+def test_matrix_equals_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.choice(10**6, 200, replace=False)
+    own = [np.unique(np.append(rng.choice(base, int(rng.integers(150, 200)), replace=False), rng.integers(10**6, 10**7, 5))) for _ in range(40)]
+    shared, block = [np.array([k % 3, 7]) for k in range(40)], np.zeros(40, int)
+    fast = ngram_join.linked_pairs(own, shared, block, 0.8)
+    monkeypatch.setattr(ngram_join, "MATRIX", 0)
+    slow = ngram_join.linked_pairs(own, shared, block, 0.8)
+    assert len(fast[0]) and all((x == y).all() for x, y in zip(fast, slow, strict=True))
+    block[20:] = 1
+    i, j, _ = ngram_join.linked_pairs(own, shared, block, 0.8)
+    assert set(zip(i, j, strict=True)) == {(a, b) for a, b in zip(*slow[:2], strict=True) if a < 20 <= b}
+    assert sorted(ngram_join.forest(np.array([0, 1, 2, 5]), np.array([1, 2, 0, 6]))) == [(0, 1), (1, 2), (5, 6)]
+
+
 def test_depth_follows_recall():
     deep = ngram_join.depth_for(0.8, 0.9999)
     assert 1 - (1 - 0.8 ** deep) ** ngram_join.TREES >= 0.9999 > 1 - (1 - 0.8 ** (deep + 1)) ** ngram_join.TREES
