@@ -1,24 +1,25 @@
-"""HTML extraction as native Column expressions (no tree, no Python per row).
-
-A page's container is rewritten as one flat string in which ``\\x02`` opens a
-paragraph and ``\\x01`` marks a boundary between text parts.  Every step is a
-``regexp_replace`` in the regex subset Java and RE2 share, so the same
-patterns drive Spark and the DuckDB oracle and stay inside codegen.
+"""HTML extraction as native Column expressions (no Python per row).
 
 Semantics (see SURVEY §2.3):
 
-* only *direct* children in the keep-set contribute text; other child
-  elements are dropped with their text; ``<br>`` and other void tags split a
-  text node; parts are joined by a space and each paragraph is stripped;
-* a new ``<p>`` closes the previous one (HTML5), an unclosed inline tag ends
-  with its paragraph;
+* a container ends where its own element closes: opens and closes of its tag
+  are counted over the text pieces between them;
+* only *direct* children in the keep-set contribute text, and all of it, inner
+  elements included; other child elements go with all they hold; ``<br>`` and
+  other void tags between text nodes split them; parts are joined by a space
+  and each paragraph is stripped;
+* a new ``<p>`` closes the previous one (HTML5), an unclosed child ends with
+  its paragraph; paragraphs that are ``div`` elements may nest;
+* tags and attribute names match in either case, values in all three quoting
+  forms; a single class name matches one of an element's classes, several
+  match the whole attribute;
 * comments are removed (the reference leaks comment text by accident);
-* entities ``&lt; &gt; &quot; &#39; &nbsp;`` and finally ``&amp;`` are
-  decoded once, after tags are gone.
+* named HTML 4 entities and numeric ones are decoded once, after tags are gone.
+
+A container's paragraphs are rewritten as one string in which ``\\x02`` opens a
+paragraph and ``\\x01`` marks a boundary between text parts.
 
-Documented limits: attributes must use double quotes; nested elements of the
-same name inside a dropped element, and dropped elements nested inside a kept
-element, lose their text; unknown tags are stripped and keep their text.
+Documented limit: a ``>`` inside an attribute value ends the tag.
 """
 
 from __future__ import annotations
@@ -26,42 +27,18 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkline.functions.text import WS, clean_text, strip_ws
+from inkline.functions.text import WS, clean_text, let, strip_ws
 
 MARK = "\x01"   # boundary between text parts
 PSEP = "\x02"   # start of a paragraph
 PEND = "\x03"   # end of a paragraph
 
-# --- fixed values -----------------------------------------------------------
-# Entity decoding table; ``&amp;`` must stay last so ``&amp;lt;`` decodes once.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", "\u00a0"),
-    ("&amp;", "&"),
-)
-# --- end of fixed values ----------------------------------------------------
-
-# Inline elements that can sit inside a paragraph; those outside a keep-set
-# are removed with their content, one pattern per tag so that an element ends
-# at its own close tag.
-CONTENT_TAGS = (
-    "a", "b", "strong", "em", "i", "span", "u", "s", "small", "sub", "sup",
-    "mark", "code", "time", "font", "q", "cite", "abbr", "del", "ins", "label",
-)
-# Embedded elements never kept: removed together by one pattern (they do not
-# nest text that would survive anyway), which keeps the expression small.
-EMBEDDED_TAGS = (
-    "button", "script", "style", "iframe", "svg", "noscript", "figure",
-    "figcaption", "video", "audio", "picture", "object", "select", "textarea",
-)
-VOID_TAGS = ("br", "img", "hr", "input", "wbr", "source", "meta", "link")
+VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 CONTROL_RE = "[\x01-\x03]"
 COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
@@ -72,59 +49,102 @@ MARK_AROUND_PSEP_RE = f"{MARK}?{PSEP}{MARK}?"
 WS_AROUND_PSEP_RE = f"{WS}*{PSEP}{WS}*"
 OUTSIDE_RE = f"{PEND}[^{PSEP}]*"
 LEADING_RE = f"^[^{PSEP}]*"
+TEXT = f"[^{PSEP}{PEND}]"     # no element reaches over the edge of a paragraph
+VALUE_RE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def rx_escape(s: str) -> str:
-    """Escape regex metacharacters only (spaces stay literal, valid in Java and RE2)."""
+    """Escape regex metacharacters only (spaces stay literal)."""
     return re.sub(r"([.^$*+?{}\[\]\\|()])", r"\\\1", s)
 
 
 def open_tag_re(tag: str) -> str:
     """Opening tag of ``tag`` with any attributes (``<p>`` does not match ``<pre>``)."""
-    return f"<{tag}(?:[\\s/][^>]*)?>"
+    return f"(?i:<{tag}(?:[\\s/][^>]*)?>)"
 
 
 def close_tag_re(tag: str) -> str:
-    return f"</{tag}\\s*>"
+    return f"(?i:</{tag}\\s*>)"
+
+
+def attr_is(name: str, value: str) -> str:
+    """``name=value`` inside a tag, in any quoting form."""
+    v = rx_escape(value)
+    return f"(?i:\\s{name}\\s*=\\s*)(?:\"{v}\"|'{v}'|{v}(?=[\\s>]))"
+
+
+def class_exact_re(tag: str, cls: str) -> str:
+    """Opening tag whose class attribute is exactly ``cls`` (XPath ``@class="..."``)."""
+    return f"(?i:<{tag})(?=[^>]*{attr_is('class', cls)})\\s[^>]*>"
+
+
+def class_token_re(tag: str, token: str) -> str:
+    """Opening tag that has ``token`` among its classes (CSS ``tag.token``)."""
+    t = rx_escape(token)
+    return (f"(?i:<{tag})(?=[^>]*(?i:\\sclass\\s*=\\s*)(?:\"(?:[^\">]*\\s)?{t}(?:\\s[^\">]*)?\"|'(?:[^'>]*\\s)?{t}(?:\\s[^'>]*)?'"
+            f"|{t}(?=[\\s>])))\\s[^>]*>")
 
 
 def class_open_re(tag: str, cls: str) -> str:
-    """Opening tag whose class attribute is exactly ``cls`` (bs4 rule for multi-token classes)."""
-    return f'<{tag}\\s[^>]*class="{rx_escape(cls)}"[^>]*>'
+    """``find(tag, class_=cls)``: one name matches a class of the element, several the whole attribute."""
+    return class_exact_re(tag, cls) if re.search(r"\s", cls) else class_token_re(tag, cls)
 
 
 def id_open_re(tag: str, ident: str) -> str:
-    return f'<{tag}\\s[^>]*id="{rx_escape(ident)}"[^>]*>'
+    return f"(?i:<{tag})(?=[^>]*{attr_is('id', ident)})\\s[^>]*>"
 
 
-def drop_element_re(tag: str) -> str:
-    """Element with its content, ended by its close tag, a paragraph edge or the end."""
-    return f"(?s){open_tag_re(tag)}[^{PSEP}{PEND}]*?(?:{close_tag_re(tag)}|\\z|([{PSEP}{PEND}]))"
+def _names(tags: Sequence[str]) -> str:
+    return "(?:" + "|".join(tags) + ")"
 
 
-VOID_RE = "<(?:" + "|".join(VOID_TAGS) + r")(?:[\s/][^>]*)?>"
+VOID_RE = f"(?i)<{_names(VOID_TAGS)}(?:[\\s/][^>]*)?>"
+
+
+def inner_tags_re(tag: str) -> str:
+    """Each tag inside an element ``tag``: a match starts at its opening tag or goes on where the last one ended."""
+    return f"(?i)(?:(<{tag}(?:[\\s/][^>]*)?>)|(?!\\A)\\G)([^<{PSEP}{PEND}]*)<(?!/?{tag}[\\s/>])[^>]*>"
+
+
+def child_re(keep: Sequence[str]) -> str:
+    """An element that is not kept, closed and without one of its own name inside."""
+    stay = _names((*keep, *VOID_TAGS, "p"))
+    return f"(?i)<(?!{stay}[\\s/>])([a-z][\\w:-]*)(?:[\\s/][^>]*)?>(?:(?!</?\\1[\\s/>]){TEXT})*+</\\1\\s*>"
+
+
+def open_child_re(keep: Sequence[str]) -> str:
+    """An element that is not kept and never closed: it ends with its paragraph."""
+    stay = _names((*keep, *VOID_TAGS, "p"))
+    return f"(?i)<(?!{stay}[\\s/>])[a-z][\\w:-]*(?:[\\s/][^>]*)?>{TEXT}*+"
 
 
 def kept_tags_re(keep: Sequence[str]) -> str:
     """Open/close tags of kept children plus void tags: all become part boundaries."""
-    alt = "|".join(keep)
-    return f"<(?:{alt})(?:[\\s/][^>]*)?>|</(?:{alt})\\s*>|{VOID_RE}"
+    return f"(?i)</?{_names((*keep, *VOID_TAGS))}(?:[\\s/][^>]*)?>"
 
 
-def dropped_tags(keep: Sequence[str]) -> tuple[str, ...]:
-    return tuple(t for t in CONTENT_TAGS if t not in keep)
+#: Elements of one name may nest this deep inside a child that is dropped; deeper ones leave their outer text.
+NESTED = 3
 
 
-def drop_patterns(keep: Sequence[str]) -> list[str]:
-    """Patterns removing non-kept children with their content."""
-    group = "(?:" + "|".join(EMBEDDED_TAGS) + ")"
-    return [drop_element_re(t) for t in dropped_tags(keep)] + [drop_element_re(group)]
+ENTITY_RE = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,8});"
 
 
 def decode_entities(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """Named HTML 4 and numeric entities, each decoded once (``&amp;lt;`` gives ``&lt;``); others stay."""
+    table = F.create_map(*(F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))), F.lit("apos"), F.lit("'"))
+
+    def one(piece: Column) -> Column:
+        name = F.regexp_extract(piece, ENTITY_RE, 1)
+        hexa = F.lower(F.substring(name, 2, 1)) == "x"
+        code = F.when(hexa, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 8)).cast("int")
+        good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        found = F.when(name.startswith("#"), char).otherwise(F.element_at(table, name))
+        return F.coalesce(F.concat(found, F.substring(piece, F.length(name) + 3, 1 << 30)), piece)
+
+    pieces = F.split(c, "(?=&#?[A-Za-z0-9]{1,9};)")
+    return F.array_join(F.transform(pieces, lambda p: F.when(p.startswith("&"), one(p)).otherwise(p)), "")
 
 
 def nullif_empty(c: Column) -> Column:
@@ -133,67 +153,100 @@ def nullif_empty(c: Column) -> Column:
 
 # ---------------------------------------------------------------- regions ---
 
-def first_block(html: Column, open_re: str, end_re: str) -> Column:
-    """Text between the first match of ``open_re`` and the next ``end_re``.
+def _delta(piece: Column, tag: str) -> Column:
+    return F.when(piece.rlike(f"(?i)^<{tag}[\\s/>]"), 1).when(piece.rlike(f"(?i)^</{tag}[\\s/>]"), -1).otherwise(0)
 
-    NULL when the opening tag is absent; to the end of the page when the end
-    marker is missing.
-    """
-    pat = f"(?s){open_re}(.*?)(?:{end_re}|\\z)"
-    found = F.regexp_like(html, F.lit(f"(?s){open_re}"))
-    return F.when(found, F.regexp_extract(html, pat, 1))
 
+def until_closed(rest: Column, tag: str) -> Column:
+    """The inner HTML of an element whose opening tag ends where ``rest`` begins; all of it if it is never closed."""
+    def inner(r: Column) -> Column:
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(-1).alias("end"))
 
-def all_blocks(html: Column, open_re: str, end_re: str) -> Column:
-    """Inner HTML of every ``open_re ... end_re`` block, in document order."""
-    return F.regexp_extract_all(html, F.lit(f"(?s){open_re}(.*?){end_re}"), F.lit(1))
+        def step(s: Column, piece: Column) -> Column:
+            depth = s["depth"] + _delta(piece, tag)
+            open_ = s["end"] < 0
+            return F.struct(F.when(open_, depth).otherwise(s["depth"]).alias("depth"),
+                            (s["at"] + F.length(piece)).alias("at"),
+                            F.when(open_ & (depth == 0), s["at"]).otherwise(s["end"]).alias("end"))
 
+        end = F.aggregate(F.split(r, f"(?i)(?=</?{tag}[\\s/>])"), start, step, lambda s: F.when(s["end"] < 0, s["at"]).otherwise(s["end"]))
+        return F.substring(r, F.lit(1), end)
 
-def block_after_key(html: Column, tag: str, class_prefix: str, key: Column, end_re: str) -> Column:
-    """E8 with a class computed from another column, e.g. ``banners-contenido-nota-{id}``.
+    return let(rest, inner)
 
-    Located with ``instr`` on the concatenated attribute, no per-row regex.
-    """
-    needle = F.concat(F.lit(f'class="{class_prefix}'), key, F.lit('"'))
-    pos = F.instr(html, needle)
-    rest = F.substring(html, pos, F.length(html))
-    body = F.regexp_extract(rest, f"(?s)^[^>]*>(.*?)(?:{end_re}|\\z)", 1)
-    return F.when(key.isNotNull() & (pos > 0), body)
 
+def first_block(html: Column, open_re: str, tag: str) -> Column:
+    """Inner HTML of the first element whose opening tag matches; NULL when there is none."""
+    found = F.regexp_like(html, F.lit(open_re))
+    return F.when(found, until_closed(F.regexp_extract(html, f"(?s){open_re}(.*)\\z", 1), tag))
+
+
+def all_blocks(html: Column, tag: str) -> Column:
+    """Inner HTML of every closed ``tag`` element (they don't nest), in document order."""
+    return F.regexp_extract_all(html, F.lit(f"(?s){open_tag_re(tag)}(.*?){close_tag_re(tag)}"), F.lit(1))
+
+
+def block_after_key(html: Column, tag: str, class_prefix: str, key: Column) -> Column:
+    """E8 with a class computed from another column, e.g. ``banners-contenido-nota-{id}``."""
+    tags = F.regexp_extract_all(html, F.lit(f"(?i)<{tag}\\s[^>]*>"), F.lit(0))
+    name = F.concat(F.lit(class_prefix), key)
+    opened = F.get(F.filter(tags, lambda t: F.array_contains(F.split(F.coalesce(attr_value(t, "class"), F.lit("")), r"\s+"), name)), 0)
+    rest = F.substring(html, F.instr(html, opened) + F.length(opened), F.length(html))
+    return F.when(opened.isNotNull(), until_closed(rest, tag))
 
-# ------------------------------------------------------------- attributes ---
 
-def tag_attr_pattern(tag: str, attr: str, where: str | None = None) -> str:
-    """Regex of the first ``<tag>`` carrying ``where`` (or, without it, ``attr``)."""
-    need = where if where else f'{attr}\\s*=\\s*"[^"]*"'
-    return f"<{tag}\\s(?:[^>]*\\s)?{need}[^>]*>"
+def nested_blocks(container: Column, tag: str) -> Column:
+    """For each ``tag`` element, in document order, its content without that of ``tag`` elements inside it (a MARK instead)."""
+    start = F.struct(F.array().cast("array<int>").alias("stack"), F.lit(0).alias("n"), F.array().cast("array<struct<own:int,html:string>>").alias("out"))
 
+    def step(s: Column, piece: Column) -> Column:
+        opens, closes = _delta(piece, tag) == 1, _delta(piece, tag) == -1
+        n = s["n"] + F.when(opens, 1).otherwise(0)
+        size = F.size(s["stack"])
+        stack = F.when(opens, F.array_append(s["stack"], n)).when(closes & (size > 0), F.slice(s["stack"], F.lit(1), F.greatest(size - 1, F.lit(0)))).otherwise(s["stack"])
+        own = F.when(F.size(stack) > 0, F.element_at(stack, -1))
+        text = F.regexp_replace(piece, f"(?i)^</?{tag}(?:[\\s/][^>]*)?>", "")
+        return F.struct(stack.alias("stack"), n.alias("n"), F.when(own.isNull(), s["out"]).otherwise(F.array_append(s["out"], F.struct(own.alias("own"), text.alias("html")))).alias("out"))
 
-def attr_value_pattern(attr: str) -> str:
-    return f'\\s{attr}\\s*=\\s*"([^"]*)"'
+    def blocks(s: Column) -> Column:
+        numbers = F.when(s["n"] > 0, F.sequence(F.lit(1), s["n"])).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda i: F.array_join(F.transform(F.filter(s["out"], lambda x: x["own"] == i), lambda x: x["html"]), MARK))
+
+    return F.aggregate(F.split(container, f"(?i)(?=</?{tag}[\\s/>])"), start, step, blocks)
+
+
+# ------------------------------------------------------------- attributes ---
+
+def attr_value(tag_text: Column, attr: str) -> Column:
+    """Raw value of an attribute in the text of a tag; NULL without it."""
+    pattern = f"(?i)\\s{attr}\\s*=\\s*{VALUE_RE}"
+    raw = F.regexp_extract(tag_text, pattern, 1)
+    return F.when(F.regexp_like(tag_text, F.lit(pattern)), F.regexp_replace(raw, "^[\"']|[\"']\\z", ""))
 
 
 def tag_attr(html: Column, tag: str, attr: str, where: str | None = None) -> Column:
     """Attribute ``attr`` of the first ``<tag>`` that has it.
 
-    ``where`` is an extra ``name="value"`` the tag must carry.  The tag is
-    found first and the attribute read second, so attribute order is free.
-    NULL when there is no such tag or attribute.
+    ``where`` is a pattern the tag must match (``attr_is``, or an opening-tag
+    pattern).  The tag is found first and the attribute read second, so
+    attribute order is free.  NULL when there is no such tag or attribute.
     """
-    tag_txt = F.regexp_extract(html, tag_attr_pattern(tag, attr, where), 0)
-    has = F.regexp_like(tag_txt, F.lit(attr_value_pattern(attr)))
-    return F.when(has, decode_entities(F.regexp_extract(tag_txt, attr_value_pattern(attr), 1)))
+    if where is None:
+        pattern = f"(?i:<{tag})(?=[^>]*(?i:\\s{attr}\\s*=))\\s[^>]*>"
+    else:
+        pattern = where if where.startswith("(?i:<") else f"(?i:<{tag})(?=[^>]*{where})\\s[^>]*>"
+    return decode_entities(attr_value(F.regexp_extract(html, pattern, 0), attr))
 
 
 def meta_content(html: Column, prop: str, key: str = "property") -> Column:
     """E5: ``content`` of ``<meta {key}="{prop}">``."""
-    return tag_attr(html, "meta", "content", where=f'{key}="{rx_escape(prop)}"')
+    return tag_attr(html, "meta", "content", where=attr_is(key, prop))
 
 
 def jsonld_field(html: Column, path: str) -> Column:
     """A field of the first JSON-LD script block."""
     script = F.regexp_extract(
-        html, r'(?s)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script\s*>', 1)
+        html, f"(?is)<script(?=[^>]*{attr_is('type', 'application/ld+json')})\\s[^>]*>(.*?)</script\\s*>", 1)
     return F.get_json_object(nullif_empty(script), path)
 
 
@@ -204,8 +257,9 @@ class ParagraphSpec:
     """How a container splits into paragraphs and which children keep text."""
 
     tag: str = "p"
-    cls: str | None = None          # exact class string of selected paragraphs
+    cls: str | None = None          # class of selected paragraphs
     keep: tuple[str, ...] = ("a", "strong")
+    nested: bool = False            # paragraph elements may lie inside each other
 
 
 def _prepare(c: Column) -> Column:
@@ -215,9 +269,12 @@ def _prepare(c: Column) -> Column:
 
 def _parts(x: Column, keep: Sequence[str]) -> Column:
     """Turn markup into MARK-separated text parts (direct-child semantics)."""
-    for pat in drop_patterns(keep):
-        x = F.regexp_replace(x, pat, MARK + "$1")
-    x = F.regexp_replace(x, kept_tags_re(keep) if keep else VOID_RE, MARK)
+    for tag in keep:  # a kept child has all its text: only the tags inside it go
+        x = F.regexp_replace(x, inner_tags_re(tag), "$1$2")
+    for _ in range(NESTED):
+        x = F.regexp_replace(x, child_re(keep), MARK)
+    x = F.regexp_replace(x, open_child_re(keep), MARK)
+    x = F.regexp_replace(x, kept_tags_re(keep), MARK)
     x = F.regexp_replace(x, ANY_TAG_RE, "")
     return decode_entities(x)
 
@@ -244,6 +301,11 @@ def paragraph_stream(container: Column, spec: ParagraphSpec = ParagraphSpec()) -
 
 def paragraphs(container: Column, spec: ParagraphSpec = ParagraphSpec()) -> Column:
     """E9 as an array of paragraph texts (empty array when there is none)."""
+    if spec.nested:
+        def text(block: Column) -> Column:
+            x = F.regexp_replace(_parts(block, spec.keep), MARK_RUN_RE, MARK)
+            return strip_ws(F.replace(F.regexp_replace(x, MARK_EDGE_RE, ""), F.lit(MARK), F.lit(" ")))
+        return F.transform(nested_blocks(_prepare(container), spec.tag), text)
     s = paragraph_stream(container, spec)
     return F.when(s == "", F.array().cast("array<string>")).otherwise(
         F.split(F.regexp_replace(s, f"^{PSEP}", ""), PSEP))
@@ -256,8 +318,12 @@ def body_text(container: Column, spec: ParagraphSpec = ParagraphSpec(),
     ``glued`` reproduces the newline join that ``clean_text`` then deletes, so
     the last word of a paragraph touches the first of the next.
     """
-    s = F.regexp_replace(paragraph_stream(container, spec), f"^{PSEP}", "")
-    s = F.replace(s, F.lit(PSEP), F.lit(" " if join == "space" else ""))
+    between = " " if join == "space" else ""
+    if spec.nested:
+        s = F.array_join(paragraphs(container, spec), between)
+    else:
+        s = F.regexp_replace(paragraph_stream(container, spec), f"^{PSEP}", "")
+        s = F.replace(s, F.lit(PSEP), F.lit(between))
     return clean_text(s) if clean else strip_ws(s)
 
 
@@ -283,13 +349,13 @@ def all_text(inner: Column) -> Column:
 
 def h1_title(html: Column) -> Column:
     """All ``//h1/text()`` nodes concatenated, then ``clean_text``."""
-    inner = F.array_join(all_blocks(html, open_tag_re("h1"), close_tag_re("h1")), MARK)
+    inner = F.array_join(all_blocks(html, "h1"), MARK)
     return clean_text(own_text(inner))
 
 
 def h1_title_strict(html: Column) -> Column:
     """First text node of the first ``h1``; NULL means the row is rejected."""
-    inner = F.get(all_blocks(html, open_tag_re("h1"), close_tag_re("h1")), 0)
+    inner = F.get(all_blocks(html, "h1"), 0)
     return first_own_text(inner)
 
 
@@ -309,4 +375,4 @@ def extract_content(container: Column, tag: str = "p") -> Column:
 
 def remove_first(html: Column, tag: str) -> Column:
     """Delete the first ``<tag>…</tag>`` element of the page."""
-    return F.regexp_replace(html, f"(?s)^(.*?){open_tag_re(tag)}.*?{close_tag_re(tag)}", "$1")
+    return F.regexp_replace(html, f"(?s)\\A(.*?){open_tag_re(tag)}.*?{close_tag_re(tag)}", "$1")

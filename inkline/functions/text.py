@@ -7,7 +7,7 @@ whitespace classes), so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -92,6 +92,11 @@ COLON_COMMA_END_RE = r"([:,])\z"
 FINAL_DOT_RE = rf"\.({WS}|\z)"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def strip_ws(c: Column) -> Column:
     """Python ``str.strip()``: trim every Unicode whitespace at both ends."""
     return F.regexp_replace(c, STRIP_RE, "")
@@ -125,10 +130,10 @@ def alpha_tokens(c: Column) -> Column:
 
 def remove_stopwords(words: Column, stopwords: Iterable[str] = DEFAULT_STOPWORDS) -> Column:
     """Drop stopwords, keeping duplicates and order (not array_except)."""
-    stop = F.array(*[F.lit(w) for w in stopwords]) if stopwords else None
-    if stop is None:
+    listed = list(stopwords or ())
+    if not listed:
         return words
-    return F.filter(words, lambda w: ~F.array_contains(stop, w))
+    return F.filter(words, lambda w: ~w.isin(*listed))  # a set test, also for long lists
 
 
 def normalize_text(c: Column, stopwords: Iterable[str] = DEFAULT_STOPWORDS) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkline.functions.text import strip_ws
+from inkline.functions.text import let, strip_ws
 
 SCHEME_RE = r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"
 ORIGIN_RE = r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)"
@@ -29,28 +29,41 @@ def resolve(base: Column, href: Column) -> Column:
     """Make ``href`` absolute against the page URL ``base``.
 
     Handles ``scheme:``, ``//host/x``, ``/x``, ``?q``, ``#f``, ``''`` and
-    relative paths (against the base directory).  Dot segments are kept as
-    written (documented limit).
+    relative paths (against the base directory); ``.`` and ``..`` segments are
+    resolved (RFC 3986, 5.2.4).
     """
-    h = strip_ws(href)
-    origin = F.regexp_extract(base, ORIGIN_RE, 1)
+    return let(strip_ws(href), lambda h: let(_against(base, h), without_dots))
+
+
+def _against(base: Column, h: Column) -> Column:
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*):", 1)
-    no_frag = F.regexp_extract(base, NO_FRAGMENT_RE, 1)
-    no_query = F.regexp_extract(base, NO_QUERY_RE, 1)
     base_dir = F.regexp_extract(base, DIR_RE, 1)
-    base_dir = F.when(base_dir.endswith("/"), base_dir).otherwise(F.concat(base_dir, F.lit("/")))
+    no_frag = F.regexp_extract(base, NO_FRAGMENT_RE, 1)
     return (
         F.when(h.isNull(), F.lit(None))
         .when(h.rlike(SCHEME_RE), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
-        .when(h.startswith("?"), F.concat(no_query, h))
+        .when(h.startswith("/"), F.concat(F.regexp_extract(base, ORIGIN_RE, 1), h))
+        .when(h.startswith("?"), F.concat(F.regexp_extract(base, NO_QUERY_RE, 1), h))
         .when(h.startswith("#"), F.concat(no_frag, h))
         .when(h == "", no_frag)
-        .otherwise(F.concat(base_dir, h))
+        .otherwise(F.concat(F.regexp_replace(base_dir, "([^/])\\z", "$1/"), h))
     )
 
 
+def without_dots(url: Column) -> Column:
+    """The URL with ``.`` and ``..`` segments of its path resolved."""
+    dotted = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*(?:/[^?#]*)?/\.{1,2}(?:[/?#]|\z)"
+    path = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
+    tail = F.regexp_extract(url, r"^[^?#]*(.*)\z", 1)
+    kept = F.aggregate(
+        F.slice(F.split(path, "/"), F.lit(2), F.lit(1 << 30)), F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.array_append(acc, x)),
+        lambda acc: F.when(F.size(acc) > 0, F.concat(F.lit("/"), F.array_join(acc, "/"))).otherwise(F.lit("")))
+    ends = F.when(path.rlike(r"/\.{1,2}\z"), F.lit("/")).otherwise(F.lit(""))
+    return F.when(url.rlike(dotted), F.concat(F.regexp_extract(url, ORIGIN_RE, 1), kept, ends, tail)).otherwise(url)
+
+
 def is_http(url: Column) -> Column:
     return url.rlike(HTTP_RE)
 

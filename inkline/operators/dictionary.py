@@ -3,44 +3,29 @@
 Case- and accent-sensitive, no word boundary, results in dictionary order,
 joined by ``', '`` (``''`` when nothing matches).
 
-Two strategies, same result:
-
-* **inline** - for dictionaries up to ``MAX_INLINE_TERMS`` terms (the
-  reference's place list has a few hundred).  The terms are read with a
-  bounded fetch (at most ``MAX_INLINE_TERMS + 1`` rows ever reach the
-  driver) and compiled into one ``array_compact(array(CASE WHEN instr…))``
-  expression: a single codegen'd projection, no shuffle, no join.
-* **n-gram join** - for any size.  With ``q <= (shortest term + 1) / 2``,
-  every occurrence of a term covers one q-gram of the text that starts at a
-  multiple of ``q``.  Texts emit those aligned grams (``len / q`` rows each),
-  terms emit their ``q`` grams at offsets ``0..q-1``; an equi-join on the
-  gram gives candidate start positions, verified exactly with ``substring``.
-  AQE splits hot grams (skew join) and broadcasts the term side when it is
-  small.  Exact: no term is capped or skipped.
+One strategy for a dictionary of any size: an equi-join on grams.  Terms fall
+into classes by length (1, 2-3, 4-7, 8-15, ...), each with its own gram length
+g and stride s = shortest + 1 - g, so that every occurrence of a term covers
+a gram of the text that starts at a multiple of s.  Texts emit those grams
+together with the window around them that a term of the class can reach, so a
+candidate is verified where it is found and no text is joined back.  Terms
+emit a gram for each of the s offsets.  AQE broadcasts the term side if it
+measures it as small, and splits hot grams otherwise.  No term is capped.
+
+Matches belong to a text, not to an id, so equal or NULL ids don't matter:
+each row gets the matches of its own text.
+
+``match_inline`` is the projection for a list of terms that the caller holds
+anyway (a source's place names); it gives the same answer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_INLINE_TERMS = 2000
-MAX_GRAM = 32
-
-
-class DictionaryTooLarge(ValueError):
-    pass
-
-
-def fetch_terms(dictionary: DataFrame, term: str = "term", order: str = "ord",
-                max_terms: int = MAX_INLINE_TERMS) -> list[str]:
-    """Bounded read of a small dictionary, in dictionary order."""
-    rows = (dictionary.select(order, term).filter(F.col(term).isNotNull())
-            .orderBy(order).limit(max_terms + 1).collect())
-    if len(rows) > max_terms:
-        raise DictionaryTooLarge(f"more than {max_terms} terms; use the join strategy")
-    return [r[1] for r in rows]
-
 
 def match_inline(text: Column, terms: list[str]) -> Column:
     """Matched terms in dictionary order, as an array (empty terms never match)."""
@@ -56,56 +41,74 @@ def join_matches(matched: Column) -> Column:
     return F.array_join(F.coalesce(matched, F.array().cast("array<string>")), ", ")
 
 
-def match_pairs(docs: DataFrame, dictionary: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                term: str = "term", order: str = "ord", q: int | None = None) -> DataFrame:
-    """Exact ``(doc_id, ord, term)`` pairs by an aligned q-gram equi-join."""
+def gram_and_stride(shortest: int) -> tuple[int, int]:
+    """Gram length and stride for terms of ``shortest`` characters or more."""
+    g = max(min(shortest, 4), shortest // 2)
+    return g, shortest - g + 1
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
+#: Texts are cut into chunks of so many characters before grams are taken: a position in a string is found by counting from its start.
+CHUNK = 512
+
+
+def _window(k: int, g: int, s: int, most: int) -> Callable[[Column], Column]:
+    """The gram at a place of a chunk, and the part of the text that a term of the class can reach from there."""
+
+    def at(q: Column) -> Column:
+        before = F.least(F.col("start") + q, F.lit(s - 1))
+        here = q + F.col("margin")
+        return F.struct(F.lit(k).alias("k"), F.substring("piece", here + 1, F.lit(g)).alias("gram"), before.alias("before"),
+                        F.substring("piece", here - before + 1, before + most).alias("window"))
+
+    return at
+
+
+def text_matches(texts: DataFrame, dictionary: DataFrame, text: str = "text", term: str = "term", order: str = "ord") -> DataFrame:
+    """Distinct (text_key, ord, term): which terms each text holds."""
     terms = (dictionary.select(F.col(order).alias("ord"), F.col(term).alias("term"))
              .filter(F.col("term").isNotNull() & (F.length("term") > 0))
-             .withColumn("m", F.length("term")))
-    if q is None:
-        shortest = terms.agg(F.min("m")).first()[0]
-        if shortest is None:
-            return docs.sparkSession.createDataFrame([], f"{doc_id} bigint, ord bigint, term string")
-        q = max(1, min(MAX_GRAM, (int(shortest) + 1) // 2))
-    anchors = terms.select(
-        "ord", "term", "m",
-        F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(q - 1)),
-                                 lambda off: F.substring("term", off + 1, q))).alias("off", "gram"))
-    n = F.length(text)
-    starts = F.when(n >= q, F.sequence(F.lit(0), n - q, F.lit(q))).otherwise(
-        F.array().cast("array<int>"))
-    grams = docs.select(
-        F.col(doc_id).alias("_doc"),
-        F.posexplode(F.transform(starts, lambda p: F.substring(F.col(text), p + 1, q))).alias("slot", "gram"))
-    cands = (grams.join(anchors, "gram")
-             .select("_doc", "ord", "term", "m", (F.col("slot") * q - F.col("off")).alias("s"))
-             .filter(F.col("s") >= 0))
-    # The text side is never broadcast (it grows with the data): a sort-merge
-    # join on the key, which reuses a key partitioning the texts already have.
-    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).hint("merge")
-    verified = (cands.join(texts, "_doc")
-                .filter(F.substring(F.col("_text"), F.col("s") + 1, F.col("m")) == F.col("term"))
-                .select(F.col("_doc").alias(doc_id), "ord", "term")
-                .dropDuplicates([doc_id, "ord"]))
-    return verified
-
-
-def match_by_join(docs: DataFrame, dictionary: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                  term: str = "term", order: str = "ord", out: str = "matches") -> DataFrame:
-    """T1 + T1b on the join strategy: one row per document, matches joined by ', '."""
-    pairs = match_pairs(docs, dictionary, doc_id, text, term, order)
-    per_doc = pairs.groupBy(doc_id).agg(
-        F.array_sort(F.collect_list(F.struct("ord", "term"))).alias("_m"))
-    return (docs.select(doc_id).join(per_doc, doc_id, "left")
+             .withColumn("m", F.length("term")).withColumn("k", F.floor(F.log2(F.col("m") + F.lit(0.5))).cast("int")))
+    longest = {r["k"]: r["m"] for r in terms.groupBy("k").agg(F.max("m").alias("m")).collect()}  # a row per length class
+    spark = texts.sparkSession
+    if not longest:
+        return spark.createDataFrame([], f"text_key binary, ord {terms.schema['ord'].dataType.simpleString()}, term string")
+    shapes = {k: gram_and_stride(1 << k) for k in longest}
+    reach, back = max(longest.values()), max(s for _, s in shapes.values())
+    body = F.col(text)
+    starts = F.when(F.length(body) > 0, F.sequence(F.lit(0), F.length(body) - 1, F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+    chunk = F.transform(starts, lambda c: F.struct(c.alias("start"), F.least(c, F.lit(back)).alias("margin"),
+                                                   F.substring(body, c - F.least(c, F.lit(back)) + 1, F.least(c, F.lit(back)) + CHUNK + reach).alias("piece")))
+    pieces = texts.select(text_key(body).alias("text_key"), F.length(body).alias("n"), F.explode(chunk).alias("x")).select("text_key", "n", "x.*")
+    parts, stride, gram = [], None, None
+    for k, most in sorted(longest.items()):
+        g, s = shapes[k]
+        first, last = F.pmod(-F.col("start"), F.lit(s)), F.least(F.lit(CHUNK - 1), F.col("n") - g - F.col("start"))
+        places = F.when(last >= first, F.sequence(first, last, F.lit(s))).otherwise(F.array().cast("array<int>"))
+        parts.append(F.transform(places, _window(k, g, s, most)))
+        is_k = F.col("k") == k
+        stride = F.when(is_k, s) if stride is None else stride.when(is_k, s)
+        gram = F.when(is_k, g) if gram is None else gram.when(is_k, g)
+    grams = pieces.select("text_key", F.explode(F.concat(*parts)).alias("x")).select("text_key", "x.*")
+    anchors = terms.withColumn("s", stride).withColumn("g", gram).withColumn("off", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+    anchors = anchors.select("k", F.substring("term", F.col("off") + 1, F.col("g")).alias("gram"), "ord", "term", "m", "off")
+    return (grams.join(anchors, ["k", "gram"])
+            .filter((F.col("off") <= F.col("before")) & (F.substring("window", F.col("before") - F.col("off") + 1, F.col("m")) == F.col("term")))
+            .select("text_key", "ord", "term").distinct())
+
+
+def match_pairs(docs: DataFrame, dictionary: DataFrame, doc_id: str = "doc_id", text: str = "text", term: str = "term", order: str = "ord") -> DataFrame:
+    """(doc_id, ord, term) for every row of ``docs`` and every term that its text holds."""
+    found = text_matches(docs, dictionary, text, term, order)
+    return docs.select(F.col(doc_id), text_key(F.col(text)).alias("text_key")).join(found, "text_key").select(doc_id, "ord", "term")
+
+
+def match_by_join(docs: DataFrame, dictionary: DataFrame, doc_id: str = "doc_id", text: str = "text", term: str = "term", order: str = "ord", out: str = "matches") -> DataFrame:
+    """T1 + T1b: one row per row of ``docs``: its id and its matches joined by ', '."""
+    found = text_matches(docs, dictionary, text, term, order)
+    per_text = found.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("ord", "term"))).alias("_m"))
+    return (docs.select(F.col(doc_id), text_key(F.col(text)).alias("text_key")).join(per_text, "text_key", "left")
             .select(doc_id, join_matches(F.transform("_m", lambda s: s["term"])).alias(out)))
-
-
-def match_column(docs: DataFrame, dictionary: DataFrame, text: str = "text", term: str = "term",
-                 order: str = "ord", out: str = "matches", doc_id: str = "doc_id") -> DataFrame:
-    """T1 with the strategy chosen by dictionary size (inline up to MAX_INLINE_TERMS)."""
-    try:
-        terms = fetch_terms(dictionary, term, order)
-    except DictionaryTooLarge:
-        joined = match_by_join(docs, dictionary, doc_id, text, term, order, out)
-        return docs.join(joined, doc_id, "left")
-    return docs.withColumn(out, join_matches(match_inline(F.col(text), terms)))

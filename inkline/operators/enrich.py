@@ -1,7 +1,7 @@
 """Pluggable scorers that need Python on executors.
 
 The classifier runs last in the plan, after every filter (filters never move
-below ``mapInPandas``), on Arrow batches: the user's ``classify_batch`` gets a
+below a Python UDF), on Arrow batches: the user's ``classify_batch`` gets a
 list of texts and returns one answer (or None) per text.  The answer is then
 parsed natively by :func:`inkline.functions.text.parse_labels`.
 """
@@ -13,9 +13,8 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from inkline.functions.text import CATEGORIES, OTHER_CATEGORY, PROMPT_MAX_CHARS, parse_labels
+from inkline.functions.text import CATEGORIES, OTHER_CATEGORY, parse_labels
 
 ClassifyBatch = Callable[[list[str]], list]
 
@@ -57,37 +56,60 @@ def keyword_classifier() -> ClassifyBatch:
     return classify_batch
 
 
+def _answers(classify_batch: ClassifyBatch, texts: list[str], max_attempts: int) -> list[tuple[str | None, str | None]]:
+    """(answer, why there is none) of each text.
+
+    A text is asked ``max_attempts`` times at most.  An exception or an answer
+    list of the wrong length is a failed attempt of all texts in the call; from
+    then on texts are asked one by one, so one bad text doesn't cost the others.
+    """
+    out: list[tuple[str | None, str | None]] = [(None, "no_answer")] * len(texts)
+    pending, alone = list(range(len(texts))), False
+    for _ in range(max_attempts):
+        failed = []
+        for call in ([[i] for i in pending] if alone else [pending] if pending else []):
+            try:
+                got = classify_batch([texts[i] for i in call])
+                if len(got) != len(call):
+                    raise ValueError(f"{len(got)} answers to {len(call)} texts")
+            except Exception as e:  # noqa: BLE001  the classifier is the user's
+                got, why = [None] * len(call), f"{type(e).__name__}: {e}"[:200]
+                alone = True
+            else:
+                why = "no_answer"
+            for i, answer in zip(call, got, strict=True):
+                out[i] = (answer, None if answer is not None else why)
+                if answer is None:
+                    failed.append(i)
+        pending = failed
+    return out
+
+
 def classify(df: DataFrame, text: str = "body", factory: Callable[[], ClassifyBatch] = keyword_classifier,
-             max_attempts: int = 2, max_chars: int = PROMPT_MAX_CHARS,
+             max_attempts: int = 2, max_chars: int | None = None,
              vocab: Sequence[str] = CATEGORIES) -> DataFrame:
-    """U1 + T7: add ``answer``, ``category_1``, ``category_2``.
+    """U1 + T7: add ``answer``, ``answer_reason``, ``category_1``, ``category_2``.
 
-    The classifier is built once per partition.  A text whose answer is None
-    is retried, at most ``max_attempts`` calls in all, then left as
-    (NULL, NULL).  Non-text input gives (NULL, NULL) without a call.
+    Only the text goes through Arrow (an iterator UDF over one column); the
+    classifier is built once per task.  A text without an answer after
+    ``max_attempts`` calls has NULL and a reason; so has a NULL text, without a
+    call.  ``max_chars`` cuts texts for a classifier with a bounded prompt.
     """
-    schema = T.StructType(df.schema.fields + [T.StructField("answer", T.StringType(), True)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("answer string, reason string")
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         classify_batch = factory()
-        for pdf in batches:
-            texts = pdf[text].tolist()
-            answers: list = [None] * len(texts)
-            pending = [i for i, t in enumerate(texts) if isinstance(t, str)]
-            for _ in range(max_attempts):
-                if not pending:
-                    break
-                res = classify_batch([texts[i][:max_chars] for i in pending])
-                for i, a in zip(pending, res):
-                    answers[i] = a
-                pending = [i for i in pending if answers[i] is None]
-            yield pdf.assign(answer=answers)
-
-    out = df.mapInPandas(run, schema)
+        for series in batches:
+            there = [i for i, t in enumerate(series) if isinstance(t, str)]
+            rows: list[tuple] = [(None, "no_text")] * len(series)
+            for i, found in zip(there, _answers(classify_batch, [series.iloc[i][:max_chars] for i in there], max_attempts), strict=True):
+                rows[i] = found
+            yield pd.DataFrame(rows, columns=["answer", "reason"])
+
     labels = parse_labels(F.col("answer"), vocab)
-    cols = [c for c in df.columns if c not in ("category_1", "category_2")]
-    return out.select(*cols, "answer", labels["category_1"].alias("category_1"),
-                      labels["category_2"].alias("category_2"))
+    cols = [c for c in df.columns if c not in ("answer", "answer_reason", "category_1", "category_2")]
+    out = df.select(*cols, ask(F.col(text)).alias("_a")).select(*cols, F.col("_a.answer").alias("answer"), F.col("_a.reason").alias("answer_reason"))
+    return out.select("*", labels["category_1"].alias("category_1"), labels["category_2"].alias("category_2"))
 
 
 SENTIMENT_TYPE = "struct<sentiment:string,pos:double,neu:double,neg:double>"

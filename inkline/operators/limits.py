@@ -1,41 +1,52 @@
 """Per-source caps and stops (W1-W5) over an explicit crawl order.
 
 The reference counts rows in crawl order inside one process; here the order
-is the ``crawl_seq`` column and every limit is a window or an aggregate.
+is the ``crawl_seq`` column and every limit is a window or an aggregate over
+one read of its input.
 
 Skew: a handful of sources means a handful of window keys, and one source may
-hold a third of the rows.  :func:`top_n` therefore ranks in two stages: first
-within ``(group, salt)``, where Spark's partial ``WindowGroupLimit`` keeps at
-most ``n`` rows per key in every map task *before* the shuffle, then within
-``group`` over at most ``n * salt_buckets`` survivors.  No task ever sees more
-than that, whatever the skew.  The prefix stop is an aggregate (partial
-``min`` per source) plus a join on a one-row-per-source table, which AQE
-broadcasts after measuring it.
+hold a third of the rows.  :func:`top_n` ranks in two stages: first within
+``(group, salt)``, where Spark's partial ``WindowGroupLimit`` keeps at most
+``n`` rows per key in every map task *before* the shuffle, then within
+``group``.  Spark applies that limit up to
+``spark.sql.optimizer.windowGroupLimitThreshold`` only, so :func:`top_n` raises
+the setting to its own ``n`` where it is lower.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkline.session import scratch_path
+
 SALT_BUCKETS = 64
+LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_n(df: DataFrame, group: str, order: str, n: int, rank_col: str = "rn",
           salt_buckets: int = SALT_BUCKETS, tiebreak: str | None = None) -> DataFrame:
     """Rows ranked ``1..n`` within ``group`` by ``order`` (ties by ``tiebreak``)."""
+    return _ranked(df, F.col(group), order, n, rank_col, salt_buckets, tiebreak)
+
+
+def _ranked(df: DataFrame, group: Column, order: str, n: int, rank_col: str, salt_buckets: int, tiebreak: str | None) -> DataFrame:
+    conf = df.sparkSession.conf
+    if n > int(conf.get(LIMIT_CONF)):
+        conf.set(LIMIT_CONF, str(n))
     order_cols = [F.col(order)] + ([F.col(tiebreak)] if tiebreak else [])
     salt = F.pmod(F.xxhash64(*order_cols), F.lit(salt_buckets))
-    w1 = Window.partitionBy(F.col(group), F.col("_salt")).orderBy(*order_cols)
-    w2 = Window.partitionBy(F.col(group)).orderBy(*order_cols)
-    stage1 = (df.withColumn("_salt", salt)
+    w1 = Window.partitionBy("_group", "_salt").orderBy(*order_cols)
+    w2 = Window.partitionBy("_group").orderBy(*order_cols)
+    stage1 = (df.withColumn("_group", group).withColumn("_salt", salt)
               .withColumn("_rn1", F.row_number().over(w1))
               .filter(F.col("_rn1") <= n)
               .drop("_salt", "_rn1"))
     return (stage1.withColumn(rank_col, F.row_number().over(w2).cast("bigint"))
-            .filter(F.col(rank_col) <= n))
+            .filter(F.col(rank_col) <= n).drop("_group"))
 
 
 def cap_column(caps: Mapping[str, int] | int, media: Column) -> Column:
@@ -52,37 +63,46 @@ def source_cap(df: DataFrame, caps: Mapping[str, int] | int, media: str = "media
                order: str = "crawl_seq", tiebreak: str | None = None) -> DataFrame:
     """The first ``cap`` rows of each source in crawl order.
 
-    Sources without a cap keep every row.  Applied to *parsed* rows, before
-    the recency test (W4).
+    Sources without a cap keep every row (``rn`` NULL).  Applied to *parsed*
+    rows, before the recency test (W4).  One read and one window for all.
     """
     if isinstance(caps, int):
         return top_n(df, media, order, caps, tiebreak=tiebreak)
-    capped = [m for m in caps]
-    limited = top_n(df.filter(F.col(media).isin(capped)), media, order, max(caps.values()), tiebreak=tiebreak)
-    limited = limited.filter(F.col("rn") <= cap_column(caps, F.col(media)))
-    # uncapped sources need no rank, so they never enter a window
-    free = df.filter(~F.col(media).isin(capped) | F.col(media).isNull()).withColumn(
-        "rn", F.lit(None).cast("bigint"))
-    return limited.unionByName(free)
-
-
-def prefix_stop(df: DataFrame, stale: Column, media: str = "media", order: str = "crawl_seq") -> DataFrame:
+    if not caps:
+        return df.withColumn("rn", F.lit(None).cast("bigint"))
+    most, m = max(caps.values()), F.col(media)
+    capped = F.coalesce(m.isin(*caps), F.lit(False))
+    # rows of uncapped sources go through the same window in groups of their own, so none of them meets a limit
+    alone = F.concat_ws("\x00", F.lit("free"), F.xxhash64(m, F.monotonically_increasing_id()))
+    ranked = _ranked(df.withColumn("_capped", capped), F.when(capped, m).otherwise(alone), order, most, "rn", SALT_BUCKETS, tiebreak)
+    return (ranked.filter(~F.col("_capped") | (F.col("rn") <= cap_column(caps, m)))
+            .withColumn("rn", F.when(F.col("_capped"), F.col("rn"))).drop("_capped"))
+
+
+def prefix_stop(df: DataFrame, stale: Column, media: str = "media", order: str = "crawl_seq", bounded: bool = False) -> DataFrame:
     """Keep rows before the first stale row of their source (then nothing more).
 
-    One partial aggregate finds the first stale position per source; the
-    result has one row per source, so AQE turns the join into a broadcast
-    once it has measured it.
+    ``bounded``: the caller has capped every source, so a window per source is
+    small.  Otherwise the rows are written once to the shared scratch folder; a
+    partial aggregate finds each source's first stale position, and that
+    one-row-per-source result is joined back (AQE broadcasts it once measured).
     """
-    marked = df.withColumn("_stale", stale)
-    first = (marked.filter(F.col("_stale"))
-             .groupBy(media).agg(F.min(order).alias("_first_stale")))
-    return (marked.join(first, media, "left")
-            .filter(F.col("_first_stale").isNull() | (F.col(order) < F.col("_first_stale")))
+    marked = df.withColumn("_stale", F.coalesce(stale, F.lit(False)))
+    if bounded:
+        first = F.min(F.when(F.col("_stale"), F.col(order))).over(Window.partitionBy(media))
+        out = marked.withColumn("_first_stale", first)
+    else:
+        path = scratch_path(df.sparkSession, f"prefix/{uuid.uuid4().hex}")
+        marked.write.parquet(path)
+        marked = df.sparkSession.read.schema(marked.schema).parquet(path)
+        first = (marked.filter("_stale").groupBy(F.col(media).alias("_media")).agg(F.min(order).alias("_first_stale")))
+        out = marked.join(first, F.col(media).eqNullSafe(F.col("_media")), "left").drop("_media")
+    return (out.filter(F.col("_first_stale").isNull() | (F.col(order) < F.col("_first_stale")))
             .drop("_stale", "_first_stale"))
 
 
 def twin_cap(df: DataFrame, response_cap: int, item_cap: int, is_item: Column,
-             media: str = "media", order: str = "crawl_seq") -> DataFrame:
+             media: str = "media", order: str = "crawl_seq", tiebreak: str | None = None) -> DataFrame:
     """Stop at the first row where either count is exceeded.
 
     ``df`` holds every page received (listing pages included); a row is
@@ -90,15 +110,15 @@ def twin_cap(df: DataFrame, response_cap: int, item_cap: int, is_item: Column,
     is among the first ``item_cap`` items.  Both counts only grow, so the
     stop is the intersection of two top-N cuts.
     """
-    responses = top_n(df, media, order, response_cap, rank_col="response_no")
+    responses = top_n(df, media, order, response_cap, rank_col="response_no", tiebreak=tiebreak)
     items = responses.filter(is_item)
-    return top_n(items, media, order, item_cap, rank_col="item_no")
+    return top_n(items, media, order, item_cap, rank_col="item_no", tiebreak=tiebreak)
 
 
 def cap_then_recency(df: DataFrame, caps: Mapping[str, int] | int, fresh: Column,
-                     media: str = "media", order: str = "crawl_seq") -> DataFrame:
+                     media: str = "media", order: str = "crawl_seq", tiebreak: str | None = None) -> DataFrame:
     """The cap counts stale rows too; recency filters afterwards."""
-    return source_cap(df, caps, media, order).filter(fresh)
+    return source_cap(df, caps, media, order, tiebreak).filter(fresh)
 
 
 def source_counts(df: DataFrame, media: str = "media", status: str = "status") -> DataFrame:

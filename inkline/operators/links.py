@@ -7,7 +7,8 @@ patterns, an aggregate for dedup and joins for the crawl frontier.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,32 +18,50 @@ from pyspark.sql import functions as F
 from inkline.functions import html as H
 from inkline.functions import urls as U
 
-ANCHOR_HREF_RE = r'<a\s(?:[^>]*\s)?href\s*=\s*"([^"]*)"'
+HREF_RE = f"(?i)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*{H.VALUE_RE}"
+#: Comments, scripts and styles hold no links.
+NOT_MARKUP_RE = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?:[\s/][^>]*)?>.*?</\1\s*>"
+
+
+def _unquoted(values: Column) -> Column:
+    return F.transform(values, lambda v: F.regexp_replace(v, "^[\"']|[\"']\\z", ""))
 
 
 def hrefs(scope: Column) -> Column:
-    """Raw ``href`` values of every ``<a>`` in ``scope``, in document order."""
-    return F.regexp_extract_all(scope, F.lit(ANCHOR_HREF_RE), F.lit(1))
+    """Raw ``href`` values of every ``<a>`` in ``scope``, in document order, in all three quoting forms."""
+    return _unquoted(F.regexp_extract_all(F.regexp_replace(scope, NOT_MARKUP_RE, ""), F.lit(HREF_RE), F.lit(1)))
 
 
-def page_links(base: Column, scope: Column) -> Column:
-    """L1 + L1b: absolute http(s) links of a page, duplicates removed, first order kept."""
-    absolute = F.transform(hrefs(scope), lambda h: H.decode_entities(U.resolve(base, h)))
+def absolute_links(base: Column, found: Column) -> Column:
+    """Absolute http(s) URLs of raw hrefs, duplicates removed, first order kept."""
+    absolute = F.transform(found, lambda h: U.resolve(base, H.decode_entities(h)))
     return F.array_distinct(F.filter(absolute, lambda u: U.is_http(u)))
 
 
-def extract_links(pages: DataFrame, region: tuple[str, str] | None = None,
-                  crawl_seq: str | None = None) -> DataFrame:
-    """L1 / L2: one row per (page, distinct absolute link).
+def page_links(base: Column, scope: Column) -> Column:
+    """L1 + L1b: absolute http(s) links of a page or a part of it."""
+    return absolute_links(base, hrefs(scope))
+
 
-    ``region`` = (open regex, end regex) restricts extraction to the blocks it
-    delimits (``//h3/a``-style rules).
-    """
-    html = F.col("html")
-    if region is None:
-        scope = html
-    else:
-        scope = F.array_join(H.all_blocks(html, region[0], region[1]), " ")
+def blocks(html: Column, step: str) -> Column:
+    """Inner HTML of every element ``tag`` or ``tag.class`` (the whole class attribute), each up to its own end."""
+    tag, _, cls = step.partition(".")
+    opens = H.class_exact_re(tag, cls) if cls else H.open_tag_re(tag)
+    pieces = F.filter(F.split(html, f"(?={opens})"), lambda x: x.rlike(f"^{opens}"))
+    return F.transform(pieces, lambda x: H.until_closed(F.regexp_replace(x, f"^{opens}", ""), tag))
+
+
+def region_html(html: Column, path: Sequence[str]) -> Column:
+    """L2: what lies inside the elements of ``path``, one within the other."""
+    html = F.regexp_replace(html, NOT_MARKUP_RE, "")
+    for step in path:
+        html = F.array_join(blocks(html, step), " ")
+    return html
+
+
+def extract_links(pages: DataFrame, region: Sequence[str] = (), crawl_seq: str | None = None) -> DataFrame:
+    """L1 / L2: one row per (page, distinct absolute link), of the whole page or of a region (``region_html``)."""
+    scope = region_html(F.col("html"), region) if region else F.col("html")
     seq = F.col(crawl_seq) if crawl_seq else F.col("page_id")
     return pages.select(
         "page_id", seq.cast("bigint").alias("crawl_seq"), F.col("url").alias("src_url"),
@@ -63,12 +82,38 @@ def allow_deny(c: Column, allow: Sequence[str] = (), deny: Sequence[str] = ()) -
 
 @dataclass(frozen=True)
 class LinkRule:
-    """One crawl rule: patterns, a region, and what a matching link is for."""
+    """One crawl rule: patterns, where in the page, and what a matching link is for."""
 
     allow: tuple[str, ...] = ()
     deny: tuple[str, ...] = ()
     is_item: bool = False    # has a callback (parse as an article)
     follow: bool = True      # extract links from it in turn
+    region: tuple[str, ...] = ()        # elements that enclose the link (``region_html``)
+    anchor_class: str | None = None     # the class attribute of the link itself
+
+    def links(self, base: Column, html: Column) -> Column:
+        """The links of a page that the rule's place and patterns allow."""
+        if self.region:
+            html = region_html(html, self.region)
+        if self.anchor_class:
+            tags = F.regexp_extract_all(F.regexp_replace(html, NOT_MARKUP_RE, ""), F.lit(H.class_exact_re("a", self.anchor_class)), F.lit(0))
+            found = absolute_links(base, F.flatten(F.transform(tags, hrefs)))
+        else:
+            found = page_links(base, html)
+        return F.filter(found, lambda u: allow_deny(u, self.allow, self.deny))
+
+    def claim(self, number: int) -> Callable[[Column], Column]:
+        return lambda u: F.struct(u.alias("dst_url"), F.lit(number).alias("rule_id"), F.lit(self.is_item).alias("is_item"), F.lit(self.follow).alias("follow"))
+
+
+def rule_links(base: Column, html: Column, rules: Sequence[LinkRule]) -> Column:
+    """L5 with regions: the page's links as (dst_url, rule_id, is_item, follow); the first rule that finds a link has it."""
+    out, before = [], F.array().cast("array<string>")
+    for i, rule in enumerate(rules):
+        own = F.array_except(rule.links(base, html), before)
+        before = F.concat(before, own)
+        out.append(F.transform(own, rule.claim(i)))
+    return F.concat(*out) if out else F.array().cast("array<struct<dst_url:string,rule_id:int,is_item:boolean,follow:boolean>>")
 
 
 def route(links: DataFrame, rules: Sequence[LinkRule], url: str = "dst_url") -> DataFrame:
@@ -113,39 +158,51 @@ def frontier(links: DataFrame, visited: DataFrame, url: str = "dst_url",
             .join(seen, "canon_url", "left_anti"))
 
 
-def crawl_closure(pages: DataFrame, seeds: DataFrame, max_depth: int = 5,
-                  rules: Sequence[LinkRule] | None = None, domains: Sequence[str] | None = None,
-                  seed_url: str = "url") -> DataFrame:
+def link_edges(pages: DataFrame, rules: Sequence[LinkRule] | None = None, domains: Sequence[str] | None = None) -> DataFrame:
+    """The crawl graph as a narrow table: (src, dst) canonical URLs, is_item, follow.  Pages are parsed once."""
+    base, html = F.col("url"), F.col("html")
+    if rules is None:
+        links = F.transform(page_links(base, html), lambda u: F.struct(u.alias("dst_url"), F.lit(False).alias("is_item"), F.lit(True).alias("follow")))
+    else:
+        links = rule_links(base, html, rules)
+    edges = pages.select(U.canonical(base).alias("src"), F.explode(links).alias("l"))
+    edges = edges.select("src", U.canonical(F.col("l.dst_url")).alias("dst"), F.col("l.is_item").alias("is_item"), F.col("l.follow").alias("follow"))
+    return edges.filter(U.on_domains(U.host(F.col("dst")), domains))
+
+
+def crawl_closure(pages: DataFrame, seeds: DataFrame, rules: Sequence[LinkRule] | None = None,
+                  domains: Sequence[str] | None = None, seed_url: str = "url", max_depth: int | None = None) -> DataFrame:
     """Breadth-first closure seeds -> pages -> links -> pages ... over ``pages``.
 
-    Each round is an equi-join of the frontier with the page table on the
-    canonical URL plus an anti-join with what was reached before; the
-    reached set is checkpointed to the session's shared checkpoint folder
-    every round so lineage stays short and a lost executor does not replay
-    the whole loop.  Stops on an empty frontier or at ``max_depth``.
-    Output: ``(canon_url, depth, page_id)`` for every URL reached (page_id is
-    NULL for links whose page is not in the table).
+    The links of all pages become one narrow edge table, written once to the
+    shared scratch folder; each round joins the frontier with it and writes
+    only the URLs it adds.  Item links stay in the result; only ``follow``
+    links reach further, and the first round that reaches a URL decides, as a
+    crawler that asks for each URL once.  Runs until nothing is added, or to
+    ``max_depth`` rounds if given.
+
+    Output: ``(canon_url, depth, page_id)`` for every URL reached (the smallest
+    page_id of its pages; NULL for links whose page is not in the table).
     """
-    from inkline.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(pages.sparkSession)
-    table = pages.select("page_id", "html", U.canonical(F.col("url")).alias("canon_url"),
-                         F.col("url"))
-    reached = (seeds.select(U.canonical(F.col(seed_url)).alias("canon_url")).distinct()
-               .withColumn("depth", F.lit(0)))
-    current = reached
-    for depth in range(1, max_depth + 1):
-        fetched = current.join(table, "canon_url")
-        links = extract_links(fetched.select("page_id", "url", "html"))
-        if rules:
-            links = route(links, rules).filter(F.col("follow"))
-        if domains:
-            links = offsite_filter(links, domains)
-        new = (links.select(U.canonical(F.col("dst_url")).alias("canon_url")).distinct()
-               .join(reached.select("canon_url"), "canon_url", "left_anti")
-               .withColumn("depth", F.lit(depth))
-               .checkpoint())
-        if new.isEmpty():
+    from inkline.session import scratch_path
+    spark = pages.sparkSession
+    base = scratch_path(spark, f"closure/{uuid.uuid4().hex}")
+    link_edges(pages, rules, domains).write.parquet(f"{base}/edges")
+    edges = spark.read.parquet(f"{base}/edges")
+    schema = "canon_url string, follow boolean, depth int"
+    start = seeds.select(U.canonical(F.col(seed_url)).alias("canon_url")).distinct()
+    start.select("canon_url", F.lit(True).alias("follow"), F.lit(0).alias("depth")).write.parquet(f"{base}/reached/round=0")
+    depth = 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        current = spark.read.schema(schema).parquet(f"{base}/reached/round={depth - 1}").filter("follow")
+        seen = spark.read.schema(schema).parquet(*(f"{base}/reached/round={k}" for k in range(depth)))
+        new = (edges.join(current.select(F.col("canon_url").alias("src")), "src", "left_semi")
+               .groupBy(F.col("dst").alias("canon_url")).agg(F.max("follow").alias("follow"))
+               .join(seen.select("canon_url"), "canon_url", "left_anti"))
+        new.withColumn("depth", F.lit(depth)).write.parquet(f"{base}/reached/round={depth}")
+        if spark.read.schema(schema).parquet(f"{base}/reached/round={depth}").isEmpty():
             break
-        reached = reached.unionByName(new).checkpoint()
-        current = new
-    return reached.join(table.select("canon_url", "page_id"), "canon_url", "left")
+    reached = spark.read.schema(schema).parquet(*(f"{base}/reached/round={k}" for k in range(depth + 1)))
+    first = pages.groupBy(U.canonical(F.col("url")).alias("canon_url")).agg(F.min("page_id").alias("page_id"))
+    return reached.select("canon_url", "depth").join(first, "canon_url", "left")

@@ -1,15 +1,16 @@
-"""The article plan: pages -> profile columns -> rejects -> caps -> recency -> enrichment.
+"""The article plan: pages -> source -> fields -> rejects -> caps -> recency -> body -> enrichment -> sinks.
 
-Order matters for cost, not for the result: date, cap and recency only need
-the extracted fields, so they run *before* the text enrichment (the
-reference enriches first and filters last), and the classifier, the one
-Python step, runs last on the survivors only.
+One scan serves any number of sources.  Date, cap and recency need the narrow
+fields only (the reference enriches first and filters last), so the body is
+taken from the container of the pages that survive, and the classifier, the
+one Python step, runs last.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,31 +19,41 @@ from inkline.functions import dates as D
 from inkline.functions import text as T
 from inkline.operators import limits as L
 from inkline.operators.dictionary import join_matches, match_inline
-from inkline.operators.profiles import Profile, extract
-
-ARTICLE_COLUMNS = (
-    "title", "subtitle", "body", "published_at", "media", "url", "clean_title",
-    "clean_subtitle", "clean_body", "comunas", "category_1", "category_2", "gore",
-    "sentiment", "pos", "neu", "neg",
-)
-
-
-def select_rows(extracted: DataFrame, profile: Profile, as_of: dt.datetime | str) -> DataFrame:
-    """W1-W4 + P5 on extracted rows: which parsed pages the source emits."""
-    parsed = extracted.filter(F.col("status") == "parsed")
-    if profile.response_cap is not None:
-        rows = L.twin_cap(extracted, profile.response_cap, profile.row_cap or (1 << 30),
-                          F.col("status") == "parsed")
-    elif profile.row_cap is not None:
-        rows = L.top_n(parsed, "media", "crawl_seq", profile.row_cap, tiebreak="page_id")
-    else:
-        rows = parsed
+from inkline.operators.profiles import Profile, Sources, judged, parsed, with_body
+from inkline.session import scratch_path
+from inkline.sources.tables import ARTICLE_COLUMNS
+
+Profiles = Profile | Mapping[str, Profile]
+
+
+def select_rows(rows: DataFrame, profiles: Profiles, as_of: dt.datetime | str) -> DataFrame:
+    """W1-W4 + P5 on judged pages: which articles each source emits."""
+    src = Sources(profiles)
     fresh = D.is_fresh(F.col("published_at"), as_of)
-    if profile.freshness == "window":
-        rows = rows.filter(fresh)
-    elif profile.freshness == "prefix":
-        rows = L.prefix_stop(rows, ~fresh)
-    return rows
+    is_parsed = (F.col("status") == "parsed") & (F.col("part") >= 0)
+    if src.one:
+        p = src.one
+        if p.response_cap is not None:
+            rows = L.twin_cap(rows, p.response_cap, p.row_cap or (1 << 30), is_parsed, tiebreak="page_id")
+        else:
+            rows = rows.filter(is_parsed)
+            if p.row_cap is not None:
+                rows = L.top_n(rows, "media", "crawl_seq", p.row_cap, tiebreak="page_id")
+        if p.freshness == "window":
+            return rows.filter(fresh)
+        return L.prefix_stop(rows, ~fresh, bounded=p.row_cap is not None) if p.freshness == "prefix" else rows
+    received = src.value("response_cap")
+    if received:
+        rows = L.source_cap(rows, received, tiebreak="page_id").drop("rn")
+    rows = rows.filter(is_parsed)
+    caps = src.value("row_cap")
+    rows = L.source_cap(rows, caps, tiebreak="page_id").drop("rn")
+    kinds = src.value("freshness")
+    stop = [m for m, k in kinds.items() if k == "prefix"]
+    window = [m for m, k in kinds.items() if k == "window"]
+    if stop:
+        rows = L.prefix_stop(rows, ~fresh & F.col("media").isin(*stop), bounded=len(caps) == len(src.profiles))
+    return rows.filter(~F.col("media").isin(*window) | fresh) if window else rows
 
 
 def enrich(rows: DataFrame, places: Sequence[str] = (), stopwords: Sequence[str] = T.DEFAULT_STOPWORDS,
@@ -62,29 +73,53 @@ def enrich(rows: DataFrame, places: Sequence[str] = (), stopwords: Sequence[str]
              F.col("_s.neu").alias("neu"), F.col("_s.neg").alias("neg")).drop("_s")
 
 
-def articles(pages: DataFrame, profile: Profile, as_of: dt.datetime | str,
-             places: Sequence[str] = (), stopwords: Sequence[str] = T.DEFAULT_STOPWORDS,
-             phrases: Sequence[str] = T.GORE_PHRASES,
-             classifier: Callable | None = None, sentiment_udf=None,
+def finished(rows: DataFrame, places: Sequence[str] = (), stopwords: Sequence[str] = T.DEFAULT_STOPWORDS,
+             phrases: Sequence[str] = T.GORE_PHRASES, classifier: Callable | None = None, sentiment_udf=None,
              keep_key: bool = True) -> DataFrame:
-    """The full plan for one source; columns in sink order (K2), plus ``page_id``."""
-    rows = select_rows(extract(pages, profile), profile, as_of)
+    """Enrichment and, if given, the classifier; columns in sink order (K2), plus ``page_id``."""
     rows = enrich(rows, places, stopwords, phrases, sentiment_udf)
     if classifier is not None:
         from inkline.operators.enrich import classify
         rows = classify(rows, "body", classifier)
     else:
         rows = rows.withColumn("category_1", F.lit("")).withColumn("category_2", F.lit(""))
-    cols = (["page_id"] if keep_key else []) + list(ARTICLE_COLUMNS)
-    return rows.select(*cols)
+    return rows.select(*(["page_id"] if keep_key else []), *ARTICLE_COLUMNS)
+
+
+def articles(pages: DataFrame, profiles: Profiles, as_of: dt.datetime | str, **enrichment) -> DataFrame:
+    """The full plan for one source or several; ``enrichment``: arguments of :func:`finished`."""
+    rows = with_body(select_rows(judged(pages, profiles), profiles, as_of), profiles)
+    return finished(rows, **enrichment)
+
 
+def all_articles(pages: DataFrame, profiles: Profiles, **enrichment) -> DataFrame:
+    """Every article of the pages, without caps and recency."""
+    return finished(parsed(pages, profiles), **enrichment)
 
-def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
-    """All sources feed one table: ``unionByName`` (no shuffle)."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+
+def rejected(pages: DataFrame, profiles: Profiles) -> DataFrame:
+    """Pages that are no article, of unknown hosts too, with their reason."""
+    return judged(pages, profiles).filter("status <> 'parsed'").select("page_id", "media", F.col("page_url").alias("url"), "status", "reason")
+
+
+def run_sinks(pages: DataFrame, profiles: Profiles, as_of: dt.datetime | str, csv_path: str, table_path: str,
+              classifier: Callable | None = None, **enrichment) -> None:
+    """K4: the sinks in the reference's order; the CSV stage comes before the categories are filled.
+
+    The enriched rows are written once to the shared scratch folder, so neither
+    sink parses pages again.
+    """
+    from inkline.operators.enrich import classify
+    from inkline.sources.sinks import idempotent_append, write_csv
+
+    spark = pages.sparkSession
+    path = scratch_path(spark, f"articles/{uuid.uuid4().hex}")
+    articles(pages, profiles, as_of, **enrichment).write.parquet(path)
+    rows = spark.read.parquet(path)
+    write_csv(rows, csv_path)
+    if classifier is not None:
+        rows = classify(rows, "body", classifier)
+    idempotent_append(rows, table_path)
 
 
 REQUIRED = ("title", "subtitle", "body", "published_at", "media", "url")

@@ -21,8 +21,9 @@ from inkline.operators import limits as L
 from inkline.operators import links as LK
 from inkline.operators import profiles as P
 from inkline.operators.builtin_profiles import DRIVER_PAGES, PAGES_MEDIA_EXPR
-from inkline.operators.dictionary import join_matches, match_by_join, match_inline, fetch_terms, match_pairs
+from inkline.operators.dictionary import match_by_join, match_pairs
 from inkline.plans import articles as A
+from inkline.plans import oracle_patterns as O
 from inkline.plans import sql as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,15 +40,8 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
-TEXT_KEYS = {"pages": "page_id", "documents": "doc_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_KEYS:
-        from inkline.sources.tables import spread
-        df = spread(df, TEXT_KEYS[name])
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- parameters of the driver checks ---------------------------------------
@@ -58,8 +52,8 @@ AS_OF_PREFIX = "2024-01-04 00:00:00"
 FLAGSHIP_PLACES = ("Der", "Las", "Les", "The", "que", "und")
 FREQUENT_PHRASES = ("the", "und", "que", "les")
 EVENT_CAPS = {"view": 100, "error": 40, "click": 150, "signup": 200, "purchase": 30}
-ARTICLE = (H.open_tag_re("article"), H.close_tag_re("article"))
-NAV = (H.open_tag_re("nav"), H.close_tag_re("nav"))
+ARTICLE = P.Region(H.open_tag_re("article"), "article")
+NAV = ("nav",)
 ALLOW = (r"/[A-Z][^/]*$",)
 DENY = (r"/(The|Les|Der|Las)$",)
 RULES = (LK.LinkRule(allow=(r"/[A-Z][^/]*$",), is_item=True, follow=False),
@@ -80,11 +74,11 @@ def dated_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def container_col() -> Column:
-    return H.first_block(F.col("html"), *ARTICLE)
+    return ARTICLE.column(F.col("html"))
 
 
 def container_sql(h: str = "html") -> str:
-    return S.first_block(h, *ARTICLE)
+    return S.first_block(h, *O.ARTICLE)
 
 
 MEDIA_SQL = PAGES_MEDIA_EXPR
@@ -97,6 +91,11 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return A.articles(dated_pages(spark, sf), DRIVER_PAGES, AS_OF_PAGES, places=FLAGSHIP_PLACES)
 
 
+def every_article(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages through extraction and enrichment, without caps and recency."""
+    return A.all_articles(dated_pages(spark, sf), DRIVER_PAGES, places=FLAGSHIP_PLACES)
+
+
 def _extract_sql(spec: H.ParagraphSpec = DRIVER_PAGES.paragraphs, join: str = "space") -> str:
     title = S.h1_title("html")
     subtitle = S.clean_text(S.first_p_all(container_sql()))
@@ -128,23 +127,25 @@ FLAGSHIP_ROWS_SQL = (
     f"WHERE rn <= 100 AND {S.is_fresh('published_at', AS_OF_PAGES)})")
 FLAGSHIP_SQL = _enrich_sql(FLAGSHIP_ROWS_SQL)
 register("flagship", FLAGSHIP_SQL)(flagship)
+EVERY_SQL = _enrich_sql(f"(SELECT * FROM ({_extract_sql()}) WHERE status = 'parsed')")
+register("enrich_all", EVERY_SQL)(every_article)
 
 
-@register("sink_projection", "SELECT " + ", ".join(A.ARTICLE_COLUMNS) + f" FROM ({FLAGSHIP_SQL})")
+@register("sink_projection", "SELECT " + ", ".join(A.ARTICLE_COLUMNS) + f" FROM ({EVERY_SQL})")
 def sink_projection(spark, sf):
     """K2: the 17 sink columns in table order."""
     from inkline.sources.sinks import sink_projection as proj
-    return proj(flagship(spark, sf))
+    return proj(every_article(spark, sf))
 
 
 @register("csv_projection",
           "SELECT page_id, title, subtitle, body, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS date, media, url, "
           "comunas, category_1, CAST(NULL AS VARCHAR) AS pred_1, category_2, CAST(NULL AS VARCHAR) AS pred_2 "
-          f"FROM ({FLAGSHIP_SQL})")
+          f"FROM ({EVERY_SQL})")
 def csv_projection(spark, sf):
     """K1: the CSV column list (pred_1/pred_2 always empty), all text."""
     from inkline.sources.sinks import csv_projection as proj
-    return proj(flagship(spark, sf), key="page_id")
+    return proj(every_article(spark, sf), key="page_id")
 
 
 @register("schema_conform",
@@ -157,8 +158,7 @@ def csv_projection(spark, sf):
 def schema_conform(spark, sf):
     """Extracted rows forced into the article schema (missing fields typed NULL)."""
     from inkline.sources.tables import conform_articles
-    ex = P.extract(dated_pages(spark, sf), DRIVER_PAGES).filter("status = 'parsed'")
-    return conform_articles(ex, key="page_id")
+    return conform_articles(P.parsed(dated_pages(spark, sf), DRIVER_PAGES), key="page_id")
 
 
 @register("page_scan", "SELECT page_id, url, html FROM pages")
@@ -172,12 +172,12 @@ def page_scan(spark, sf):
 
 @register("extract_title",
           f"SELECT page_id, {S.h1_title('html')} AS title, "
-          f"{S.rr(S.rr(S._parts(S._prepare(S.all_blocks('html', H.open_tag_re('h1'), H.close_tag_re('h1')) + '[1]'), ()), H.MARK_RUN_RE, H.MARK), '^' + H.MARK)} AS title_raw_first "
+          f"{S.rr(S.rr(S._parts(S._prepare(S.all_blocks('html', O.open_tag_re('h1'), O.close_tag_re('h1')) + '[1]'), ()), O.MARK_RUN_RE, O.MARK), '^' + O.MARK)} AS title_raw_first "
           "FROM pages")
 def extract_title(spark, sf):
     """E1 (all h1 text nodes, cleaned) and E2's input (first h1, markup removed)."""
     pages = table(spark, sf, "pages")
-    first = F.get(H.all_blocks(F.col("html"), H.open_tag_re("h1"), H.close_tag_re("h1")), 0)
+    first = F.get(H.all_blocks(F.col("html"), "h1"), 0)
     raw = F.regexp_replace(F.regexp_replace(H._parts(H._prepare(first), ()), H.MARK_RUN_RE, H.MARK),
                            "^" + H.MARK, "")
     return pages.select("page_id", H.h1_title(F.col("html")).alias("title"), raw.alias("title_raw_first"))
@@ -186,7 +186,7 @@ def extract_title(spark, sf):
 @register("extract_subtitle", f"SELECT page_id, {S.clean_text(S.first_p_all(container_sql()))} AS subtitle FROM pages")
 def extract_subtitle(spark, sf):
     """E4 on the driver pages: string value of the first paragraph of the article."""
-    f = P.TextField("first_p_all", region=P.Region(*ARTICLE))
+    f = P.TextField("first_p_all", region=ARTICLE)
     return table(spark, sf, "pages").select("page_id", f.column(F.col("html")).alias("subtitle"))
 
 
@@ -274,7 +274,7 @@ def json_field(spark, sf):
 
 def _links_sql(scope: str = "html", http_only: bool = True) -> str:
     """Distinct absolute http(s) links per page (set semantics)."""
-    hrefs = f"regexp_extract_all({scope}, {S.lit(LK.ANCHOR_HREF_RE)}, 1)"
+    hrefs = f"regexp_extract_all({scope}, {S.lit(O.ANCHOR_HREF_RE)}, 1)"
     inner = (f"SELECT page_id, page_id AS crawl_seq, url AS src_url, "
              f"{S.decode_entities(S.resolve('url', 'h'))} AS dst_url "
              f"FROM (SELECT page_id, url, unnest({hrefs}) AS h FROM pages)")
@@ -282,7 +282,11 @@ def _links_sql(scope: str = "html", http_only: bool = True) -> str:
     return f"SELECT DISTINCT page_id, crawl_seq, src_url, dst_url FROM ({inner}) {where}"
 
 
-NAV_SCOPE_SQL = f"array_to_string({S.all_blocks('html', *NAV)}, ' ')"
+NAV_SCOPE_SQL = f"array_to_string({S.all_blocks('html', *O.NAV)}, ' ')"
+
+
+def page_links(spark, sf) -> DataFrame:
+    return LK.extract_links(table(spark, sf, "pages"))
 
 
 def nav_links(spark, sf) -> DataFrame:
@@ -297,7 +301,7 @@ def link_extract(spark, sf):
 
 @register("link_absolute",
           f"SELECT page_id, h AS href, {S.resolve('url', 'h')} AS abs_url "
-          f"FROM (SELECT page_id, url, unnest(regexp_extract_all(html, {S.lit(LK.ANCHOR_HREF_RE)}, 1)) AS h FROM pages)")
+          f"FROM (SELECT page_id, url, unnest(regexp_extract_all(html, {S.lit(O.ANCHOR_HREF_RE)}, 1)) AS h FROM pages)")
 def link_absolute(spark, sf):
     """Every raw href next to its absolute form."""
     pages = table(spark, sf, "pages")
@@ -316,11 +320,11 @@ def _any_sql(col: str, pats) -> str:
 
 
 @register("link_allow_deny",
-          f"SELECT page_id, dst_url FROM ({_links_sql(NAV_SCOPE_SQL)}) "
+          f"SELECT page_id, dst_url FROM ({_links_sql()}) "
           f"WHERE {_any_sql('dst_url', ALLOW)} AND NOT {_any_sql('dst_url', DENY)}")
 def link_allow_deny(spark, sf):
     """L3 + L4: allow patterns (search), deny wins."""
-    return nav_links(spark, sf).filter(LK.allow_deny(F.col("dst_url"), ALLOW, DENY)).select("page_id", "dst_url")
+    return page_links(spark, sf).filter(LK.allow_deny(F.col("dst_url"), ALLOW, DENY)).select("page_id", "dst_url")
 
 
 def _route_sql() -> str:
@@ -334,14 +338,14 @@ def _route_sql() -> str:
     item = "CASE " + " ".join(f"WHEN rule_id = {i} THEN {int(r.is_item)}" for i, r in enumerate(RULES)) + " END"
     fol = "CASE " + " ".join(f"WHEN rule_id = {i} THEN {int(r.follow)}" for i, r in enumerate(RULES)) + " END"
     return (f"SELECT page_id, dst_url, rule_id, {item} AS is_item, {fol} AS follow FROM "
-            f"(SELECT page_id, dst_url, {rid} AS rule_id FROM ({_links_sql(NAV_SCOPE_SQL)})) "
+            f"(SELECT page_id, dst_url, {rid} AS rule_id FROM ({_links_sql()})) "
             f"WHERE rule_id IS NOT NULL")
 
 
 @register("link_route", _route_sql())
 def link_route(spark, sf):
     """First matching rule claims a link; item / follow flags (as 0/1)."""
-    r = LK.route(nav_links(spark, sf), RULES)
+    r = LK.route(page_links(spark, sf), RULES)
     return r.select("page_id", "dst_url", "rule_id", F.col("is_item").cast("int").alias("is_item"),
                     F.col("follow").cast("int").alias("follow"))
 
@@ -363,33 +367,61 @@ def url_dedup(spark, sf):
     return LK.dedup_urls(LK.extract_links(table(spark, sf, "pages")))
 
 
+# The driver's pages link to words on their own host, where no page lives.  For
+# the crawl, a page lives where the last link of its <nav> points, without the
+# sub-domain, so that pages reach each other over several steps.
+
+def crawl_pages(spark, sf) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    domain = F.regexp_extract(F.col("url"), r"^[a-z]+://(?:[^/]*[.])?(example[.][a-z]+)/", 1)
+    host = F.concat(F.lit("https://"), domain)
+    last = F.element_at(LK.hrefs(LK.region_html(F.col("html"), NAV)), -1)
+    return pages.select("page_id", F.concat(host, last).alias("url"), "html")
+
+
+CRAWL_SQL = (f"(SELECT page_id, 'https://' || regexp_extract(url, '^[a-z]+://(?:[^/]*[.])?(example[.][a-z]+)/', 1) || "
+             f"list_extract(regexp_extract_all({NAV_SCOPE_SQL}, {S.lit(O.ANCHOR_HREF_RE)}, 1), -1) AS url, html FROM pages)")
+CRAWL_LINKS_SQL = _links_sql().replace("FROM pages", f"FROM {CRAWL_SQL}")
+
+
 @register("frontier_anti_join",
           f"SELECT page_id, dst_url, canon_url FROM (SELECT *, {S.canonical('dst_url')} AS canon_url "
-          f"FROM ({_links_sql()})) WHERE canon_url NOT IN (SELECT {S.canonical('url')} FROM pages)")
+          f"FROM ({CRAWL_LINKS_SQL})) WHERE canon_url NOT IN (SELECT {S.canonical('url')} FROM {CRAWL_SQL})")
 def frontier_anti_join(spark, sf):
     """Extracted links not yet visited (anti join on the canonical URL)."""
-    pages = table(spark, sf, "pages")
+    pages = crawl_pages(spark, sf)
     return LK.frontier(LK.extract_links(pages), pages).select("page_id", "dst_url", "canon_url")
 
 
-@register("link_closure")
+CLOSURE_RULES = (LK.LinkRule(allow=(r"/[A-Z][^/]*$",), deny=(r"/(The|Les|Der|Las)$",), is_item=True, follow=False),
+                 LK.LinkRule(follow=True))
+
+
+@register("link_closure",
+          f"WITH RECURSIVE pg AS (SELECT page_id, {S.canonical('url')} AS u, url FROM {CRAWL_SQL}), "
+          f"e AS (SELECT DISTINCT {S.canonical('src_url')} AS src, {S.canonical('dst_url')} AS dst, "
+          f"NOT {_any_sql('dst_url', (r'/[A-Z][^/]*$',))} OR {_any_sql('dst_url', (r'/(The|Les|Der|Las)$',))} AS follow FROM ({CRAWL_LINKS_SQL})), "
+          "r AS (SELECT DISTINCT u, true AS follow, 0 AS depth FROM pg WHERE page_id IN (SELECT page_id FROM pages WHERE contains(url, '/es/')) "
+          "UNION SELECT e.dst, e.follow, r.depth + 1 FROM r JOIN e ON e.src = r.u WHERE r.follow AND r.depth < 40) "
+          "SELECT r.u AS canon_url, CAST(min(r.depth) AS INTEGER) AS depth, min(pg.page_id) AS page_id FROM r LEFT JOIN pg USING (u) GROUP BY r.u")
 def link_closure(spark, sf):
-    """Breadth-first closure from every English page over the page table (depth <= 3)."""
-    pages = table(spark, sf, "pages")
-    seeds = pages.filter(F.col("url").contains("/en/")).select("url")
-    return LK.crawl_closure(pages, seeds, max_depth=3)
+    """Everything that links reach from the Spanish pages, item links included, to the empty frontier."""
+    pages = crawl_pages(spark, sf)
+    seeds = pages.join(table(spark, sf, "pages").filter(F.col("url").contains("/es/")).select("page_id"), "page_id", "left_semi").select("url")
+    return LK.crawl_closure(pages, seeds, rules=CLOSURE_RULES)
+
+
+HOST_PROFILES = {m: DRIVER_PAGES.with_(media=m, media_expr=None, hosts=(d,)) for d, m in HOSTS if m != "dotorg"}
 
 
 @register("route_by_host",
-          "SELECT page_id, h.media FROM (SELECT page_id, "
-          f"{S.rx(S.host('url'), '([^.]+[.][^.]+)$', 1)} AS domain FROM pages) p JOIN (VALUES "
-          + ", ".join(f"({S.lit(d)}, {S.lit(m)})" for d, m in HOSTS) + ") h(domain, media) USING (domain)")
+          "SELECT page_id, CASE WHEN regexp_matches(url, '^[a-z]+://([^/]*[.])?example[.]com/') THEN 'dotcom' "
+          "WHEN regexp_matches(url, '^[a-z]+://([^/]*[.])?example[.]net/') THEN 'dotnet' END AS media, "
+          "CASE WHEN regexp_matches(url, '^[a-z]+://([^/]*[.])?example[.](com|net)/') THEN 'parsed' ELSE 'rejected' END AS status, "
+          "CASE WHEN regexp_matches(url, '^[a-z]+://([^/]*[.])?example[.](com|net)/') THEN NULL ELSE 'unknown_host' END AS reason FROM pages")
 def route_by_host(spark, sf):
-    """Host -> media through a small host table (one row per known source)."""
-    hosts = spark.createDataFrame(list(HOSTS), "domain string, media string")
-    dom = F.regexp_extract(U.host(F.col("url")), r"([^.]+[.][^.]+)$", 1)
-    return (table(spark, sf, "pages").select("page_id", dom.alias("domain"))
-            .join(F.broadcast(hosts), "domain").select("page_id", "media"))
+    """A page's source by its host; pages of unknown hosts (here .org) stay, with a reason."""
+    return P.judged(dated_pages(spark, sf), HOST_PROFILES).select("page_id", "media", "status", "reason")
 
 
 # ------------------------------------------------------------- filters ---
@@ -403,33 +435,45 @@ def url_filters(spark, sf):
 
 
 @register("page_guards",
-          f"SELECT page_id FROM pages WHERE {S.h1_title('html')} <> '' AND {container_sql()} IS NOT NULL")
+          f"SELECT page_id FROM pages WHERE {S.h1_title('html')} <> '' AND regexp_matches(html, '<p>[^<]*</p>\\s*<p>')")
 def page_guards(spark, sf):
-    """P3 + P4: non-empty title and a container."""
+    """P3 + P4: a non-empty title and a container (here a plain paragraph that another one follows)."""
+    box = P.Region(r"(?i:<p>)(?=[^<]*</p>\s*<p>)", "p")
     return (table(spark, sf, "pages")
-            .filter((H.h1_title(F.col("html")) != "") & container_col().isNotNull()).select("page_id"))
+            .filter((H.h1_title(F.col("html")) != "") & box.column(F.col("html")).isNotNull()).select("page_id"))
+
 
+# one language for each way a page can fail: English by its URL alone, German without a container,
+# French without a title, Spanish with a date that is none
+REASON_PROFILES = {
+    "en": DRIVER_PAGES.with_(url_not_contains="#top"),
+    "de": DRIVER_PAGES.with_(container=P.Region(H.open_tag_re("section"), "section")),
+    "fr": DRIVER_PAGES.with_(title=P.TextField("meta", "og:title", on_missing="reject")),
+    "es": DRIVER_PAGES.with_(date=P.DateField("column", "url", "date10")),
+}
+REASON_SQL = ("(SELECT page_id, " + MEDIA_SQL + " AS media, url, CASE " + MEDIA_SQL +
+              " WHEN 'en' THEN CASE WHEN contains(url, '#top') THEN 'url_excluded' END WHEN 'de' THEN 'no_container' "
+              "WHEN 'fr' THEN 'no_title' ELSE 'bad_date' END AS reason FROM pages)")
+STATUS_SQL = "CASE WHEN reason IS NULL THEN 'parsed' WHEN reason IN ('url_excluded', 'no_container') THEN 'filtered' ELSE 'rejected' END"
 
-REJECT_PROFILE = DRIVER_PAGES.with_(url_not_contains="#top", date=P.DateField("meta", "article:published_time"))
 
+def reasons(spark, sf) -> DataFrame:
+    pages = dated_pages(spark, sf).withColumn("media", F.expr(PAGES_MEDIA_EXPR))
+    return P.judged(pages, REASON_PROFILES, with_media=False)
 
-@register("rejects_by_reason",
-          "SELECT page_id, media, url, status, reason FROM (SELECT page_id, " + MEDIA_SQL + " AS media, url, "
-          "CASE WHEN contains(url, '#top') THEN 'filtered' ELSE 'rejected' END AS status, "
-          "CASE WHEN contains(url, '#top') THEN 'url_excluded' ELSE 'no_date' END AS reason FROM pages)")
+
+@register("rejects_by_reason", f"SELECT page_id, media, url, {STATUS_SQL} AS status, reason FROM {REASON_SQL} WHERE reason IS NOT NULL")
 def rejects_by_reason(spark, sf):
-    """Rows lost to a missing node, with their reason (no page has a published_time meta)."""
-    _, bad = P.split_rejects(P.extract(table(spark, sf, "pages"), REJECT_PROFILE))
-    return bad
+    """Pages that are no article, with their reason; each reason and both outcomes occur."""
+    return reasons(spark, sf).filter("status <> 'parsed'").select("page_id", "media", F.col("page_url").alias("url"), "status", "reason")
 
 
 @register("source_counts",
-          "SELECT " + MEDIA_SQL + " AS media, count(*) AS n_rows, "
-          "CAST(0 AS BIGINT) AS n_parsed, CAST(sum(CASE WHEN contains(url, '#top') THEN 1 ELSE 0 END) AS BIGINT) AS n_filtered, "
-          "CAST(sum(CASE WHEN contains(url, '#top') THEN 0 ELSE 1 END) AS BIGINT) AS n_rejected FROM pages GROUP BY 1")
+          f"SELECT media, count(*) AS n_rows, count(*) FILTER (s = 'parsed') AS n_parsed, count(*) FILTER (s = 'filtered') AS n_filtered, "
+          f"count(*) FILTER (s = 'rejected') AS n_rejected FROM (SELECT *, {STATUS_SQL} AS s FROM {REASON_SQL}) GROUP BY media")
 def source_counts(spark, sf):
     """Rows, parsed, filtered, rejected per source."""
-    return L.source_counts(P.extract(table(spark, sf, "pages"), REJECT_PROFILE))
+    return L.source_counts(reasons(spark, sf))
 
 
 @register("recency", f"SELECT event_id, ts FROM events WHERE {S.is_fresh('ts', AS_OF_EVENTS)}")
@@ -541,7 +585,7 @@ CAPS_SQL = "CASE " + " ".join(f"WHEN media = {S.lit(m)} THEN {c}" for m, c in EV
           f"FROM {LISTING_SQL}) WHERE rn <= {CAPS_SQL}")
 def source_cap(spark, sf):
     """First N rows per source in crawl order (N per source)."""
-    return L.source_cap(listing(spark, sf), EVENT_CAPS).select("event_id", "media", "rn")
+    return L.source_cap(listing(spark, sf), EVENT_CAPS, tiebreak="event_id").select("event_id", "media", "rn")
 
 
 @register("cap_then_recency",
@@ -649,9 +693,24 @@ def sentiment_default(spark, sf):
                                                 s["neu"].alias("neu"), s["neg"].alias("neg"))
 
 
-@register("classify_default")
+def _keyword_sql() -> str:
+    """The stand-in classifier in SQL: keyword occurrences by length difference, the two best, ties in vocabulary order."""
+    from inkline.operators.enrich import KEYWORDS
+    low = "lower(text)"
+    count = lambda k: f"(length({low}) - length(replace({low}, {S.lit(k)}, ''))) // {len(k)}"
+    rows = ", ".join(f"{{'s': {' + '.join(map(count, KEYWORDS[c]))}, 'o': {-i}, 'c': {S.lit(c)}}}"
+                     for i, c in enumerate(T.CATEGORIES) if c in KEYWORDS)
+    best = f"list_reverse_sort(list_filter([{rows}], lambda x: x.s > 0))"
+    return (f"SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN len(b) = 0 THEN 'Otro' WHEN len(b) = 1 THEN b[1].c "
+            f"ELSE b[1].c || ';' || b[2].c END AS answer FROM (SELECT doc_id, text, {best} AS b FROM documents)")
+
+
+_K1, _K2 = S.parse_labels("answer")
+
+
+@register("classify_default", f"SELECT doc_id, answer, {_K1} AS category_1, {_K2} AS category_2 FROM ({_keyword_sql()})")
 def classify_default(spark, sf):
-    """Pluggable batch classifier via mapInPandas (deterministic keyword stand-in)."""
+    """The pluggable batch classifier (deterministic keyword stand-in) on every whole text."""
     from inkline.operators.enrich import classify
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return classify(docs, "text").select("doc_id", "answer", "category_1", "category_2")
@@ -671,17 +730,22 @@ def benchmark_terms(spark, sf) -> DataFrame:
 
 @register("dictionary_match", DICT_MATCH_SQL)
 def dictionary_match(spark, sf):
-    """T1 + T1b (inline strategy): benchmark passages found in each document, in item order."""
-    terms = fetch_terms(benchmark_terms(spark, sf))
+    """T1 + T1b: benchmark passages found in each document, in item order (any dictionary size)."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return docs.select("doc_id", join_matches(match_inline(F.col("text"), terms)).alias("matches"))
+    return match_by_join(docs, benchmark_terms(spark, sf), out="matches")
 
 
-@register("dictionary_match_join", DICT_MATCH_SQL)
+SHORT_TERMS_SQL = "(SELECT item_id AS ord, substring(text, 1, CAST(3 + item_id % 6 AS INTEGER)) AS term FROM benchmark)"
+
+
+@register("dictionary_match_join",
+          "SELECT d.doc_id, coalesce(m.matches, '') AS matches FROM documents d LEFT JOIN "
+          "(SELECT d.doc_id, string_agg(t.term, ', ' ORDER BY t.ord) AS matches FROM documents d "
+          f"JOIN {SHORT_TERMS_SQL} t ON instr(d.text, t.term) > 0 GROUP BY d.doc_id) m USING (doc_id)")
 def dictionary_match_join(spark, sf):
-    """T1 on the n-gram join strategy (any dictionary size), same result."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    return match_by_join(docs, benchmark_terms(spark, sf), out="matches")
+    """T1 with short terms (3 to 8 characters, as place names are), which are in very many texts."""
+    terms = table(spark, sf, "benchmark").select(F.col("item_id").alias("ord"), F.substring(F.col("text"), F.lit(1), (F.col("item_id") % 6 + 3).cast("int")).alias("term"))
+    return match_by_join(table(spark, sf, "documents").select("doc_id", "text"), terms, out="matches")
 
 
 @register("dictionary_pairs",
@@ -705,14 +769,17 @@ def idempotent_append(spark, sf):
     return new_rows(docs, docs.filter(F.col("lang") == "en"), key="doc_id")
 
 
+COMPLETE_PROFILE = DRIVER_PAGES.with_(paragraphs=STRONG)
+
+
 @register("require_complete",
-          f"SELECT page_id FROM ({FLAGSHIP_SQL}) WHERE " + " AND ".join(
+          f"SELECT page_id FROM ({_extract_sql(STRONG)}) WHERE status = 'parsed' AND " + " AND ".join(
               f"coalesce(CAST({c} AS VARCHAR), '') <> ''" for c in ("title", "subtitle", "body", "published_at",
                                                                      "media", "url")))
 def require_complete(spark, sf):
-    """E19 (strict mode): articles whose required fields are all present and non-empty."""
+    """E19 (strict mode): articles whose required fields are all present and non-empty (pages of one bold paragraph have no body here)."""
     from inkline.plans.articles import require_complete as rc
-    return rc(flagship(spark, sf)).select("page_id")
+    return rc(P.parsed(dated_pages(spark, sf), COMPLETE_PROFILE)).select("page_id")
 
 
 UNION_PROFILES = {
@@ -734,31 +801,23 @@ def _union_sql() -> str:
 
 @register("union_sources", _union_sql())
 def union_sources(spark, sf):
-    """Per-source profiles (keep-set, join) compiled separately, then unionByName."""
-    pages = dated_pages(spark, sf)
-    media = F.expr(PAGES_MEDIA_EXPR)
-    frames = [P.extract(pages.filter(media == lang), prof.with_(media_expr=None, media=lang))
-              .select("page_id", "media", "body") for lang, prof in UNION_PROFILES.items()]
-    return A.union_sources(frames)
+    """All sources into one table: one scan, each page by its own source's keep-set and join."""
+    pages = dated_pages(spark, sf).withColumn("media", F.expr(PAGES_MEDIA_EXPR))
+    return P.parsed(pages, UNION_PROFILES, with_media=False).select("page_id", "media", "body")
 
 
 # ------------------------------------------------------------- streaming ---
 
-STREAM_SQL = _enrich_sql(f"(SELECT * FROM ({_extract_sql()}) WHERE status = 'parsed')")
-
-
-@register("stream_articles", STREAM_SQL)
+@register("stream_articles", EVERY_SQL)
 def stream_articles(spark, sf):
     """The page table read as a stream (availableNow), same Columns as batch.
 
     The stream writes Parquet into the shared checkpoint folder; the result is
     read back in batch (nothing passes through the driver).
     """
-    from inkline.streaming.articles import article_stream, run_available
+    from inkline.streaming.articles import article_stream, read_page_stream, run_available
     path = f"{sf.rstrip('/')}/pages.parquet"
-    schema = spark.read.parquet(path).schema
-    pages = (spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet")
-             .parquet(sf.rstrip("/")).withColumn("published_at", published_at()))
+    pages = read_page_stream(spark, path, spark.read.parquet(path).schema).withColumn("published_at", published_at())
     out = article_stream(pages, DRIVER_PAGES, places=FLAGSHIP_PLACES)
     cols = ["page_id"] + list(A.ARTICLE_COLUMNS)
     result = run_available(out.select(*cols))

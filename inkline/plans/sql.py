@@ -1,8 +1,8 @@
 """DuckDB SQL builders mirroring the Column functions, for the oracle check.
 
-Each builder takes SQL text and returns SQL text using the *same* regex
-constants as the Spark side, so the oracle exercises the same semantics on an
-independent engine.  DuckDB differences handled here: ``'g'`` for global
+Each builder takes SQL text and returns SQL text.  HTML goes by the oracle's
+own patterns (``oracle_patterns``); texts, dates and URLs by the constants that
+define them.  DuckDB differences handled here: ``'g'`` for global
 replace, ``\\1`` instead of ``$1``, ``||`` (NULL if any side is NULL, like
 Spark's ``concat``), 1-based list indexing, ``lambda x:`` syntax.
 """
@@ -13,9 +13,10 @@ import re
 from collections.abc import Sequence
 
 from inkline.functions import dates as D
-from inkline.functions import html as H
 from inkline.functions import text as T
 from inkline.functions import urls as U
+from inkline.functions.html import ParagraphSpec
+from inkline.plans import oracle_patterns as H
 
 
 def lit(s: str) -> str:
@@ -126,8 +127,8 @@ def all_blocks(html: str, open_re: str, end_re: str) -> str:
     return f"regexp_extract_all({html}, {lit(f'(?s){open_re}(.*?){end_re}')}, 1)"
 
 
-def tag_attr(html: str, tag: str, attr: str, where: str | None = None) -> str:
-    tag_txt = rx(html, H.tag_attr_pattern(tag, attr, where), 0)
+def tag_attr(html: str, tag: str, attr: str) -> str:
+    tag_txt = rx(html, H.tag_attr_pattern(tag, attr), 0)
     val = decode_entities(rx(tag_txt, H.attr_value_pattern(attr), 1))
     return f"(CASE WHEN {rlike(tag_txt, H.attr_value_pattern(attr))} THEN {val} END)"
 
@@ -144,7 +145,7 @@ def _parts(x: str, keep: Sequence[str]) -> str:
     return decode_entities(x)
 
 
-def paragraph_stream(container: str, spec: H.ParagraphSpec = H.ParagraphSpec()) -> str:
+def paragraph_stream(container: str, spec: ParagraphSpec = ParagraphSpec()) -> str:
     x = _prepare(container)
     if spec.cls is None:
         x = rr(x, H.open_tag_re(spec.tag), H.PSEP)
@@ -163,13 +164,13 @@ def paragraph_stream(container: str, spec: H.ParagraphSpec = H.ParagraphSpec())
     return x
 
 
-def paragraphs(container: str, spec: H.ParagraphSpec = H.ParagraphSpec()) -> str:
+def paragraphs(container: str, spec: ParagraphSpec = ParagraphSpec()) -> str:
     s = paragraph_stream(container, spec)
     return (f"(CASE WHEN {s} = '' THEN []::VARCHAR[] ELSE "
             f"string_split({rr(s, '^' + H.PSEP)}, {lit(H.PSEP)}) END)")
 
 
-def body_text(container: str, spec: H.ParagraphSpec = H.ParagraphSpec(), join: str = "space",
+def body_text(container: str, spec: ParagraphSpec = ParagraphSpec(), join: str = "space",
               clean: bool = True) -> str:
     s = rr(paragraph_stream(container, spec), "^" + H.PSEP)
     s = rep(s, H.PSEP, " " if join == "space" else "")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,16 +34,16 @@ def get_spark(master: str | None = None, app_name: str = "inkline",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting must point at shared storage and is only read
-    here.  A fresh local folder is created only when the setting is unset and
-    the master is local (tests, the bench), never on a cluster.
+    That setting must point at storage that all executors share and is only
+    read here; without it this fails.  A session on a local master, where
+    driver and executors are one process (tests, the bench), gets a folder of
+    its own in Python's temporary folder instead, made when an operator first asks for it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -52,13 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at shared storage "
-            "before running iterative operators on a cluster")
-    path = tempfile.mkdtemp(prefix="inkline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at storage that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="inkline-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkline.plans.articles import ARTICLE_COLUMNS
+from inkline.sources.tables import ARTICLE_COLUMNS
 
+# --- fixed values -----------------------------------------------------------
 CSV_COLUMNS = ("title", "subtitle", "body", "date", "media", "url", "comunas", "category_1", "pred_1",
                "category_2", "pred_2")
+# --- end of fixed values ----------------------------------------------------
+
+#: Folders that a table's keys are dealt into; a batch reads those of its own keys.
+KEY_FOLDERS = 256
 
 
 def sink_projection(articles: DataFrame) -> DataFrame:
@@ -35,9 +40,10 @@ def write_csv(articles: DataFrame, path: str) -> None:
 
     ``media`` stays a data column, so the partition column is a copy of it.
     Quotes are escaped by doubling and multi-line fields are quoted, so the
-    files read back with ``multiLine``.
+    files read back with ``multiLine``.  Rows of a source are gathered into
+    files of AQE's partition size rather than one for each task.
     """
-    df = csv_projection(articles).withColumn("source", F.col("media"))
+    df = csv_projection(articles).withColumn("source", F.col("media")).hint("rebalance", "source")
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("header", True).option("quote", '"').option("escape", '"')
@@ -64,26 +70,44 @@ def append_jdbc(articles: DataFrame, url: str, table: str, properties: dict | No
     sink_projection(articles).write.mode("append").jdbc(url, table, properties=properties or {})
 
 
+def one_per_key(rows: DataFrame, key: str = "url") -> DataFrame:
+    """One row of each key (NULL is a key too): the smallest by all columns, so a rerun keeps the same one."""
+    first = F.min(F.struct(*(F.col(c) for c in rows.columns)))
+    return rows.groupBy(F.col(key).alias("_key")).agg(first.alias("_row")).select("_row.*")
+
+
 def new_rows(incoming: DataFrame, target: DataFrame, key: str = "url") -> DataFrame:
-    """Rows of ``incoming`` whose key is not in ``target`` (left anti join)."""
-    return incoming.join(target.select(key).distinct(), key, "left_anti")
+    """Rows of ``incoming`` whose key is not in ``target`` (left anti join), one of each key."""
+    return one_per_key(incoming.join(target.select(key).distinct(), key, "left_anti").select(incoming.columns), key)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder of data is there, asked of its own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def idempotent_append(articles: DataFrame, path: str, key: str = "url", partition_by: str | None = "media") -> None:
-    """K2, idempotent: anti-join on ``key`` against the target before appending.
+def key_folder(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(KEY_FOLDERS)).cast("int")
 
-    The target's keys are read once; AQE broadcasts them when small and
-    shuffles both sides on ``key`` otherwise.
+
+def append_new(rows: DataFrame, path: str, key: str = "url") -> None:
+    """Append the rows whose key the table lacks.
+
+    The table is partitioned by a hash of the key, and only the folders that
+    the batch's own keys fall into are read (their list has ``KEY_FOLDERS``
+    entries at most), so a small batch doesn't read the whole table.
     """
-    spark = articles.sparkSession
-    try:
-        target = spark.read.parquet(path)
-        rows = new_rows(sink_projection(articles), target, key)
-    except Exception as exc:  # first run: no table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        rows = sink_projection(articles)
-    w = rows.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    spark = rows.sparkSession
+    batch = one_per_key(rows, key).withColumn("key_folder", key_folder(key))
+    if table_exists(spark, path):
+        folders = [r[0] for r in batch.select("key_folder").distinct().collect()]
+        target = spark.read.parquet(path).filter(F.col("key_folder").isin(folders)).select(key, "key_folder")
+        same = batch[key].eqNullSafe(target[key]) & (batch["key_folder"] == target["key_folder"])
+        batch = batch.join(target, same, "left_anti")
+    batch.write.mode("append").partitionBy("key_folder").parquet(path)
+
+
+def idempotent_append(articles: DataFrame, path: str, key: str = "url") -> None:
+    """K2, idempotent: a rerun, or a row that comes twice, adds nothing."""
+    append_new(sink_projection(articles), path, key)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# --- fixed values -----------------------------------------------------------
+# Output columns, in the order of the table's insert list.
 ARTICLE_SCHEMA = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("subtitle", T.StringType()),
@@ -28,6 +30,9 @@ ARTICLE_SCHEMA = T.StructType([
     T.StructField("neg", T.DoubleType()),
 ])
 
+# --- end of fixed values ----------------------------------------------------
+ARTICLE_COLUMNS = tuple(ARTICLE_SCHEMA.fieldNames())
+
 RAW_PAGES_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("media", T.StringType()),
@@ -43,8 +48,8 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
     ``parquet`` / ``json`` read columns as stored (the scan prunes ``html``
     when a query does not need it).  ``html`` reads raw files one page per
-    file (``wholetext``): the file path becomes the URL and a hash of it the
-    page id.
+    file (``wholetext``): the file path becomes the URL, which is the key of
+    such a page; ``page_id`` numbers the rows of one read.
     """
     if fmt == "parquet":
         return spark.read.parquet(path)
@@ -53,34 +58,23 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     if fmt == "html":
         raw = spark.read.option("wholetext", True).text(path)
         src = F.input_file_name()
-        return raw.select(F.xxhash64(src).alias("page_id"), src.alias("url"), F.col("value").alias("html"))
+        return raw.select(F.monotonically_increasing_id().alias("page_id"), src.alias("url"), F.col("value").alias("html"))
     raise ValueError(f"unknown page format {fmt!r}")
 
 
 def read_dictionary(spark: SparkSession, path: str, fmt: str = "csv", column: str = "term") -> DataFrame:
-    """An ordered term list ``(ord, term)``.
-
-    CSV/Parquet files carry ``ord`` and ``term`` columns; a plain text file
-    has one term per line and its line order is kept by
-    ``zipWithIndex``-free means: the file is read as one partition per file
-    and numbered with ``monotonically_increasing_id`` (ordered within a file).
-    """
+    """An ordered term list ``(ord, term)``; files carry both columns, as line order isn't kept over splits."""
     if fmt == "csv":
-        return spark.read.option("header", True).schema("ord INT, term STRING").csv(path)
-    if fmt == "parquet":
-        return spark.read.parquet(path).select(F.col("ord").cast("int"), F.col(column).alias("term"))
-    if fmt == "text":
-        df = spark.read.text(path).select(F.col("value").alias("term"))
-        return df.select(F.monotonically_increasing_id().alias("ord"), "term")
+        return spark.read.option("header", True).schema(f"ord BIGINT, {column} STRING").csv(path).select("ord", F.col(column).alias("term"))
+    if fmt in ("parquet", "json"):
+        return spark.read.format(fmt).load(path).select(F.col("ord").cast("bigint").alias("ord"), F.col(column).alias("term"))
     raise ValueError(f"unknown dictionary format {fmt!r}")
 
 
-def read_stopwords(spark: SparkSession, path: str, limit: int = 10_000) -> list[str]:
-    """S3: a stopword file, one word per line, fetched with a size bound."""
-    rows = spark.read.text(path).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"stopword list larger than {limit}; use a join instead of an array literal")
-    return [r[0].strip() for r in rows if r[0].strip()]
+def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
+    """S3: a stopword file, one word per line, as a table of distinct words."""
+    word = F.trim(F.col("value"))
+    return spark.read.text(path).select(word.alias("word")).filter("word <> ''").distinct()
 
 
 def seeds_frame(spark: SparkSession, seeds: dict[str, Iterable[str]]) -> DataFrame:
@@ -101,19 +95,3 @@ def conform_articles(df: DataFrame, key: str | None = None) -> DataFrame:
         cols.append(c.alias(f.name))
     out = df.select(*([F.col(key)] if key else []), *cols)
     return out
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a text table on ``key`` when its scan is narrower than the cluster.
-
-    Text extraction is CPU-bound per row; a table stored as one row group
-    scans as one task.  Only then is it spread over ``defaultParallelism``
-    partitions, by a hash of the key (deterministic on retry, and reusable by
-    a later join on the key).  A large input already has more scan splits
-    than cores and is left alone, so no shuffle is added at scale.
-    """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, F.col(key))

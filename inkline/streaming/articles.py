@@ -10,35 +10,38 @@
   append, so a replayed micro-batch writes nothing twice.
 * R4 ``fresh_at_fetch`` - recency against the event column ``fetched_at``
   (replayable) rather than the wall clock.
-* R5 ``capped_stream`` - per-source caps across micro-batches with
-  ``applyInPandasWithState``; the state per source is (emitted, stopped).
-  Exact only if each source's pages arrive in crawl order across batches.
+* R5 ``capped_sink`` - W1 caps and W2 prefix stop across micro-batches, in
+  ``foreachBatch`` with the batch operators and a small progress table.
+  Exact if each source's pages arrive in crawl order across batches.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from inkline.functions import text as TX
 from inkline.functions import urls as U
-from inkline.operators.profiles import Profile, extract
+from inkline.operators import limits as L
+from inkline.operators.profiles import Profile, parsed
 from inkline.plans.articles import enrich
 from inkline.session import scratch_path
+from inkline.sources.sinks import append_new, table_exists
 
 FETCH_WATERMARK = "2 days"   # the 48 h freshness bound of P5
 
 
 def read_page_stream(spark: SparkSession, path: str, schema: T.StructType | str,
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """R1 source: Parquet files of pages arriving in ``path``."""
+    """R1 source: Parquet files of pages arriving in the folder ``path``, or the one file ``path``."""
     r = spark.readStream.schema(schema)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        r, path = r.option("pathGlobFilter", at.getName()), at.getParent().toString()
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(path)
@@ -48,8 +51,7 @@ def article_stream(pages: DataFrame, profile: Profile, places: Sequence[str] = (
                    stopwords: Sequence[str] = TX.DEFAULT_STOPWORDS,
                    phrases: Sequence[str] = TX.GORE_PHRASES) -> DataFrame:
     """Parsed pages -> enriched article rows (no cap, no window)."""
-    rows = extract(pages, profile).filter(F.col("status") == "parsed")
-    out = enrich(rows, places, stopwords, phrases)
+    out = enrich(parsed(pages, profile), places, stopwords, phrases)
     return out.withColumn("category_1", F.lit("")).withColumn("category_2", F.lit(""))
 
 
@@ -66,57 +68,63 @@ def fresh_at_fetch(df: DataFrame, published: str = "published_at", fetched_at: s
     return df.filter(F.col(published) > F.timestamp_add("HOUR", F.lit(-48), fetched_wall))
 
 
-def idempotent_sink(path: str, key: str = "url", partition_by: str | None = None):
-    """A ``foreachBatch`` function appending only keys the target lacks."""
+def idempotent_sink(path: str, key: str = "url"):
+    """A ``foreachBatch`` function appending only keys the target lacks, one row of each."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            target = spark.read.parquet(path).select(key)
-            rows = batch.join(target.distinct(), key, "left_anti")
-        except Exception as exc:  # first batch: the table does not exist yet
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
-            rows = batch
-        rows = rows.dropDuplicates([key])
-        w = rows.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(path)
+        append_new(batch, path, key)
 
     return write
 
 
-def capped_stream(rows: DataFrame, caps: dict[str, int], media: str = "media",
-                  order: str = "crawl_seq") -> DataFrame:
-    """At most ``caps[media]`` rows per source over the whole stream.
+def capped_sink(path: str, caps: dict[str, int], stale: Column | None = None, stop: Sequence[str] = (),
+                media: str = "media", order: str = "crawl_seq"):
+    """A ``foreachBatch`` function with W1 and W2 over the whole stream.
 
-    Within a micro-batch a source's rows arrive in Arrow chunks; only the
-    ``remaining`` smallest crawl positions can still be emitted, so the
-    function keeps at most that many rows while it reads the chunks (bounded
-    by the cap, never the group size).
+    At most ``caps[media]`` rows of a source are appended over all batches; a
+    source without a cap keeps every row, as in batch; a source in ``stop``
+    ends for good with its first ``stale`` row.  How far each source has come
+    is a small table beside the output (one row per source and batch), written
+    before the rows of the batch and keyed by it, so a batch that runs again
+    reads the same state and gives the same rows.  Ranks use
+    :func:`~inkline.operators.limits.source_cap`: rows are salted and cut
+    map-side, so a hot source isn't one group.  Exact if a source's pages
+    arrive in crawl order across batches.
     """
-    schema = rows.schema
-    state_schema = T.StructType([T.StructField("emitted", T.LongType()), T.StructField("stopped", T.BooleanType())])
-    cap_default = max(caps.values()) if caps else 0
-
-    def step(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        emitted, stopped = state.get if state.exists else (0, False)
-        cap = caps.get(key[0], cap_default)
-        remaining = 0 if stopped else max(cap - emitted, 0)
-        best = None
-        for chunk in chunks:
-            if remaining == 0:
-                continue
-            cand = chunk if best is None else pd.concat([best, chunk], ignore_index=True)
-            best = cand.nsmallest(remaining, order) if len(cand) > remaining else cand
-        out = best.sort_values(order) if best is not None else pd.DataFrame(columns=schema.fieldNames())
-        emitted += len(out)
-        state.update((emitted, emitted >= cap))
-        yield out
-
-    return rows.groupBy(media).applyInPandasWithState(
-        step, schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        state_path = f"{path.rstrip('/')}_progress"
+        state = None
+        if table_exists(spark, state_path):
+            state = (spark.read.parquet(state_path).filter(F.col("epoch") < epoch_id)
+                     .groupBy(F.col("media").alias("_m")).agg(F.sum("emitted").alias("_done"), F.max("stopped").alias("_stopped")))
+        rows = L.source_cap(batch.withColumn("_stale", F.coalesce(stale, F.lit(False)) & F.col(media).isin(*stop) if stop else F.lit(False)), caps, media, order)
+        if state is not None:
+            rows = rows.join(state, F.col(media).eqNullSafe(F.col("_m")), "left").drop("_m")
+        else:
+            rows = rows.withColumn("_done", F.lit(0)).withColumn("_stopped", F.lit(False))
+        left = F.coalesce(L.cap_column(caps, F.col(media)) - F.coalesce("_done", F.lit(0)), F.lit(1 << 62)) if caps else F.lit(1 << 62)
+        rows = rows.filter(~F.coalesce("_stopped", F.lit(False)) & (F.col("rn").isNull() | (F.col("rn") <= left))).drop("_done", "_stopped")
+        scratch = scratch_path(spark, f"capped/{uuid.uuid4().hex}")
+        rows.write.parquet(scratch)  # narrow work once: counts and rows come from the same table
+        rows = spark.read.schema(rows.schema).parquet(scratch)
+        first = rows.filter("_stale").groupBy(F.col(media).alias("_m")).agg(F.min(order).alias("_first"))
+        kept = (rows.join(first, F.col(media).eqNullSafe(F.col("_m")), "left")
+                .filter(F.col("_first").isNull() | (F.col(order) < F.col("_first"))))
+        progress = rows.join(first, F.col(media).eqNullSafe(F.col("_m")), "left").groupBy(F.col(media).alias("media")).agg(
+            F.count(F.when(F.col("_first").isNull() | (F.col(order) < F.col("_first")), 1)).alias("emitted"), F.max("_stale").alias("stopped"))
+        progress.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(f"{state_path}/batch={epoch_id}")
+        kept.select(batch.columns).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={epoch_id}")
+
+    return write
+
+
+def run_sink(df: DataFrame, sink, name: str | None = None) -> None:
+    """Run a stream with ``availableNow`` through a ``foreachBatch`` function."""
+    chk = scratch_path(df.sparkSession, f"streams/{name or uuid.uuid4().hex}/checkpoint")
+    q = df.writeStream.foreachBatch(sink).option("checkpointLocation", chk).trigger(availableNow=True).start()
+    q.awaitTermination()
 
 
 def run_available(df: DataFrame, name: str | None = None, fmt: str = "parquet") -> str:

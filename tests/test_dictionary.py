@@ -9,11 +9,11 @@ def brute(docs, terms):
     return {d: ", ".join(t for _, t in sorted(terms) if t and t in txt) for d, txt in docs}
 
 
-def test_strategies_agree_with_brute_force(spark):
+def test_join_and_inline_agree_with_brute_force(spark):
     random.seed(3)
     alphabet = "abcá "
     docs = [(i, "".join(random.choice(alphabet) for _ in range(random.randint(0, 80)))) for i in range(60)]
-    terms = [(i, "".join(random.choice(alphabet) for _ in range(random.randint(3, 6)))) for i in range(25)]
+    terms = [(i, "".join(random.choice(alphabet) for _ in range(random.randint(1, 6)))) for i in range(25)]
     ddf = spark.createDataFrame(docs, "doc_id long, text string")
     tdf = spark.createDataFrame(terms, "ord long, term string")
     want = brute(docs, terms)
@@ -23,17 +23,36 @@ def test_strategies_agree_with_brute_force(spark):
     assert inline == want and joined == want
 
 
+def test_five_thousand_terms_of_any_length(spark):
+    random.seed(5)
+    texts = ["".join(random.choice("abcdé ") for _ in range(n)) for n in (0, 2, 511, 512, 513, 1500, 4000)]
+    terms = []
+    for i in range(5000):
+        n, t = random.randint(3, 400), random.choice(texts[2:])
+        at = random.randrange(max(1, len(t) - n + 1))
+        terms.append((i, t[at:at + n] if i % 2 else "".join(random.choice("abcdé ") for _ in range(min(n, 9)))))
+    docs = list(enumerate(texts))
+    got = {r.doc_id: r.m for r in DI.match_by_join(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                   spark.createDataFrame(terms, "ord long, term string"), out="m").collect()}
+    assert got == brute(docs, terms)
+
+
+def test_equal_and_null_ids(spark):
+    ddf = spark.createDataFrame([(1, "de Lota"), (1, "a Lota"), (None, "Lota"), (2, None), (3, "")], "doc_id long, text string")
+    tdf = spark.createDataFrame([(1, "Lota"), (2, "a"), (2, "a"), (3, ""), (4, None)], "ord long, term string")
+    rows = DI.match_by_join(ddf, tdf).collect()
+    assert sorted((r.doc_id or 0, r.matches) for r in rows) == [(0, "Lota, a"), (1, "Lota, a"), (1, "Lota, a"), (2, ""), (3, "")]
+    assert DI.match_by_join(ddf, tdf.limit(0)).filter("matches <> ''").count() == 0
+
+
+def test_no_text_is_shuffled(spark):
+    ddf = spark.createDataFrame([(1, "de Lota")], "doc_id long, text string").repartition(2)
+    tdf = spark.createDataFrame([(1, "Lota")], "ord long, term string")
+    plan = DI.match_pairs(ddf, tdf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [text#" not in plan and "hashpartitioning(text#" not in plan
+
+
 def test_substring_semantics_are_case_and_accent_sensitive(spark):
     ddf = spark.createDataFrame([(1, "Vivo en Maipú y en la florida")], "doc_id long, text string")
     r = ddf.select(DI.join_matches(DI.match_inline(F.col("text"), ["La Florida", "Maipú", "Maipu", "Ñuñoa"]))).first()
     assert r[0] == "Maipú"
-
-
-def test_fetch_terms_is_bounded(spark):
-    tdf = spark.createDataFrame([(i, f"t{i}") for i in range(10)], "ord long, term string")
-    assert DI.fetch_terms(tdf, max_terms=10)[:2] == ["t0", "t1"]
-    try:
-        DI.fetch_terms(tdf, max_terms=5)
-        raise AssertionError("expected DictionaryTooLarge")
-    except DI.DictionaryTooLarge:
-        pass

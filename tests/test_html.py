@@ -68,9 +68,9 @@ def test_container_and_computed_class(spark):
     html = '<meta name="identrada" content="77"><div class="banners-contenido-nota-77"><p>x</p></div>'
     key = H.meta_content(F.col("x"), "identrada", key="name")
     got = spark.createDataFrame([(html,)], "x string").select(
-        H.block_after_key(F.col("x"), "div", "banners-contenido-nota-", key, H.close_tag_re("div"))).first()[0]
+        H.block_after_key(F.col("x"), "div", "banners-contenido-nota-", key)).first()[0]
     assert got == "<p>x</p>"
-    assert one(spark, lambda c: H.first_block(F.col(c), H.open_tag_re("main"), "</main>"), "<p>x</p>") is None
+    assert one(spark, lambda c: H.first_block(F.col(c), H.open_tag_re("main"), "main"), "<p>x</p>") is None
 
 
 def test_extract_content_and_remove_first(spark):
@@ -83,3 +83,40 @@ def test_paragraph_class_selector(spark):
     spec = H.ParagraphSpec("p", "paragraph", ("a", "b"))
     html = '<p class="paragraph">uno</p><p>fuera</p><p class="paragraph">dos'
     assert one(spark, lambda c: H.body_text(F.col(c), spec), html) == "uno dos"
+
+
+def test_kept_children_keep_all_their_text(spark):
+    html = "<p>uno <a>dos <em>tres</em> cuatro</a> <strong><span>cinco</span></strong> <em>no <a>nada</a></em>fin</p>"
+    assert body(spark, html) == "uno  dos tres cuatro   cinco   fin"
+    assert body(spark, "<p><strong>a <a href='x'>b</a> c</strong><a>d <strong>e</strong></a></p>") == "a b c d e"
+    assert body(spark, "<p>x <span>a <span>b</span> c</span> y <i>sin fin</p><p>z</p>") == "x   y z"
+    assert body(spark, "<p>x <custom-tag>no</custom-tag><script>if (a<b) {}</script>y</p>") == "x  y"
+
+
+def test_case_and_quoting(spark):
+    assert body(spark, "<P CLASS=x>Uno <STRONG>dos</STRONG></P><p>Tres<BR/>Cuatro</p>") == "Uno  dos Tres Cuatro"
+    for html in ("<META PROPERTY='og:title' CONTENT='T'>", "<meta property=og:title content=T>", '<meta content="T" property="og:title"/>'):
+        assert one(spark, lambda c: H.meta_content(F.col(c), "og:title"), html) == "T"
+
+
+def test_container_ends_where_it_closes(spark):
+    html = '<div class="x"><div class="body wide"><p>Uno.</p><div class="ad">x<div>y</div></div><P>Dos.</P></div><p>fuera</p></div>'
+    found = one(spark, lambda c: H.first_block(F.col(c), H.class_open_re("div", "body"), "div"), html)
+    assert found == '<p>Uno.</p><div class="ad">x<div>y</div></div><P>Dos.</P>'
+    assert one(spark, lambda c: H.first_block(F.col(c), H.class_open_re("div", "body"), "div"), '<div class="body">a<div>b</div>') == "a<div>b</div>"
+    assert one(spark, lambda c: H.first_block(F.col(c), H.class_exact_re("div", "body"), "div"), html) is None
+    assert one(spark, lambda c: H.first_block(F.col(c), H.class_open_re("div", "body wide"), "div"), html) == found
+    assert one(spark, lambda c: H.first_block(F.col(c), H.class_open_re("div", "bod"), "div"), html) is None
+
+
+def test_nested_div_paragraphs(spark):
+    spec = H.ParagraphSpec("div", None, ("a", "b"), nested=True)
+    html = "<div>Uno <b>dos</b> <i>no</i><div>dentro</div> tres</div><div>Cuatro</div>cola"
+    assert one(spark, lambda c: H.paragraphs(F.col(c), spec), html) == ["Uno  dos    tres", "dentro", "Cuatro"]
+    assert body(spark, html, spec, "glued") == "Uno  dos    tresdentroCuatro"
+    assert one(spark, lambda c: H.paragraphs(F.col(c), spec), "nada") == []
+
+
+def test_named_and_numeric_entities(spark):
+    html = "<p>&ntilde;&eacute; &#8220;x&#8221; &hellip; &#241; &#xF1; &#128512; &amp;ntilde; &nada; &#0; R&D &lt;b&gt; &Ntilde;</p>"
+    assert body(spark, html) == "ñé “x” … ñ ñ 😀 &ntilde; &nada; \ufffd R&D <b> Ñ"

@@ -49,3 +49,30 @@ def test_source_counts(spark):
     df = spark.createDataFrame([("a", "parsed"), ("a", "rejected"), ("b", "filtered")], "media string, status string")
     got = {r.media: (r.n_rows, r.n_parsed, r.n_filtered, r.n_rejected) for r in L.source_counts(df).collect()}
     assert got == {"a": (2, 1, 0, 1), "b": (1, 0, 1, 0)}
+
+
+def test_large_cap_limits_before_the_exchange(spark):
+    df = spark.range(20000).selectExpr("'hot' AS media", "id AS crawl_seq", "id % 7 AS x")
+    out = L.top_n(df, "media", "crawl_seq", 5000, salt_buckets=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert sorted(r.crawl_seq for r in out.collect()) == list(range(5000))
+
+
+def test_ties_go_by_the_tiebreak(spark):
+    df = spark.createDataFrame([("a", 1, i) for i in range(20)], "media string, crawl_seq long, page_id long")
+    assert sorted(r.page_id for r in L.source_cap(df, {"a": 3}, tiebreak="page_id").collect()) == [0, 1, 2]
+
+
+def test_source_cap_reads_once(spark):
+    df = spark.createDataFrame([("a", i) for i in range(10)] + [(None, 1), ("b", 2)], "media string, crawl_seq long")
+    out = L.source_cap(df, {"a": 3})
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert sorted((r.media or "", r.rn or 0) for r in out.collect()) == [("", 0), ("a", 1), ("a", 2), ("a", 3), ("b", 0)]
+
+
+def test_bounded_prefix_stop(spark):
+    df = spark.createDataFrame([(m, i, (m, i) == ("a", 3)) for m in "ab" for i in range(6)], "media string, crawl_seq long, stale boolean")
+    for bounded in (True, False):
+        out = L.prefix_stop(df, F.col("stale"), bounded=bounded)
+        assert sorted((r.media, r.crawl_seq) for r in out.collect()) == [("a", i) for i in range(3)] + [("b", i) for i in range(6)]

@@ -12,6 +12,9 @@ CASES = {
     "?q=2": "https://www.site.cl/a/b/page.html?q=2",
     "#f": "https://www.site.cl/a/b/page.html?x=1#f",
     "": "https://www.site.cl/a/b/page.html?x=1",
+    "../up": "https://www.site.cl/a/up",
+    "./x/../y/.": "https://www.site.cl/a/b/y/",
+    "/../../z?a=/../b": "https://www.site.cl/z?a=/../b",
 }
 
 
@@ -59,11 +62,40 @@ def test_route_first_rule_wins(spark):
     assert got == {"https://s.cl/n/2023/x": (0, True, False), "https://s.cl/page/2": (1, False, True)}
 
 
+def test_hrefs_in_any_writing(spark):
+    html = ("<A HREF='/x'>1</A><a class=c href=/y>2</a><a data-href='no' href=\"/z?a=1&amp;b=2\">3</a>"
+            "<!-- <a href='/comment'> --><script>var s = '<a href=\"/script\">';</script>")
+    p = spark.createDataFrame([(1, "https://s.cl/p", html)], "page_id long, url string, html string")
+    assert [r.dst_url for r in LK.extract_links(p).collect()] == ["https://s.cl/x", "https://s.cl/y", "https://s.cl/z?a=1&b=2"]
+
+
+def test_rules_with_regions(spark):
+    html = ('<a class="next page-numbers" href="/page/2">next</a><div class="titulares"><h2><a href="/n/1">1</a></h2><a href="/no">x</a></div>'
+            '<div class="titulares"><div><h2><a href="/n/2">2</a></h2></div></div><h2><a href="/fuera">f</a></h2>')
+    rules = [LK.LinkRule(anchor_class="next page-numbers"), LK.LinkRule(region=("div.titulares", "h2"), is_item=True, follow=False),
+             LK.LinkRule(allow=("fuera|page",), is_item=True)]
+    p = spark.createDataFrame([("https://s.cl/", html)], "url string, html string")
+    got = p.select(F.explode(LK.rule_links(F.col("url"), F.col("html"), rules)).alias("l")).select("l.*").collect()
+    assert {(r.dst_url[12:], r.rule_id, r.is_item, r.follow) for r in got} == {
+        ("/page/2", 0, False, True), ("/n/1", 1, True, False), ("/n/2", 1, True, False), ("/fuera", 2, True, True)}
+
+
+def test_closure_keeps_items(spark):
+    rows = [(1, "https://s.cl/list", '<a href="/page/2">2</a><a href="/nota/1">n</a>'), (2, "https://s.cl/page/2", '<a href="/nota/2">n</a>'),
+            (3, "https://s.cl/nota/1", '<a href="/nota/3">not from here</a>'), (4, "https://s.cl/page/2", '<a href="/list">same page again</a>')]
+    p = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seeds = spark.createDataFrame([("https://s.cl/list",)], "url string")
+    rules = [LK.LinkRule(allow=("page/",)), LK.LinkRule(allow=("nota/",), is_item=True, follow=False)]
+    got = {r.canon_url[13:]: (r.depth, r.page_id) for r in LK.crawl_closure(p, seeds, rules).collect()}
+    assert got == {"list": (0, 1), "page/2": (1, 2), "nota/1": (1, 3), "nota/2": (2, None)}
+
+
 def test_closure_on_a_cycle(spark):
     rows = [(1, "https://s.cl/a", '<a href="/b">'), (2, "https://s.cl/b", '<a href="/c">'),
             (3, "https://s.cl/c", '<a href="/a"><a href="/d">')]
     p = spark.createDataFrame(rows, "page_id long, url string, html string")
     seeds = spark.createDataFrame([("https://s.cl/a",)], "url string")
-    got = {r.canon_url: (r.depth, r.page_id) for r in LK.crawl_closure(p, seeds, max_depth=10).collect()}
+    got = {r.canon_url: (r.depth, r.page_id) for r in LK.crawl_closure(p, seeds).collect()}
     assert got == {"https://s.cl/a": (0, 1), "https://s.cl/b": (1, 2), "https://s.cl/c": (2, 3),
                    "https://s.cl/d": (3, None)}
+    assert {r.depth for r in LK.crawl_closure(p, seeds, max_depth=1).collect()} == {0, 1}

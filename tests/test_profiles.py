@@ -28,7 +28,7 @@ PAGES = {
              '<meta property="og:description" content="Bajada">'
              '<div id="texto_noticia"><div>Uno <b>dos</b> <i>no</i></div><div>Tres</div></div>'
              '<meta property="article:published_time" content="2023-05-04T10:00:00Z">'),
-    "latercera": ("https://www.latercera.com/n", '<h1>Título LT</h1><p class="excerpt">Bajada</p>'
+    "latercera": ("https://www.latercera.com/n", '<h1><div>Título LT</div></h1><p class="excerpt">Bajada</p>'
                   '<p class="paragraph">Uno <b>dos</b></p><p>fuera</p><p class="paragraph">Tres</p>'
                   '<meta property="article:published_time" content="2023-05-04T10:00:00.000Z">'),
     "publimetro": ("https://www.publimetro.cl/n", '<h1>Título PM</h1>'
@@ -105,3 +105,44 @@ def test_article_plan_caps_then_recency(spark):
     r = out[0]
     assert r.comunas == "enlace, Segundo" and r.sentiment == "NEU" and r.category_1 == ""
     assert r.clean_body == "primer enlace fuerte fin segundo"
+
+
+def mixed(spark):
+    rows = [(i, url, html) for i, (url, html) in enumerate(PAGES.values())] + [(99, "https://otro.cl/x", "<h1>x</h1>")]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_all_sources_in_one_scan(spark):
+    out = extract(mixed(spark), REGISTRY)
+    got = {r.media: (r.title, r.subtitle, r.body, r.published_at) for r in out.collect() if r.media}
+    assert got == EXPECTED
+    lost = [r for r in out.collect() if r.media is None]
+    assert [(r.page_id, r.status, r.reason) for r in lost] == [(99, "rejected", "unknown_host")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_mixed_plan_equals_each_source_alone(spark):
+    as_of = "2023-05-05 08:00:00"
+    together = {r.media: r for r in articles(mixed(spark), REGISTRY, as_of).collect()}
+    for media in ("adnradio", "biobio", "emol", "eldinamo"):
+        alone = articles(frame(spark, media, *PAGES[media]), REGISTRY[media], as_of).collect()
+        assert [r.asDict() | {"page_id": 0} for r in alone] == ([together[media].asDict() | {"page_id": 0}] if media in together else []), media
+    assert set(together) <= set(PAGES) and "emol" in together
+
+
+def test_nested_divs_and_second_classes(spark):
+    for media, (url, html) in PAGES.items():
+        if media in ("latercera", "emol"):
+            continue
+        inner = P.replace("</p><p>Segundo", '</p><div class="ad">x<div>y</div></div><p>Segundo')
+        r = extract(frame(spark, media, url, html.replace(P, inner)), REGISTRY[media]).first()
+        assert r.body == EXPECTED[media][2], media
+    for media, cls in (("cnnchile", "main-single-body__content"), ("eldinamo", "the-content"), ("theclinic", "the-content")):
+        url, html = PAGES[media]
+        r = extract(frame(spark, media, url, html.replace(f'class="{cls}"', f'class="a {cls} b"')), REGISTRY[media]).first()
+        assert (r.status, r.body) == ("parsed", EXPECTED[media][2])
+
+
+def test_every_source_has_seeds_rules_and_hosts():
+    assert all(p.seeds and p.rules and p.hosts for p in REGISTRY.values())

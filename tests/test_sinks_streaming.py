@@ -41,23 +41,90 @@ def test_stream_equals_batch(spark):
     batch = Q.QUERIES["stream_articles"]  # same key; compare against batch extraction + enrichment
     from inkline.operators.builtin_profiles import DRIVER_PAGES
     from inkline.plans.articles import enrich
-    from inkline.operators.profiles import extract
-    rows = extract(Q.dated_pages(spark, SF), DRIVER_PAGES).filter("status = 'parsed'")
-    b = enrich(rows, Q.FLAGSHIP_PLACES).select("page_id", "clean_body")
+    from inkline.operators.profiles import parsed
+    b = enrich(parsed(Q.dated_pages(spark, SF), DRIVER_PAGES), Q.FLAGSHIP_PLACES).select("page_id", "clean_body")
     assert sorted(streamed.select("page_id", "clean_body").collect()) == sorted(b.collect())
     assert batch is not None
 
 
-def test_capped_stream_across_batches(spark):
-    base = tempfile.mkdtemp(prefix="inkline-stream-")
-    src = os.path.join(base, "in")
-    for part, rng in enumerate([range(0, 6), range(6, 12)]):
-        spark.createDataFrame([("a", i) for i in rng] + [("b", i) for i in rng], "media string, crawl_seq long") \
-            .coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema("media string, crawl_seq long").option("maxFilesPerTrigger", 1).parquet(src)
-    out = ST.run_available(ST.capped_stream(stream, {"a": 4, "b": 8}))
+def stream_of(spark, batches, schema):
+    src = os.path.join(tempfile.mkdtemp(prefix="inkline-stream-"), "in")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    return ST.read_page_stream(spark, src, schema, max_files_per_trigger=1), src + "-out"
+
+
+def test_caps_across_batches(spark):
+    batches = [[(m, i) for m in "abc" for i in rng] for rng in (range(0, 6), range(6, 12))]
+    stream, out = stream_of(spark, batches, "media string, crawl_seq long")
+    ST.run_sink(stream, ST.capped_sink(out, {"a": 4, "b": 8}))
     got = spark.read.parquet(out)
-    assert got.filter("media = 'a'").count() == 4 and got.filter("media = 'b'").count() == 8
+    assert sorted(r.crawl_seq for r in got.filter("media = 'a'").collect()) == [0, 1, 2, 3]
+    assert sorted(r.crawl_seq for r in got.filter("media = 'b'").collect()) == list(range(8))
+    assert got.filter("media = 'c'").count() == 12      # no cap: every row, as in batch
+
+
+def test_prefix_stop_across_batches(spark):
+    batches = [[("a", 0, False), ("a", 1, True), ("a", 2, False), ("b", 0, True), ("b", 1, False)], [("a", 3, False), ("b", 2, False)]]
+    stream, out = stream_of(spark, batches, "media string, crawl_seq long, stale boolean")
+    ST.run_sink(stream, ST.capped_sink(out, {"a": 9, "b": 9}, F.col("stale"), stop=["a"]))
+    assert sorted((r.media, r.crawl_seq) for r in spark.read.parquet(out).collect()) == [("a", 0), ("b", 0), ("b", 1), ("b", 2)]
+
+
+def test_stream_sink_is_idempotent(spark):
+    batches = [[("u1", 1), ("u1", 2), ("u2", 1)], [("u2", 0), ("u3", 1)]]
+    stream, out = stream_of(spark, batches, "url string, n int")
+    sink = ST.idempotent_sink(out)
+    ST.run_sink(stream, sink)
+    sink(spark.createDataFrame(batches[0], "url string, n int"), 7)  # a batch that comes again
+    assert sorted((r.url, r.n) for r in spark.read.parquet(out).select("url", "n").collect()) == [("u1", 1), ("u2", 1), ("u3", 1)]
+
+
+def test_fresh_at_fetch(spark):
+    df = spark.createDataFrame([(1, "2024-01-01 00:00:01", "2024-01-03 00:00:00"), (2, "2024-01-01 00:00:00", "2024-01-03 00:00:00"), (3, "2024-02-01 00:00:00", "2024-01-03 00:00:00")],
+                               "i int, p string, f string").select("i", F.col("p").cast("timestamp_ntz").alias("published_at"), F.col("f").cast("timestamp").alias("fetched_at"))
+    assert sorted(r.i for r in ST.fresh_at_fetch(df).collect()) == [1, 3]
+
+
+def test_multi_file_page_table(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    sf = tempfile.mkdtemp(prefix="inkline-sf-")
+    pages.repartition(3).write.parquet(f"{sf}/pages.parquet")
+    assert Q.stream_articles(spark, sf).count() == pages.count()
+
+
+def test_sinks_in_order(spark):
+    from inkline.operators.builtin_profiles import DRIVER_PAGES
+    from inkline.operators.enrich import keyword_classifier
+    from inkline.plans.articles import run_sinks
+    base = tempfile.mkdtemp(prefix="inkline-k4-")
+    run_sinks(Q.dated_pages(spark, SF), DRIVER_PAGES, Q.AS_OF_PAGES, f"{base}/csv", f"{base}/table", classifier=keyword_classifier)
+    csv, table = K.read_csv(spark, f"{base}/csv"), spark.read.parquet(f"{base}/table")
+    assert csv.count() == table.count() > 0
+    assert csv.filter("category_1 <> ''").count() == 0      # written before categories are filled
+    assert table.filter("category_1 IS NULL").count() == 0
+
+
+def test_utf8_csv(spark):
+    rows = spark.createDataFrame([("ñandú “x”\nlínea, \"dos\"", "m")], "title string, media string")
+    path = os.path.join(tempfile.mkdtemp(prefix="inkline-utf8-"), "out")
+    K.write_csv(conform_articles(rows), path)
+    assert K.read_csv(spark, path).first().title == "ñandú “x”\nlínea, \"dos\""
+    assert any("ñandú".encode() in open(os.path.join(d, f), "rb").read() for d, _, fs in os.walk(path) for f in fs if f.endswith(".csv"))
+
+
+def test_dictionary_stopword_and_seed_sources(spark):
+    from inkline.operators.builtin_profiles import REGISTRY
+    from inkline.sources.tables import read_dictionary, read_stopwords, seeds_frame
+    base = tempfile.mkdtemp(prefix="inkline-src-")
+    with open(f"{base}/d.csv", "w", encoding="utf-8") as f:
+        f.write("ord,term\n2,Lota\n1,Maipú\n")
+    with open(f"{base}/s.txt", "w", encoding="utf-8") as f:
+        f.write("de\n la \n\nde\n")
+    assert [tuple(r) for r in read_dictionary(spark, f"{base}/d.csv").orderBy("ord").collect()] == [(1, "Maipú"), (2, "Lota")]
+    assert sorted(r.word for r in read_stopwords(spark, f"{base}/s.txt").collect()) == ["de", "la"]
+    seeds = seeds_frame(spark, {m: p.seeds for m, p in REGISTRY.items()})
+    assert seeds.select("media").distinct().count() == 9
 
 
 def test_dedup_stream(spark):
