@@ -21,8 +21,6 @@ anyway (a source's place names); it gives the same answer.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,20 +49,15 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-#: Texts are cut into chunks of so many characters before grams are taken: a position in a string is found by counting from its start.
-CHUNK = 512
-
-
-def _window(k: int, g: int, s: int, most: int) -> Callable[[Column], Column]:
-    """The gram at a place of a chunk, and the part of the text that a term of the class can reach from there."""
+#: Texts are cut into chunks of so many characters before grams are taken: a place in a string is found by counting from its start.
+CHUNK = 256
 
-    def at(q: Column) -> Column:
-        before = F.least(F.col("start") + q, F.lit(s - 1))
-        here = q + F.col("margin")
-        return F.struct(F.lit(k).alias("k"), F.substring("piece", here + 1, F.lit(g)).alias("gram"), before.alias("before"),
-                        F.substring("piece", here - before + 1, before + most).alias("window"))
 
-    return at
+def _by_class(values: dict[int, int]) -> Column:
+    out = None
+    for k, v in values.items():
+        out = F.when(F.col("k") == k, v) if out is None else out.when(F.col("k") == k, v)
+    return out
 
 
 def text_matches(texts: DataFrame, dictionary: DataFrame, text: str = "text", term: str = "term", order: str = "ord") -> DataFrame:
@@ -83,18 +76,18 @@ def text_matches(texts: DataFrame, dictionary: DataFrame, text: str = "text", te
     chunk = F.transform(starts, lambda c: F.struct(c.alias("start"), F.least(c, F.lit(back)).alias("margin"),
                                                    F.substring(body, c - F.least(c, F.lit(back)) + 1, F.least(c, F.lit(back)) + CHUNK + reach).alias("piece")))
     pieces = texts.select(text_key(body).alias("text_key"), F.length(body).alias("n"), F.explode(chunk).alias("x")).select("text_key", "n", "x.*")
-    parts, stride, gram = [], None, None
-    for k, most in sorted(longest.items()):
-        g, s = shapes[k]
+    places = []
+    for k, (g, s) in sorted(shapes.items()):  # a place of class k in its chunk is k * CHUNK + its offset
         first, last = F.pmod(-F.col("start"), F.lit(s)), F.least(F.lit(CHUNK - 1), F.col("n") - g - F.col("start"))
-        places = F.when(last >= first, F.sequence(first, last, F.lit(s))).otherwise(F.array().cast("array<int>"))
-        parts.append(F.transform(places, _window(k, g, s, most)))
-        is_k = F.col("k") == k
-        stride = F.when(is_k, s) if stride is None else stride.when(is_k, s)
-        gram = F.when(is_k, g) if gram is None else gram.when(is_k, g)
-    grams = pieces.select("text_key", F.explode(F.concat(*parts)).alias("x")).select("text_key", "x.*")
-    anchors = terms.withColumn("s", stride).withColumn("g", gram).withColumn("off", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-    anchors = anchors.select("k", F.substring("term", F.col("off") + 1, F.col("g")).alias("gram"), "ord", "term", "m", "off")
+        places.append(F.when(last >= first, F.sequence(first + k * CHUNK, last + k * CHUNK, F.lit(s))).otherwise(F.array().cast("array<int>")))
+    grams = pieces.select("text_key", "start", "margin", "piece", F.explode(F.concat(*places)).alias("place"))
+    gram, stride = _by_class({k: g for k, (g, _) in shapes.items()}), _by_class({k: s for k, (_, s) in shapes.items()})
+    grams = grams.select("text_key", "piece", F.floor(F.col("place") / CHUNK).cast("int").alias("k"), (F.col("place") % CHUNK + F.col("margin")).alias("at"), (F.col("place") % CHUNK + F.col("start")).alias("p"))
+    grams = grams.withColumn("before", F.least(F.col("p"), stride - 1))
+    grams = grams.select("text_key", "k", "before", F.substring("piece", F.col("at") + 1, gram).alias("gram"),
+                         F.substring("piece", F.col("at") - F.col("before") + 1, F.col("before") + _by_class(longest)).alias("window"))
+    anchors = terms.withColumn("off", F.explode(F.sequence(F.lit(0), stride - 1)))
+    anchors = anchors.select("k", F.substring("term", F.col("off") + 1, gram).alias("gram"), "ord", "term", "m", "off")
     return (grams.join(anchors, ["k", "gram"])
             .filter((F.col("off") <= F.col("before")) & (F.substring("window", F.col("before") - F.col("off") + 1, F.col("m")) == F.col("term")))
             .select("text_key", "ord", "term").distinct())
