@@ -170,17 +170,15 @@ def page_scan(spark, sf):
 
 # ---------------------------------------------------------- extraction ---
 
-@register("extract_title",
-          f"SELECT page_id, {S.h1_title('html')} AS title, "
-          f"{S.rr(S.rr(S._parts(S._prepare(S.all_blocks('html', O.open_tag_re('h1'), O.close_tag_re('h1')) + '[1]'), ()), O.MARK_RUN_RE, O.MARK), '^' + O.MARK)} AS title_raw_first "
-          "FROM pages")
+FIRST_H1_SQL = (f"regexp_extract({S.rr(S.rr(S._parts(S._prepare(S.all_blocks('html', O.open_tag_re('h1'), O.close_tag_re('h1')) + '[1]'), ()), O.MARK_RUN_RE, O.MARK), '^' + O.MARK)}, "
+                f"'^([^{O.MARK}]*)', 1)")
+
+
+@register("extract_title", f"SELECT page_id, {S.h1_title('html')} AS title, nullif({FIRST_H1_SQL}, '') AS title_first FROM pages")
 def extract_title(spark, sf):
-    """E1 (all h1 text nodes, cleaned) and E2's input (first h1, markup removed)."""
-    pages = table(spark, sf, "pages")
-    first = F.get(H.all_blocks(F.col("html"), "h1"), 0)
-    raw = F.regexp_replace(F.regexp_replace(H._parts(H._prepare(first), ()), H.MARK_RUN_RE, H.MARK),
-                           "^" + H.MARK, "")
-    return pages.select("page_id", H.h1_title(F.col("html")).alias("title"), raw.alias("title_raw_first"))
+    """E1 (all h1 text nodes, cleaned) and E2 (the first text node of the first h1, as it is)."""
+    return table(spark, sf, "pages").select("page_id", H.h1_title(F.col("html")).alias("title"),
+                                            H.h1_title_strict(F.col("html")).alias("title_first"))
 
 
 @register("extract_subtitle", f"SELECT page_id, {S.clean_text(S.first_p_all(container_sql()))} AS subtitle FROM pages")

@@ -36,6 +36,12 @@ def test_conform_fills_and_orders(spark):
     assert out.schema["gore"].dataType.simpleString() == "int"
 
 
+def test_conform_casts(spark):
+    df = spark.createDataFrame([("0.25", "1", "2024-01-02 03:04:05")], "pos string, gore string, published_at string")
+    r = conform_articles(df).first()
+    assert r.pos == 0.25 and r.gore == 1 and str(r.published_at) == "2024-01-02 03:04:05" and r.title is None
+
+
 def test_stream_equals_batch(spark):
     streamed = Q.stream_articles(spark, SF)
     batch = Q.QUERIES["stream_articles"]  # same key; compare against batch extraction + enrichment
