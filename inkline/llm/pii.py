@@ -56,22 +56,24 @@ ENDINGS = {"latin": {"f": "lina", "m": "ton", "n": "ren", "s": "sen"}, "cyrillic
 NAME = r"\p{Lu}[\p{L}'’-]+"
 _TITLES = "|".join((*TITLES_F, *TITLES_M, *TITLES_N))
 _GIVEN = "|".join((*GIVEN_F, *GIVEN_M))
-SECRET_NAMES = "token|secret|password|passwd|api_key|apikey|access_key"
+SECRET_NAMES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key")
+SECRET_LEAD = f"(?:{'|'.join(SECRET_NAMES)}) {{0,2}}[=:] {{0,2}}[\"']?"
+SECRET_BODY = r"[\p{L}\p{N}_+/.-]{8,}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-#: Kind and pattern; of two that match at one place the first counts.
+#: Kind and pattern; of two that match at one place the first counts.  Each begins with what is cheap to refuse, as it is tried at every character.
 KINDS = (
-    ("email", r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}][\p{L}\p{N}-]*(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"),
-    ("ip", rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d)(?!\.\d)"),
-    ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("phone", r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])"),
-    ("card", r"(?<![\d.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"),
-    ("iban", r"(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])"),
-    ("secret", rf"(?<=(?:{SECRET_NAMES}) {{0,2}}[=:] {{0,2}}[\"']?)[\p{{L}}\p{{N}}_+/.-]{{8,}}"),
-    ("name", rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {NAME}(?: {NAME}){{0,2}}|(?<![\p{{L}}\p{{N}}])(?:{_GIVEN}) {NAME}"),
+    ("email", r"[\p{L}\p{N}](?<![\p{L}\p{N}]{2})[\p{L}\p{N}._%+-]*+@[\p{L}\p{N}][\p{L}\p{N}-]*(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"),
+    ("ip", rf"(?=\d)(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d)(?!\.\d)"),
+    ("ssn", r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
+    ("phone", r"(?=[\d(+])(?:(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-]))"),
+    ("card", r"(?=\d)(?<![\d.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"),
+    ("iban", r"(?=[A-Z]{2}\d)(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])"),
+    ("secret", rf"(?=[tspa])(?<![\p{{L}}\p{{N}}]){SECRET_LEAD}{SECRET_BODY}"),
+    ("name", rf"(?=[\p{{Lu}}г])(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLES})\.? {NAME}(?: {NAME}){{0,2}}|(?:{_GIVEN}) {NAME})"),
 )
+PATTERN = dict(KINDS)
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
-#: A text without any of these holds no entity; tried first, as the whole pattern is slower.
-MAY = rf"[@]|\d{{3}}|\d\.\d|(?:{_TITLES})\.? \p{{Lu}}|(?:{_GIVEN}) \p{{Lu}}|(?:{SECRET_NAMES}) {{0,2}}[=:]"
+_NUMBERS = "|".join(f"(?:{PATTERN[k]})" for k in ("ip", "ssn", "phone", "card", "iban"))
 #: Fence around an entity: a private-use character and a second mark.  Where a text holds that character itself, it gets another second mark.
 FENCE, OWN, HERE = "\ue000", "\ue000\ue001", "\ue000\ue002"
 #: Attempts in the unit's own form; each later one adds a digit or syllable.
@@ -79,7 +81,10 @@ NARROW = 4
 
 
 def has_entity(text: Column) -> Column:
-    return F.coalesce(text.rlike(MAY) & text.rlike(ANY), F.lit(False))
+    """Whether any kind is found; a kind's pattern only runs on texts with a character or word that it needs."""
+    secret = reduce(lambda a, b: a | b, [text.contains(n) for n in SECRET_NAMES])
+    found = (text.contains("@") & text.rlike(PATTERN["email"])) | (text.rlike(r"\d\d|\d\.\d") & text.rlike(_NUMBERS))
+    return F.coalesce(found | (secret & text.rlike(PATTERN["secret"])) | text.rlike(PATTERN["name"]), F.lit(False))
 
 
 def segments(text: Column) -> Column:
@@ -93,8 +98,8 @@ def entities(parts: Column) -> Column:
 
 
 def kind_of(value: Column) -> Column:
-    """Kind of an entity by itself; a secret is one by what stands before it, so it is what remains."""
-    return reduce(lambda rest, k: F.when(value.rlike(f"^(?:{k[1]})$"), F.lit(k[0])).otherwise(rest), [k for k in reversed(KINDS) if k[0] != "secret"], F.lit("secret"))
+    """Kind of an entity by itself."""
+    return reduce(lambda rest, k: F.when(value.rlike(f"^(?:{k[1]})$"), F.lit(k[0])).otherwise(rest), reversed(KINDS), F.lit("secret"))
 
 
 def script_of(word: Column) -> Column:
@@ -104,7 +109,7 @@ def script_of(word: Column) -> Column:
 def units_of(value: Column, kind: Column) -> Column:
     """Array of (kind, canon) of an entity; names give one for each word but the title."""
     digits = F.regexp_replace(value, r"\D", "")
-    canon = F.when(kind == "email", F.lower(value)).when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise(""), digits)).when(kind.isin("ssn", "card"), digits).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).otherwise(value)
+    canon = F.when(kind == "email", F.lower(value)).when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise(""), digits)).when(kind.isin("ssn", "card"), digits).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(kind == "secret", F.regexp_replace(value, f"^{SECRET_LEAD}", "")).otherwise(value)
     words = F.split(value, " ")
     title = F.regexp_replace(words[0], r"\.$", "")
     titled = title.isin(*TITLES_F, *TITLES_M, *TITLES_N) & ~title.isin(*GIVEN_F, *GIVEN_M)
@@ -215,7 +220,7 @@ def written_like(value: Column, kind: Column, found: Column) -> Column:
     spaced = F.rtrim(F.regexp_replace(found[0], "(.{4})", "$1 "))
     number = filled(value, F.replace(found[0], F.lit("+"), F.lit("")))
     email = F.when((F.upper(value) == value) & value.rlike("[A-Z]"), F.upper(found[0])).otherwise(found[0])
-    return F.when(kind == "name", person).when(kind.isin("phone", "ssn", "card"), number).when((kind == "iban") & value.contains(" "), spaced).when(kind == "email", email).otherwise(found[0])
+    return F.when(kind == "name", person).when(kind.isin("phone", "ssn", "card"), number).when((kind == "iban") & value.contains(" "), spaced).when(kind == "email", email).when(kind == "secret", F.concat(F.regexp_extract(value, f"^{SECRET_LEAD}", 0), found[0])).otherwise(found[0])
 
 
 def replacements(values: DataFrame, key: str) -> DataFrame:
