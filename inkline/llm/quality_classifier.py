@@ -67,6 +67,10 @@ def _next(h: np.ndarray, more: np.ndarray) -> np.ndarray:
         return _mixed(h * np.uint64(31) + more)
 
 
+#: Features of no word: of a place without a back-reference, and of each kind of back-reference.
+MARKS = _mixed(np.arange(1, 7, dtype=np.uint64) << np.uint64(50))
+
+
 def word_table(words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
     """Hash (without a blank in front) and shape of each distinct pre-token; shape 0 is white space without a line end."""
     data, ends = text_buffer(words)
@@ -123,12 +127,10 @@ def features(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
     again = np.zeros(len(h), bool)  # this pair of words stood in the text before
     order = np.lexsort((pair, row))
     again[order[1:]] = (pair[order[1:]] == pair[order[:-1]]) & (row[order[1:]] == row[order[:-1]]) & has2[order[1:]] & has2[order[:-1]]
-    mark = lambda hit, k: np.where(hit, _mixed(np.uint64(1 << 50) + np.arange(1, dtype=np.uint64) + np.uint64(k)), _mixed(np.uint64(1 << 51) + np.arange(1, dtype=np.uint64)))
-
     def kind(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         return bucket(np.stack(parts, 1).ravel()), rows * len(parts)
 
-    found = [kind([h, np.where(has2, pair, h)]), kind([s1, np.where(has2, s2, s1), np.where(has3, s3, s1)]), kind([*(mark(x, k) for k, x in enumerate(back)), mark(again, 9)])]
+    found = [kind([h, np.where(has2, pair, h)]), kind([s1, np.where(has2, s2, s1), np.where(has3, s3, s1)]), kind([np.where(hit, MARKS[k], MARKS[0]) for k, hit in enumerate([*back, again], 1)])]
     return [f for f, _ in found], [r for _, r in found]
 
 
