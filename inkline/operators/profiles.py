@@ -27,7 +27,7 @@ from inkline.functions import dates as D
 from inkline.functions import html as H
 from inkline.functions import urls as U
 from inkline.functions.text import clean_text
-from inkline.operators.links import LinkRule
+from inkline.operators.links import LinkRule, crawl_closure
 
 
 @dataclass(frozen=True)
@@ -305,3 +305,9 @@ def split_rejects(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = extracted.filter(F.col("status") == "parsed")
     bad = extracted.filter(F.col("status") != "parsed").select("page_id", "media", "url", "status", "reason")
     return good, bad
+
+
+def crawl(pages: DataFrame, profile: Profile, max_depth: int | None = None) -> DataFrame:
+    """L9 for one source: what its seeds reach over ``pages`` by its rules, within its allowed domains."""
+    seeds = pages.sparkSession.createDataFrame([(u,) for u in profile.seeds], "url string")
+    return crawl_closure(pages, seeds, profile.rules, profile.allowed_domains, max_depth=max_depth)

@@ -146,3 +146,17 @@ def test_nested_divs_and_second_classes(spark):
 
 def test_every_source_has_seeds_rules_and_hosts():
     assert all(p.seeds and p.rules and p.hosts for p in REGISTRY.values())
+
+
+def test_crawl_by_a_sources_own_rules(spark):
+    from inkline.operators.profiles import crawl
+    seed = REGISTRY["theclinic"].seeds[0]
+    rows = [(1, seed, '<div class="titulares"><h2><a href="/n/1">1</a></h2></div><a class="next page-numbers" href="page/2/">next</a>'
+                      '<a href="/other">no rule</a><div class="titulares"><h2><a href="https://off.org/x">off</a></h2></div>'),
+            (2, seed + "page/2/", '<div class="titulares"><h2><a href="/n/2">2</a></h2></div>'),
+            (3, "https://www.theclinic.cl/n/1", '<a class="next page-numbers" href="/n/9">items are not followed</a>')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.canon_url.replace("https://www.theclinic.cl", ""): (r.depth, r.page_id) for r in crawl(pages, REGISTRY["theclinic"]).collect()}
+    first = seed.replace("https://www.theclinic.cl", "")
+    second = REGISTRY["theclinic"].seeds[1].replace("https://www.theclinic.cl", "")
+    assert got == {first: (0, 1), second: (0, None), "/n/1": (1, 3), first + "page/2/": (1, 2), "/n/2": (2, None)}

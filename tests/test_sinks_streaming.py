@@ -29,6 +29,14 @@ def test_idempotent_append_twice(spark):
     assert spark.read.parquet(path).count() == arts.count()
 
 
+def test_append_duplicates_on_a_rerun(spark):
+    arts = conform_articles(spark.createDataFrame([("t", "m", "u")], "title string, media string, url string"))
+    path = os.path.join(tempfile.mkdtemp(prefix="inkline-app-"), "news")
+    K.append_table(arts, path)
+    K.append_table(arts, path)
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_conform_fills_and_orders(spark):
     df = spark.createDataFrame([("t", "x")], "title string, extra string")
     out = conform_articles(df)
