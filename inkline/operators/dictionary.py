@@ -5,7 +5,7 @@ joined by ``', '`` (``''`` when nothing matches).
 
 One strategy for a dictionary of any size: an equi-join on grams.  Terms fall
 into classes by length (1, 2-3, 4-7, 8-15, ...), each with its own gram length
-g and stride s = shortest + 1 - g, so that every occurrence of a term covers
+g and stride s = shortest + 1 - g in bytes, so that every occurrence of a term covers
 a gram of the text that starts at a multiple of s.  Texts emit those grams
 together with the window around them that a term of the class can reach, so a
 candidate is verified where it is found and no text is joined back.  Terms
@@ -49,8 +49,8 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-#: Texts are cut into chunks of so many characters before grams are taken: a place in a string is found by counting from its start.
-CHUNK = 256
+#: Bytes of a chunk of a text; bounds the list of places that one row holds.
+CHUNK = 1 << 16
 
 
 def _by_class(values: dict[int, int]) -> Column:
@@ -62,34 +62,34 @@ def _by_class(values: dict[int, int]) -> Column:
 
 def text_matches(texts: DataFrame, dictionary: DataFrame, text: str = "text", term: str = "term", order: str = "ord") -> DataFrame:
     """Distinct (text_key, ord, term): which terms each text holds."""
-    terms = (dictionary.select(F.col(order).alias("ord"), F.col(term).alias("term"))
-             .filter(F.col("term").isNotNull() & (F.length("term") > 0))
-             .withColumn("m", F.length("term")).withColumn("k", F.floor(F.log2(F.col("m") + F.lit(0.5))).cast("int")))
+    terms = (dictionary.select(F.col(order).alias("ord"), F.col(term).alias("term"), F.col(term).cast("binary").alias("raw"))
+             .filter(F.length("raw") > 0).withColumn("m", F.length("raw")).withColumn("k", F.floor(F.log2(F.col("m") + F.lit(0.5))).cast("int")))
     longest = {r["k"]: r["m"] for r in terms.groupBy("k").agg(F.max("m").alias("m")).collect()}  # a row per length class
     spark = texts.sparkSession
     if not longest:
         return spark.createDataFrame([], f"text_key binary, ord {terms.schema['ord'].dataType.simpleString()}, term string")
     shapes = {k: gram_and_stride(1 << k) for k in longest}
     reach, back = max(longest.values()), max(s for _, s in shapes.values())
-    body = F.col(text)
-    starts = F.when(F.length(body) > 0, F.sequence(F.lit(0), F.length(body) - 1, F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+    size = max(CHUNK, 2 * reach)  # bytes: in UTF-8 a term is in a text where its bytes are, and a place in bytes is found at once
+    body = F.col(text).cast("binary")
+    starts = F.when(F.length(body) > 0, F.sequence(F.lit(0), F.length(body) - 1, F.lit(size))).otherwise(F.array().cast("array<int>"))
     chunk = F.transform(starts, lambda c: F.struct(c.alias("start"), F.least(c, F.lit(back)).alias("margin"),
-                                                   F.substring(body, c - F.least(c, F.lit(back)) + 1, F.least(c, F.lit(back)) + CHUNK + reach).alias("piece")))
-    pieces = texts.select(text_key(body).alias("text_key"), F.length(body).alias("n"), F.explode(chunk).alias("x")).select("text_key", "n", "x.*")
+                                                   F.substring(body, c - F.least(c, F.lit(back)) + 1, F.least(c, F.lit(back)) + size + reach).alias("piece")))
+    pieces = texts.select(text_key(F.col(text)).alias("text_key"), F.length(body).alias("n"), F.explode(chunk).alias("x")).select("text_key", "n", "x.*")
     places = []
-    for k, (g, s) in sorted(shapes.items()):  # a place of class k in its chunk is k * CHUNK + its offset
-        first, last = F.pmod(-F.col("start"), F.lit(s)), F.least(F.lit(CHUNK - 1), F.col("n") - g - F.col("start"))
-        places.append(F.when(last >= first, F.sequence(first + k * CHUNK, last + k * CHUNK, F.lit(s))).otherwise(F.array().cast("array<int>")))
+    for k, (g, s) in sorted(shapes.items()):  # a place of class k in its chunk is k * size + its offset
+        first, last = F.pmod(-F.col("start"), F.lit(s)), F.least(F.lit(size - 1), F.col("n") - g - F.col("start"))
+        places.append(F.when(last >= first, F.sequence(first + k * size, last + k * size, F.lit(s))).otherwise(F.array().cast("array<int>")))
     grams = pieces.select("text_key", "start", "margin", "piece", F.explode(F.concat(*places)).alias("place"))
     gram, stride = _by_class({k: g for k, (g, _) in shapes.items()}), _by_class({k: s for k, (_, s) in shapes.items()})
-    grams = grams.select("text_key", "piece", F.floor(F.col("place") / CHUNK).cast("int").alias("k"), (F.col("place") % CHUNK + F.col("margin")).alias("at"), (F.col("place") % CHUNK + F.col("start")).alias("p"))
+    grams = grams.select("text_key", "piece", F.floor(F.col("place") / size).cast("int").alias("k"), (F.col("place") % size + F.col("margin")).alias("at"), (F.col("place") % size + F.col("start")).alias("p"))
     grams = grams.withColumn("before", F.least(F.col("p"), stride - 1))
     grams = grams.select("text_key", "k", "before", F.substring("piece", F.col("at") + 1, gram).alias("gram"),
                          F.substring("piece", F.col("at") - F.col("before") + 1, F.col("before") + _by_class(longest)).alias("window"))
     anchors = terms.withColumn("off", F.explode(F.sequence(F.lit(0), stride - 1)))
-    anchors = anchors.select("k", F.substring("term", F.col("off") + 1, gram).alias("gram"), "ord", "term", "m", "off")
+    anchors = anchors.select("k", F.substring("raw", F.col("off") + 1, gram).alias("gram"), "ord", "term", "raw", "m", "off")
     return (grams.join(anchors, ["k", "gram"])
-            .filter((F.col("off") <= F.col("before")) & (F.substring("window", F.col("before") - F.col("off") + 1, F.col("m")) == F.col("term")))
+            .filter((F.col("off") <= F.col("before")) & (F.substring("window", F.col("before") - F.col("off") + 1, F.col("m")) == F.col("raw")))
             .select("text_key", "ord", "term").distinct())
 
 
@@ -99,9 +99,13 @@ def match_pairs(docs: DataFrame, dictionary: DataFrame, doc_id: str = "doc_id",
     return docs.select(F.col(doc_id), text_key(F.col(text)).alias("text_key")).join(found, "text_key").select(doc_id, "ord", "term")
 
 
-def match_by_join(docs: DataFrame, dictionary: DataFrame, doc_id: str = "doc_id", text: str = "text", term: str = "term", order: str = "ord", out: str = "matches") -> DataFrame:
-    """T1 + T1b: one row per row of ``docs``: its id and its matches joined by ', '."""
-    found = text_matches(docs, dictionary, text, term, order)
+def matches_of(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text", out: str = "matches") -> DataFrame:
+    """One row per row of ``docs``: its id and its text's matches (``text_matches``) joined by ', '."""
     per_text = found.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("ord", "term"))).alias("_m"))
     return (docs.select(F.col(doc_id), text_key(F.col(text)).alias("text_key")).join(per_text, "text_key", "left")
             .select(doc_id, join_matches(F.transform("_m", lambda s: s["term"])).alias(out)))
+
+
+def match_by_join(docs: DataFrame, dictionary: DataFrame, doc_id: str = "doc_id", text: str = "text", term: str = "term", order: str = "ord", out: str = "matches") -> DataFrame:
+    """T1 + T1b: one row per row of ``docs``: its id and its matches joined by ', '."""
+    return matches_of(docs, text_matches(docs, dictionary, text, term, order), doc_id, text, out)

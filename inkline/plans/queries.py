@@ -21,7 +21,7 @@ from inkline.operators import limits as L
 from inkline.operators import links as LK
 from inkline.operators import profiles as P
 from inkline.operators.builtin_profiles import DRIVER_PAGES, PAGES_MEDIA_EXPR
-from inkline.operators.dictionary import match_by_join, match_pairs
+from inkline.operators.dictionary import match_by_join, match_pairs, matches_of, text_matches
 from inkline.plans import articles as A
 from inkline.plans import oracle_patterns as O
 from inkline.plans import sql as S
@@ -733,17 +733,11 @@ def dictionary_match(spark, sf):
     return match_by_join(docs, benchmark_terms(spark, sf), out="matches")
 
 
-SHORT_TERMS_SQL = "(SELECT item_id AS ord, substring(text, 1, CAST(3 + item_id % 6 AS INTEGER)) AS term FROM benchmark)"
-
-
-@register("dictionary_match_join",
-          "SELECT d.doc_id, coalesce(m.matches, '') AS matches FROM documents d LEFT JOIN "
-          "(SELECT d.doc_id, string_agg(t.term, ', ' ORDER BY t.ord) AS matches FROM documents d "
-          f"JOIN {SHORT_TERMS_SQL} t ON instr(d.text, t.term) > 0 GROUP BY d.doc_id) m USING (doc_id)")
+@register("dictionary_match_join", DICT_MATCH_SQL)
 def dictionary_match_join(spark, sf):
-    """T1 with short terms (3 to 8 characters, as place names are), which are in very many texts."""
-    terms = table(spark, sf, "benchmark").select(F.col("item_id").alias("ord"), F.substring(F.col("text"), F.lit(1), (F.col("item_id") % 6 + 3).cast("int")).alias("term"))
-    return match_by_join(table(spark, sf, "documents").select("doc_id", "text"), terms, out="matches")
+    """T1 in two steps: which terms each text holds, then the rows of that text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return matches_of(docs, text_matches(docs, benchmark_terms(spark, sf)), out="matches")
 
 
 @register("dictionary_pairs",
