@@ -2,14 +2,22 @@
 
 Method: a text's zstandard ratio (compressed bytes / bytes) says how
 repetitive it is.  Two ratios are taken, of the whole text and of fixed
-chunks of it, and each must lie in a band that depends on the length: short
-texts compress badly by nature, long ones well.  Under the band a text
-repeats itself, over it it is noise.
-
-* Whole text: the band narrows with the length class (``WHOLE``).
+chunks of it, and each must lie in a band.  Under the band a text repeats
+itself, over it it is noise.
+
+* Bands: ratios depend on length and script, so there is a class for each half
+  octave of bytes and each width of characters, for whole texts and for chunks
+  apart.  A first pass over all rows that pass the base rules counts ratios
+  (``BIN`` wide) in each class; its band is the median less ``BELOW`` and plus
+  ``ABOVE`` spreads (median absolute deviation, scaled to a standard deviation).
+  The spread is at least ``LEAST`` / sqrt(bytes), so that a class full of copies
+  doesn't close its band, and grows by two standard errors, 2 / sqrt(ratios),
+  as few ratios tell it badly.  A class of fewer than ``ENOUGH`` texts has no spread
+  to speak of and takes ``WHOLE``, one of fewer than ``ENOUGH_CHUNKS`` chunks
+  ``CHUNK_BAND``.
 * Chunks of ``CHUNK`` bytes (the last one joins its neighbour if it is less
   than half as long): a text fails if more than ``BAD_SHARE`` of its chunks
-  lie outside ``CHUNK_BAND``; so pages that are fine as a whole but hold long
+  lie outside their bands; so pages that are fine as a whole but hold long
   stretches of junk go, and one odd chunk doesn't reject a long text.
 
 Base rules: at least 50 words, and at most half of the words in a 3-word
@@ -22,7 +30,8 @@ read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +44,19 @@ BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 LEVEL = 3
 CHUNK = 2048
-#: Length (bytes, up to), lowest and highest ratio of the whole text.
+#: Bands of classes too small to measure: length (bytes, up to), lowest and highest ratio of the whole text; the same of a chunk.
 WHOLE = ((512, 0.25, 0.95), (2048, 0.22, 0.80), (8192, 0.20, 0.70), (1 << 62, 0.18, 0.65))
 CHUNK_BAND = (0.20, 0.80)
-BAD_SHARE = 0.3
+BAD_SHARE = 0.2
+#: Bands of the others.
+BIN = 0.001
+BELOW, ABOVE = 3.5, 6.0
+LEAST = 0.4
+ENOUGH, ENOUGH_CHUNKS = 50, 200
+
+#: Class of a ratio: whether of a chunk, bytes a character (1 to 3), half octave of the length.
+Class = tuple[bool, int, int]
+Bands = Mapping[Class, tuple[float, float]]
 
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, whole_ratio double, bad_chunks double, base_failed boolean, kept boolean"
 
@@ -76,48 +94,103 @@ def duplicate_lines(raw: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def ratios(raw: bytes, press: zstandard.ZstdCompressor) -> tuple[float, float]:
-    """Ratio of the whole text, and the share of its chunks that lie outside their band."""
+def class_of(chunk: bool, width: int, n_bytes: int) -> Class:
+    return chunk, width, (n_bytes * n_bytes).bit_length() - 1
+
+
+def ratios(text: str, raw: bytes, press: zstandard.ZstdCompressor) -> list[tuple[Class, float]]:
+    """Class and ratio of the whole text, then of its chunks; nothing for an empty text."""
     if not raw:
-        return 0.0, 0.0
-    whole = len(press.compress(raw)) / len(raw)
+        return []
+    width = 1 if 10 * len(raw) < 13 * len(text) else 2 if 10 * len(raw) < 23 * len(text) else 3
+    out = [(class_of(False, width, len(raw)), len(press.compress(raw)) / len(raw))]
     if len(raw) < 2 * CHUNK:
-        return whole, 0.0
+        return out
     cuts = list(range(0, len(raw), CHUNK))
     if len(raw) - cuts[-1] < CHUNK // 2:
         cuts.pop()
     parts = [raw[lo:hi] for lo, hi in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
-    bad = sum(not CHUNK_BAND[0] <= len(press.compress(p)) / len(p) <= CHUNK_BAND[1] for p in parts)
-    return whole, bad / len(parts)
+    return out + [(class_of(True, width, len(p)), len(press.compress(p)) / len(p)) for p in parts]
 
 
-def in_band(n_bytes: int, whole: float, bad: float) -> bool:
-    low, high = next((lo, hi) for most, lo, hi in WHOLE if n_bytes <= most)
-    return low <= whole <= high and bad <= BAD_SHARE
+def in_band(n_bytes: int, found: list[tuple[Class, float]], bands: Bands) -> tuple[float, float, bool]:
+    """Ratio of the whole text, share of its chunks that lie outside their bands, and the verdict."""
+    if not found:
+        return 0.0, 0.0, False
+    kind, whole = found[0]
+    low, high = bands.get(kind) or next((lo, hi) for most, lo, hi in WHOLE if n_bytes <= most)
+    outside = 0
+    for k, x in found[1:]:
+        lo, hi = bands.get(k, CHUNK_BAND)
+        outside += not lo <= x <= hi
+    bad = outside / max(1, len(found) - 1)
+    return whole, bad, low <= whole <= high and bad <= BAD_SHARE
 
 
-def judge(text: str | None, press: zstandard.ZstdCompressor) -> tuple:
+def base_fails(n_words: int, n_repeated: int) -> bool:
+    return n_words < 50 or 100 * n_repeated > 50 * n_words
+
+
+def judge(text: str | None, press: zstandard.ZstdCompressor, bands: Bands = {}) -> tuple:  # noqa: B006
     """All columns of SCHEMA for one text."""
     text = text or ""
     raw = text.encode()
     words = raw.split()
     chars = len(text) - sum(map(text.count, BLANKS))
     repeated = repeated_window_words(words)
-    whole, bad = ratios(raw, press)
-    base_failed = len(words) < 50 or 100 * repeated > 50 * len(words)
-    kept = not base_failed and in_band(len(raw), whole, bad)
-    return (len(words), chars, sum(map(raw.count, SYMBOLS)), duplicate_lines(raw), repeated, whole, bad, base_failed, kept)
+    whole, bad, good = in_band(len(raw), ratios(text, raw, press), bands)
+    base_failed = base_fails(len(words), repeated)
+    return (len(words), chars, sum(map(raw.count, SYMBOLS)), duplicate_lines(raw), repeated, whole, bad, base_failed, not base_failed and good)
+
+
+def middle(at: np.ndarray, n: np.ndarray) -> float:
+    """Median of values ``at`` that occur ``n`` times."""
+    order = np.argsort(at, kind="stable")
+    total = np.cumsum(n[order])
+    return float(at[order][np.searchsorted(total, total[-1] / 2)])
+
+
+def band(kind: Class, at: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    centre = middle(at, n)
+    spread = max(1.4826 * middle(abs(at - centre), n), LEAST / 2 ** (kind[2] / 4)) * (1 + 2 / n.sum() ** 0.5)
+    return float(centre - BELOW * spread), float(centre + ABOVE * spread)
+
+
+def measure(docs: DataFrame, text_col: str = "text") -> Bands:
+    """The bands of all classes with enough ratios.  What is shuffled and collected is a count for each class and bin, whatever the number of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press, seen = zstandard.ZstdCompressor(level=LEVEL), Counter()
+        for b in batches:
+            for t in b.column(0):
+                text = t.as_py() or ""
+                raw = text.encode()
+                words = raw.split()
+                if not base_fails(len(words), repeated_window_words(words)):
+                    seen.update((*kind, round(x / BIN)) for kind, x in ratios(text, raw, press))
+        rows = [(*k, n) for k, n in seen.items()]
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["chunk", "width", "octave", "bin", "n"])
+
+    counts = docs.select(F.col(text_col)).mapInArrow(run, "chunk boolean, width int, octave int, bin int, n long").groupBy("chunk", "width", "octave", "bin").agg(F.sum("n").alias("n"))
+    by: dict[Class, list[tuple[int, int]]] = {}
+    for r in counts.collect():
+        by.setdefault((r.chunk, r.width, r.octave), []).append((r.bin, r.n))
+    big = {k: np.array(v).T for k, v in by.items() if sum(n for _, n in v) >= (ENOUGH_CHUNKS if k[0] else ENOUGH)}
+    return {k: band(k, at * BIN, n) for k, (at, n) in big.items()}
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id and the columns of SCHEMA.  A projection of the scan; nothing is shuffled."""
+    """Per row: id and the columns of SCHEMA.  Two scans, one to measure the bands; no row is shuffled."""
+    bands = measure(docs, text_col)
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     kinds = [{"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[c.split()[1]] for c in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL)
         for b in batches:
-            rows = [judge(t.as_py(), press) for t in b.column(1)]
+            rows = [judge(t.as_py(), press, bands) for t in b.column(1)]
             columns = zip(*rows, strict=True) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["id", *names])
 
@@ -128,11 +201,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows whose text passes, with all their columns."""
+    bands = measure(docs, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL)
         for b in batches:
-            yield b.filter(pa.array([judge(t.as_py(), press)[-1] for t in b.column(at)], pa.bool_()))
+            yield b.filter(pa.array([judge(t.as_py(), press, bands)[-1] for t in b.column(at)], pa.bool_()))
 
     at = docs.columns.index(text_col)
     return docs.mapInArrow(run, docs.schema)

@@ -56,6 +56,33 @@ def test_rules_keep_labelled_good(spark):
     assert all(rows[i].kept for i in good if not rows[i].base_failed)
 
 
+def test_rules_measure_bands(spark, nothing):
+    """Texts that pass the base rules: repetitive ones, noise and pages with a stretch of junk go, clean ones stay, copies or not."""
+    rnd = random.Random(5)
+    lexicon = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 9))) for _ in range(3000)]
+    clean = lambda n: " ".join(rnd.choices(lexicon, k=n))
+    marked = lambda n: " ".join(w + rnd.choice(["###", "$$$", "%%%", "&&&"]) for w in rnd.choices(lexicon[:400], k=n))
+    noise = lambda n: " ".join("".join(chr(rnd.randint(33, 126)) for _ in range(6)) for _ in range(n))
+    kinds = {"clean": [clean(rnd.randint(250, 1100)) for _ in range(400)] + [clean(500)] * 60,
+             "bad": [f(n) for n in (350, 450, 600, 900) for f in (marked, noise)] + [clean(550) + " " + f(500) for f in (marked, noise)]}
+    rows = [(i, kind, t) for i, (kind, t) in enumerate((k, t) for k, v in kinds.items() for t in v)]
+    docs = spark.createDataFrame(rows, "doc_id long, kind string, text string").repartition(7)
+    found = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    assert len(found) == len(rows) and not any(r.base_failed for r in found.values())
+    assert [found[i].kept for i, kind, _ in rows] == [kind == "clean" for _, kind, _ in rows]
+    assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == {i for i, kind, _ in rows if kind == "clean"}
+    assert quality_rules.measure(nothing) == {}
+
+
+def test_rules_reject_labelled_bad(spark):
+    big = "/root/testdata/sf0.1"
+    rows = {r.doc_id: r for r in QUERIES["op9_quality_rules"](spark, big).collect()}
+    labels = [(r.quality, rows[r.doc_id]) for r in spark.read.parquet(f"{big}/labels.parquet").collect()]
+    assert all(r.kept for y, r in labels if y == 1 and not r.base_failed)
+    bad = [r for y, r in labels if y == 0 and not r.base_failed]
+    assert sum(not r.kept for r in bad) > len(bad) / 2 and not any(r.kept for r in bad if r.word_chars > 8192)
+
+
 def test_classifier_held_out(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{D}/labels.parquet").collect()}
     rows = QUERIES["op1_quality_classifier"](spark, D).collect()
