@@ -49,7 +49,6 @@ MARK_AROUND_PSEP_RE = f"{MARK}?{PSEP}{MARK}?"
 WS_AROUND_PSEP_RE = f"{WS}*{PSEP}{WS}*"
 OUTSIDE_RE = f"{PEND}[^{PSEP}]*"
 LEADING_RE = f"^[^{PSEP}]*"
-TEXT = f"[^{PSEP}{PEND}]"     # no element reaches over the edge of a paragraph
 VALUE_RE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
@@ -106,16 +105,10 @@ def inner_tags_re(tag: str) -> str:
     return f"(?i)(?:(<{tag}(?:[\\s/][^>]*)?>)|(?!\\A)\\G)([^<{PSEP}{PEND}]*)<(?!/?{tag}[\\s/>])[^>]*>"
 
 
-def child_re(keep: Sequence[str]) -> str:
-    """An element that is not kept, closed and without one of its own name inside."""
+def child_tag_re(keep: Sequence[str]) -> str:
+    """Opening or closing tag of a child that is not kept; its name is the group."""
     stay = _names((*keep, *VOID_TAGS, "p"))
-    return f"(?i)<(?!{stay}[\\s/>])([a-z][\\w:-]*)(?:[\\s/][^>]*)?>(?:(?!</?\\1[\\s/>]){TEXT})*+</\\1\\s*>"
-
-
-def open_child_re(keep: Sequence[str]) -> str:
-    """An element that is not kept and never closed: it ends with its paragraph."""
-    stay = _names((*keep, *VOID_TAGS, "p"))
-    return f"(?i)<(?!{stay}[\\s/>])[a-z][\\w:-]*(?:[\\s/][^>]*)?>{TEXT}*+"
+    return f"</?(?!{stay}[\\s/>])([a-z][\\w:-]*)(?:[\\s/][^>]*)?>"
 
 
 def kept_tags_re(keep: Sequence[str]) -> str:
@@ -123,10 +116,6 @@ def kept_tags_re(keep: Sequence[str]) -> str:
     return f"(?i)</?{_names((*keep, *VOID_TAGS))}(?:[\\s/][^>]*)?>"
 
 
-#: Elements of one name may nest this deep inside a child that is dropped; deeper ones leave their outer text.
-NESTED = 3
-
-
 ENTITY_RE = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,8});"
 
 
@@ -215,6 +204,32 @@ def nested_blocks(container: Column, tag: str) -> Column:
     return F.aggregate(F.split(container, f"(?i)(?=</?{tag}[\\s/>])"), start, step, blocks)
 
 
+def without_children(x: Column, keep: Sequence[str]) -> Column:
+    """``x`` with a MARK in place of each child that is not kept, however deep its own elements nest.
+
+    A closing tag ends the last open element of its name and all that is open inside; one without such an element counts for nothing.  No element reaches over the edge of a paragraph.
+    """
+    tag = child_tag_re(keep)
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("open"), none.alias("out"))
+
+    def step(s: Column, piece: Column) -> Column:
+        def named(name: Column) -> Column:
+            at = F.array_position(F.reverse(s["open"]), name)  # from the end
+            ended = F.when(at > 0, F.slice(s["open"], F.lit(1), (F.size(s["open"]) - at).cast("int"))).otherwise(s["open"])
+            now = F.when(piece.rlike(f"^[{PSEP}{PEND}]"), none).when(name == "", s["open"]).when(piece.startswith("</"), ended).otherwise(F.array_append(s["open"], name))
+
+            def both(now: Column) -> Column:
+                out = F.when(F.size(now) == 0, F.array_append(s["out"], piece)).when(F.size(s["open"]) == 0, F.array_append(s["out"], F.lit(MARK))).otherwise(s["out"])
+                return F.struct(now.alias("open"), out.alias("out"))
+
+            return let(now, both)
+
+        return let(F.lower(F.regexp_extract(piece, f"(?i)^{tag}", 1)), named)
+
+    return F.aggregate(F.split(x, f"(?i)(?={tag})|(?=[{PSEP}{PEND}])"), start, step, lambda s: F.array_join(s["out"], ""))
+
+
 # ------------------------------------------------------------- attributes ---
 
 def attr_value(tag_text: Column, attr: str) -> Column:
@@ -271,9 +286,7 @@ def _parts(x: Column, keep: Sequence[str]) -> Column:
     """Turn markup into MARK-separated text parts (direct-child semantics)."""
     for tag in keep:  # a kept child has all its text: only the tags inside it go
         x = F.regexp_replace(x, inner_tags_re(tag), "$1$2")
-    for _ in range(NESTED):
-        x = F.regexp_replace(x, child_re(keep), MARK)
-    x = F.regexp_replace(x, open_child_re(keep), MARK)
+    x = without_children(x, keep)
     x = F.regexp_replace(x, kept_tags_re(keep), MARK)
     x = F.regexp_replace(x, ANY_TAG_RE, "")
     return decode_entities(x)

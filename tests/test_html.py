@@ -120,3 +120,19 @@ def test_nested_div_paragraphs(spark):
 def test_named_and_numeric_entities(spark):
     html = "<p>&ntilde;&eacute; &#8220;x&#8221; &hellip; &#241; &#xF1; &#128512; &amp;ntilde; &nada; &#0; R&D &lt;b&gt; &Ntilde;</p>"
     assert body(spark, html) == "ñé “x” … ñ ñ 😀 &ntilde; &nada; \ufffd R&D <b> Ñ"
+
+
+def test_dropped_child_of_any_depth(spark):
+    """Text after a dropped child stays, however deep elements of its name nest in it."""
+    for n in (1, 3, 4, 5, 7, 10, 200):
+        deep = "<span class='x'>in " * n + "out</SPAN > " * n
+        assert body(spark, f"<p>Before {deep}after <strong>kept</strong> text.</p><p>Next</p>").split() == "Before after kept text. Next".split()
+        assert one(spark, lambda c: H.h1_title(F.col(c)), f"<h1>Uno {deep}dos</h1>").split() == ["Uno", "dos"]
+        div = "<div>" * n + "x" + "</div>" * n
+        assert body(spark, f"<p>a <em>{div}</em>b {deep}{div}c</p>").split() == ["a", "b", "c"]
+
+
+def test_dropped_child_malformed(spark):
+    assert body(spark, "<p>a <span><span><span><span><span>x</span></span>lost</p><p>b</p>") == "a b"     # unclosed: to the end of its paragraph
+    assert body(spark, "<p>a <div><div></div><em>x</div>y</em>z</p>") == "a  yz"                          # </div> ends <em>, too
+    assert body(spark, "<p>a</span> b <span/>c</span>d</p>") == "a b  d"
