@@ -57,7 +57,7 @@ NAME = r"\p{Lu}[\p{L}'’-]+"
 _TITLES = "|".join((*TITLES_F, *TITLES_M, *TITLES_N))
 _GIVEN = "|".join((*GIVEN_F, *GIVEN_M))
 SECRET_NAMES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key")
-SECRET_LEAD = f"(?:{'|'.join(SECRET_NAMES)}) {{0,2}}[=:] {{0,2}}[\"']?"
+SECRET_LEAD = f"(?i:{'|'.join(SECRET_NAMES)}) {{0,2}}[=:] {{0,2}}[\"']?"
 SECRET_BODY = r"[\p{L}\p{N}_+/.-]{8,}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: Kind and pattern; of two that match at one place the first counts.  Each begins with what is cheap to refuse, as it is tried at every character.
@@ -68,7 +68,7 @@ KINDS = (
     ("phone", r"(?=[\d(+])(?:(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-]))"),
     ("card", r"(?=\d)(?<![\d.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"),
     ("iban", r"(?=[A-Z]{2}\d)(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])"),
-    ("secret", rf"(?=[tspa])(?<![\p{{L}}\p{{N}}]){SECRET_LEAD}{SECRET_BODY}"),
+    ("secret", rf"(?=[tspaTSPA])(?<![\p{{L}}\p{{N}}]){SECRET_LEAD}{SECRET_BODY}"),
     ("name", rf"(?=[\p{{Lu}}г])(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLES})\.? {NAME}(?: {NAME}){{0,2}}|(?:{_GIVEN}) {NAME})"),
 )
 PATTERN = dict(KINDS)
@@ -82,7 +82,7 @@ NARROW = 4
 
 def has_entity(text: Column) -> Column:
     """Whether any kind is found; a kind's pattern only runs on texts with a character or word that it needs."""
-    secret = reduce(lambda a, b: a | b, [text.contains(n) for n in SECRET_NAMES])
+    secret = text.contains("=") | text.contains(":")
     found = (text.contains("@") & text.rlike(PATTERN["email"])) | (text.rlike(r"\d\d|\d\.\d") & text.rlike(_NUMBERS))
     return F.coalesce(found | (secret & text.rlike(PATTERN["secret"])) | text.rlike(PATTERN["name"]), F.lit(False))
 
@@ -162,7 +162,8 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     last = F.concat(body, F.substring(many, 59, 1))
     card = F.when(valid(canon), check).otherwise(last)
     iban = F.concat(F.substring(canon, 1, 2), shaped(F.substring(canon, F.lit(3), size)), digits(wide))
-    hexes = F.when(canon.rlike("^[0-9a-f]+$"), F.substring(F.repeat(h, 1 + F.floor(size / 128).cast("int")), F.lit(1), size)).otherwise(shaped(canon))
+    hexa = F.substring(F.repeat(h, 1 + F.floor(size / 128).cast("int")), F.lit(1), size)
+    hexes = F.when(canon.rlike("^[0-9a-f]+$"), hexa).when(canon.rlike("^[0-9A-F]+$"), F.upper(hexa)).otherwise(shaped(canon))
     secret = F.concat(hexes, digits(wide))
 
     parts = F.split(kind, ":")

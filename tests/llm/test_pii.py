@@ -91,3 +91,14 @@ def test_edges(edge, nothing):
     twice = edge.sparkSession.createDataFrame([(1, "x a@b.de", "p"), (1, "x a@b.de", "q"), (None, "x a@b.de", None)], "doc_id long, text string, by string")
     rows = pii.anonymise(twice, KEY).collect()
     assert len(rows) == 3 and len({r.text for r in rows}) == 1 and "a@b.de" not in rows[0].text and {r.by for r in rows} == {"p", "q", None}
+
+
+def test_secret_names_in_any_case(spark):
+    names = ["TOKEN", "Token", "SECRET", "Password", "PASSWD", "API_KEY", "Api_Key", "ApiKey", "ACCESS_KEY", "MY_TOKEN"]
+    value = "9233A8EC51B07D4F9233A8EC51B07D4F9233A8EC"
+    after = run(spark, [f'x {n} = "{value}" y' for n in names] + [f"{n}: {value.lower()}" for n in names] + ["Password: hunterXY22"])
+    for n, upper, lower in zip(names, after, after[len(names):], strict=False):
+        assert re.fullmatch(f'x {n} = "[0-9A-F]{{40}}" y', upper) and value not in upper
+        assert re.fullmatch(f"{n}: [0-9a-f]{{40}}", lower) and value.lower() not in lower
+    assert len(set(re.findall("[0-9A-F]{40}", " ".join(after)))) == 1
+    assert re.fullmatch(r"Password: [a-z]{6}[A-Z]{2}\d\d", after[-1]) and "hunter" not in after[-1]
