@@ -60,12 +60,18 @@ SECRET_NAMES = ("token", "secret", "password", "passwd", "api_key", "apikey", "a
 SECRET_LEAD = f"(?i:{'|'.join(SECRET_NAMES)}) {{0,2}}[=:] {{0,2}}[\"']?"
 SECRET_BODY = r"[\p{L}\p{N}_+/.-]{8,}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+#: A blank before a further group of a telephone number, unless an address or social security number begins there.
+_GAP = rf"(?: (?!{_OCTET}(?:\.{_OCTET}){{3}}(?!\d)(?!\.\d)|\d{{3}}-\d{{2}}-\d{{4}}(?![\d-]))|[.-])?"
+_TEN = r"\d[ .()-]{0,3}" * 10  # written out, as Java's look-behind takes no count of a group
+#: After ``+``: ten digits after 1 or 7; three and four after another country's bracketed area code; else groups until ten digits are there, and a last short one that no digits follow.
+_ABROAD = (r"[17][ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{2}[ .-]?\d{2}(?!\d)|\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+           rf"|\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:{_GAP}(?<!{_TEN})\d{{2,4}})+(?:[ .-]?(?:\d{{2}}(?![.-]?\d)|\d{{3}}(?![ .-]?\d)))?(?!\d)")
 #: Kind and pattern; of two that match at one place the first counts.  Each begins with what is cheap to refuse, as it is tried at every character.
 KINDS = (
     ("email", r"[\p{L}\p{N}](?<![\p{L}\p{N}]{2})[\p{L}\p{N}._%+-]*+@[\p{L}\p{N}][\p{L}\p{N}-]*(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"),
     ("ip", rf"(?=\d)(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d)(?!\.\d)"),
     ("ssn", r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("phone", r"(?=[\d(+])(?:(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-]))"),
+    ("phone", rf"(?=[\d(+])(?:(?<![\d+])\+(?:{_ABROAD})" r"|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-]))"),
     ("card", r"(?=\d)(?<![\d.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"),
     ("iban", r"(?=[A-Z]{2}\d)(?<![\p{L}\d])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])"),
     ("secret", rf"(?=[tspaTSPA])(?<![\p{{L}}\p{{N}}]){SECRET_LEAD}{SECRET_BODY}"),

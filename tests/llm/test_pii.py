@@ -102,3 +102,20 @@ def test_secret_names_in_any_case(spark):
         assert re.fullmatch(f"{n}: [0-9a-f]{{40}}", lower) and value.lower() not in lower
     assert len(set(re.findall("[0-9A-F]{40}", " ".join(after)))) == 1
     assert re.fullmatch(r"Password: [a-z]{6}[A-Z]{2}\d\d", after[-1]) and "hunter" not in after[-1]
+
+
+def test_adjacent_entities(spark):
+    """Entities of every two kinds with a blank between: both are replaced, each as it is by itself."""
+    one = {"ip": "190.137.223.204", "phone": "+1 (826) 555-4081", "abroad": "+44 20 7946 0958", "local": "555-123-4567", "card": "4111 1111 1111 1111", "ssn": "123-45-6789",
+           "iban": "DE44 5001 0517 5407 3249 31", "email": "anna@mail.de", "secret": "token=9233a8ec51b07d4f", "year": "2024"}
+    pairs = [(a, b) for a in one for b in one if a != "year" and a != b]
+    after = run(spark, [*one.values(), *(f"{one[a]} {one[b]}" for a, b in pairs)])
+    alone = dict(zip(one, after, strict=False))
+    assert alone["year"] == "2024" and all(alone[k] != one[k] for k in one if k != "year")
+    assert {(a, b): t for (a, b), t in zip(pairs, after[len(one):], strict=True)} == {(a, b): f"{alone[a]} {alone[b]}" for a, b in pairs}
+
+
+def test_telephone_forms(spark):
+    forms = ["+1 826 555 4081", "+18265554081", "+1.826.555.4081", "+7 495 123-45-67", "+34 612 345 678", "+49 (30) 1234 5678", "+49 1512 3456789", "+4930123456789", "+44-20-7946-0958", "+65 1234 5678", "+39 06 12 34 56 78"]
+    for before, after in zip(forms, run(spark, [f"{f} 2024 x" for f in forms]), strict=True):
+        assert re.fullmatch(re.sub(r"\\\d|\d", r"\\d", re.escape(before)) + " 2024 x", after) and before[4:] not in after, (before, after)
