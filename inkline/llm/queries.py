@@ -123,3 +123,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return anonymise(docs, PII_KEY, count_col="n_entities")
+
+
+@register
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part codes of all embeddings, refined by six rounds."""
+    from inkline.llm.vector_codes import coded_vectors
+
+    return coded_vectors(table(spark, sf_dir, "embeddings"))
