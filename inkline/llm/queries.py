@@ -131,3 +131,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkline.llm.vector_codes import coded_vectors
 
     return coded_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every text of documents."""
+    from inkline.llm.simhash import simhash_components
+
+    return simhash_components(table(spark, sf_dir, "documents"))
