@@ -139,3 +139,11 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkline.llm.simhash import simhash_components
 
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    from inkline.llm.prefix_trie import trie_report
+
+    return trie_report(table(spark, sf_dir, "conversations"))
