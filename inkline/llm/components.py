@@ -2,8 +2,9 @@
 
 Each round points nodes at the smallest node they can see; rounds end when the
 edges no longer change (about the logarithm of a component's diameter).  Rounds
-are written to the shared scratch folder; minima are combined map-side, so a
-node with very many edges is never gathered in one task.
+are written to the shared scratch folder; minima are combined map-side and
+joined back with heavy nodes broadcast, so a node with very many edges is never
+gathered in one task.
 """
 
 from __future__ import annotations
@@ -11,19 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkline.llm.attach import attach
 from inkline.llm.scratch import written
 
 
+def _least(e: DataFrame) -> DataFrame:
+    """The smallest ``v`` of each ``u``, and the number of its edges."""
+    return written(e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = _least(both).withColumn("m", F.least("u", "m"))
+    return attach(both.filter("v > u"), least, ["u"], "n").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+    least = _least(down)
+    moved = attach(down, least, ["u"], "n").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
