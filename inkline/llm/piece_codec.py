@@ -16,6 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from inkline.llm import pretokens
 from inkline.llm.columnar import ragged, slices, sums_by_row, text_buffer
@@ -23,7 +24,7 @@ from inkline.llm.token_counts import byte_alphabet
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker per core
 
-#: Distinct pre-tokens that a worker keeps; beyond, it starts anew. Bounds its memory, not its results.
+#: Distinct pre-tokens that a worker keeps; beyond, the half used last stays. Bounds its memory, not its results.
 STORE = 300_000
 
 
@@ -49,29 +50,44 @@ class Codec:
         self._clear()
 
     def _clear(self) -> None:
-        self.slots: dict[bytes, int] = {}
-        self.store = np.zeros(1 << 20, np.int32)
-        self.used = 0
-        self.first = np.zeros(STORE, np.int64)
-        self.count = np.zeros(STORE, np.int64)
+        self.words = pa.array([], pa.binary())  # what is held, its ids from ``first`` on in ``store``, the slice that last used it
+        self.store = np.zeros(0, np.int32)
+        self.first, self.count, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.turn = 0
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: pa.Array) -> None:
+        """Ids of unknown words, in one call of the library for each 20,000 of them."""
         for at in range(0, len(words), 20_000):
-            part = words[at:at + 20_000]
-            found = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)]
-            sizes = np.array([len(x) for x in found], np.int64)
-            total = int(sizes.sum())
-            if self.used + total > len(self.store):
-                self.store = np.concatenate((self.store, np.zeros(max(len(self.store), total), np.int32)))
-            self.store[self.used:self.used + total] = [i for ids in found for i in ids]
-            slot = len(self.slots)
-            if slot + len(part) > len(self.first):  # a slice alone may hold more than STORE
-                more = np.zeros(slot + len(part), np.int64)
-                self.first, self.count = np.concatenate((self.first, more)), np.concatenate((self.count, more))
-            self.first[slot:slot + len(part)] = self.used + np.cumsum(sizes) - sizes
-            self.count[slot:slot + len(part)] = sizes
-            self.slots.update(zip(part, range(slot, slot + len(part)), strict=True))
-            self.used += total
+            part = words.slice(at, 20_000)
+            found = self.tokenizer.encode(part.cast(pa.string()).to_pylist(), is_pretokenized=True, add_special_tokens=False)
+            sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(part))
+            self.words = pa.concat_arrays([self.words, part])
+            self.first = np.append(self.first, len(self.store) + np.cumsum(sizes) - sizes)
+            self.count = np.append(self.count, sizes)
+            self.used = np.append(self.used, np.full(len(part), self.turn))
+            self.store = np.append(self.store, np.array(found.ids, np.int32))
+
+    def _shrink(self) -> None:
+        """Keep the words used last, half of ``STORE``."""
+        kept = np.sort(np.argsort(self.used, kind="stable")[-(STORE // 2):])
+        self.words, self.used = self.words.take(pa.array(kept)), self.used[kept]
+        self.store, self.count = self.store[ragged(self.first[kept], self.count[kept])], self.count[kept]
+        self.first = np.cumsum(self.count) - self.count
+
+    def _slots(self, words: pa.Array) -> np.ndarray:
+        """Place of each of the distinct ``words`` in the store; the special string has none, and gets any."""
+        if len(self.words) > STORE:
+            self._shrink()
+        self.turn += 1
+        slot = pc.index_in(words, value_set=self.words).to_numpy(zero_copy_only=False).astype(np.float64)
+        unknown = np.isnan(slot)
+        self.used[slot[~unknown].astype(np.int64)] = self.turn
+        if self.special:
+            unknown &= ~pc.equal(words, self.special[0]).to_numpy(zero_copy_only=False)
+        slot = np.nan_to_num(slot).astype(np.int64)
+        slot[unknown] = len(self.words) + np.arange(unknown.sum())
+        self._learn(words.filter(pa.array(unknown)))
+        return slot
 
     def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of rows ``data[ends[i]:ends[i + 1]]``, and the index of each row's first id."""
@@ -79,15 +95,12 @@ class Codec:
         if len(cut.starts) == 1:
             return np.zeros(0, np.int32), np.zeros(len(ends), np.int64)
         which, words = pretokens.distinct(data, cut.starts)
-        names = words.to_pylist()
-        if len(self.slots) > STORE:
-            self._clear()
-        self._learn([w for w in names if w not in self.slots and not (self.special and w == self.special[0])])
-        get = self.slots.get
-        slot = np.array([get(w, 0) for w in names], np.int64)[which]
-        first, count = self.first[slot], self.count[slot]
+        slot = self._slots(words)[which]
         marks = np.flatnonzero(cut.special)
-        count[marks] = 1
+        if not len(self.words):  # nothing but special strings so far
+            return np.full(len(marks), self.special[1], np.int32), cut.rows
+        first, count = self.first[slot], self.count[slot]
+        first[marks], count[marks] = 0, 1
         place = np.cumsum(count) - count
         ids = self.store[ragged(first, count)]
         if len(marks):
