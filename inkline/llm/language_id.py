@@ -9,8 +9,9 @@ language in training.  The nearest codeword wins; a text is flagged ambiguous
 when the runner-up is nearly as near.
 
 Training uses at most ``SAMPLE`` texts of each language, ``SAMPLE_ALL`` in
-all (those whose id hash is smallest, so the same ones in every run); scoring
-reads every whole text.
+all but one of each language at least (those whose id hash is smallest, so the
+same ones in every run; an id counts once however often it comes); scoring reads
+every whole text.
 
 Defined results: ``und`` and score 0 for null texts, texts without a letter,
 or when no language could be learned; a null id is never held out nor
@@ -35,6 +36,8 @@ from inkline.llm.pretokens import LETTER, code_points, unicode_classes
 #: Texts that train, at most: of each language, and of all (each language gets an equal share).
 SAMPLE = 1000
 SAMPLE_ALL = 8000
+#: Shares of a language among which its sample is looked for.
+SALTS = 64
 BITS = 16
 EPOCHS = 3
 RATE = 1.0
@@ -165,21 +168,22 @@ def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.nd
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Model from the rows that ``usable`` marks.
 
-    The bound of each language is found on (language, hash) alone: a partial top-n runs before the shuffle, so a hot language isn't gathered.
+    Rows with one language and id count once, with their smallest text.  The largest hash of each language's sample is found on distinct (language, hash) pairs, first within ``SALTS`` shares of a language and then among what those keep, so no task sees more than ``SALTS * SAMPLE`` rows of one language and one share.
     """
     rows = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("at"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
     n_langs = rows.select("lang").distinct().count()
     if not n_langs:
         return None
     most = max(1, min(SAMPLE, SAMPLE_ALL // n_langs))
-    bound = rows.select("lang", "at").withColumn("place", place).filter(F.col("place") <= most).groupBy("lang").agg(F.max("at").alias("last"))
-    limits = {r["lang"]: r["last"] for r in bound.collect()}  # a row per language
+    keys = rows.select("lang", "at").distinct().withColumn("salt", F.pmod("at", F.lit(SALTS)))
+    for shares in (["lang", "salt"], ["lang"]):
+        keys = keys.withColumn("place", F.row_number().over(Window.partitionBy(*shares).orderBy("at"))).filter(F.col("place") <= most)
+    limits = {r["lang"]: r["last"] for r in keys.groupBy("lang").agg(F.max("at").alias("last")).collect()}  # a row per language
     chosen = F.lit(False)
     for lang, last in limits.items():
         chosen = chosen | ((F.col("lang") == lang) & (F.col("at") <= last))
-    sample = rows.filter(chosen).toPandas()  # SAMPLE_ALL texts at most
-    return learn(sample.sort_values(["at", "lang", "text"]).reset_index(drop=True))
+    sample = rows.filter(chosen).groupBy("lang", "at").agg(F.min("text").alias("text")).toPandas()  # ``most`` texts a language
+    return learn(sample.sort_values(["at", "lang"]).reset_index(drop=True))
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
