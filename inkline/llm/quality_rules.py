@@ -12,11 +12,14 @@ itself, over it it is noise.
   ``ABOVE`` spreads (median absolute deviation, scaled to a standard deviation).
   The spread is at least ``LEAST`` / sqrt(bytes), so that a class full of copies
   doesn't close its band, and grows by two standard errors, 2 / sqrt(ratios),
-  as few ratios tell it badly.  A class of fewer than ``ENOUGH`` texts has no spread
-  to speak of and takes ``WHOLE``, one of fewer than ``ENOUGH_CHUNKS`` chunks
-  ``CHUNK_BAND``.
+  as few ratios tell it badly.  A class's limits are the mean of the measured ones,
+  weighted by its number of ratios, and of the broad ones ``WHOLE`` and
+  ``CHUNK_BAND``, which weigh as much as ``PRIOR`` texts or ``PRIOR_CHUNKS`` chunks:
+  they move smoothly from the broad to the measured ones as a class fills, and
+  nothing changes at any particular size.
 * Chunks of ``CHUNK`` bytes (the last one joins its neighbour if it is less
-  than half as long): a text fails if more than ``BAD_SHARE`` of its chunks
+  than half as long; texts below two chunks, 4,096 bytes, are judged as a whole
+  only): a text fails if more than ``BAD_SHARE`` of its chunks
   lie outside their bands; so pages that are fine as a whole but hold long
   stretches of junk go, and one odd chunk doesn't reject a long text.
 
@@ -44,7 +47,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 LEVEL = 3
 CHUNK = 2048
-#: Bands of classes too small to measure: length (bytes, up to), lowest and highest ratio of the whole text; the same of a chunk.
+#: Bands before anything is measured: length (bytes, up to), lowest and highest ratio of the whole text; the same of a chunk.
 WHOLE = ((512, 0.25, 0.95), (2048, 0.22, 0.80), (8192, 0.20, 0.70), (1 << 62, 0.18, 0.65))
 CHUNK_BAND = (0.20, 0.80)
 BAD_SHARE = 0.2
@@ -52,7 +55,8 @@ BAD_SHARE = 0.2
 BIN = 0.001
 BELOW, ABOVE = 3.5, 6.0
 LEAST = 0.4
-ENOUGH, ENOUGH_CHUNKS = 50, 200
+#: So many texts or chunks of a class weigh as much as the bands above.
+PRIOR, PRIOR_CHUNKS = 5, 20
 
 #: Class of a ratio: whether of a chunk, bytes a character (1 to 3), half octave of the length.
 Class = tuple[bool, int, int]
@@ -113,15 +117,21 @@ def ratios(text: str, raw: bytes, press: zstandard.ZstdCompressor) -> list[tuple
     return out + [(class_of(True, width, len(p)), len(press.compress(p)) / len(p)) for p in parts]
 
 
-def in_band(n_bytes: int, found: list[tuple[Class, float]], bands: Bands) -> tuple[float, float, bool]:
+def broad(kind: Class) -> tuple[float, float]:
+    """Limits of a class of which nothing is known."""
+    chunk, _, octave = kind
+    return CHUNK_BAND if chunk else next((lo, hi) for most, lo, hi in WHOLE if 2 ** (octave / 2) <= most)
+
+
+def in_band(found: list[tuple[Class, float]], bands: Bands) -> tuple[float, float, bool]:
     """Ratio of the whole text, share of its chunks that lie outside their bands, and the verdict."""
     if not found:
         return 0.0, 0.0, False
     kind, whole = found[0]
-    low, high = bands.get(kind) or next((lo, hi) for most, lo, hi in WHOLE if n_bytes <= most)
+    low, high = bands.get(kind) or broad(kind)
     outside = 0
     for k, x in found[1:]:
-        lo, hi = bands.get(k, CHUNK_BAND)
+        lo, hi = bands.get(k) or broad(k)
         outside += not lo <= x <= hi
     bad = outside / max(1, len(found) - 1)
     return whole, bad, low <= whole <= high and bad <= BAD_SHARE
@@ -138,7 +148,7 @@ def judge(text: str | None, press: zstandard.ZstdCompressor, bands: Bands = {})
     words = raw.split()
     chars = len(text) - sum(map(text.count, BLANKS))
     repeated = repeated_window_words(words)
-    whole, bad, good = in_band(len(raw), ratios(text, raw, press), bands)
+    whole, bad, good = in_band(ratios(text, raw, press), bands)
     base_failed = base_fails(len(words), repeated)
     return (len(words), chars, sum(map(raw.count, SYMBOLS)), duplicate_lines(raw), repeated, whole, bad, base_failed, not base_failed and good)
 
@@ -153,11 +163,13 @@ def middle(at: np.ndarray, n: np.ndarray) -> float:
 def band(kind: Class, at: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     centre = middle(at, n)
     spread = max(1.4826 * middle(abs(at - centre), n), LEAST / 2 ** (kind[2] / 4)) * (1 + 2 / n.sum() ** 0.5)
-    return float(centre - BELOW * spread), float(centre + ABOVE * spread)
+    share = n.sum() / (n.sum() + (PRIOR_CHUNKS if kind[0] else PRIOR))
+    low, high = broad(kind)
+    return float(share * (centre - BELOW * spread) + (1 - share) * low), float(share * (centre + ABOVE * spread) + (1 - share) * high)
 
 
 def measure(docs: DataFrame, text_col: str = "text") -> Bands:
-    """The bands of all classes with enough ratios.  What is shuffled and collected is a count for each class and bin, whatever the number of rows."""
+    """The bands of all classes that occur.  What is shuffled and collected is a count for each class and bin, whatever the number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, seen = zstandard.ZstdCompressor(level=LEVEL), Counter()
@@ -177,8 +189,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> Bands:
     by: dict[Class, list[tuple[int, int]]] = {}
     for r in counts.collect():
         by.setdefault((r.chunk, r.width, r.octave), []).append((r.bin, r.n))
-    big = {k: np.array(v).T for k, v in by.items() if sum(n for _, n in v) >= (ENOUGH_CHUNKS if k[0] else ENOUGH)}
-    return {k: band(k, at * BIN, n) for k, (at, n) in big.items()}
+    return {k: band(k, *(np.array(v).T * [[BIN], [1]])) for k, v in by.items()}
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+import regex
 import zstandard
 
 from inkline.llm import language_id, quality_classifier, quality_rules
@@ -74,6 +75,74 @@ def test_rules_measure_bands(spark, nothing):
     assert quality_rules.measure(nothing) == {}
 
 
+def plain_verdict(texts):
+    """Kept or not of each text, from lists of ratios instead of counts."""
+    q = quality_rules
+
+    def pieces(raw):
+        cuts = [raw[i:i + q.CHUNK] for i in range(0, len(raw), q.CHUNK)]
+        if len(cuts[-1]) < q.CHUNK // 2:
+            cuts[-2:] = [cuts[-2] + cuts[-1]]
+        return cuts
+
+    def ratio(raw):
+        return len(zstandard.ZstdCompressor(level=q.LEVEL).compress(raw)) / len(raw)
+
+    def kind(chunk, text, raw):
+        per = len(text.encode()) / len(text)
+        return chunk, 1 if per < 1.3 else 2 if per < 2.3 else 3, int(np.floor(2 * np.log2(len(raw)) + 1e-9))
+
+    def of(text):
+        raw = text.encode()
+        return [(kind(False, text, raw), ratio(raw))] + [(kind(True, text, p), ratio(p)) for p in (pieces(raw) if len(raw) >= 2 * q.CHUNK else [])]
+
+    seen = collections.defaultdict(list)
+    failed = [(lambda b: b[0] < 50 or 100 * b[4] > 50 * b[0])(brute(t)) for t in texts]
+    for t, bad in zip(texts, failed, strict=True):
+        for k, x in [] if bad else of(t):
+            seen[k].append(round(x / q.BIN) * q.BIN)
+
+    def limits(k):
+        size = 2 ** (k[2] / 2)
+        lo, hi = q.CHUNK_BAND if k[0] else [(a, b) for most, a, b in q.WHOLE if size <= most][0]
+        if k not in seen:
+            return lo, hi
+        xs = sorted(seen[k])
+        lower = lambda v: sorted(v)[(len(v) - 1) // 2]
+        mid = lower(xs)
+        spread = max(1.4826 * lower([abs(x - mid) for x in xs]), q.LEAST / size ** 0.5) * (1 + 2 / len(xs) ** 0.5)
+        prior = q.PRIOR_CHUNKS if k[0] else q.PRIOR
+        mix = lambda a, b: (len(xs) * a + prior * b) / (len(xs) + prior)
+        return mix(mid - q.BELOW * spread, lo), mix(mid + q.ABOVE * spread, hi)
+
+    out = []
+    for t, bad in zip(texts, failed, strict=True):
+        if bad:
+            out.append(False)
+            continue
+        inside = [limits(k)[0] <= x <= limits(k)[1] for k, x in of(t)]
+        out.append(inside[0] and inside[1:].count(False) <= q.BAD_SHARE * len(inside[1:]))
+    return out
+
+
+def test_verdict_equals_plain(spark):
+    rnd = random.Random(8)
+    junk = lambda n: " ".join("".join(chr(rnd.randint(33, 126)) for _ in range(6)) for _ in range(n))
+    texts = [prose(i, rnd.randint(40, 900)) for i in range(120)] + [junk(rnd.randint(60, 900)) for _ in range(15)] + ["", "a b", "ä漢 " * 70]
+    texts += [prose(500 + i, 300) + " " + junk(400) + prose(i, 600) for i in range(8)] + [" ".join(f"w{i}{i % 9}é" for i in range(n)) for n in range(60, 90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs).collect()}
+    assert [kept[i] for i in range(len(texts))] == plain_verdict(texts)
+
+
+def test_bands_move_smoothly():
+    """One ratio more moves a class's limits little, at every size."""
+    kind = (False, 1, 20)
+    bands = [quality_rules.band(kind, np.array([0.5, 0.52, 0.48]), np.array([n, n // 2, n // 2])) for n in range(2, 200)]
+    steps = [abs(a[0] - b[0]) for a, b in zip(bands, bands[1:], strict=False)]
+    assert max(steps[8:]) < 0.01 and quality_rules.broad(kind)[0] < bands[0][0] < bands[-1][0]
+
+
 def test_rules_reject_labelled_bad(spark):
     big = "/root/testdata/sf0.1"
     rows = {r.doc_id: r for r in QUERIES["op9_quality_rules"](spark, big).collect()}
@@ -140,6 +209,45 @@ def test_codes_correct_a_wrong_bit():
         assert language_id.predict(model._replace(bias=margin), pa.array(["word"]))[0] == ["abcde"[i]]
 
 
+def test_predict_equals_plain_loop():
+    """Margins, weighted losses and the nearest codeword by plain loops over grams, bits and languages."""
+    frame = pd.DataFrame({"text": [prose(i, 30) + x for i in range(8) for x in (" das und die", " the of to", " le la Étés", " los él")], "lang": ["de", "en", "fr", "es"] * 8})
+    model = language_id.learn(frame)
+    texts = ["Und THE la", prose(99, 20), "été", "12 a!", None, "漢字 los", "--"]
+    lang, score, _ = language_id.predict(model, pa.array(texts))
+    for text, found, p in zip(texts, lang, score, strict=True):
+        raw = "".join(c if regex.match(r"\p{L}", c) else " " * len(c.encode()) for c in (text or "").lower()).encode()
+        grams = [raw[i:i + n] for n in language_id.GRAMS for i in range(len(raw) - n + 1)]
+        at = [((int.from_bytes(g, "big") + len(g)) * 2654435769 % 2**32) >> (32 - language_id.BITS) for g in grams if g.strip(b" ")]
+        at = [k for k in at if k]
+        if not at:
+            assert found == "und" and p == 0
+            continue
+        size = len(set(at)) ** 0.5 / len(at)
+        far = []
+        for code, trust in zip(model.codes, model.trust, strict=True):
+            margins = [sum(float(model.weights[k, bit]) for k in at) * size + model.bias[bit] for bit in range(len(code))]
+            far.append(len(code) * sum(w * np.log1p(np.exp(-m * c)) for m, c, w in zip(margins, code, trust, strict=True)))
+        best = int(np.argmin(far))
+        assert found == model.langs[best] and p == pytest.approx(1 / sum(np.exp(far[best] - f) for f in far), abs=1e-5)
+
+
+def test_language_sample_counts_an_id_once(spark, monkeypatch):
+    """An id on a third of all rows brings one text, and a hot language its share at most."""
+    seen = []
+    monkeypatch.setattr(language_id, "SAMPLE", 20)
+    monkeypatch.setattr(language_id, "learn", lambda frame: seen.append(frame))
+    rows = [(1, f"x{i:03}", "de") for i in range(200)] + [(i, f"y{i}", "de") for i in range(2, 300)] + [(i, "z", "en") for i in range(5)] + [(None, "n", "en")] * 3
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language_id.train(docs, F.lit(True))
+    frame = seen[0]
+    assert dict(frame["lang"].value_counts()) == {"de": 20, "en": 6} and not frame.duplicated(["lang", "at"]).any()
+    order = [r["h"] for r in docs.filter("lang = 'de'").select(F.xxhash64("doc_id").alias("h")).distinct().orderBy("h").limit(20).collect()]
+    assert sorted(frame[frame["lang"] == "de"]["at"]) == order and set(frame[frame["text"].str.startswith("x")]["text"]) <= {"x000"}
+
+
 def test_language_edges(spark, edge, nothing):
     from pyspark.sql import functions as F
 
