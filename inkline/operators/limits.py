@@ -1,55 +1,114 @@
 """Per-source caps and stops (W1-W5) over an explicit crawl order.
 
 The reference counts rows in crawl order inside one process; here the order
-is the ``crawl_seq`` column and every limit is a window or an aggregate over
-one read of its input.
-
-Skew: a handful of sources means a handful of window keys, and one source may
-hold a third of the rows.  :func:`top_n` ranks in two stages: first within
-``(group, salt)``, where Spark's partial ``WindowGroupLimit`` keeps at most
-``n`` rows per key in every map task *before* the shuffle, then within
-``group``.  Spark applies that limit up to
-``spark.sql.optimizer.windowGroupLimitThreshold`` only, so :func:`top_n` raises
-the setting to its own ``n`` where it is lower.
+is the ``crawl_seq`` column and a cap is a *selection*: :func:`cut_offs` finds
+each source's last kept place on rows of a few narrow columns, and
+:func:`within` filters the wide rows by that table of one row per source where
+they are read.  No wide row is shuffled to be counted.
+
+The selection is distributed.  Ranks are taken within (source, share) and then
+within the source, where a share is a 64th of the *tasks*: a task's rows of a
+source lie in one share, so Spark's partial ``WindowGroupLimit`` keeps ``cap + 1``
+of them before the shuffle, and the last window sees 64 * (cap + 1) narrow rows
+of a source at most, however many the source has.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkline.session import scratch_path
 
 SALT_BUCKETS = 64
 LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+#: A table of one narrow row per source is broadcast up to so many rows; beyond, Spark joins by its own measure.
+BROADCAST_ROWS = 100_000
+
+Caps = Mapping[str, int] | int
+
+
+@contextmanager
+def group_limit(spark: SparkSession, n: int) -> Iterator[None]:
+    """Let Spark apply its partial group limit up to ``n`` rows; the session's own setting comes back."""
+    before = spark.conf.get(LIMIT_CONF)
+    spark.conf.set(LIMIT_CONF, str(max(n, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(LIMIT_CONF, before)
+
+
+def _small(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read back; with a broadcast hint if it is measured as small."""
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def first_places(df: DataFrame, caps: Caps, media: str, order: str, tiebreak: str | None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """source, k0, k1 and rank of the first rows of each capped source, one more than the largest cap."""
+    keys = [order] + ([tiebreak] if tiebreak else [])
+    rows = df.select(F.col(media).alias("source"), *(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), F.pmod(F.spark_partition_id(), F.lit(salt_buckets)).alias("share"))
+    most = caps
+    if not isinstance(caps, int):
+        rows, most = rows.filter(F.col("source").isin(*caps)), max(caps.values())
+    for group in (["source", "share"], ["source"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(*rows.columns[1:len(keys) + 1]))
+        rows = rows.withColumn("rank", place).filter(F.col("rank") <= most + 1)
+    return rows.drop("share")
+
+
+def cut_offs(df: DataFrame, caps: Caps, media: str = "media", order: str = "crawl_seq", tiebreak: str | None = None, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Per source with as many rows as its cap or more: ``last`` (the place of its last kept row), how many rows of that place stay, and whether more have it.
+
+    Runs as a job of its own; the result is a small table.
+    """
+    most = caps if isinstance(caps, int) else max(caps.values())
+    with group_limit(df.sparkSession, most + 1):
+        rows = first_places(df, caps, media, order, tiebreak, salt_buckets)
+        keys, cap = rows.columns[1:-1], cap_column(caps, F.col("source"))
+        ranks = rows.groupBy("source", *keys).agg(F.min("rank").alias("first"), F.max("rank").alias("final"))
+        cuts = ranks.filter((F.col("first") <= cap) & (F.col("final") >= cap))
+        return _small(cuts.select("source", F.struct(*keys).alias("last"), (cap - F.col("first") + 1).alias("allowed"), (F.col("final") > cap).alias("more")), "cuts")
+
+
+def within(df: DataFrame, cuts: DataFrame, media: str = "media", order: str = "crawl_seq", tiebreak: str | None = None, exact: bool = True) -> DataFrame:
+    """Rows of ``df`` up to their source's cut-off; sources without one keep every row.
+
+    Rows that share the last place (the same order and tiebreak) are told apart only if more of them exist than stay; ``exact=False`` keeps them all.
+    """
+    place = F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate([order] + ([tiebreak] if tiebreak else []))))
+    named = cuts.select(F.col("source").alias("_source"), F.col("last").alias("_last"), F.col("allowed").alias("_allowed"), F.col("more").alias("_more"))
+    out = df.join(named, df[media].eqNullSafe(named["_source"]), "left").filter(F.col("_last").isNull() | (place <= F.col("_last")))
+    if not exact or cuts.filter("more").isEmpty():
+        return out.select(*df.columns)
+    at_last = F.coalesce(F.col("_more"), F.lit(False)) & place.eqNullSafe(F.col("_last"))
+    nth = F.row_number().over(Window.partitionBy(media).orderBy(order))
+    some = out.filter(at_last).withColumn("_nth", nth).filter("_nth <= _allowed")
+    return out.filter(~at_last).select(*df.columns).unionByName(some.select(*df.columns))
 
 
 def top_n(df: DataFrame, group: str, order: str, n: int, rank_col: str = "rn",
           salt_buckets: int = SALT_BUCKETS, tiebreak: str | None = None) -> DataFrame:
-    """Rows ranked ``1..n`` within ``group`` by ``order`` (ties by ``tiebreak``)."""
-    return _ranked(df, F.col(group), order, n, rank_col, salt_buckets, tiebreak)
-
-
-def _ranked(df: DataFrame, group: Column, order: str, n: int, rank_col: str, salt_buckets: int, tiebreak: str | None) -> DataFrame:
-    conf = df.sparkSession.conf
-    if n > int(conf.get(LIMIT_CONF)):
-        conf.set(LIMIT_CONF, str(n))
-    order_cols = [F.col(order)] + ([F.col(tiebreak)] if tiebreak else [])
-    salt = F.pmod(F.xxhash64(*order_cols), F.lit(salt_buckets))
-    w1 = Window.partitionBy("_group", "_salt").orderBy(*order_cols)
-    w2 = Window.partitionBy("_group").orderBy(*order_cols)
-    stage1 = (df.withColumn("_group", group).withColumn("_salt", salt)
-              .withColumn("_rn1", F.row_number().over(w1))
-              .filter(F.col("_rn1") <= n)
-              .drop("_salt", "_rn1"))
-    return (stage1.withColumn(rank_col, F.row_number().over(w2).cast("bigint"))
-            .filter(F.col(rank_col) <= n).drop("_group"))
-
-
-def cap_column(caps: Mapping[str, int] | int, media: Column) -> Column:
+    """Rows ranked ``1..n`` within ``group`` by ``order`` (ties by ``tiebreak``); only they are shuffled."""
+    if n <= 0:
+        return df.limit(0).withColumn(rank_col, F.lit(None).cast("bigint"))
+    kept = within(df, cut_offs(df, n, group, order, tiebreak, salt_buckets), group, order, tiebreak)
+    return _with_rank(kept, group, order, rank_col, tiebreak)
+
+
+def _with_rank(df: DataFrame, group: str, order: str, rank_col: str, tiebreak: str | None) -> DataFrame:
+    w = Window.partitionBy(group).orderBy(order, *([tiebreak] if tiebreak else []))
+    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+
+
+def cap_column(caps: Caps, media: Column) -> Column:
     """Per-source cap as a CASE expression (no join needed for a profile table)."""
     if isinstance(caps, int):
         return F.lit(caps)
@@ -59,46 +118,45 @@ def cap_column(caps: Mapping[str, int] | int, media: Column) -> Column:
     return expr.otherwise(F.lit(None))
 
 
-def source_cap(df: DataFrame, caps: Mapping[str, int] | int, media: str = "media",
+def cap_rows(df: DataFrame, caps: Caps, media: str = "media", order: str = "crawl_seq", tiebreak: str | None = None) -> DataFrame:
+    """W1 without ranks: a filter where the rows are read; nothing of ``df`` is shuffled."""
+    if not isinstance(caps, int):
+        none = [m for m, n in caps.items() if n <= 0]
+        caps = {m: n for m, n in caps.items() if n > 0}
+        df = df.filter(~F.coalesce(F.col(media).isin(*none), F.lit(False))) if none else df
+        if not caps:
+            return df
+    elif caps <= 0:
+        return df.limit(0)
+    return within(df, cut_offs(df, caps, media, order, tiebreak), media, order, tiebreak)
+
+
+def source_cap(df: DataFrame, caps: Caps, media: str = "media",
                order: str = "crawl_seq", tiebreak: str | None = None) -> DataFrame:
-    """The first ``cap`` rows of each source in crawl order.
+    """The first ``cap`` rows of each source in crawl order, with their rank ``rn``.
 
-    Sources without a cap keep every row (``rn`` NULL).  Applied to *parsed*
-    rows, before the recency test (W4).  One read and one window for all.
+    Sources without a cap keep every row (``rn`` NULL) and aren't shuffled.
+    Applied to *parsed* rows, before the recency test (W4).
     """
+    kept = cap_rows(df, caps, media, order, tiebreak)
     if isinstance(caps, int):
-        return top_n(df, media, order, caps, tiebreak=tiebreak)
-    if not caps:
-        return df.withColumn("rn", F.lit(None).cast("bigint"))
-    most, m = max(caps.values()), F.col(media)
-    capped = F.coalesce(m.isin(*caps), F.lit(False))
-    # rows of uncapped sources go through the same window in groups of their own, so none of them meets a limit
-    alone = F.concat_ws("\x00", F.lit("free"), F.xxhash64(m, F.monotonically_increasing_id()))
-    ranked = _ranked(df.withColumn("_capped", capped), F.when(capped, m).otherwise(alone), order, most, "rn", SALT_BUCKETS, tiebreak)
-    return (ranked.filter(~F.col("_capped") | (F.col("rn") <= cap_column(caps, m)))
-            .withColumn("rn", F.when(F.col("_capped"), F.col("rn"))).drop("_capped"))
-
-
-def prefix_stop(df: DataFrame, stale: Column, media: str = "media", order: str = "crawl_seq", bounded: bool = False) -> DataFrame:
+        return _with_rank(kept, media, order, "rn", tiebreak)
+    capped = F.coalesce(F.col(media).isin(*caps), F.lit(False))
+    return _with_rank(kept.filter(capped), media, order, "rn", tiebreak).unionByName(kept.filter(~capped).withColumn("rn", F.lit(None).cast("bigint")))
+
+
+def prefix_stop(df: DataFrame, stale: Column, media: str = "media", order: str = "crawl_seq") -> DataFrame:
     """Keep rows before the first stale row of their source (then nothing more).
 
-    ``bounded``: the caller has capped every source, so a window per source is
-    small.  Otherwise the rows are written once to the shared scratch folder; a
-    partial aggregate finds each source's first stale position, and that
-    one-row-per-source result is joined back (AQE broadcasts it once measured).
+    A partial aggregate finds each source's first stale place; the rows are
+    filtered by that table of one row per source.  Rows without a place come
+    first, so they stay, unless one of them is stale.
     """
     marked = df.withColumn("_stale", F.coalesce(stale, F.lit(False)))
-    if bounded:
-        first = F.min(F.when(F.col("_stale"), F.col(order))).over(Window.partitionBy(media))
-        out = marked.withColumn("_first_stale", first)
-    else:
-        path = scratch_path(df.sparkSession, f"prefix/{uuid.uuid4().hex}")
-        marked.write.parquet(path)
-        marked = df.sparkSession.read.schema(marked.schema).parquet(path)
-        first = (marked.filter("_stale").groupBy(F.col(media).alias("_media")).agg(F.min(order).alias("_first_stale")))
-        out = marked.join(first, F.col(media).eqNullSafe(F.col("_media")), "left").drop("_media")
-    return (out.filter(F.col("_first_stale").isNull() | (F.col(order) < F.col("_first_stale")))
-            .drop("_stale", "_first_stale"))
+    at = F.struct(F.col(order).alias("o"))
+    first = _small(marked.filter("_stale").groupBy(F.col(media).alias("_media")).agg(F.min(at).alias("_first")), "prefix")
+    out = df.join(first, F.col(media).eqNullSafe(F.col("_media")), "left")
+    return out.filter(F.col("_first").isNull() | (at < F.col("_first"))).drop("_media", "_first")
 
 
 def twin_cap(df: DataFrame, response_cap: int, item_cap: int, is_item: Column,
@@ -108,17 +166,17 @@ def twin_cap(df: DataFrame, response_cap: int, item_cap: int, is_item: Column,
     ``df`` holds every page received (listing pages included); a row is
     emitted when at most ``response_cap`` pages were received up to it and it
     is among the first ``item_cap`` items.  Both counts only grow, so the
-    stop is the intersection of two top-N cuts.
+    stop is the intersection of two cuts.
     """
     responses = top_n(df, media, order, response_cap, rank_col="response_no", tiebreak=tiebreak)
     items = responses.filter(is_item)
     return top_n(items, media, order, item_cap, rank_col="item_no", tiebreak=tiebreak)
 
 
-def cap_then_recency(df: DataFrame, caps: Mapping[str, int] | int, fresh: Column,
+def cap_then_recency(df: DataFrame, caps: Caps, fresh: Column,
                      media: str = "media", order: str = "crawl_seq", tiebreak: str | None = None) -> DataFrame:
     """The cap counts stale rows too; recency filters afterwards."""
-    return source_cap(df, caps, media, order, tiebreak).filter(fresh)
+    return cap_rows(df, caps, media, order, tiebreak).filter(fresh)
 
 
 def source_counts(df: DataFrame, media: str = "media", status: str = "status") -> DataFrame:

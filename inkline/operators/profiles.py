@@ -136,7 +136,7 @@ class DateField:
 
     def parse(self, raw: Column) -> Column:
         return {
-            "timestamp": lambda c: c.cast("timestamp_ntz"),
+            "timestamp": lambda c: c.try_cast("timestamp_ntz"),
             "ts_z": D.parse_ts_z,
             "ts_offset": D.parse_ts_offset,
             "date10": D.parse_date10,

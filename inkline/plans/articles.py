@@ -26,34 +26,35 @@ from inkline.sources.tables import ARTICLE_COLUMNS
 Profiles = Profile | Mapping[str, Profile]
 
 
-def select_rows(rows: DataFrame, profiles: Profiles, as_of: dt.datetime | str) -> DataFrame:
-    """W1-W4 + P5 on judged pages: which articles each source emits."""
+def selected(pages: DataFrame, profiles: Profiles, as_of: dt.datetime | str) -> DataFrame:
+    """W1-W4 + P5: the judged pages that each source emits.
+
+    Cut-offs are found first, on the narrow columns of judged pages; pages
+    beyond them are dropped as they are read, before anything is extracted
+    from them, and no page's HTML, container or body is shuffled.
+    """
     src = Sources(profiles)
-    fresh = D.is_fresh(F.col("published_at"), as_of)
-    is_parsed = (F.col("status") == "parsed") & (F.col("part") >= 0)
-    if src.one:
-        p = src.one
-        if p.response_cap is not None:
-            rows = L.twin_cap(rows, p.response_cap, p.row_cap or (1 << 30), is_parsed, tiebreak="page_id")
-        else:
-            rows = rows.filter(is_parsed)
-            if p.row_cap is not None:
-                rows = L.top_n(rows, "media", "crawl_seq", p.row_cap, tiebreak="page_id")
-        if p.freshness == "window":
-            return rows.filter(fresh)
-        return L.prefix_stop(rows, ~fresh, bounded=p.row_cap is not None) if p.freshness == "prefix" else rows
-    received = src.value("response_cap")
+    order = F.col("crawl_seq") if "crawl_seq" in pages.columns else F.col("page_id")
+    tagged = pages.withColumn("media", src.media().cast("string")).withColumn("crawl_seq", order.cast("bigint"))
+    received = src.one.response_cap if src.one else src.value("response_cap")
+    caps = src.one.row_cap if src.one else src.value("row_cap")
+
+    def articles_of(rows: DataFrame) -> DataFrame:
+        return judged(rows, profiles, with_media=False).filter((F.col("status") == "parsed") & (F.col("part") >= 0))
+
     if received:
-        rows = L.source_cap(rows, received, tiebreak="page_id").drop("rn")
-    rows = rows.filter(is_parsed)
-    caps = src.value("row_cap")
-    rows = L.source_cap(rows, caps, tiebreak="page_id").drop("rn")
-    kinds = src.value("freshness")
-    stop = [m for m, k in kinds.items() if k == "prefix"]
-    window = [m for m, k in kinds.items() if k == "window"]
-    if stop:
-        rows = L.prefix_stop(rows, ~fresh & F.col("media").isin(*stop), bounded=len(caps) == len(src.profiles))
-    return rows.filter(~F.col("media").isin(*window) | fresh) if window else rows
+        tagged = L.cap_rows(tagged, received, tiebreak="page_id")
+    if caps:
+        cuts = L.cut_offs(articles_of(tagged), caps, tiebreak="page_id")
+        rows = L.within(articles_of(L.within(tagged, cuts, tiebreak="page_id", exact=False)), cuts, tiebreak="page_id")
+    else:
+        rows = articles_of(tagged)
+    fresh = D.is_fresh(F.col("published_at"), as_of)
+    kinds = {None: src.one.freshness} if src.one else src.value("freshness")
+    of = lambda kind: F.lit(kind in kinds.values()) if src.one else F.col("media").isin(*(m for m, k in kinds.items() if k == kind))
+    if "prefix" in kinds.values():
+        rows = L.prefix_stop(rows, ~fresh & of("prefix"))
+    return rows.filter(~of("window") | fresh) if "window" in kinds.values() else rows
 
 
 def enrich(rows: DataFrame, places: Sequence[str] = (), stopwords: Sequence[str] = T.DEFAULT_STOPWORDS,
@@ -88,7 +89,7 @@ def finished(rows: DataFrame, places: Sequence[str] = (), stopwords: Sequence[st
 
 def articles(pages: DataFrame, profiles: Profiles, as_of: dt.datetime | str, **enrichment) -> DataFrame:
     """The full plan for one source or several; ``enrichment``: arguments of :func:`finished`."""
-    rows = with_body(select_rows(judged(pages, profiles), profiles, as_of), profiles)
+    rows = with_body(selected(pages, profiles, as_of), profiles)
     return finished(rows, **enrichment)
 
 

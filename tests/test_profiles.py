@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from inkline.operators.builtin_profiles import REGISTRY
 from inkline.operators.profiles import extract
 from inkline.plans.articles import articles
@@ -160,3 +162,30 @@ def test_crawl_by_a_sources_own_rules(spark):
     first = seed.replace("https://www.theclinic.cl", "")
     second = REGISTRY["theclinic"].seeds[1].replace("https://www.theclinic.cl", "")
     assert got == {first: (0, 1), second: (0, None), "/n/1": (1, 3), first + "page/2/": (1, 2), "/n/2": (2, None)}
+
+
+def test_flagship_shuffles_no_page_content(spark):
+    """No Exchange of the capped article plan holds HTML, a container or a body."""
+    import re
+
+    from inkline.plans.queries import flagship
+
+    df = flagship(spark, "/root/testdata/sf0.001")
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    below = [" ".join(lines[k + 1:k + 3]) for k, x in enumerate(lines) if re.search(r"\bExchange (hash|range|single|round)", x, re.IGNORECASE)]
+    assert not any(re.search(r"\b(html|container|body|title)#", x) for x in below)
+    formatted = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    for part in re.split(r"\n\(\d+\) ", formatted):
+        if part.startswith("Exchange"):
+            assert not re.search(r"Input \[\d+\]:.*\b(html|container|body|title)#", part)
+
+
+def test_bad_dates_reject_their_page_only(spark):
+    from inkline.operators.profiles import DateField
+
+    texts = ["garbage", "", "2024-13-45", "2024-01-02T99:00:00Z", None, "12-31", "2024-01-02T03:04:05.6Z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, published_at string")
+    for fmt in ("timestamp", "ts_z", "ts_offset", "date10", "ymd_or_dmy", "ymd"):
+        field = DateField("column", "published_at", fmt)
+        got = {r["i"]: r["d"] for r in df.select("i", field.parse(field.raw(F.lit(""))).alias("d")).collect()}
+        assert got[0] is None and got[1] is None and got[2] is None and got[4] is None
