@@ -13,7 +13,9 @@ Semantics (see SURVEY §2.3):
 * tags and attribute names match in either case, values in all three quoting
   forms; a single class name matches one of an element's classes, several
   match the whole attribute;
-* comments are removed (the reference leaks comment text by accident);
+* comments are removed (the reference leaks comment text by accident), and what
+  stands inside scripts, styles, templates and text areas is no markup
+  (``inert_free``, ``masked``);
 * named HTML 4 entities and numeric ones are decoded once, after tags are gone.
 
 A container's paragraphs are rewritten as one string in which ``\\x02`` opens a
@@ -25,7 +27,7 @@ Documented limit: a ``>`` inside an attribute value ends the tag.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
@@ -42,6 +44,9 @@ VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 
 CONTROL_RE = "[\x01-\x03]"
 COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
+#: Elements whose content is text to a parser, never markup.
+INERT_TAGS = ("script", "style", "template", "textarea")
+INERT_RE = rf"(?is)<!--.*?(?:-->|\z)|(<({'|'.join(INERT_TAGS)})(?:[\s/][^>]*)?>).*?(</\2\s*>|\z)"
 ANY_TAG_RE = r"<[^>]*>"
 MARK_RUN_RE = MARK + "+"
 MARK_EDGE_RE = f"^{MARK}|{MARK}\\z"
@@ -164,10 +169,29 @@ def until_closed(rest: Column, tag: str) -> Column:
     return let(rest, inner)
 
 
+def inert_free(html: Column) -> Column:
+    """The page without comments and without the content of scripts and the like; their tags stay."""
+    return F.regexp_replace(html, INERT_RE, "$1$3")
+
+
+def masked(html: Column) -> Column:
+    """The page with blanks in place of comments, scripts and the like: a place in it is the same place in the page."""
+    def blanked(found: Column) -> Column:
+        parts = F.zip_with(F.split(html, INERT_RE), found, lambda p, i: F.concat(p, F.coalesce(F.repeat(F.lit(" "), F.length(i)), F.lit(""))))
+        return F.when(F.size(found) > 0, F.array_join(parts, "")).otherwise(html)
+
+    return let(F.regexp_extract_all(html, F.lit(INERT_RE), F.lit(0)), blanked)
+
+
 def first_block(html: Column, open_re: str, tag: str) -> Column:
-    """Inner HTML of the first element whose opening tag matches; NULL when there is none."""
-    found = F.regexp_like(html, F.lit(open_re))
-    return F.when(found, until_closed(F.regexp_extract(html, f"(?s){open_re}(.*)\\z", 1), tag))
+    """Inner HTML of the first element whose opening tag matches; NULL when there is none.
+
+    Comments, and what scripts and the like contain, are left out, so no element is found in them.
+    """
+    def block(x: Column) -> Column:
+        return F.when(F.regexp_like(x, F.lit(open_re)), until_closed(F.regexp_extract(x, f"(?s){open_re}(.*)\\z", 1), tag))
+
+    return let(inert_free(html), block)
 
 
 def all_blocks(html: Column, tag: str) -> Column:
@@ -184,24 +208,64 @@ def block_after_key(html: Column, tag: str, class_prefix: str, key: Column) -> C
     return F.when(opened.isNotNull(), until_closed(rest, tag))
 
 
+#: Pieces that one inner fold takes; its output is joined before the next one starts.
+SCAN_BLOCK = 64
+
+
+def scanned(pieces: Column, state: Column, out: Column, step: Callable[[Column, Column], Column], join: Callable[[Column], Column], finish: Callable[[Column], Column]) -> Column:
+    """A fold over ``pieces`` that also collects: ``step(s, piece)`` returns ``s`` = (state, out) with something appended to ``out`` or not.
+
+    An array that grows with every piece would be copied with every piece.  So
+    the pieces are taken in blocks: a block is folded from the state that the
+    one before ended with into an ``out`` of its own, ``join`` makes one value of
+    that, and only those are collected; ``finish`` gets them as an array.
+    """
+    def block(s: Column, at: Column) -> Column:
+        inner = F.aggregate(F.slice(pieces, at, F.lit(SCAN_BLOCK)), F.struct(s["state"].alias("state"), out.alias("out")), step)
+        return let(inner, lambda x: F.struct(x["state"].alias("state"), F.array_append(s["out"], join(x["out"])).alias("out")))
+
+    def run(pieces_: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(pieces_), F.lit(SCAN_BLOCK))
+        return F.aggregate(starts, F.struct(state.alias("state"), F.array(join(out)).alias("out")), block, lambda s: finish(s["out"]))
+
+    return run(pieces)
+
+
 def nested_blocks(container: Column, tag: str) -> Column:
-    """For each ``tag`` element, in document order, its content without that of ``tag`` elements inside it (a MARK instead)."""
-    start = F.struct(F.array().cast("array<int>").alias("stack"), F.lit(0).alias("n"), F.array().cast("array<struct<own:int,html:string>>").alias("out"))
+    """For each ``tag`` element, in document order, its content without that of ``tag`` elements inside it (a MARK instead).
+
+    One scan gives each piece the number of the element it belongs to; sorted by that number, the pieces are joined and cut where it changes.
+    """
+    piece_type = "array<struct<own:int,html:string>>"
+    start = F.struct(F.array().cast("array<int>").alias("stack"), F.lit(0).alias("n"))
 
     def step(s: Column, piece: Column) -> Column:
+        stack, n = s["state"]["stack"], s["state"]["n"]
         opens, closes = _delta(piece, tag) == 1, _delta(piece, tag) == -1
-        n = s["n"] + F.when(opens, 1).otherwise(0)
-        size = F.size(s["stack"])
-        stack = F.when(opens, F.array_append(s["stack"], n)).when(closes & (size > 0), F.slice(s["stack"], F.lit(1), F.greatest(size - 1, F.lit(0)))).otherwise(s["stack"])
-        own = F.when(F.size(stack) > 0, F.element_at(stack, -1))
-        text = F.regexp_replace(piece, f"(?i)^</?{tag}(?:[\\s/][^>]*)?>", "")
-        return F.struct(stack.alias("stack"), n.alias("n"), F.when(own.isNull(), s["out"]).otherwise(F.array_append(s["out"], F.struct(own.alias("own"), text.alias("html")))).alias("out"))
+        number = n + F.when(opens, 1).otherwise(0)
+        size = F.size(stack)
+        now = F.when(opens, F.array_append(stack, number)).when(closes & (size > 0), F.slice(stack, F.lit(1), F.greatest(size - 1, F.lit(0)))).otherwise(stack)
+
+        def both(now: Column) -> Column:
+            text = F.regexp_replace(piece, f"(?i)^</?{tag}(?:[\\s/][^>]*)?>", "")
+            out = F.when(F.size(now) > 0, F.array_append(s["out"], F.struct(F.element_at(now, -1).alias("own"), text.alias("html")))).otherwise(s["out"])
+            return F.struct(F.struct(now.alias("stack"), number.alias("n")).alias("state"), out.alias("out"))
 
-    def blocks(s: Column) -> Column:
-        numbers = F.when(s["n"] > 0, F.sequence(F.lit(1), s["n"])).otherwise(F.array().cast("array<int>"))
-        return F.transform(numbers, lambda i: F.array_join(F.transform(F.filter(s["out"], lambda x: x["own"] == i), lambda x: x["html"]), MARK))
+        return let(now, both)
 
-    return F.aggregate(F.split(container, f"(?i)(?=</?{tag}[\\s/>])"), start, step, blocks)
+    def texts(found: Column) -> Column:
+        def cut(rows: Column) -> Column:
+            def edge(x: Column, i: Column) -> Column:
+                before = F.when(i > 0, F.get(rows, i - 1)["own"])
+                return F.concat(F.when(before.isNull(), F.lit("")).when(before == x["own"], F.lit(MARK)).otherwise(F.lit(PSEP)), x["html"])
+            return F.when(F.size(rows) == 0, F.array().cast("array<string>")).otherwise(F.split(F.array_join(F.transform(rows, edge), ""), PSEP))
+
+        # numbered first, so that sorting by element keeps the order within it
+        rows = F.transform(F.flatten(found), lambda x, i: F.struct(x["own"].alias("own"), i.alias("i"), x["html"].alias("html")))
+        return let(F.array_sort(rows), cut)
+
+    pieces = F.split(container, f"(?i)(?=</?{tag}[\\s/>])")
+    return let(pieces, lambda p: scanned(p, start, F.array().cast(piece_type), step, lambda out: out, texts))
 
 
 def without_children(x: Column, keep: Sequence[str]) -> Column:
@@ -211,23 +275,137 @@ def without_children(x: Column, keep: Sequence[str]) -> Column:
     """
     tag = child_tag_re(keep)
     none = F.array().cast("array<string>")
-    start = F.struct(none.alias("open"), none.alias("out"))
 
     def step(s: Column, piece: Column) -> Column:
+        open_ = s["state"]
+
         def named(name: Column) -> Column:
-            at = F.array_position(F.reverse(s["open"]), name)  # from the end
-            ended = F.when(at > 0, F.slice(s["open"], F.lit(1), (F.size(s["open"]) - at).cast("int"))).otherwise(s["open"])
-            now = F.when(piece.rlike(f"^[{PSEP}{PEND}]"), none).when(name == "", s["open"]).when(piece.startswith("</"), ended).otherwise(F.array_append(s["open"], name))
+            at = F.array_position(F.reverse(open_), name)  # from the end
+            ended = F.when(at > 0, F.slice(open_, F.lit(1), (F.size(open_) - at).cast("int"))).otherwise(open_)
+            now = F.when(piece.rlike(f"^[{PSEP}{PEND}]"), none).when(name == "", open_).when(piece.startswith("</"), ended).otherwise(F.array_append(open_, name))
 
             def both(now: Column) -> Column:
-                out = F.when(F.size(now) == 0, F.array_append(s["out"], piece)).when(F.size(s["open"]) == 0, F.array_append(s["out"], F.lit(MARK))).otherwise(s["out"])
-                return F.struct(now.alias("open"), out.alias("out"))
+                out = F.when(F.size(now) == 0, F.array_append(s["out"], piece)).when(F.size(open_) == 0, F.array_append(s["out"], F.lit(MARK))).otherwise(s["out"])
+                return F.struct(now.alias("state"), out.alias("out"))
 
             return let(now, both)
 
         return let(F.lower(F.regexp_extract(piece, f"(?i)^{tag}", 1)), named)
 
-    return F.aggregate(F.split(x, f"(?i)(?={tag})|(?=[{PSEP}{PEND}])"), start, step, lambda s: F.array_join(s["out"], ""))
+    joined = lambda out: F.array_join(out, "")
+    pieces = F.split(x, f"(?i)(?={tag})|(?=[{PSEP}{PEND}])")
+    return let(pieces, lambda p: scanned(p, none, none, step, joined, joined))
+
+
+# ------------------------------------------------------------------ paths ---
+
+@dataclass(frozen=True)
+class Step:
+    """A step of a path: elements ``tag`` (``*``: any), with a class attribute or an id, and which of them.
+
+    ``child``: direct children only, else elements at any depth (those inside another match belong to it).  ``nth``
+    counts from 1 among the parent's children of that tag, as in a path expression; with a class or id, those must hold, too.
+    """
+
+    tag: str
+    cls: str | None = None
+    ident: str | None = None
+    nth: int | None = None
+    child: bool = False
+
+    @classmethod
+    def of(cls, text: str) -> "Step":
+        """``/div[2]`` (second ``div`` child), ``h3``, ``div.wide list`` (the whole class attribute), ``*#app``."""
+        m = re.fullmatch(r"(/?)([\w*:-]+)(?:#([^\[]+)|\.([^\[]+))?(?:\[(\d+)\])?", text)
+        if not m:
+            raise ValueError(f"no step: {text!r}")
+        return cls(m[2], m[4], m[3], int(m[5]) if m[5] else None, bool(m[1]))
+
+    @property
+    def name_re(self) -> str:
+        return "[a-z][\\w:-]*" if self.tag == "*" else self.tag
+
+    def matches(self, opened: Column) -> Column:
+        """Whether an element that begins with its opening tag has the step's name, class and id."""
+        ok = opened.rlike(f"^(?i:<{self.name_re}(?=[\\s/>]))")
+        for name, value in (("class", self.cls), ("id", self.ident)):
+            if value is not None:
+                ok = ok & opened.rlike(f"^<(?=[^>]*{attr_is(name, value)})")
+        return ok
+
+
+#: Elements that a sibling of the same name ends.
+SIBLING_ENDS = ("p", "li", "dt", "dd", "option", "tr", "td", "th")
+#: Elements that end an open paragraph.
+ENDS_P = ("address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3",
+          "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "pre", "section", "table", "ul")
+TAG_RE = r"</?[a-zA-Z][\w:-]*(?:[\s/][^>]*)?>"
+
+
+def _elements(inner: Column, wanted: Callable[[Column, Column], Column]) -> Column:
+    """Outer HTML of the elements of ``inner`` for which ``wanted(opening tag, depth)``, outermost first; one inside another is not listed.
+
+    A running stack of names says where an element ends: at its closing tag, at one of an element around it, or at the end.
+    """
+    def step(s: Column, piece: Column) -> Column:
+        open_ = s["open"]
+
+        def named(name: Column) -> Column:
+            at = F.array_position(F.reverse(open_), name)
+            top = F.when(F.size(open_) > 0, F.element_at(open_, -1)).otherwise("")
+            sibling = name.isin(*SIBLING_ENDS) & (top == name) | name.isin(*ENDS_P) & (top == "p")
+            shorter = lambda n: F.slice(open_, F.lit(1), F.greatest(F.size(open_) - n, F.lit(0)).cast("int"))
+            before = F.when(piece.startswith("</"), F.when(at > 0, shorter(at)).otherwise(open_)).when(sibling, shorter(F.lit(1))).otherwise(open_)
+
+            def both(before: Column) -> Column:
+                opens = (name != "") & ~piece.startswith("</")
+                ended = s["begin"].isNotNull() & (F.size(before) < s["depth"])
+                found = F.when(ended, F.array_append(s["found"], F.struct(s["begin"].alias("at"), (s["pos"] + F.when(piece.startswith("</") & (F.size(before) == s["depth"] - 1), F.length(F.regexp_extract(piece, f"^{TAG_RE}", 0))).otherwise(0) - s["begin"]).alias("n")))).otherwise(s["found"])
+                begin, depth = F.when(~ended, s["begin"]), F.when(~ended, s["depth"])
+                void = name.isin(*VOID_TAGS)
+                starts = opens & begin.isNull() & wanted(piece, F.size(before))
+                # a void element is all of itself
+                found = F.when(starts & void, F.array_append(found, F.struct(s["pos"].alias("at"), F.length(F.regexp_extract(piece, f"^{TAG_RE}", 0)).alias("n")))).otherwise(found)
+                starts = starts & ~void
+                return F.struct(F.when(opens & ~void, F.array_append(before, name)).otherwise(before).alias("open"), (s["pos"] + F.length(piece)).alias("pos"),
+                                F.when(starts, s["pos"]).otherwise(begin).alias("begin"), F.when(starts, F.size(before) + 1).otherwise(depth).alias("depth"), found.alias("found"))
+
+            return let(before, both)
+
+        return let(F.lower(F.regexp_extract(piece, "^</?([a-zA-Z][\\w:-]*)(?:[\\s/][^>]*)?>", 1)), named)
+
+    nothing = F.lit(None).cast("int")
+    start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(0).alias("pos"), nothing.alias("begin"), nothing.alias("depth"), F.array().cast("array<struct<at:int,n:int>>").alias("found"))
+    last = lambda s: F.when(s["begin"].isNotNull(), F.array_append(s["found"], F.struct(s["begin"].alias("at"), (s["pos"] - s["begin"]).alias("n")))).otherwise(s["found"])
+    return F.aggregate(F.split(inner, f"(?={TAG_RE})"), start, step, last)
+
+
+def inner_of(element: Column) -> Column:
+    """What is between the tags of an element's outer HTML."""
+    name = F.regexp_extract(element, "^<([a-zA-Z][\\w:-]*)", 1)
+    return F.regexp_replace(F.regexp_replace(element, f"^{TAG_RE}", ""), F.concat(F.lit("(?i)</"), name, F.lit("\\s*>\\z")), F.lit(""))
+
+
+def _following(x: Step) -> Callable[[Column], Column]:
+    """From an element's outer HTML to those of the elements that the step finds in it."""
+    name = lambda tag: tag.rlike(f"^(?i:<{x.name_re}(?=[\\s/>]))")
+
+    def cut(inner: Column) -> Column:
+        places = _elements(inner, lambda tag, depth: (depth == 0) & name(tag) if x.child else x.matches(tag))
+        if x.nth:
+            places = F.filter(places, lambda _, i: i == x.nth - 1)
+        return F.filter(F.transform(places, lambda p: F.substring(inner, p["at"] + 1, p["n"])), lambda e: x.matches(e))
+
+    return lambda parent: let(inner_of(parent), cut)
+
+
+def path_elements(html: Column, path: Sequence[Step | str]) -> Column:
+    """Outer HTML of all elements that ``path`` leads to, in document order; comments and scripts hold none."""
+    steps = [x if isinstance(x, Step) else Step.of(x) for x in path]
+    found = F.array(F.concat(F.lit("<page>"), inert_free(html), F.lit("</page>")))
+    for x in steps:
+        found = F.flatten(F.transform(found, _following(x)))
+    return found
 
 
 # ------------------------------------------------------------- attributes ---
@@ -386,6 +564,58 @@ def extract_content(container: Column, tag: str = "p") -> Column:
     return F.replace(x, F.lit("\r\n"), F.lit("\n"))
 
 
+def remove_nodes(html: Column, selectors: Sequence[str]) -> Column:
+    """Delete, for each selector in turn, the first element that it finds, to the element's own end.
+
+    Selectors are ``tag``, ``.class`` (one of the element's classes), ``#id`` and their combinations, such as ``div.ad#top``.
+    Nothing is found inside comments, scripts and the like; a void element is its tag, one that is never closed goes to the end.
+    """
+    for selector in selectors:
+        html = _without_first(html, selector)
+    return html
+
+
+def _selector_re(selector: str) -> str:
+    m = re.fullmatch(r"([\w*:-]*)((?:[.#][^.#\s]+)*)", selector)
+    if not m or not selector:
+        raise ValueError(f"no selector: {selector!r}")
+    tag = m[1] if m[1] not in ("", "*") else "[a-z][\\w:-]*"
+    out = ""
+    for kind, value in re.findall(r"([.#])([^.#\s]+)", m[2]):
+        v = rx_escape(value)
+        classes = f"(?i:\\sclass\\s*=\\s*)(?:\"(?:[^\">]*\\s)?{v}(?:\\s[^\">]*)?\"|'(?:[^'>]*\\s)?{v}(?:\\s[^'>]*)?'|{v}(?=[\\s>]))"
+        out += f"(?=[^>]*{classes})" if kind == "." else f"(?=[^>]*{attr_is('id', value)})"
+    return f"(?i:<({tag}))(?=[\\s/>]){out}[^>]*>"
+
+
+def _without_first(html: Column, selector: str) -> Column:
+    opened = _selector_re(selector)
+
+    def cut(seen: Column) -> Column:
+        def at(tag: Column) -> Column:
+            place = F.instr(seen, tag)
+            name = F.lower(F.regexp_extract(tag, opened, 1))
+            rest = F.substring(seen, place + F.length(tag), F.length(seen))
+            # up to the closing tag of this element: opens and closes of its name are counted over the pieces
+            pieces = F.split(rest, F.concat(F.lit("(?i)(?=</?"), name, F.lit("[\\s/>])")))
+            start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(-1).alias("end"))
+
+            def step(s: Column, piece: Column) -> Column:
+                named = lambda slash: F.regexp_like(piece, F.concat(F.lit(f"(?i)^<{slash}"), name, F.lit("[\\s/>]")))
+                depth = s["depth"] + F.when(named("/"), -1).when(named(""), 1).otherwise(0)
+                ends = (s["end"] < 0) & (depth == 0)
+                return F.struct(F.when(s["end"] < 0, depth).otherwise(s["depth"]).alias("depth"), (s["at"] + F.length(piece)).alias("at"),
+                                F.when(ends, s["at"] + F.length(F.regexp_extract(piece, "^</[^>]*>", 0))).otherwise(s["end"]).alias("end"))
+
+            gone = F.aggregate(pieces, start, step, lambda s: F.when(s["end"] < 0, s["at"]).otherwise(s["end"]))
+            gone = F.when(name.isin(*VOID_TAGS), F.lit(0)).otherwise(gone)
+            return F.when(tag == "", html).otherwise(F.concat(F.substring(html, F.lit(1), place - 1), F.substring(html, place + F.length(tag) + gone, F.length(html))))
+
+        return let(F.regexp_extract(seen, opened, 0), at)
+
+    return let(masked(html), cut)
+
+
 def remove_first(html: Column, tag: str) -> Column:
-    """Delete the first ``<tag>…</tag>`` element of the page."""
-    return F.regexp_replace(html, f"(?s)\\A(.*?){open_tag_re(tag)}.*?{close_tag_re(tag)}", "$1")
+    """E18 for one tag name."""
+    return remove_nodes(html, [tag])

@@ -93,8 +93,8 @@ FINAL_DOT_RE = rf"\.({WS}|\z)"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), 0)
+    """``use(value)`` with the value computed once (and not copied: it is the start of a fold over nothing)."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, use)
 
 
 def strip_ws(c: Column) -> Column:

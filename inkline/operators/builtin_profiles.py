@@ -126,8 +126,8 @@ EMOL = Profile(
 )
 LATERCERA = Profile(
     media="latercera",
-    title=TextField("region_first", region=Region(H.open_tag_re("div")), scope=Region(H.open_tag_re("h1"), "h1"),
-                    on_missing="reject"),
+    title=TextField("region_first", region=Region(path=(
+        "*#fusion-app", "/div[1]", "/section", "/article", "/header", "/div", "/div[1]", "/h1", "/div")), on_missing="reject"),
     subtitle=TextField("region_first", region=_exact("p", "excerpt"),
                        on_missing="reject"),
     container=Region(None),
@@ -140,8 +140,8 @@ LATERCERA = Profile(
            "https://www.latercera.com/etiqueta/medioambiente/",
            "https://www.latercera.com/etiqueta/seguridad/",
            "https://www.latercera.com/etiqueta/transporte/"),
-    rules=(LinkRule(region=("div.pagination", "nav", "li")),
-           LinkRule(region=("div.headline | width_full hl", "h3"), is_item=True, follow=False)),
+    rules=(LinkRule(region=("div.pagination", "/nav", "/ul", "/li", "/a")),
+           LinkRule(region=("div.headline | width_full hl", "/h3", "/a"), is_item=True, follow=False)),
 )
 PUBLIMETRO = Profile(
     media="publimetro",
@@ -156,7 +156,7 @@ PUBLIMETRO = Profile(
     allowed_domains=("publimetro.cl",),
     hosts=("publimetro.cl",),
     seeds=("https://www.publimetro.cl/noticias/",),
-    rules=(LinkRule(region=("main",), is_item=True, follow=False),),
+    rules=(LinkRule(region=("*#skin-branding", "/div", "/div[2]", "/main", "/div[3]", "/div", "/div[2]", "/a"), is_item=True, follow=False),),
 )
 THECLINIC = Profile(
     media="theclinic",

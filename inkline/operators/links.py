@@ -51,21 +51,40 @@ def blocks(html: Column, step: str) -> Column:
     return F.transform(pieces, lambda x: H.until_closed(F.regexp_replace(x, f"^{opens}", ""), tag))
 
 
+def is_path(region: Sequence[str]) -> bool:
+    """Whether steps name children, positions or ids, and not just elements within elements."""
+    return any(s.startswith("/") or "#" in s or s.endswith("]") for s in region)
+
+
 def region_html(html: Column, path: Sequence[str]) -> Column:
-    """L2: what lies inside the elements of ``path``, one within the other."""
+    """L2: what lies inside the elements of ``path``, one within the other; the elements themselves where the path names children (``H.path_elements``)."""
+    if is_path(path):
+        return F.array_join(H.path_elements(html, path), " ")
     html = F.regexp_replace(html, NOT_MARKUP_RE, "")
     for step in path:
         html = F.array_join(blocks(html, step), " ")
     return html
 
 
+#: The first ``<base>`` that has an address.
+BASE_RE = f"(?i)<base\\s(?:[^>]*?\\s)?href\\s*=\\s*{H.VALUE_RE}"
+
+
+def base_url(url: Column, html: Column) -> Column:
+    """What a page's links are relative to, its address or its ``<base href>`` (relative to that in turn)."""
+    raw = F.regexp_extract(F.regexp_replace(html, NOT_MARKUP_RE, ""), BASE_RE, 1)
+    href = H.decode_entities(F.regexp_replace(raw, "^[\"']|[\"']\\z", ""))
+    # pages without the tag, nearly all, are told by a plain search
+    return F.when(F.lower(html).contains("<base") & (raw != ""), U.resolve(url, href)).otherwise(url)
+
+
 def extract_links(pages: DataFrame, region: Sequence[str] = (), crawl_seq: str | None = None) -> DataFrame:
     """L1 / L2: one row per (page, distinct absolute link), of the whole page or of a region (``region_html``)."""
     scope = region_html(F.col("html"), region) if region else F.col("html")
     seq = F.col(crawl_seq) if crawl_seq else F.col("page_id")
     return pages.select(
         "page_id", seq.cast("bigint").alias("crawl_seq"), F.col("url").alias("src_url"),
-        F.posexplode(page_links(F.col("url"), scope)).alias("pos", "dst_url"))
+        F.posexplode(page_links(base_url(F.col("url"), F.col("html")), scope)).alias("pos", "dst_url"))
 
 
 def any_match(c: Column, patterns: Sequence[str]) -> Column:
@@ -160,12 +179,13 @@ def frontier(links: DataFrame, visited: DataFrame, url: str = "dst_url",
 
 def link_edges(pages: DataFrame, rules: Sequence[LinkRule] | None = None, domains: Sequence[str] | None = None) -> DataFrame:
     """The crawl graph as a narrow table: (src, dst) canonical URLs, is_item, follow.  Pages are parsed once."""
-    base, html = F.col("url"), F.col("html")
+    html = F.col("html")
+    base = base_url(F.col("url"), html)
     if rules is None:
         links = F.transform(page_links(base, html), lambda u: F.struct(u.alias("dst_url"), F.lit(False).alias("is_item"), F.lit(True).alias("follow")))
     else:
         links = rule_links(base, html, rules)
-    edges = pages.select(U.canonical(base).alias("src"), F.explode(links).alias("l"))
+    edges = pages.select(U.canonical(F.col("url")).alias("src"), F.explode(links).alias("l"))
     edges = edges.select("src", U.canonical(F.col("l.dst_url")).alias("dst"), F.col("l.is_item").alias("is_item"), F.col("l.follow").alias("follow"))
     return edges.filter(U.on_domains(U.host(F.col("dst")), domains))
 

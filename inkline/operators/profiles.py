@@ -32,14 +32,17 @@ from inkline.operators.links import LinkRule, crawl_closure
 
 @dataclass(frozen=True)
 class Region:
-    """An element: how its opening tag looks and its name; ``open_re=None`` means the whole page."""
+    """An element: how its opening tag looks and its name, or the first one that ``path`` leads to; neither means the whole page."""
 
     open_re: str | None = None
     tag: str = "div"
     key_meta: str | None = None         # class computed from <meta name=key_meta>
     class_prefix: str | None = None
+    path: tuple[str, ...] = ()          # steps with positions (``H.Step.of``)
 
     def column(self, html: Column) -> Column:
+        if self.path:
+            return H.inner_of(F.get(H.path_elements(html, self.path), 0))
         if self.key_meta is not None:
             key = H.meta_content(html, self.key_meta, key="name")
             return H.block_after_key(html, self.tag, self.class_prefix or "", key)
@@ -90,8 +93,12 @@ class TextField:
             reg = self.region.column(html)
             val = F.when(reg.isNotNull(), H.own_text(reg))
         elif self.kind == "region_first":
-            reg = self.region.column(html)
-            val = H.first_own_text(reg)
+            # of several elements at the end of a path, the first one with a text node of its own
+            if self.region.path:
+                texts = F.transform(H.path_elements(html, self.region.path), lambda e: H.first_own_text(H.inner_of(e)))
+                val = F.get(F.filter(texts, lambda t: t.isNotNull()), 0)
+            else:
+                val = H.first_own_text(self.region.column(html))
         elif self.kind == "first_p_all":
             reg = self.region.column(html)
             first = F.regexp_extract(reg, f"(?s){H.open_tag_re('p')}(.*?)(?:{H.close_tag_re('p')}|(?i:<p[\\s/>])|\\z)", 1)
@@ -261,16 +268,18 @@ def _body(p: Profile) -> Column:
 
 def judged(pages: DataFrame, profiles: Profile | Mapping[str, Profile], with_media: bool = True) -> DataFrame:
     """Pages with every field but the body, the container's HTML, and their status and reason."""
-    src, html = Sources(profiles), F.col("html")
+    src, html = Sources(profiles), F.col("markup")
     crawl_seq = F.col("crawl_seq") if "crawl_seq" in pages.columns else F.col("page_id")
     tagged = pages.withColumn("media", src.media().cast("string")) if with_media else pages
+    # once per page for all fields; only JSON-LD is read from the page as it came
+    tagged = tagged.withColumn("markup", H.inert_free(F.col("html")))
     fields = tagged.select(
         "page_id", "media", crawl_seq.cast("bigint").alias("crawl_seq"), F.col("url").alias("page_url"),
         src.pick(lambda p: p.url_from_meta, lambda p: H.meta_content(html, p.url_from_meta) if p.url_from_meta else F.col("url")).alias("url"),
         src.pick(lambda p: p.title, lambda p: p.title.column(html)).alias("title"),
         src.pick(lambda p: p.subtitle, lambda p: p.subtitle.column(html)).alias("subtitle"),
         src.pick(lambda p: p.container, lambda p: p.container.column(html)).alias("container"),
-        src.pick(lambda p: (p.date.source, p.date.arg), lambda p: p.date.raw(html)).alias("date_raw"),
+        src.pick(lambda p: (p.date.source, p.date.arg), lambda p: p.date.raw(F.col("html") if p.date.source == "jsonld" else html)).alias("date_raw"),
         # keeps filters on the result above this projection, so that no field is computed twice
         F.spark_partition_id().alias("part"),
     )

@@ -136,3 +136,92 @@ def test_dropped_child_malformed(spark):
     assert body(spark, "<p>a <span><span><span><span><span>x</span></span>lost</p><p>b</p>") == "a b"     # unclosed: to the end of its paragraph
     assert body(spark, "<p>a <div><div></div><em>x</div>y</em>z</p>") == "a  yz"                          # </div> ends <em>, too
     assert body(spark, "<p>a</span> b <span/>c</span>d</p>") == "a b  d"
+
+
+def test_nothing_is_found_in_comments_and_scripts(spark):
+    html = ('<script>var a="<article><p>script text</p></article>"</script><!-- <article>..old..</article> --><textarea><article>t</article></textarea>'
+            "<style>article{}</style><template><article>x</article></template><article><p>real</p><SCRIPT>'</article>'</SCRIPT ><p>more</p></article>")
+    assert one(spark, lambda c: H.body_text(H.first_block(F.col(c), H.open_tag_re("article"), "article")), html) == "real more"
+    assert one(spark, lambda c: H.masked(F.col(c)), html) == H_masked(html) and len(one(spark, lambda c: H.masked(F.col(c)), html)) == len(html)
+    assert one(spark, lambda c: H.masked(F.col(c)), "<p>plain</p>") == "<p>plain</p>" and one(spark, lambda c: H.masked(F.col(c)), "<!-- open") == " " * 9
+    page = "<script type='application/ld+json'>{\"datePublished\": \"2024\"}</script>"
+    assert one(spark, lambda c: H.jsonld_field(F.col(c), "$.datePublished"), page) == "2024"
+
+
+def H_masked(html):
+    import re
+    return re.sub(H.INERT_RE.replace("(?is)", "").replace("\\z", "\\Z"), lambda m: " " * len(m[0]), html, flags=re.I | re.S)
+
+
+def test_remove_nodes_by_selector(spark):
+    def cut(html, *selectors):
+        return one(spark, lambda c: H.remove_nodes(F.col(c), selectors), html)
+
+    assert cut("<nav><nav>a</nav>tail</nav>z<nav>q</nav>", "nav") == "z<nav>q</nav>"
+    assert cut('a<div class="big ad"><div>1</div></div>b<p id=x>q</p>c<br>d<br>', ".ad", "#x", "br") == "abcd<br>"
+    assert cut('<div class="a"></div><div class="a b" id="k">x</div>y', "div.a.b#k") == '<div class="a"></div>y'
+    assert cut("<!-- <i>no</i> --><script>'<i>'</script><i>yes</i>z", "i") == "<!-- <i>no</i> --><script>'<i>'</script>z"
+    assert cut("<navx>a</navx><NAV>b", "nav") == "<navx>a</navx>" and cut("<p>a</p>", ".none", "b") == "<p>a</p>"
+
+
+def test_paths_with_positions(spark):
+    def at(html, *path):
+        return one(spark, lambda c: H.path_elements(F.col(c), path), html)
+
+    html = ('<h1>no</h1><div id="app"><p>x<p>y<div><div><h1>decoy</h1></div><section><h1>yes</h1><br></section><section>no<h1>two</h1></section></div>'
+            "<div><section><h1>wrong</h1></section></div></div><!-- <div id=app><div><section><h1>old</h1></section></div></div> -->")
+    assert at(html, "*#app", "/div[1]", "/section", "/h1") == ["<h1>yes</h1>", "<h1>two</h1>"]
+    assert at(html, "*#app", "/div[2]", "/section[1]", "/h1") == ["<h1>wrong</h1>"] and at(html, "*#app", "/div[3]") == []
+    assert at("<ul><li><a>1</a><li><a href=x>2</a> <a>3</a><li>z</ul>", "ul", "/li[2]", "/a") == ["<a href=x>2</a>", "<a>3</a>"]
+    assert at('<div class="k"><nav><a>1</a></nav></div><div class="k l"><nav><a>2</a></nav></div>', "div.k", "/nav", "/a") == ["<a>1</a>"]
+    assert at("<div><img src=1><img src=2></div>", "div", "/img[2]") == ["<img src=2>"]
+
+
+def test_extraction_grows_with_the_page(spark):
+    """Twice the dropped children or nested blocks cost at most 2.5 times, beyond what a query costs anyway."""
+    import time
+
+    def seconds(build, html):
+        df = spark.createDataFrame([(html,)], "x string").select(F.length(build(F.col("x"))).alias("n"))
+        runs = []
+        for _ in range(3):
+            t = time.perf_counter()
+            df.collect()
+            runs.append(time.perf_counter() - t)
+        return min(runs)
+
+    spec = H.ParagraphSpec("div", None, ("a",), nested=True)
+    for build, piece in ((lambda c: H.body_text(c, STRONG), "x <span class=q>in</span> y"), (lambda c: H.body_text(c, spec), "<div>x</div> y")):
+        wrap = lambda n, piece=piece: "<p>" + piece * n + "</p>"
+        base = seconds(build, wrap(1))
+        small, large = seconds(build, wrap(4000)) - base, seconds(build, wrap(8000)) - base
+        assert large < 2.5 * max(small, 0.4) and large < 5
+
+
+def test_scan_equals_a_plain_stack(spark):
+    """Random markup, longer than a block of the scan: the same text as a stack in Python gives."""
+    import random
+    import re
+
+    rnd = random.Random(3)
+    pieces = ["<i>", "</i>", "<span>", "</span>", "<em class=x>", "</em>", "t ", "u", "<a>", "</a>", "</strong>", "<u>", "</u>"]
+    for n in (5, 60, 64, 65, 500):
+        x = "".join(rnd.choice(pieces) for _ in range(n))
+        out, stack = "", []
+        for tag, text in re.findall(r"(</?(?:i|span|em|u)(?: class=x)?>)|((?:(?!</?(?:i|span|em|u)[ >]).)+)", x):
+            before = len(stack)
+            if tag.startswith("</"):
+                name = tag[2:-1]
+                if name in stack:
+                    while stack.pop() != name:
+                        pass
+            elif tag:
+                stack.append(re.match(r"<(\w+)", tag)[1])
+            # a closing tag and the text after it are one piece, kept as markup when nothing is open
+            out += (text or tag) if not stack and not (tag and before) else ""
+            if tag and stack and not before:
+                out += H.MARK
+            if tag and before and not stack:
+                out += tag
+        got = one(spark, lambda c: H.without_children(F.col(c), ("a", "strong")), x)
+        assert re.sub("<[^>]*>", "", got) == re.sub("<[^>]*>", "", out)

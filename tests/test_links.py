@@ -99,3 +99,32 @@ def test_closure_on_a_cycle(spark):
     assert got == {"https://s.cl/a": (0, 1), "https://s.cl/b": (1, 2), "https://s.cl/c": (2, 3),
                    "https://s.cl/d": (3, None)}
     assert {r.depth for r in LK.crawl_closure(p, seeds, max_depth=1).collect()} == {0, 1}
+
+
+def test_regions_with_positions(spark):
+    """Crawl rules whose place in the page is a path; decoys stand at the wrong positions."""
+    from inkline.operators.builtin_profiles import REGISTRY
+
+    def found(media, html):
+        df = spark.createDataFrame([("https://www.site.cl/", html)], "url string, html string")
+        links = df.select(LK.rule_links(F.col("url"), F.col("html"), REGISTRY[media].rules).alias("l")).first()["l"]
+        return [(x.dst_url.rsplit("/", 1)[1], x.is_item) for x in links]
+
+    block = lambda k: f'<div><div><a href="/{k}1">x</a></div><div><a href="/{k}2">y</a><p><a href="/{k}3">in p</a></p><a href="/{k}4">z</a></div></div>'
+    main = f"<main><div>{block('a')}</div><div>{block('b')}</div><div>{block('c')}{block('d')}</div><div>{block('e')}</div></main>"
+    page = f'<a href="/top">t</a><div id="skin-branding"><div><div>{main}</div><div>{main.replace("/", "/q").replace("<q", "<").replace("</q", "</")}</div></div></div>'
+    assert found("publimetro", page) == [(f"q{k}", True) for k in ("c2", "c4", "d2", "d4")]
+    nav = ('<div class="pagination"><a href="/no1">n</a><nav><ul><li><a href="/p2">2</a><li><a href="/p3">3</a><span><a href="/no2">n</a></span></ul></nav></div>'
+           '<div class="pagination x"><nav><ul><li><a href="/no3">n</a></ul></nav></div>'
+           '<div class="headline | width_full hl"><h3><a href="/n1">N</a></h3><p><a href="/no4">n</a></p></div>')
+    assert found("latercera", nav) == [("p2", False), ("p3", False), ("n1", True)]
+
+
+def test_links_are_relative_to_the_base_element(spark):
+    rows = [(1, "https://s.cl/a/b", '<head><base target=x><BASE HREF="/other/"></head><a href="x">x</a><a href="#f">f</a>'),
+            (2, "https://s.cl/a/b", '<!-- <base href="/no/"> --><a href="x">x</a>'),
+            (3, "https://s.cl/a/b", '<base href="https://t.cl/q/r?z=1"><a href="x&amp;y">x</a>')]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.dst_url) for r in LK.extract_links(df).collect())
+    assert got == [(1, "https://s.cl/other/#f"), (1, "https://s.cl/other/x"), (2, "https://s.cl/a/x"), (3, "https://t.cl/q/x&y")]
+    assert {(r.src, r.dst) for r in LK.link_edges(df).collect()} >= {("https://s.cl/a/b", "https://s.cl/other/x"), ("https://s.cl/a/b", "https://s.cl/a/x")}

@@ -30,7 +30,10 @@ PAGES = {
              '<meta property="og:description" content="Bajada">'
              '<div id="texto_noticia"><div>Uno <b>dos</b> <i>no</i></div><div>Tres</div></div>'
              '<meta property="article:published_time" content="2023-05-04T10:00:00Z">'),
-    "latercera": ("https://www.latercera.com/n", '<h1><div>Título LT</div></h1><p class="excerpt">Bajada</p>'
+    "latercera": ("https://www.latercera.com/n", '<h1><div>Menú</div></h1><div id="fusion-app"><header><h1><div>Cabecera</div></h1></header>'
+                  '<div><section><article><header><div><div><h1>x<div>Título LT</div></h1></div><div><h1><div>Otro</div></h1></div></div></header></article></section></div>'
+                  '<div><section><article><header><div><div><h1><div>Segundo</div></h1></div></div></header></article></section></div></div>'
+                  '<p class="excerpt">Bajada</p>'
                   '<p class="paragraph">Uno <b>dos</b></p><p>fuera</p><p class="paragraph">Tres</p>'
                   '<meta property="article:published_time" content="2023-05-04T10:00:00.000Z">'),
     "publimetro": ("https://www.publimetro.cl/n", '<h1>Título PM</h1>'
@@ -189,3 +192,10 @@ def test_bad_dates_reject_their_page_only(spark):
         field = DateField("column", "published_at", fmt)
         got = {r["i"]: r["d"] for r in df.select("i", field.parse(field.raw(F.lit(""))).alias("d")).collect()}
         assert got[0] is None and got[1] is None and got[2] is None and got[4] is None
+
+
+def test_title_by_position_needs_its_place(spark):
+    """A title elsewhere is no title: the page is rejected, as the reference finds nothing there."""
+    url, html = PAGES["latercera"]
+    moved = html.replace('<div id="fusion-app"><header>', '<div id="fusion-app"><div>ad</div><header>')
+    assert extract(frame(spark, "latercera", url, moved), REGISTRY["latercera"]).first()["reason"] == "no_title"
