@@ -12,11 +12,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkline.functions import html as H
 from inkline.functions import urls as U
+from inkline.session import scratch_path
 
 HREF_RE = f"(?i)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*{H.VALUE_RE}"
 #: Comments, scripts and styles hold no links.
@@ -169,12 +171,63 @@ def dedup_urls(links: DataFrame, url: str = "dst_url", order: str = "crawl_seq")
                     "n_seen"))
 
 
+#: Visited URLs up to so many are broadcast; the bits of a filter at most (8 MB); bits set for each URL.
+BROADCAST_URLS = 100_000
+FILTER_BITS = 1 << 26
+HASHES = 4
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bit_places(key: Column, bits: int) -> list[Column]:
+    """Places of a key's bits in an array of ``bits``."""
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(HASHES)]
+
+
+def bit_array(keys: DataFrame, key: str, bits: int) -> bytes:
+    """The bit array of all keys.  Words of 64 bits are combined map-side, so at most ``bits`` / 64 rows leave a task or reach the driver."""
+    place = keys.select(F.explode(F.array(*bit_places(F.col(key), bits))).alias("p"))
+    one = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(p % 64 AS INT))")
+    words = place.groupBy(F.floor(F.col("p") / 64).alias("word")).agg(F.bit_or(one).alias("set")).toPandas()
+    out = np.zeros(-(-bits // 64), "<i8")
+    out[words["word"].to_numpy(np.int64)] = words["set"].to_numpy(np.int64)
+    return out.tobytes()
+
+
+def may_hold(array: bytes, key: Column, bits: int) -> Column:
+    """Whether all bits of a key are set; false for NULL."""
+    held = F.lit(bytearray(array))
+    byte = lambda p: F.conv(F.hex(F.substring(held, F.floor(p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    tests = [byte(p).bitwiseAND(F.pow(F.lit(2), p % 8).cast("int")) != 0 for p in bit_places(key, bits)]
+    return F.coalesce(key.isNotNull() & reduce(lambda a, b: a & b, tests), F.lit(False))
+
+
 def frontier(links: DataFrame, visited: DataFrame, url: str = "dst_url",
-             visited_url: str = "url") -> DataFrame:
-    """Extracted links whose canonical URL was not visited (left anti join)."""
-    seen = visited.select(U.canonical(F.col(visited_url)).alias("canon_url")).distinct()
-    return (links.withColumn("canon_url", U.canonical(F.col(url)))
-            .join(seen, "canon_url", "left_anti"))
+             visited_url: str = "url", bits: int | None = None) -> DataFrame:
+    """Extracted links whose canonical URL was not visited.
+
+    The visited URLs are written once and counted.  Few of them are broadcast.
+    Else a bit array of them, sized by their count, tells most links as unseen
+    where they are read; only links whose bits are all set go through the exact
+    anti-join.  More URLs than the largest array serves (two bits each) are
+    joined without it.  ``bits`` forces an array of that size.
+    """
+    seen = _written(visited.select(U.canonical(F.col(visited_url)).alias("canon_url")).distinct(), "visited")
+    n = seen.count()
+    rows = links.withColumn("canon_url", U.canonical(F.col(url)))
+    if bits is None and n <= BROADCAST_URLS:
+        return rows.join(F.broadcast(seen), "canon_url", "left_anti")
+    if bits is None and 2 * n > FILTER_BITS:
+        return rows.join(seen, "canon_url", "left_anti")
+    bits = bits or min(FILTER_BITS, 1 << (10 * n).bit_length())
+    rows = _written(rows, "links")  # read by both branches; links are narrow, the pages they come from aren't
+    maybe = may_hold(bit_array(seen, "canon_url", bits), F.col("canon_url"), bits)
+    hits = rows.filter(maybe).join(seen, "canon_url", "left_anti")
+    return rows.filter(~maybe).unionByName(hits.select(rows.columns))
 
 
 def link_edges(pages: DataFrame, rules: Sequence[LinkRule] | None = None, domains: Sequence[str] | None = None) -> DataFrame:
@@ -190,39 +243,109 @@ def link_edges(pages: DataFrame, rules: Sequence[LinkRule] | None = None, domain
     return edges.filter(U.on_domains(U.host(F.col("dst")), domains))
 
 
+#: Rows that a round may hand over as a list, so that only their buckets are read.
+FEW_URLS = 500
+#: Tables of reached URLs that a round looks into, at most.
+SEGMENTS = 6
+
+
+class Bucketed:
+    """Tables below one scratch folder, all in the same number of buckets by their key, so that joins on it shuffle neither side.
+
+    They are registered in the session's catalog while in use, as Spark keeps a table's buckets there, and their files stay in the scratch folder.
+    """
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base, self.names = spark, base, []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(self, df: DataFrame, key: str) -> str:
+        name = f"closure_{uuid.uuid4().hex}"
+        dealt = df.repartition(self.buckets, key)  # a file a bucket
+        dealt.write.format("parquet").option("path", f"{self.base}/{name}").bucketBy(self.buckets, key).sortBy(key).saveAsTable(name)
+        self.names.append(name)
+        return name
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(name)
+
+    def files(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.base}/{name}")
+
+    def drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names.remove(name)
+
+    def close(self) -> None:
+        for name in list(self.names):
+            self.drop(name)
+
+
+def links_from(edges: DataFrame, current: DataFrame, few: Sequence[str] | None) -> DataFrame:
+    """What the pages of the frontier ``current`` (canon_url) link to: canon_url, follow.  The edges aren't shuffled; with a list of the frontier only its buckets are read."""
+    if few is not None:
+        found = edges.filter(F.col("src").isin(*few))
+    else:
+        found = edges.join(current.select(F.col("canon_url").alias("src")), "src", "left_semi")
+    return found.groupBy(F.col("dst").alias("canon_url")).agg(F.max("follow").alias("follow"))
+
+
+def unseen(found: DataFrame, segments: Sequence[DataFrame], few: Sequence[str] | None) -> DataFrame:
+    """Rows of ``found`` whose URL is in none of the tables of reached URLs, which aren't shuffled."""
+    for seen in segments:
+        seen = seen.select("canon_url")
+        found = found.join(seen.filter(F.col("canon_url").isin(*few)) if few is not None else seen, "canon_url", "left_anti")
+    return found
+
+
 def crawl_closure(pages: DataFrame, seeds: DataFrame, rules: Sequence[LinkRule] | None = None,
                   domains: Sequence[str] | None = None, seed_url: str = "url", max_depth: int | None = None) -> DataFrame:
     """Breadth-first closure seeds -> pages -> links -> pages ... over ``pages``.
 
-    The links of all pages become one narrow edge table, written once to the
-    shared scratch folder; each round joins the frontier with it and writes
-    only the URLs it adds.  Item links stay in the result; only ``follow``
-    links reach further, and the first round that reaches a URL decides, as a
-    crawler that asks for each URL once.  Runs until nothing is added, or to
-    ``max_depth`` rounds if given.
+    The links of all pages become one narrow edge table, written once in
+    buckets of ``src``; the URLs that a round reaches are written in the same
+    buckets.  A round joins the frontier with the edges bucket by bucket and
+    shuffles only the links it finds; a frontier of few URLs reads only their
+    buckets.  Reached URLs are kept in a handful of tables: when there are more,
+    the smaller ones are merged, and the largest too once they have grown to half
+    of it, so a URL is rewritten a logarithmic number of times.  Item links
+    stay in the result; only ``follow`` links reach further, and the first round
+    that reaches a URL decides, as a crawler that asks for each URL once.  Runs
+    until nothing is added, or to ``max_depth`` rounds if given.
 
     Output: ``(canon_url, depth, page_id)`` for every URL reached (the smallest
     page_id of its pages; NULL for links whose page is not in the table).
     """
-    from inkline.session import scratch_path
     spark = pages.sparkSession
-    base = scratch_path(spark, f"closure/{uuid.uuid4().hex}")
-    link_edges(pages, rules, domains).write.parquet(f"{base}/edges")
-    edges = spark.read.parquet(f"{base}/edges")
     schema = "canon_url string, follow boolean, depth int"
-    start = seeds.select(U.canonical(F.col(seed_url)).alias("canon_url")).distinct()
-    start.select("canon_url", F.lit(True).alias("follow"), F.lit(0).alias("depth")).write.parquet(f"{base}/reached/round=0")
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        current = spark.read.schema(schema).parquet(f"{base}/reached/round={depth - 1}").filter("follow")
-        seen = spark.read.schema(schema).parquet(*(f"{base}/reached/round={k}" for k in range(depth)))
-        new = (edges.join(current.select(F.col("canon_url").alias("src")), "src", "left_semi")
-               .groupBy(F.col("dst").alias("canon_url")).agg(F.max("follow").alias("follow"))
-               .join(seen.select("canon_url"), "canon_url", "left_anti"))
-        new.withColumn("depth", F.lit(depth)).write.parquet(f"{base}/reached/round={depth}")
-        if spark.read.schema(schema).parquet(f"{base}/reached/round={depth}").isEmpty():
-            break
-    reached = spark.read.schema(schema).parquet(*(f"{base}/reached/round={k}" for k in range(depth + 1)))
+    base = scratch_path(spark, f"closure/{uuid.uuid4().hex}")
+    store = Bucketed(spark, base)
+    try:
+        edges = store.table(store.write(link_edges(pages, rules, domains).filter("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst", "follow"), "src"))
+        start = seeds.select(U.canonical(F.col(seed_url)).alias("canon_url")).distinct().select("canon_url", F.lit(True).alias("follow"), F.lit(0).alias("depth"))
+        last = store.write(start, "canon_url")
+        segments, depth = [(store.table(last).count(), last)], 0
+        while max_depth is None or depth < max_depth:
+            depth += 1
+            current = store.table(last).filter("follow")
+            few = [r[0] for r in current.select("canon_url").limit(FEW_URLS + 1).collect()]
+            if not few:
+                break
+            found = _written(links_from(edges, current, few if len(few) <= FEW_URLS else None), "found")
+            names = [r[0] for r in found.select("canon_url").limit(FEW_URLS + 1).collect()]
+            new = unseen(found, [store.table(t) for _, t in segments], names if len(names) <= FEW_URLS else None)
+            last = store.write(new.select("canon_url", "follow", F.lit(depth).alias("depth")), "canon_url")
+            n = store.table(last).count()
+            if not n:
+                break
+            segments.append((n, last))
+            if len(segments) > SEGMENTS:
+                segments.sort(reverse=True)
+                rest = segments[1:] if 2 * sum(n for n, _ in segments[1:]) < segments[0][0] else segments
+                merged = store.write(reduce(DataFrame.unionByName, [store.table(t) for _, t in rest]), "canon_url")
+                segments = [x for x in segments if x not in rest] + [(sum(n for n, _ in rest), merged)]
+        reached = reduce(DataFrame.unionByName, [store.files(t, schema) for _, t in segments])
+    finally:
+        store.close()
     first = pages.groupBy(U.canonical(F.col("url")).alias("canon_url")).agg(F.min("page_id").alias("page_id"))
     return reached.select("canon_url", "depth").join(first, "canon_url", "left")

@@ -128,3 +128,68 @@ def test_links_are_relative_to_the_base_element(spark):
     got = sorted((r.page_id, r.dst_url) for r in LK.extract_links(df).collect())
     assert got == [(1, "https://s.cl/other/#f"), (1, "https://s.cl/other/x"), (2, "https://s.cl/a/x"), (3, "https://t.cl/q/x&y")]
     assert {(r.src, r.dst) for r in LK.link_edges(df).collect()} >= {("https://s.cl/a/b", "https://s.cl/other/x"), ("https://s.cl/a/b", "https://s.cl/a/x")}
+
+
+def test_frontier_with_a_bit_array(spark):
+    """Any size of the array, a full one too, gives the exact result."""
+    links = spark.createDataFrame([(i, f"https://s.cl/{i % 300}#x{i}") for i in range(600)] + [(900, None)], "page_id long, dst_url string")
+    visited = spark.createDataFrame([(f"https://s.cl/{i}",) for i in range(0, 300, 3)] + [(None,), ("https://s.cl/0#again",)], "url string")
+    want = sorted(((r.page_id, r.canon_url) for r in LK.frontier(links, visited).collect()), key=str)
+    assert len(want) == 401 and {u for _, u in want} == {f"https://s.cl/{i}" for i in range(300) if i % 3} | {None}
+    for bits in (1, 64, 1 << 14):
+        out = LK.frontier(links, visited, bits=bits)
+        assert sorted(((r.page_id, r.canon_url) for r in out.collect()), key=str) == want
+    array = LK.bit_array(visited.filter("url IS NOT NULL"), "url", 1 << 14)
+    held = spark.createDataFrame([(f"https://s.cl/{i}",) for i in range(300)] + [(None,)], "u string").select("u", LK.may_hold(array, F.col("u"), 1 << 14).alias("m")).collect()
+    assert all(r.m for r in held if r.u and int(r.u.rsplit("/", 1)[1]) % 3 == 0) and sum(r.m for r in held) < 130 and not held[-1].m
+
+
+def test_unseen_links_are_not_shuffled(spark):
+    links = spark.range(2000).selectExpr("id AS page_id", "concat('https://s.cl/', id) AS dst_url")
+    visited = spark.range(50).selectExpr("concat('https://t.cl/', id) AS url")
+    out = LK.frontier(links, visited, bits=1 << 12)
+    assert out.count() == 2000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
+    # above the scan of the first branch there is its filter and nothing else
+    first = plan.split("Union")[1].split("Exchange")[0]
+    assert "Scan parquet" in first and "Join" not in first.split("Scan parquet")[0]
+
+
+def chain(spark, n):
+    rows = [(i, f"https://s.cl/{i}", f'<a href="/{i + 1}">n</a><a href="/{i // 2}">b</a>') for i in range(n)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_closure_of_a_long_chain(spark):
+    """Every URL at its depth, whatever the rounds, with reached URLs merged on the way."""
+    pages = chain(spark, 41)
+    seeds = spark.createDataFrame([("https://s.cl/0",)], "url string")
+    out = sorted((r.depth, r.canon_url, r.page_id) for r in LK.crawl_closure(pages, seeds).collect())
+    assert out == [(i, f"https://s.cl/{i}", i if i < 41 else None) for i in range(42)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("closure_")]
+
+
+def test_closure_rounds_shuffle_no_edges(spark, monkeypatch):
+    """With frontiers too large for a list, edges and reached URLs are joined bucket by bucket; the result is the same."""
+    seeds = spark.createDataFrame([("https://s.cl/0",), ("https://s.cl/7",)], "url string")
+    want = sorted((r.canon_url, r.depth) for r in LK.crawl_closure(chain(spark, 12), seeds).collect())
+    plans, true = [], LK.links_from
+
+    def seen_plan(edges, current, few):
+        out = true(edges, current, few)
+        plans.append((few, out._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(LK, "FEW_URLS", 0)
+    monkeypatch.setattr(LK, "links_from", seen_plan)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted((r.canon_url, r.depth) for r in LK.crawl_closure(chain(spark, 12), seeds).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == want and len(plans) > 3
+    for few, plan in plans:
+        assert few is None and "Bucketed: true" in plan and plan.count("Exchange") == 1  # that of the links found
+        assert plan.index("Exchange") < plan.index("Join")
