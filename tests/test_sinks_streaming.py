@@ -150,3 +150,45 @@ def test_dedup_stream(spark):
     stream = spark.readStream.schema("url string, fetched_at timestamp").parquet(src)
     got = spark.read.parquet(ST.run_available(ST.dedup_stream(stream)))
     assert got.count() == 2
+
+
+def test_caps_in_the_state_store(spark):
+    """Many small batches with a restart between them give the rows of the batch operators; a batch's time doesn't grow."""
+    import random
+    import time
+
+    rnd, base = random.Random(4), tempfile.mkdtemp(prefix="inkline-state-")
+    caps, stop = {"a": 12, "b": 40, "hot": 25}, ["b", "s"]
+    rows, seq = [], 0
+    for batch in range(24):
+        part = []
+        for m in rnd.choices(["a", "b", "s", "free", "hot", "hot", None], k=14):
+            seq += 1
+            part.append((m, seq, m in ("b", "s") and seq > 150 and rnd.random() < 0.3, f"x{seq}"))
+        rnd.shuffle(part)
+        rows.append(part)
+    schema = "media string, crawl_seq long, stale boolean, x string"
+
+    def land(batches):
+        for k in batches:
+            spark.createDataFrame(rows[k], schema).coalesce(1).write.parquet(f"{base}/in/b={k:03}")
+            time.sleep(0.01)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{base}/in")
+        out = ST.capped_stream(stream, caps, F.col("stale"), stop)
+        q = out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/chk").trigger(availableNow=True).start()
+        q.awaitTermination()
+        return [p["batchDuration"] for p in map(lambda x: x if isinstance(x, dict) else __import__("json").loads(x.json), q.recentProgress) if p["numInputRows"]]
+
+    land(range(10))
+    times = run()
+    land(range(10, 24))
+    times += run()
+    got = sorted((r.media or "", r.crawl_seq, r.x) for r in spark.read.schema(schema).parquet(f"{base}/out").collect())
+    from inkline.operators import limits as L
+
+    whole = spark.createDataFrame([r for part in rows for r in part], schema)
+    want = L.prefix_stop(L.cap_rows(whole, caps), F.col("stale") & F.col("media").isin(*stop))
+    assert got == sorted((r.media or "", r.crawl_seq, r.x) for r in want.collect())
+    assert len(times) == 24 and sorted(times[-8:])[4] < 3 * sorted(times[2:10])[4]
