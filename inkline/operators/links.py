@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from inkline.functions import html as H
 from inkline.functions import urls as U
+from inkline.functions.bits import bit_of, bit_places, word_of
 from inkline.session import scratch_path
 
 HREF_RE = f"(?i)<a\\s(?:[^>]*?\\s)?href\\s*=\\s*{H.VALUE_RE}"
@@ -171,10 +172,9 @@ def dedup_urls(links: DataFrame, url: str = "dst_url", order: str = "crawl_seq")
                     "n_seen"))
 
 
-#: Visited URLs up to so many are broadcast; the bits of a filter at most (8 MB); bits set for each URL.
+#: Visited URLs up to so many are broadcast; the bits of a filter at most (8 MB).
 BROADCAST_URLS = 100_000
 FILTER_BITS = 1 << 26
-HASHES = 4
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -183,16 +183,10 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bit_places(key: Column, bits: int) -> list[Column]:
-    """Places of a key's bits in an array of ``bits``."""
-    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(HASHES)]
-
-
 def bit_array(keys: DataFrame, key: str, bits: int) -> bytes:
     """The bit array of all keys.  Words of 64 bits are combined map-side, so at most ``bits`` / 64 rows leave a task or reach the driver."""
     place = keys.select(F.explode(F.array(*bit_places(F.col(key), bits))).alias("p"))
-    one = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(p % 64 AS INT))")
-    words = place.groupBy(F.floor(F.col("p") / 64).alias("word")).agg(F.bit_or(one).alias("set")).toPandas()
+    words = place.groupBy(word_of(F.col("p")).alias("word")).agg(F.bit_or(bit_of(F.col("p"))).alias("set")).toPandas()
     out = np.zeros(-(-bits // 64), "<i8")
     out[words["word"].to_numpy(np.int64)] = words["set"].to_numpy(np.int64)
     return out.tobytes()

@@ -20,6 +20,7 @@ from inkline.functions import text as T
 from inkline.operators import limits as L
 from inkline.operators.dictionary import join_matches, match_inline
 from inkline.operators.profiles import Profile, Sources, judged, parsed, with_body
+from inkline.operators.word_tables import with_clean, with_matches
 from inkline.session import scratch_path
 from inkline.sources.tables import ARTICLE_COLUMNS
 
@@ -57,24 +58,30 @@ def selected(pages: DataFrame, profiles: Profiles, as_of: dt.datetime | str) ->
     return rows.filter(~of("window") | fresh) if "window" in kinds.values() else rows
 
 
-def enrich(rows: DataFrame, places: Sequence[str] = (), stopwords: Sequence[str] = T.DEFAULT_STOPWORDS,
+CLEAN = {"title": "clean_title", "subtitle": "clean_subtitle", "body": "clean_body"}
+
+
+def enrich(rows: DataFrame, places: Sequence[str] | DataFrame = (), stopwords: Sequence[str] | DataFrame = T.DEFAULT_STOPWORDS,
            phrases: Sequence[str] = T.GORE_PHRASES, sentiment_udf=None) -> DataFrame:
-    """T1-T3 and T8/U2 as one projection."""
+    """One projection, where places (ord, term) and stopwords (word) are lists; tables of them are joined (``word_tables``)."""
     body = F.col("body")
     senti = sentiment_udf(body) if sentiment_udf is not None else T.sentiment_default(body)
+    columns = [c for c in rows.columns if c not in ("comunas", *CLEAN.values())]
+    if isinstance(places, DataFrame):
+        rows = with_matches(rows, places)
+    else:
+        rows = rows.withColumn("comunas", join_matches(match_inline(body, list(places))))
+    if isinstance(stopwords, DataFrame):
+        rows = with_clean(rows, CLEAN, stopwords)
+    else:
+        rows = rows.select("*", *(T.normalize_text(F.col(a), stopwords).alias(b) for a, b in CLEAN.items()))
     return rows.select(
-        "*",
-        join_matches(match_inline(body, list(places))).alias("comunas"),
-        T.normalize_text(F.col("title"), stopwords).alias("clean_title"),
-        T.normalize_text(F.col("subtitle"), stopwords).alias("clean_subtitle"),
-        T.normalize_text(body, stopwords).alias("clean_body"),
-        T.keyphrase_flag(body, phrases).alias("gore"),
-        senti.alias("_s"),
+        *columns, "comunas", *CLEAN.values(), T.keyphrase_flag(body, phrases).alias("gore"), senti.alias("_s"),
     ).select("*", F.col("_s.sentiment").alias("sentiment"), F.col("_s.pos").alias("pos"),
              F.col("_s.neu").alias("neu"), F.col("_s.neg").alias("neg")).drop("_s")
 
 
-def finished(rows: DataFrame, places: Sequence[str] = (), stopwords: Sequence[str] = T.DEFAULT_STOPWORDS,
+def finished(rows: DataFrame, places: Sequence[str] | DataFrame = (), stopwords: Sequence[str] | DataFrame = T.DEFAULT_STOPWORDS,
              phrases: Sequence[str] = T.GORE_PHRASES, classifier: Callable | None = None, sentiment_udf=None,
              keep_key: bool = True) -> DataFrame:
     """Enrichment and, if given, the classifier; columns in sink order (K2), plus ``page_id``."""

@@ -8,6 +8,7 @@ event_id) so the order-insensitive comparison matches rows, not bags.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,9 +23,11 @@ from inkline.operators import links as LK
 from inkline.operators import profiles as P
 from inkline.operators.builtin_profiles import DRIVER_PAGES, PAGES_MEDIA_EXPR
 from inkline.operators.dictionary import match_by_join, match_pairs, matches_of, text_matches
+from inkline.operators.word_tables import with_clean, with_matches
 from inkline.plans import articles as A
 from inkline.plans import oracle_patterns as O
 from inkline.plans import sql as S
+from inkline.session import scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -749,16 +752,45 @@ def dictionary_pairs(spark, sf):
     return match_pairs(docs, benchmark_terms(spark, sf)).select("doc_id", "ord")
 
 
+def passage_words(spark, sf) -> DataFrame:
+    """The distinct alphabetic words of the benchmark passages, as a dictionary or stopword table."""
+    return table(spark, sf, "benchmark").select(F.explode(T.alpha_tokens(F.col("text"))).alias("word")).filter("word <> ''").distinct()
+
+
+PASSAGE_WORDS_SQL = f"(SELECT DISTINCT w AS word FROM (SELECT unnest({S.alpha_tokens('text')}) AS w FROM benchmark) WHERE w <> '')"
+
+
+@register("places_table",
+          "SELECT d.doc_id, coalesce(m.comunas, '') AS comunas FROM documents d LEFT JOIN "
+          "(SELECT d.doc_id, string_agg(p.word, ', ' ORDER BY p.word) AS comunas "
+          f"FROM documents d JOIN {PASSAGE_WORDS_SQL} p ON length(p.word) >= 8 AND instr(d.text, p.word) > 0 GROUP BY d.doc_id) m USING (doc_id)")
+def places_table(spark, sf):
+    """S2 + T1: names from a table (the passages' words of eight letters and more), matched in every document as the article plan does."""
+    places = passage_words(spark, sf).filter(F.length("word") >= 8).select(F.col("word").alias("ord"), F.col("word").alias("term"))
+    return with_matches(table(spark, sf, "documents").select("doc_id", "text"), places, text="text").select("doc_id", "comunas")
+
+
+@register("stopword_table",
+          f"WITH sw AS (SELECT list(word) AS l FROM {PASSAGE_WORDS_SQL}) SELECT doc_id, "
+          f"array_to_string(list_filter({S.alpha_tokens('text')}, lambda w: NOT list_contains(sw.l, w)), ' ') AS clean_text FROM documents, sw")
+def stopword_table(spark, sf):
+    """S3 + T2: normalised text of every document, with the stopwords from a table (the passages' words)."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return with_clean(docs, {"text": "clean_text"}, passage_words(spark, sf)).select("doc_id", "clean_text")
+
+
 # ---------------------------------------------------------- sinks, union ---
 
 @register("idempotent_append",
           "SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN "
           "(SELECT doc_id FROM documents WHERE lang = 'en')")
 def idempotent_append(spark, sf):
-    """K2 idempotent: incoming rows minus those already in the target (English docs), by key."""
-    from inkline.sources.sinks import new_rows
+    """K2 idempotent: of all documents, what a table that holds the English ones takes (``append_new`` twice on a real table)."""
+    from inkline.sources.sinks import append_new
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
-    return new_rows(docs, docs.filter(F.col("lang") == "en"), key="doc_id")
+    path = scratch_path(spark, f"documents/{uuid.uuid4().hex}")
+    append_new(docs.filter(F.col("lang") == "en"), path, key="doc_id")
+    return append_new(docs, path, key="doc_id")
 
 
 COMPLETE_PROFILE = DRIVER_PAGES.with_(paragraphs=STRONG)

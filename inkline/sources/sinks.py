@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkline.functions.bits import bit_of, bit_places, word_of
+from inkline.session import scratch_path
 from inkline.sources.tables import ARTICLE_COLUMNS
 
 # --- fixed values -----------------------------------------------------------
@@ -14,6 +18,9 @@ CSV_COLUMNS = ("title", "subtitle", "body", "date", "media", "url", "comunas", "
 
 #: Folders that a table's keys are dealt into; a batch reads those of its own keys.
 KEY_FOLDERS = 256
+#: Bits of a key folder's array (32 KB), and batches after which the arrays' parts are combined.
+FOLDER_BITS = 1 << 18
+GENERATION = 32
 
 
 def sink_projection(articles: DataFrame) -> DataFrame:
@@ -91,21 +98,99 @@ def key_folder(key: str) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(KEY_FOLDERS)).cast("int")
 
 
-def append_new(rows: DataFrame, path: str, key: str = "url") -> None:
-    """Append the rows whose key the table lacks.
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def key_bits(keys: DataFrame, key: str) -> DataFrame:
+    """The bit array of each key folder, as its words that aren't zero: key_folder, word, bits."""
+    place = keys.select("key_folder", F.explode(F.array(*bit_places(F.col(key), FOLDER_BITS))).alias("p"))
+    return place.groupBy("key_folder", word_of(F.col("p")).alias("word")).agg(F.bit_or(bit_of(F.col("p"))).alias("bits"))
+
+
+class KeyFilter:
+    """The bit arrays of a table's key folders, beside the table.
+
+    Each batch adds its own words; after ``GENERATION`` batches they are combined
+    into a new generation, so a reader never meets more than that.  A generation
+    counts once it is complete.  A batch's bits are written before its rows: bits
+    without rows cost a look into a folder, rows without bits would be missed.
+    """
 
-    The table is partitioned by a hash of the key, and only the folders that
-    the batch's own keys fall into are read (their list has ``KEY_FOLDERS``
-    entries at most), so a small batch doesn't read the whole table.
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path.rstrip('/')}_keys"
+        at = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self.fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _inside(self, path: str) -> list[str]:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return [x.getPath().getName() for x in self.fs.listStatus(at)] if self.fs.exists(at) else []
+
+    def _generation(self) -> int | None:
+        found = sorted((int(x.partition("=")[2]) for x in self._inside(self.path) if x.startswith("gen=")), reverse=True)
+        return next((g for g in found if table_exists(self.spark, f"{self.path}/gen={g}/base/_SUCCESS")), None)
+
+    def read(self) -> DataFrame | None:
+        """Words of all batches; None where the table has no filter."""
+        g = self._generation()
+        if g is None:
+            return None
+        folders = [f"{self.path}/gen={g}/{x}" for x in self._inside(f"{self.path}/gen={g}")]
+        words = self.spark.read.schema("key_folder int, word long, bits long").parquet(*(x for x in folders if table_exists(self.spark, f"{x}/_SUCCESS")))
+        return words.groupBy("key_folder", "word").agg(F.bit_or("bits").alias("bits"))
+
+    def add(self, words: DataFrame) -> None:
+        g = self._generation()
+        if g is None:
+            words.write.parquet(f"{self.path}/gen=0/base")
+            return
+        words.write.parquet(f"{self.path}/gen={g}/{uuid.uuid4().hex}")
+        if len(self._inside(f"{self.path}/gen={g}")) > GENERATION:
+            self.read().write.mode("overwrite").parquet(f"{self.path}/gen={g + 1}/base")
+
+    def may_hold(self, keys: DataFrame, key: str) -> DataFrame | None:
+        """Rows (key, key_folder) whose bits are all set; None where nothing is known."""
+        words = self.read()
+        if words is None:
+            return None
+        places = keys.select(key, "key_folder", F.explode(F.array(*bit_places(F.col(key), FOLDER_BITS))).alias("p"))
+        asked = places.select(key, "key_folder", word_of(F.col("p")).alias("word"), bit_of(F.col("p")).alias("bit")).distinct()
+        found = asked.join(words, ["key_folder", "word"], "left")
+        whole = F.min(F.coalesce(F.col("bits").bitwiseAND(F.col("bit")) != 0, F.lit(False)))
+        return found.groupBy(key, "key_folder").agg(whole.alias("all")).filter("all").drop("all")
+
+
+def keys_in(spark: SparkSession, path: str, key: str, folders: list[int]) -> DataFrame:
+    """The key column of some key folders of a table."""
+    return spark.read.parquet(path).filter(F.col("key_folder").isin(folders)).select(key, "key_folder")
+
+
+def append_new(rows: DataFrame, path: str, key: str = "url") -> DataFrame:
+    """Append the rows whose key the table lacks, one of each key; returns them.
+
+    The table is partitioned by a hash of the key, and beside it lies a bit
+    array of each folder's keys.  Keys with a bit that isn't set are new without
+    a look at the table; only the folders that may hold one of the others are
+    read, and only those others are joined with them, exactly.
     """
     spark = rows.sparkSession
-    batch = one_per_key(rows, key).withColumn("key_folder", key_folder(key))
+    batch = _written(one_per_key(rows, key).withColumn("key_folder", key_folder(key)), "batch")
+    known = KeyFilter(spark, path)
     if table_exists(spark, path):
-        folders = [r[0] for r in batch.select("key_folder").distinct().collect()]
-        target = spark.read.parquet(path).filter(F.col("key_folder").isin(folders)).select(key, "key_folder")
-        same = batch[key].eqNullSafe(target[key]) & (batch["key_folder"] == target["key_folder"])
-        batch = batch.join(target, same, "left_anti")
+        maybe = known.may_hold(batch.select(key, "key_folder"), key)
+        maybe = _written(batch.select(key, "key_folder") if maybe is None else maybe, "maybe")
+        folders = [r[0] for r in maybe.select("key_folder").distinct().collect()]  # KEY_FOLDERS at most
+        if folders:
+            target = keys_in(spark, path, key, folders)
+            same = maybe[key].eqNullSafe(target[key]) & (maybe["key_folder"] == target["key_folder"])
+            there = _written(maybe.join(target, same, "left_semi"), "there")
+            old = batch[key].eqNullSafe(there[key]) & (batch["key_folder"] == there["key_folder"])
+            batch = _written(batch.join(there, old, "left_anti"), "new")
+    known.add(key_bits(batch, key))
     batch.write.mode("append").partitionBy("key_folder").parquet(path)
+    return batch.drop("key_folder")
 
 
 def idempotent_append(articles: DataFrame, path: str, key: str = "url") -> None:

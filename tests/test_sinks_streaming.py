@@ -192,3 +192,36 @@ def test_caps_in_the_state_store(spark):
     want = L.prefix_stop(L.cap_rows(whole, caps), F.col("stale") & F.col("media").isin(*stop))
     assert got == sorted((r.media or "", r.crawl_seq, r.x) for r in want.collect())
     assert len(times) == 24 and sorted(times[-8:])[4] < 3 * sorted(times[2:10])[4]
+
+
+def test_unseen_keys_read_no_old_key(spark, monkeypatch):
+    """The bit arrays tell unseen keys; only folders that may hold a key are read; NULL is a key; a full array stays exact."""
+    path = os.path.join(tempfile.mkdtemp(prefix="inkline-keys-"), "t")
+    rows = lambda lo, hi: spark.range(lo, hi).selectExpr("concat('u', id) AS url", "id AS n")
+    assert K.append_new(rows(0, 300), path).count() == 300
+    read, true = [], K.keys_in
+    monkeypatch.setattr(K, "keys_in", lambda *a: read.append(a[-1]) or true(*a))
+    assert K.append_new(rows(300, 400), path).count() == 100 and sum(map(len, read)) <= 3
+    read.clear()
+    extra = spark.createDataFrame([("u5", -1), ("u5", -2), (None, 1), (None, 0), ("new", 1)], "url string, n long")
+    assert sorted((r.url or "", r.n) for r in K.append_new(extra, path).collect()) == [("", 0), ("new", 1)]
+    assert 1 <= sum(map(len, read)) <= 3
+    assert K.append_new(extra, path).count() == 0
+    assert spark.read.parquet(path).count() == 402
+    monkeypatch.setattr(K, "FOLDER_BITS", 64)      # arrays that say yes to nearly everything
+    other = os.path.join(tempfile.mkdtemp(prefix="inkline-keys-"), "t")
+    assert K.append_new(rows(0, 3000), other).count() == 3000 and K.append_new(rows(1500, 4500), other).count() == 1500
+
+
+def test_key_filter_generations(spark, monkeypatch):
+    """Parts of the bit arrays are combined; a generation that isn't complete doesn't count."""
+    monkeypatch.setattr(K, "GENERATION", 2)
+    path = os.path.join(tempfile.mkdtemp(prefix="inkline-gen-"), "t")
+    for k in range(5):
+        batch = spark.createDataFrame([(f"u{k}",), (f"u{k - 1}",)], "url string")
+        assert K.append_new(batch, path).count() == (2 if k == 0 else 1)
+    gens = sorted(os.listdir(f"{path}_keys"))
+    assert len(gens) > 1 and spark.read.parquet(path).count() == 6
+    os.makedirs(f"{path}_keys/gen=99/base")
+    assert K.KeyFilter(spark, path)._generation() == int(gens[-1][4:])
+    assert K.append_new(spark.createDataFrame([("u0",), ("x",)], "url string"), path).count() == 1
