@@ -5,7 +5,9 @@
    so a prefix is a right shift.
 2. Texts with equal sets form a class, found by an aggregation with map-side
    combining; copies go no further than this.
-3. In each trie, classes meet in a bucket that share a prefix.  The prefix
+3. In each trie, classes meet in a bucket that share a prefix.  How many share
+   it is counted with map-side combining and joined back, prefixes with very many
+   classes by broadcast, so no prefix is gathered in one task.  The prefix
    starts at ``LONG`` steps and is shortened as long as the target recall
    asks for it: a pair of similarity s shares d steps of one of T tries with
    probability 1 - (1 - s^d)^T, and ``depth_for`` takes the deepest d that
@@ -44,6 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkline.llm.attach import attach
 from inkline.llm.columnar import slices
 from inkline.llm.components import components
 from inkline.llm.scratch import written
@@ -114,18 +117,20 @@ def buckets(found: DataFrame, similarity: float, recall: float) -> DataFrame:
     prefixes = [f"p{d}" for d in range(SHORT, deep + 1)]
     entry = found.select("c", F.posexplode("paths").alias("tree", "path"))
     entry = entry.select("c", "tree", *(shift(d).alias(f"p{d}") for d in range(SHORT, deep + 1)))
-    for k, p in enumerate(prefixes):  # windows on longer prefixes reuse the exchange on (tree, shortest prefix)
-        entry = entry.withColumn(f"n_{p}", F.count(F.lit(1)).over(Window.partitionBy("tree", *prefixes[:k + 1])))
-        if k == 0:
-            entry = entry.filter(f"n_{p} > 1")
+    for k, p in enumerate(prefixes):  # the shortest prefix first: what shares not even that is gone for the others
+        held = entry.groupBy("tree", p).agg(F.count(F.lit(1)).alias("rows"), F.min("c").alias(f"m_{p}")).withColumn(f"n_{p}", F.col("rows"))
+        held = written(held.filter("rows > 1") if k == 0 else held, "prefixes")
+        entry = attach(entry, held, ["tree", p], "rows")
+        entry = written(entry.filter(f"n_{p} > 1") if k == 0 else entry, "entries")
     level, size = F.lit(len(prefixes) - 1), F.col(f"n_{prefixes[-1]}")
     for k in reversed(range(len(prefixes) - 1)):
         fits = F.col(f"n_{prefixes[k]}") <= FEW
         level, size = F.when(fits, F.lit(k)).otherwise(level), F.when(fits, F.col(f"n_{prefixes[k]}")).otherwise(size)
     met = entry.withColumn("level", level).withColumn("size", size).filter("size > 1")
-    met = met.withColumn("prefix", F.element_at(F.array(*prefixes), F.col("level") + 1))
-    leader = F.min("c").over(Window.partitionBy("tree", prefixes[0], "level", "prefix"))
-    return written(met.select("c", F.xxhash64("tree", "level", "prefix").alias("bucket"), leader.alias("leader")), "buckets")
+    # classes that share the prefix of their level share the level, as it goes by the counts of that prefix and of shorter ones
+    at_level = lambda names: F.element_at(F.array(*names), F.col("level") + 1)
+    bucket = F.xxhash64("tree", "level", at_level(prefixes))
+    return written(met.select("c", bucket.alias("bucket"), at_level([f"m_{p}" for p in prefixes]).alias("leader")), "buckets")
 
 
 def neighbourhoods(met: DataFrame) -> DataFrame:
