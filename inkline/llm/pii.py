@@ -7,8 +7,10 @@
    those places are replaced, all at once.
 2. An entity is made of units: a number's digits, an address, each word of a
    name.  Units are what stays the same when the writing changes, so
-   ``+1 (202) 555-0101`` and ``+1-202-555-0101`` share one, as do ``Mrs. Anna
-   Berg`` and ``Berg`` after another title: mentions stay coreferent.
+   ``+1 (202) 555-0101``, ``202-555-0101`` and ``1-202-555-0101`` share one, as do
+   ``Mrs. Anna Berg`` and ``Berg`` after another title: mentions stay coreferent.
+   Whether a word is a given name, and of which gender, is settled once per word
+   over all its mentions, so ``Dr. Kim Berg`` and ``Ms. Kim Berg`` are one person.
 3. Each distinct unit gets a surrogate from SHA-512 of key, kind, unit and
    attempt, in the unit's own form: digits for digits (a leading country code
    and a card's first digit and Luhn validity stay), ``10.x.x.x`` for
@@ -112,22 +114,31 @@ def script_of(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
+def number_of(value: Column) -> Column:
+    """A telephone number as ``+`` and its digits; ten digits, or eleven that begin with 1, without ``+`` are of country 1."""
+    digits = F.regexp_replace(value, r"\D", "")
+    return F.when(value.startswith("+") | (F.length(digits) == 11), F.concat(F.lit("+"), digits)).otherwise(F.concat(F.lit("+1"), digits))
+
+
 def units_of(value: Column, kind: Column) -> Column:
-    """Array of (kind, canon) of an entity; names give one for each word but the title."""
+    """Array of (kind, canon, role) of an entity; names give one for each word but the title.
+
+    A word's role is what its place says of it: ``0f`` or ``1m`` for a given name by the list or the title, ``2n`` for one of unknown gender, ``3s`` for a surname.
+    """
     digits = F.regexp_replace(value, r"\D", "")
-    canon = F.when(kind == "email", F.lower(value)).when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise(""), digits)).when(kind.isin("ssn", "card"), digits).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(kind == "secret", F.regexp_replace(value, f"^{SECRET_LEAD}", "")).otherwise(value)
+    canon = F.when(kind == "email", F.lower(value)).when(kind == "phone", number_of(value)).when(kind.isin("ssn", "card"), digits).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(kind == "secret", F.regexp_replace(value, f"^{SECRET_LEAD}", "")).otherwise(value)
     words = F.split(value, " ")
     title = F.regexp_replace(words[0], r"\.$", "")
     titled = title.isin(*TITLES_F, *TITLES_M, *TITLES_N) & ~title.isin(*GIVEN_F, *GIVEN_M)
-    sex = F.when(title.isin(*TITLES_F), "f").when(title.isin(*TITLES_M), "m").otherwise("n")
+    sex = F.when(title.isin(*TITLES_F), "0f").when(title.isin(*TITLES_M), "1m").otherwise("2n")
     names = F.when(titled, F.slice(words, 2, 4)).otherwise(words)
 
     def unit(word: Column, at: Column) -> Column:
-        own = F.when(word.isin(*GIVEN_F), "f").when(word.isin(*GIVEN_M), "m").otherwise(sex)
-        part = F.when(at == F.size(names) - 1, "s").otherwise(own)
-        return F.struct(F.concat_ws(":", F.lit("name"), part, script_of(word)).alias("kind"), F.lower(word).alias("canon"))
+        listed = F.when(word.isin(*GIVEN_F), "0f").when(word.isin(*GIVEN_M), "1m")
+        role = F.coalesce(listed, F.when(at == F.size(names) - 1, "3s").otherwise(sex))
+        return F.struct(F.concat(F.lit("name:"), script_of(word)).alias("kind"), F.lower(word).alias("canon"), role.alias("role"))
 
-    return F.when(kind == "name", F.transform(names, unit)).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
+    return F.when(kind == "name", F.transform(names, unit)).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"), F.lit("").alias("role"))))
 
 
 def valid(number: Column) -> Column:
@@ -225,7 +236,8 @@ def written_like(value: Column, kind: Column, found: Column) -> Column:
     skip = F.size(words) - F.size(found)
     person = F.array_join(F.transform(words, lambda w, i: F.when(i < skip, w).otherwise(cased(F.get(found, (i - skip).cast("int")), w))), " ")
     spaced = F.rtrim(F.regexp_replace(found[0], "(.{4})", "$1 "))
-    number = filled(value, F.replace(found[0], F.lit("+"), F.lit("")))
+    abroad = (kind == "phone") & (F.length(F.regexp_replace(value, r"\D", "")) == 10) & ~value.startswith("+")  # written without its country's 1
+    number = filled(value, F.substring(F.replace(found[0], F.lit("+"), F.lit("")), F.when(abroad, 2).otherwise(1), F.length(found[0])))
     email = F.when((F.upper(value) == value) & value.rlike("[A-Z]"), F.upper(found[0])).otherwise(found[0])
     return F.when(kind == "name", person).when(kind.isin("phone", "ssn", "card"), number).when((kind == "iban") & value.contains(" "), spaced).when(kind == "email", email).when(kind == "secret", F.concat(F.regexp_extract(value, f"^{SECRET_LEAD}", 0), found[0])).otherwise(found[0])
 
@@ -234,8 +246,12 @@ def replacements(values: DataFrame, key: str) -> DataFrame:
     """value, replacement of distinct entity values."""
     kind = kind_of(F.col("value"))
     typed = written(values.withColumn("kind", kind).withColumn("units", units_of(F.col("value"), F.col("kind"))), "values")
-    each = typed.select("value", F.col("kind").alias("as"), F.posexplode("units").alias("at", "unit")).select("value", "as", "at", "unit.kind", "unit.canon")
-    chosen = resolve(each.select("kind", "canon").distinct(), key)
+    each = typed.select("value", F.col("kind").alias("as"), F.posexplode("units").alias("at", "unit")).select("value", "as", "at", "unit.kind", "unit.canon", "unit.role")
+    # a word has one role in the corpus, the first that any mention gives it, and so one surrogate whatever the title
+    words = each.groupBy("kind", "canon").agg(F.min("role").alias("role"))
+    person = F.concat_ws(":", F.lit("name"), F.substring("role", 2, 1), F.substring_index("kind", ":", -1))
+    chosen = resolve(words.select(F.when(F.col("role") != "", person).otherwise(F.col("kind")).alias("kind"), "canon"), key)
+    chosen = chosen.withColumn("kind", F.when(F.col("kind").startswith("name:"), F.concat(F.lit("name:"), F.substring_index("kind", ":", -1))).otherwise(F.col("kind")))
     ready = each.join(chosen, ["kind", "canon"]).groupBy("value", "as").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))), lambda u: u["surrogate"]).alias("found"))
     return ready.select("value", written_like(F.col("value"), F.col("as"), F.col("found")).alias("replacement"))
 

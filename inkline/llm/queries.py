@@ -112,8 +112,12 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-#: The key of the surrogates; a real run takes a secret one.
-PII_KEY = "corpus"
+#: Setting that holds the key of the surrogates, and the key of the test tables; a real run sets a secret one.
+PII_SETTING, PII_KEY = "spark.inkline.pii.key", "corpus"
+
+
+def pii_key(spark: SparkSession) -> str:
+    return spark.conf.get(PII_SETTING, PII_KEY)
 
 
 @register
@@ -122,7 +126,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from inkline.llm.pii import anonymise
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return anonymise(docs, PII_KEY, count_col="n_entities")
+    return anonymise(docs, pii_key(spark), count_col="n_entities")
 
 
 @register

@@ -119,3 +119,34 @@ def test_telephone_forms(spark):
     forms = ["+1 826 555 4081", "+18265554081", "+1.826.555.4081", "+7 495 123-45-67", "+34 612 345 678", "+49 (30) 1234 5678", "+49 1512 3456789", "+4930123456789", "+44-20-7946-0958", "+65 1234 5678", "+39 06 12 34 56 78"]
     for before, after in zip(forms, run(spark, [f"{f} 2024 x" for f in forms]), strict=True):
         assert re.fullmatch(re.sub(r"\\\d|\d", r"\\d", re.escape(before)) + " 2024 x", after) and before[4:] not in after, (before, after)
+
+
+def test_one_person_and_one_number_in_any_writing(spark):
+    """A word keeps its surrogate whatever the title or its place; a number whatever its writing, country code or not."""
+    after = run(spark, ["Dr. Kim Berg met Ms. Kim Berg.", "Miss Anna and Anna Berg", "+1 (202) 555-0101, 202-555-0101, 1-202-555-0101, (202) 555-0101, 1 202 555 0101"])
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) met Ms\. (\w+) (\w+)\.", after[0])
+    assert m[1] == m[3] and m[2] == m[4] and m[1].endswith("lina") and m[2].endswith("sen")
+    n = re.fullmatch(r"Miss (\w+) and (\w+) (\w+)", after[1])
+    assert n[1] == n[2] and n[3] == m[2] and n[1] != m[1]
+    numbers = [re.sub(r"\D", "", x)[-10:] for x in after[2].split(", ")]
+    assert len(set(numbers)) == 1 and numbers[0] != "2025550101"
+    shape = re.sub(r"\d", "0", "+0 (202) 555-0101, 202-555-0101, 1-202-555-0101, (202) 555-0101, 1 202 555 0101")
+    assert re.sub(r"\d", "0", after[2]) == shape and after[2].startswith("+1 ") and ", 1-" in after[2]
+
+
+def test_found_as_by_a_plain_finder(spark):
+    """Over whole documents, what the operator replaces is what the kinds' patterns find one after the other, and nothing else changes."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    after = {r.doc_id: r for r in pii.anonymise(docs, KEY, count_col="n").collect()}
+    java = pii.ANY.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}")
+    import regex
+
+    for doc_id, text in docs.collect():
+        places = list(regex.finditer(java, text or ""))
+        assert after[doc_id].n == len(places), doc_id
+        plain = regex.split(java, text or "")
+        at, out = 0, after[doc_id].text or ""
+        for part in plain:
+            at = out.find(part, at)
+            assert at >= 0, (doc_id, part[:80])
+            at += len(part)
