@@ -18,7 +18,7 @@ from inkline.llm.ngram_join import keep_one
 from inkline.llm.packing import pack
 from inkline.llm.pii import anonymise
 from inkline.llm.quality_rules import keep_good
-from inkline.llm.queries import PII_KEY
+from inkline.llm.queries import pii_key
 from inkline.llm.scratch import written
 
 
@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by surrogates; no document goes."""
-    return anonymise(docs, PII_KEY)
+    return anonymise(docs, pii_key(spark))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
