@@ -26,6 +26,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker
 
 #: Distinct pre-tokens that a worker keeps; beyond, the half used last stays. Bounds its memory, not its results.
 STORE = 300_000
+#: Words of one call of the library.
+CALL = 4_000
 
 
 class Encoded(NamedTuple):
@@ -50,41 +52,58 @@ class Codec:
         self._clear()
 
     def _clear(self) -> None:
-        self.words = pa.array([], pa.binary())  # what is held, its ids from ``first`` on in ``store``, the slice that last used it
-        self.store = np.zeros(0, np.int32)
-        self.first, self.count, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.words = pa.array([], pa.binary())  # what is held; its ids lie from ``first`` on in ``store``, and ``used`` is the slice that last used it
+        self.store, self.end = np.zeros(1 << 20, np.int32), 0
+        self.first, self.count, self.used = (np.zeros(2 * STORE, np.int32) for _ in range(3))
         self.turn = 0
 
+    def _room(self, words: int, ids: int) -> None:
+        """Arrays grow by doubling, and rarely, so that a worker's memory isn't cut to pieces."""
+        if self.end + ids > len(self.store):
+            self.store = np.concatenate((self.store, np.zeros(max(len(self.store), ids), np.int32)))
+        if len(self.words) + words > len(self.first):
+            more = np.zeros(max(len(self.first), words), np.int32)
+            self.first, self.count, self.used = (np.concatenate((x, more)) for x in (self.first, self.count, self.used))
+
     def _learn(self, words: pa.Array) -> None:
-        """Ids of unknown words, in one call of the library for each 20,000 of them."""
-        for at in range(0, len(words), 20_000):
-            part = words.slice(at, 20_000)
+        """Ids of unknown words, a few thousand in one call of the library."""
+        at = len(self.words)
+        self._room(len(words), 0)
+        for lo in range(0, len(words), CALL):
+            part = words.slice(lo, CALL)
             found = self.tokenizer.encode(part.cast(pa.string()).to_pylist(), is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, np.int32)
             sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(part))
-            self.words = pa.concat_arrays([self.words, part])
-            self.first = np.append(self.first, len(self.store) + np.cumsum(sizes) - sizes)
-            self.count = np.append(self.count, sizes)
-            self.used = np.append(self.used, np.full(len(part), self.turn))
-            self.store = np.append(self.store, np.array(found.ids, np.int32))
+            self._room(0, len(ids))
+            here = slice(at + lo, at + lo + len(part))
+            self.first[here], self.count[here], self.used[here] = self.end + np.cumsum(sizes) - sizes, sizes, self.turn
+            self.store[self.end:self.end + len(ids)] = ids
+            self.end += len(ids)
+        if len(words):
+            self.words = pa.concat_arrays([self.words, words])
 
     def _shrink(self) -> None:
         """Keep the words used last, half of ``STORE``."""
-        kept = np.sort(np.argsort(self.used, kind="stable")[-(STORE // 2):])
-        self.words, self.used = self.words.take(pa.array(kept)), self.used[kept]
-        self.store, self.count = self.store[ragged(self.first[kept], self.count[kept])], self.count[kept]
-        self.first = np.cumsum(self.count) - self.count
+        n = len(self.words)
+        kept = np.sort(np.argsort(self.used[:n], kind="stable")[-(STORE // 2):])
+        self.words, m = self.words.take(pa.array(kept)), len(kept)
+        ids = self.store[ragged(self.first[kept].astype(np.int64), self.count[kept].astype(np.int64))]
+        self.count[:m], self.used[:m] = self.count[kept], self.used[kept]
+        self.first[:m] = np.cumsum(self.count[:m]) - self.count[:m]
+        self.end = len(ids)
+        self.store[:self.end] = ids
 
     def _slots(self, words: pa.Array) -> np.ndarray:
         """Place of each of the distinct ``words`` in the store; the special string has none, and gets any."""
         if len(self.words) > STORE:
             self._shrink()
         self.turn += 1
-        slot = pc.index_in(words, value_set=self.words).to_numpy(zero_copy_only=False).astype(np.float64)
-        unknown = np.isnan(slot)
-        self.used[slot[~unknown].astype(np.int64)] = self.turn
+        found = pc.index_in(words, value_set=self.words)
+        unknown = found.is_null().to_numpy(zero_copy_only=False)
+        slot = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).copy()
+        self.used[slot[~unknown]] = self.turn
         if self.special:
             unknown &= ~pc.equal(words, self.special[0]).to_numpy(zero_copy_only=False)
-        slot = np.nan_to_num(slot).astype(np.int64)
         slot[unknown] = len(self.words) + np.arange(unknown.sum())
         self._learn(words.filter(pa.array(unknown)))
         return slot
@@ -99,7 +118,7 @@ class Codec:
         marks = np.flatnonzero(cut.special)
         if not len(self.words):  # nothing but special strings so far
             return np.full(len(marks), self.special[1], np.int32), cut.rows
-        first, count = self.first[slot], self.count[slot]
+        first, count = self.first[slot].astype(np.int64), self.count[slot].astype(np.int64)
         first[marks], count[marks] = 0, 1
         place = np.cumsum(count) - count
         ids = self.store[ragged(first, count)]
