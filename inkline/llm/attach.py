@@ -24,8 +24,8 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], weight: str) -> D
     if most <= bound:
         return rows.join(named, on, "left").select(*rows.columns, *added)
     is_heavy = F.col("key_rows") > F.lit(bound)
-    tried = rows.join(F.broadcast(named.filter(is_heavy)), on, "left")
-    here = tried.filter("key_rows IS NOT NULL").select(*rows.columns, *added)
-    rest = tried.filter("key_rows IS NULL").select(*rows.columns)
+    heavy = F.broadcast(named.filter(is_heavy))
+    here = rows.join(heavy, on, "inner").select(*rows.columns, *added)
+    rest = rows.join(heavy, on, "left_anti")
     on_rest = reduce(lambda a, b: a & b, (rest[k].eqNullSafe(named[f"key_{k}"]) for k in keys))
     return here.unionByName(rest.join(named.filter(~is_heavy), on_rest, "left").select(*rows.columns, *added))

@@ -135,10 +135,10 @@ def buckets(found: DataFrame, similarity: float, recall: float) -> DataFrame:
 
 def neighbourhoods(met: DataFrame) -> DataFrame:
     """Per class: its buckets, its neighbourhood, block and number of blocks."""
-    near = components(met.filter("c <> leader").select(F.col("c").alias("u"), F.col("leader").alias("v")).distinct())
-    parts = near.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.hash("c"), F.col("blocks"))
-    return met.groupBy("c").agg(F.collect_list("bucket").alias("buckets")).join(near.withColumnRenamed("node", "c"), "c").join(parts, "root").withColumn("block", block)
+    near = written(components(met.filter("c <> leader").select(F.col("c").alias("u"), F.col("leader").alias("v")).distinct()), "near")
+    parts = written(near.groupBy("root").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")), "parts")
+    placed = attach(near, parts, ["root"], "n").withColumnRenamed("node", "c").withColumn("block", F.pmod(F.hash("c"), F.col("blocks")))
+    return met.groupBy("c").agg(F.collect_list("bucket").alias("buckets")).join(placed, "c")
 
 
 def linked_pairs(own: list[np.ndarray], shared: list[np.ndarray], block: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,9 +276,9 @@ def groups(join: Join) -> DataFrame:
     n = out.filter("b IS NULL").groupBy(F.col("a").alias("c")).agg(F.sum("value").cast("long").alias("linked"))
     near = components(out.filter("b IS NOT NULL").select(F.col("a").alias("u"), F.col("b").alias("v")))
     every = join.classes.join(near.withColumnRenamed("node", "c"), "c", "left").join(n, "c", "left")
-    every = every.select("set_key", "id", "n_texts", "doc_key", F.coalesce("root", "c").alias("root"), F.coalesce("linked", F.lit(0)).alias("linked"))
-    first = every.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "doc_key")).alias("first"))
-    return every.join(first, "root").select("set_key", F.col("id").alias("copy_id"), F.col("first.id").alias("class_id"), F.col("first.doc_key").alias("keep"), (F.col("linked") + F.col("n_texts") - 1).alias("n_links"))
+    every = written(every.select("set_key", "id", "n_texts", "doc_key", F.coalesce("root", "c").alias("root"), F.coalesce("linked", F.lit(0)).alias("linked")), "every")
+    first = written(every.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "doc_key")).alias("first"), F.count(F.lit(1)).alias("n")), "first")
+    return attach(every, first, ["root"], "n").select("set_key", F.col("id").alias("copy_id"), F.col("first.id").alias("class_id"), F.col("first.doc_key").alias("keep"), (F.col("linked") + F.col("n_texts") - 1).alias("n_links"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
