@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkline.llm.columnar import trimmed
 from inkline.llm.piece_codec import Codec, from_ranks
 
 
@@ -47,7 +48,7 @@ def bpe_encode(docs: DataFrame, rank_file: str, id_col: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s.lo, s.hi - s.lo), *(_lists(x, s.rows) for x in (s.ids, begin, end))], ["id", "ids", "char_start", "char_end"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>, char_start array<int>, char_end array<int>")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(trimmed(run), f"id {kind}, ids array<int>, char_start array<int>, char_end array<int>")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -77,7 +78,7 @@ def bpe_decode(encoded: DataFrame, rank_file: str, id_col: str = "doc_id", ids_c
 
     kind = encoded.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, bytes binary, text string" + ", pieces array<string>" * with_pieces
-    out = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, schema)
+    out = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(trimmed(run), schema)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -97,5 +98,5 @@ def bpe_digests(docs: DataFrame, rank_file: str, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s.lo, s.hi - s.lo), pa.array(np.diff(s.rows)), pa.array(digest(ids, s.rows)), pa.array(digest(data, ends))], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(trimmed(run), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("id", id_col)

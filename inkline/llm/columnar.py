@@ -7,7 +7,8 @@ of rows at a time, so no Python object is made per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,3 +61,17 @@ def sums_by_row(values: np.ndarray, row_ends: np.ndarray) -> np.ndarray:
 
 def as_strings(values: list) -> pa.Array:
     return pa.array(values, pa.string())
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker gives its freed memory back: Spark keeps workers for the tasks to come, of other stages too."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return go

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkline.llm.attach import attach
-from inkline.llm.columnar import slices
+from inkline.llm.columnar import slices, trimmed
 from inkline.llm.components import components
 from inkline.llm.scratch import written
 from inkline.llm.shingles import LONG, SHORT, STEP_BITS, TREES, shingle_sets, trie_keys
@@ -100,7 +100,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     doc_key, text_key = document_keys(id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), doc_key.alias("doc_key"), text_key.alias("text_key"), F.col(text_col).alias("text"))
-    return written(rows.mapInArrow(run, f"id {kind}, {KEYS}"), "sketch")
+    return written(rows.mapInArrow(trimmed(run), f"id {kind}, {KEYS}"), "sketch")
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def cells(docs: DataFrame, found: DataFrame, around: DataFrame, id_col: str, tex
                 ends = np.append(0, np.cumsum([len(x) for x in own])).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(lo, hi - lo) for k in range(6)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own)))], ["root", "block", "blocks", "c", "n_texts", "buckets", "own"])
 
-    shipped = rows.mapInArrow(sets, "root long, block int, blocks int, c long, n_texts long, buckets array<long>, own array<long>")
+    shipped = rows.mapInArrow(trimmed(sets), "root long, block int, blocks int, c long, n_texts long, buckets array<long>, own array<long>")
     shipped = shipped.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     shipped = shipped.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "c", "n_texts", "buckets", "own")
     return shipped.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "c")
@@ -246,7 +246,7 @@ def compared(dealt: DataFrame, similarity: float, pairs: bool) -> DataFrame:
             yield batch(out)
         yield batch(result(held))
 
-    return dealt.mapInArrow(run, "a long, b long, value double")
+    return dealt.mapInArrow(trimmed(run), "a long, b long, value double")
 
 
 class Join(NamedTuple):

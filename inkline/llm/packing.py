@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkline.llm.columnar import trimmed
 from inkline.llm.piece_codec import from_json
 
 COLUMNS = ("id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -156,5 +157,5 @@ def pack(docs: DataFrame, vocab_file: str, window: int = 1024, end_id: int = 0,
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(trimmed(run), schema)
     return out.withColumnRenamed("id", id_col)

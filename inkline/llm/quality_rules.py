@@ -42,6 +42,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkline.llm.columnar import trimmed
+
 #: What separates words: the white space of ``bytes.split``.
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -185,7 +187,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> Bands:
         kinds = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["chunk", "width", "octave", "bin", "n"])
 
-    counts = docs.select(F.col(text_col)).mapInArrow(run, "chunk boolean, width int, octave int, bin int, n long").groupBy("chunk", "width", "octave", "bin").agg(F.sum("n").alias("n"))
+    counts = docs.select(F.col(text_col)).mapInArrow(trimmed(run), "chunk boolean, width int, octave int, bin int, n long").groupBy("chunk", "width", "octave", "bin").agg(F.sum("n").alias("n"))
     by: dict[Class, list[tuple[int, int]]] = {}
     for r in counts.collect():
         by.setdefault((r.chunk, r.width, r.octave), []).append((r.bin, r.n))
@@ -206,7 +208,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["id", *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, {SCHEMA}")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(trimmed(run), f"id {kind}, {SCHEMA}")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -220,4 +222,4 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield b.filter(pa.array([judge(t.as_py(), press, bands)[-1] for t in b.column(at)], pa.bool_()))
 
     at = docs.columns.index(text_col)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
