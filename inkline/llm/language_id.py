@@ -27,17 +27,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkline.llm.columnar import slices, text_buffer
 from inkline.llm.pretokens import LETTER, code_points, unicode_classes
+from inkline.llm.scratch import written
 
 #: Texts that train, at most: of each language, and of all (each language gets an equal share).
 SAMPLE = 1000
 SAMPLE_ALL = 8000
-#: Shares of a language among which its sample is looked for.
-SALTS = 64
+#: Bits of the id hash that one round of the selection settles.
+ROUND_BITS = 12
 BITS = 16
 EPOCHS = 3
 RATE = 1.0
@@ -165,24 +166,57 @@ def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray, np.nd
     return lang, np.concatenate([np.zeros(0), *score]), np.concatenate([np.zeros(0, bool), *unsure])
 
 
+def cut_offs(keys: DataFrame, most: int) -> dict[str, int]:
+    """For each ``lang`` the ``most``-th smallest of its distinct ``at``, or a bound above all of them where it has fewer.
+
+    Radix selection: a round counts keys by language and the next ``ROUND_BITS`` bits of the hash, map-side first, and narrows each language to the one bin in which its cut-off lies.  What a round shuffles and collects is a count for each language and bin; no language's rows are gathered anywhere.
+    """
+    place = F.col("at").bitwiseXOR(F.lit(-1 << 63))  # as unsigned bits, these are in the order of the signed hash
+    open_: dict[str, tuple[int, int]] = {r["lang"]: (0, most) for r in keys.select("lang").distinct().collect()}  # settled bits, keys still to take
+    done: dict[str, int] = {}
+    left = 64
+    while open_ and left:
+        step = min(ROUND_BITS, left)
+        inside = F.lit(left == 64)
+        if left < 64:
+            for lang, (prefix, _) in open_.items():
+                inside = inside | ((F.col("lang") == lang) & (F.shiftrightunsigned(place, left) == prefix))
+        left -= step
+        digit = F.shiftrightunsigned(place, left).bitwiseAND(F.lit((1 << step) - 1))
+        counts: dict[str, list[tuple[int, int]]] = {}
+        for r in keys.filter(inside).groupBy("lang", digit.alias("digit")).agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault(r["lang"], []).append((r["digit"], r["n"]))
+        for lang, (prefix, need) in list(open_.items()):
+            for bin_, n in sorted(counts.get(lang, [])):
+                if need <= n:
+                    break
+                need -= n
+            else:  # fewer keys than asked for: all of them
+                bin_, n = (1 << step) - 1, need
+            prefix = prefix << step | bin_
+            if need == n:  # the whole bin is taken
+                done[lang] = ((prefix + 1 << left) - 1) - (1 << 63)
+                del open_[lang]
+            else:
+                open_[lang] = prefix, need
+    return done
+
+
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Model from the rows that ``usable`` marks.
 
-    Rows with one language and id count once, with their smallest text.  The largest hash of each language's sample is found on distinct (language, hash) pairs, first within ``SALTS`` shares of a language and then among what those keep, so no task sees more than ``SALTS * SAMPLE`` rows of one language and one share.
+    Rows with one language and id count once, with their smallest text.  Each language's sample is bounded by a cut-off on the id hash, found by counting distinct (language, hash) pairs.
     """
     rows = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("at"))
-    n_langs = rows.select("lang").distinct().count()
+    keys = written(rows.select("lang", "at").distinct(), "keys")
+    n_langs = keys.select("lang").distinct().count()
     if not n_langs:
         return None
-    most = max(1, min(SAMPLE, SAMPLE_ALL // n_langs))
-    keys = rows.select("lang", "at").distinct().withColumn("salt", F.pmod("at", F.lit(SALTS)))
-    for shares in (["lang", "salt"], ["lang"]):
-        keys = keys.withColumn("place", F.row_number().over(Window.partitionBy(*shares).orderBy("at"))).filter(F.col("place") <= most)
-    limits = {r["lang"]: r["last"] for r in keys.groupBy("lang").agg(F.max("at").alias("last")).collect()}  # a row per language
+    limits = cut_offs(keys, max(1, min(SAMPLE, SAMPLE_ALL // n_langs)))  # a number per language
     chosen = F.lit(False)
     for lang, last in limits.items():
         chosen = chosen | ((F.col("lang") == lang) & (F.col("at") <= last))
-    sample = rows.filter(chosen).groupBy("lang", "at").agg(F.min("text").alias("text")).toPandas()  # ``most`` texts a language
+    sample = rows.filter(chosen).groupBy("lang", "at").agg(F.min("text").alias("text")).toPandas()  # SAMPLE_ALL texts at most, or one a language
     return learn(sample.sort_values(["at", "lang"]).reset_index(drop=True))
 
 

@@ -264,3 +264,16 @@ def test_language_edges(spark, edge, nothing):
     model = language_id.learn(frame)
     lang, score, unsure = language_id.predict(model, pa.array(["und die", "and the", None, "12 !!", "漢字"]))
     assert lang[:4] == ["de", "en", "und", "und"] and score[2] == score[3] == 0 and unsure[2] and unsure[4]
+
+
+def test_language_cut_offs(spark, monkeypatch):
+    """Each language's cut-off takes the same keys as sorting them does, whatever its size and how near its keys lie."""
+    monkeypatch.setattr(language_id, "ROUND_BITS", 3)
+    rng = random.Random(5)
+    keys = {"hot": [rng.randrange(-2**63, 2**63) for _ in range(3000)], "few": [-2**63, 2**63 - 1, 0], "near": [*range(-20, 20)], "even": [rng.randrange(-2**63, 2**63) for _ in range(25)]}
+    rows = spark.createDataFrame([(lang, at) for lang, own in keys.items() for at in own], "lang string, at long")
+    found = language_id.cut_offs(rows, 25)
+    assert set(found) == set(keys)
+    for lang, own in keys.items():
+        assert sorted(x for x in own if x <= found[lang]) == sorted(own)[:25], lang
+    assert language_id.cut_offs(rows.limit(0), 25) == {}
