@@ -3,13 +3,16 @@
 1. One scan reduces each text to its SHA-256; the narrow table of row number,
    id and digest is written to the shared scratch folder.
 2. A frequent-items sketch (Misra-Gries counters) over the digests finds
-   candidates: every digest with more than 1 / ``HEAVY`` of the rows is among
-   them.  Sketches are merged in two levels, so no task merges all of them.
+   candidates.  A count may be short by rows / (0.75 * ``COUNTERS``), so every
+   digest with more than 1 / ``HEAVY`` of the rows beyond that (1 / 768 in all)
+   is among them, and lighter ones may be.  Sketches are merged in two levels,
+   so no task merges all of them.
 3. The candidates' exact counts and kept rows are computed with map-side
    combining; those winners (at most ``HEAVY`` rows, about 100 bytes each)
    are broadcast, and their rows are settled where they are read.
-4. The remaining digests, none of them with more than 1 / ``HEAVY`` of the
-   rows, go through one ordinary shuffle on the digest.
+4. The remaining digests, none of them with more than 1 / 768 of the rows, go
+   through one ordinary shuffle on the digest.  The result is exact whatever
+   the sketch finds.
 
 Texts are equal when their UTF-8 bytes are; null counts as empty.  Of equal
 texts the row with the largest id stays; of rows with equal text and equal
