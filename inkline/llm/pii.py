@@ -3,6 +3,8 @@
 1. One pattern finds entities: e-mail addresses, telephone, card and social
    security numbers, IBANs, IPv4 addresses, secrets given as ``name = value``,
    and person names (after a title, or a known given name before a surname).
+   In a text that names a person so, each word of the name (three letters or
+   more) counts wherever it stands by itself: ``Dr. Kim Berg ... Berg said``.
    Found places are fenced by a mark and the text is split there, so exactly
    those places are replaced, all at once.
 2. An entity is made of units: a number's digits, an address, each word of a
@@ -55,7 +57,8 @@ SYLLABLES = {"latin": ("ba", "ca", "de", "do", "fe", "ga", "ha", "jo", "ka", "le
 ENDINGS = {"latin": {"f": "lina", "m": "ton", "n": "ren", "s": "sen"}, "cyrillic": {"f": "лина", "m": "тон", "n": "рен", "s": "сен"}, "greek": {"f": "λινα", "m": "τος", "n": "ρις", "s": "σης"}}
 # --- end of fixed values ---
 
-NAME = r"\p{Lu}[\p{L}'’-]+"
+#: A word of a name: a quote or hyphen belongs to it between letters, but not the one of a genitive (``Berg's``).
+NAME = r"\p{Lu}(?:\p{L}|['’-](?=\p{L}{2}))+"
 _TITLES = "|".join((*TITLES_F, *TITLES_M, *TITLES_N))
 _GIVEN = "|".join((*GIVEN_F, *GIVEN_M))
 SECRET_NAMES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key")
@@ -95,19 +98,32 @@ def has_entity(text: Column) -> Column:
     return F.coalesce(found | (secret & text.rlike(PATTERN["secret"])) | text.rlike(PATTERN["name"]), F.lit(False))
 
 
-def segments(text: Column) -> Column:
-    """The text's parts: plain ones at even places, entities at odd ones."""
-    fenced = F.regexp_replace(F.replace(text, F.lit(FENCE), F.lit(OWN)), ANY, f"{HERE}$0{HERE}")
+def segments(text: Column, persons: Column | None = None) -> Column:
+    """The text's parts: plain ones at even places, entities at odd ones; ``persons`` are words that count wherever they stand by themselves."""
+    owned = F.replace(text, F.lit(FENCE), F.lit(OWN))
+    fenced = F.regexp_replace(owned, ANY, f"{HERE}$0{HERE}")
+    if persons is not None:
+        bare = F.concat(F.lit(rf"{ANY}|(?<![\p{{L}}\p{{N}}])(?:"), F.array_join(persons, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+        fenced = F.when(F.size(persons) == 0, fenced).otherwise(F.regexp_replace(owned, bare, F.lit(f"{HERE}$0{HERE}")))
     return F.transform(F.split(fenced, HERE), lambda s: F.replace(s, F.lit(OWN), F.lit(FENCE)))
 
 
+def persons_of(values: Column) -> Column:
+    """Words of the names among a text's entities, without titles, longest first; those of one or two letters are too often other words."""
+    names = F.filter(values, lambda v: v.rlike(f"^(?:{PATTERN['name']})$"))
+    words = F.array_distinct(F.flatten(F.transform(names, lambda v: F.split(v, " "))))
+    kept = F.filter(words, lambda w: w.rlike(f"^{NAME}$") & (F.length(w) > 2) & ~w.isin(*TITLES_F, *TITLES_M, *TITLES_N))
+    return F.transform(F.sort_array(F.transform(kept, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))), asc=False), lambda s: s["w"])
+
+
 def entities(parts: Column) -> Column:
     return F.array_distinct(F.filter(parts, lambda s, i: i % 2 == 1))
 
 
 def kind_of(value: Column) -> Column:
     """Kind of an entity by itself."""
-    return reduce(lambda rest, k: F.when(value.rlike(f"^(?:{k[1]})$"), F.lit(k[0])).otherwise(rest), reversed(KINDS), F.lit("secret"))
+    other = F.when(value.rlike(f"^{NAME}$"), "name").otherwise("secret")  # a person's word by itself
+    return reduce(lambda rest, k: F.when(value.rlike(f"^(?:{k[1]})$"), F.lit(k[0])).otherwise(rest), reversed(KINDS), other)
 
 
 def script_of(word: Column) -> Column:
@@ -257,20 +273,21 @@ def replacements(values: DataFrame, key: str) -> DataFrame:
 
 
 def anonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` with entities in ``text_col`` replaced; ``count_col``: name of a column with the number of places."""
+    """``docs`` with entities in ``text_col`` replaced; ``count_col``: name of a column with the number of places, in place of one that has the name."""
     if not key:
         raise ValueError("a key is needed")
-    own, tag = docs.columns, uuid.uuid4().hex[:8]
+    own, tag = [c for c in docs.columns if c != count_col], uuid.uuid4().hex[:8]
     found, at = has_entity(F.col(f"`{text_col}`")), f"digest_{tag}"
     digest = F.sha2(F.col(f"`{text_col}`"), 256)
     hit = docs.filter(found)
-    each = hit.select(digest.alias(at), entities(segments(F.col(f"`{text_col}`"))).alias("values"))
+    text = F.col(f"`{text_col}`")
+    each = hit.select(digest.alias(at), entities(segments(text, persons_of(entities(segments(text))))).alias("values"))
     listed = written(each.dropDuplicates([at]), "entities")  # rows of one digest hold the same values
     value = listed.select(at, F.explode("values").alias("value"))
     by = replacements(value.select("value").distinct(), key)
     lookup = value.join(by, "value").groupBy(at).agg(F.map_from_entries(F.collect_list(F.struct("value", "replacement"))).alias("by"))
     parts, swap = f"parts_{tag}", f"by_{tag}"
-    joined = hit.withColumn(at, digest).join(lookup.withColumnRenamed("by", swap), at).withColumn(parts, segments(F.col(f"`{text_col}`")))
+    joined = hit.withColumn(at, digest).join(lookup.withColumnRenamed("by", swap), at).withColumn(parts, segments(text, persons_of(F.map_keys(swap))))
     new = F.array_join(F.transform(F.col(parts), lambda s, i: F.when(i % 2 == 1, F.element_at(F.col(swap), s)).otherwise(s)), "")
     extra = [count_col] if count_col else []
     if count_col:

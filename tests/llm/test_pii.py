@@ -141,12 +141,37 @@ def test_found_as_by_a_plain_finder(spark):
     java = pii.ANY.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}")
     import regex
 
+    def finder(text):
+        """The kinds' pattern, with the words of the names that it finds as further alternatives."""
+        name = regex.compile(pii.PATTERN["name"])
+        words = {w for m in regex.finditer(java, text) if name.fullmatch(m[0]) for w in m[0].split(" ")}
+        words = {w for w in words if len(w) > 2 and not w.endswith(".") and w not in (*pii.TITLES_F, *pii.TITLES_M, *pii.TITLES_N)}
+        return java + "".join(rf"|(?<![\p{{L}}\p{{N}}]){w}(?![\p{{L}}\p{{N}}])" for w in sorted(words, key=len, reverse=True))
+
     for doc_id, text in docs.collect():
-        places = list(regex.finditer(java, text or ""))
-        assert after[doc_id].n == len(places), doc_id
-        plain = regex.split(java, text or "")
+        found = finder(text or "")
+        assert after[doc_id].n == len(list(regex.finditer(found, text or ""))), doc_id
+        plain = regex.split(found, text or "")
         at, out = 0, after[doc_id].text or ""
         for part in plain:
             at = out.find(part, at)
             assert at >= 0, (doc_id, part[:80])
             at += len(part)
+
+
+def test_bare_mentions_follow(spark):
+    """Words of a person found in a text are replaced there wherever they stand, and stay in texts that name nobody."""
+    texts = ["Berg came. Dr. Kim Berg's car; Berg-Haus, (Berg) Kim, Bergen, Ms. BERG.", "Berg and Kim, a hill and a river", "Mrs. Anne O'Brien-Lee: O'Brien-Lee's", "Mr. Li Wu met Li"]
+    after = run(spark, texts)
+    m = re.fullmatch(r"(\w+) came\. Dr\. (\w+) (\w+)'s car; (\w+)-Haus, \((\w+)\) (\w+), Bergen, Ms\. (\w+)\.", after[0])
+    assert m[1] == m[3] == m[4] == m[5] and m[7] == m[1].upper() and m[2] == m[6] and not {"Berg", "Kim"} & set(m.groups())
+    assert after[1] == texts[1]
+    n = re.fullmatch(r"Mrs\. (\w+) (\w+): (\w+)'s", after[2])
+    assert n[2] == n[3] and "Brien" not in after[2]
+    assert re.fullmatch(r"Mr\. (?!Li)\w+ (?!Wu)\w+ met Li", after[3])  # two letters: too often another word
+
+
+def test_count_takes_the_place_of_a_column(spark):
+    df = spark.createDataFrame([(1, "x a@b.de", 7), (2, "nothing", 8)], "doc_id long, text string, n int")
+    out = pii.anonymise(df, KEY, count_col="n")
+    assert out.columns == ["doc_id", "text", "n"] and {r.doc_id: r.n for r in out.collect()} == {1: 1, 2: 0}
