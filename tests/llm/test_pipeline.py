@@ -49,3 +49,22 @@ def test_stages(spark):
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     check_packing(stages["packing"](spark, docs, D).collect(), rows, library, 1024)
     check_packing(corpus_pipeline.run(spark, D).collect(), rows, library, 1024)
+
+
+def test_empty_table_and_edge_rows(spark, tmp_path):
+    """Null, empty and short texts go in the first stage; of equal rows one is packed; columns with names used inside stay; a table without rows gives none."""
+    press = zstandard.ZstdCompressor(level=quality_rules.LEVEL)
+    texts = [r.text for r in spark.read.parquet(f"{D}/documents.parquet").orderBy("doc_id").collect()]
+    good = next(t for t in texts if quality_rules.judge(t, press)[-1] and not re.search(r"[@\d=]", t))
+    schema = "doc_id long, text string, digest string, place int, `by` string, lang string"
+    rows = [(1, good, "a", 1, None, None), (1, good, "a", 1, None, None), (2, good, None, None, "b", "x"), (None, good, "c", 2, None, None),
+            (3, None, "a", 1, None, None), (4, "", None, None, None, None), (5, " \n ", "a", 1, "b", "x"), (6, "a b", "a", 1, "b", "x"), (None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(str(tmp_path / "some" / "documents.parquet"))
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    after = dict(corpus_pipeline.STAGES)["pii"](spark, docs.filter("doc_id = 2"), D).collect()
+    check_packing(corpus_pipeline.run(spark, str(tmp_path / "some")).collect(), {2: after[0].text}, library, 1024)
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, D).columns == docs.columns, name
