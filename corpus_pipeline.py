@@ -6,6 +6,12 @@ and all but the last return the columns of documents.  Between stages the
 rows may be written and read again; ``run`` writes them to the shared scratch
 folder, so that no stage is computed twice and a lost executor costs one
 stage's tasks at most.
+
+Defined results: a null, empty or short text is rejected by the first stage;
+given to a later one, null counts as empty where texts are compared, stays
+null in ``pii`` and is packed as its end id alone.  Rows with a null id are
+documents like others, equal rows leave one, further columns come along
+whatever their names, and a table without rows gives none.
 """
 
 from __future__ import annotations
